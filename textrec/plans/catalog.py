@@ -198,3 +198,97 @@ QUERIES = {
     "target_rank": q_target_rank,
     "topk_accuracy": q_topk_accuracy,
 }
+
+
+# --- collection and consolidation -------------------------------------------
+
+from textrec.operators import collect as CO  # noqa: E402
+from textrec.operators import ingest as IN  # noqa: E402
+from textrec.sources import readers as RD  # noqa: E402
+
+RUN_DATE = "2024-02-24"      # the day the intake and the day plan run for
+END_DATE = "2024-01-20"      # search results must be older than this
+POSTS_PER_SEARCH = 20        # G5 cap used on the fixture (5000 in production)
+
+
+def _tracks(spark, sf):
+    return CO.flatten_playlists(FX.playlist_items(spark, sf))
+
+
+def _posts_flat(spark, sf):
+    return CO.flatten_status(FX.raw_statuses(spark, sf))
+
+
+def q_song_intake(spark, sf):
+    out = CO.intake(_tracks(spark, sf), FX.audio_features(spark, sf), FX.known_songs(spark, sf), RUN_DATE)
+    return out
+
+
+def q_insert_if_absent(spark, sf):
+    batch = _tracks(spark, sf).select("id", "name", "artist", "popularity", "playlist_pos", "item_pos", "_apos")
+    new = IN.insert_if_absent(batch, FX.known_songs(spark, sf), "id", ["playlist_pos", "item_pos", "_apos"])
+    return new.select("_id", "name", "artist", "popularity")
+
+
+def q_day_plan(spark, sf):
+    songs = FX.songs(spark, sf)
+    new = songs.where(F.col("add_date") == F.lit(RUN_DATE).cast("date"))
+    return CO.day_plan(songs, new, RUN_DATE)
+
+
+def q_search_string(spark, sf):
+    t = _tracks(spark, sf).select("id", "name", "artist")
+    return CO.search_plan(t).select("id", "name", "artist", "song_q", "query")
+
+
+def q_title_trim(spark, sf):
+    d = FX.table(spark, sf, "documents")
+    return d.select("doc_id", T.trim_title("text").alias("title_q"))
+
+
+def _post_out(df):
+    return df.select("song", "tweet_id", F.col("created").cast("string").alias("created"), "retweeted", "content",
+                     F.array_join("hashtags", ",").alias("hashtags"), F.size("urls").alias("n_urls"),
+                     "user_id", "username", "num_followers", "geo_enabled", "long", "lat")
+
+
+def q_select_posts(spark, sf):
+    return _post_out(CO.select_posts(_posts_flat(spark, sf), END_DATE, "en", POSTS_PER_SEARCH))
+
+
+def q_attach_posts(spark, sf):
+    out = IN.attach_posts(_posts_flat(spark, sf), FX.attach_songs(spark, sf), FX.existing_post_ids(spark, sf))
+    return out.select("song_id", "song", "tweet_id", F.col("created").cast("string").alias("created"), "seq")
+
+
+def q_attach_posts_all(spark, sf):
+    out = IN.attach_posts(_posts_flat(spark, sf), FX.attach_songs(spark, sf), dedupe=False)
+    return out.select("song_id", "song", "tweet_id", F.col("created").cast("string").alias("created"), "seq")
+
+
+def q_rejected_posts(spark, sf):
+    return IN.rejected_posts(_posts_flat(spark, sf), FX.attach_songs(spark, sf)).select("song", "tweet_id", "seq")
+
+
+def q_fix_names(spark, sf):
+    songs = FX.songs(spark, sf)
+    return IN.fix_names(songs, IN.name_fixes(songs)).select("id", "name")
+
+
+def q_html_lines(spark, sf):
+    return RD.html_lines(FX.pages(spark, sf), heading_tag="h1")
+
+
+QUERIES.update({
+    "song_intake": q_song_intake,
+    "insert_if_absent": q_insert_if_absent,
+    "day_plan": q_day_plan,
+    "search_string": q_search_string,
+    "title_trim": q_title_trim,
+    "select_posts": q_select_posts,
+    "attach_posts": q_attach_posts,
+    "attach_posts_all": q_attach_posts_all,
+    "rejected_posts": q_rejected_posts,
+    "fix_names": q_fix_names,
+    "html_lines": q_html_lines,
+})

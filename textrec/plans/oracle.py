@@ -188,3 +188,96 @@ FROM (SELECT tq.query_song, CAST(coalesce(b.rank - 1, {T.MISSING_RANK}) AS INTEG
                                AND b.id = tq.query_song)""",
                         LINES, CLEAN, MODEL, TESTQ.replace("{k}", str(E.LIST_SIZE))),
 }
+
+
+# --- collection and consolidation -------------------------------------------
+
+RUN = f"DATE '{CAT.RUN_DATE}'"
+
+TRACKS = """tracks AS (
+  SELECT p_partkey, p_name AS name, CAST(p_partkey AS VARCHAR) AS id, p_size * 2 AS popularity,
+         concat_ws(',', p_brand, 'The ' || p_type, concat_ws(' ', p_type, p_name)) AS artist FROM part),
+known AS (SELECT p_name AS name, CAST(p_partkey AS VARCHAR) AS id FROM part WHERE p_partkey % 400 = 0)"""
+
+AUDIO = """audio AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS id, CAST(p_size AS DOUBLE) / 50 AS danceability,
+         CAST(p_partkey % 7 AS DOUBLE) / 7.0 AS energy, CAST(p_partkey % 12 AS DOUBLE) AS key,
+         -p_retailprice / 100 AS loudness, CAST(p_partkey % 2 AS DOUBLE) AS mode,
+         CAST(p_size AS DOUBLE) / 100 AS speechiness, CAST(p_partkey % 11 AS DOUBLE) / 11.0 AS acousticness,
+         CAST(p_partkey % 13 AS DOUBLE) / 13.0 AS instrumentalness, CAST(p_partkey % 17 AS DOUBLE) / 17.0 AS liveness,
+         CAST(p_partkey % 19 AS DOUBLE) / 19.0 AS valence, p_retailprice / 10 AS tempo,
+         'audio_features' AS type, p_size * 6000 AS duration_ms, 4 AS time_signature FROM part)"""
+
+FLAT = """flat AS (
+  SELECT 'song' || CAST(user_id AS VARCHAR) AS song, event_id AS seq, CAST(event_id // 2 AS VARCHAR) AS tweet_id,
+         ts AS created, CAST(json_extract_string(props, '$.k') AS INTEGER) % 3 AS retweeted,
+         concat_ws(' ', event_type, props) AS content, event_type AS hashtags, 1 AS n_urls,
+         CAST(user_id AS VARCHAR) AS user_id, 'user' || CAST(user_id AS VARCHAR) AS username,
+         CAST(trunc(value) AS INTEGER) AS num_followers, value > 50 AS geo_enabled,
+         CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) % 2 = 0 THEN value END AS long,
+         CASE WHEN CAST(json_extract_string(props, '$.k') AS INTEGER) % 2 = 0
+              THEN CAST(json_extract_string(props, '$.k') AS DOUBLE) END AS lat,
+         CASE WHEN event_type = 'error' THEN 'fr' ELSE 'en' END AS lang
+  FROM events),
+songs_a AS (SELECT DISTINCT user_id AS id, 'song' || CAST(user_id AS VARCHAR) AS name FROM events WHERE user_id % 10 <> 0),
+sp AS (SELECT name, min(id) AS song_id FROM songs_a GROUP BY name),
+joined AS (SELECT f.*, sp.song_id FROM flat f JOIN sp ON f.song = sp.name)"""
+
+
+def trim_title_sql(x: str) -> str:
+    s2 = f"substr({x}, 2)"
+    p = f"least(nullif(strpos({s2}, '-'), 0), nullif(strpos({s2}, '('), 0))"
+    return f"CASE WHEN {p} IS NULL THEN {x} ELSE substr({x}, 1, {p} - 1) END"
+
+
+def search_string_sql(song: str, artist: str) -> str:
+    first = "string_split(a, ' ')[1]"
+    who = (f"CASE WHEN len(string_split(a, ' ')) > 1 AND NOT list_contains({STOP}, lower({first})) "
+           f"THEN {first} ELSE a END")
+    return (f"array_to_string(list_transform(string_split({artist}, ','), "
+            f"lambda a: '(\"' || {song} || '\" AND \"' || {who} || '\")'), ' OR ')")
+
+
+POST_OUT = """SELECT song, tweet_id, CAST(created AS VARCHAR) AS created, retweeted, content, hashtags, n_urls,
+       user_id, username, num_followers, geo_enabled, long, lat"""
+
+SQL.update({
+    "song_intake": _q(f"""SELECT f.name, f.id, f.artist, f.popularity, CAST(dayofyear({RUN}) AS INTEGER) AS add_day,
+       {RUN} AS add_date, a.danceability, a.energy, a.key, a.loudness, a.mode, a.speechiness, a.acousticness,
+       a.instrumentalness, a.liveness, a.valence, a.tempo, a.type, a.duration_ms, a.time_signature
+FROM (SELECT * FROM tracks WHERE popularity >= 60 AND name NOT IN (SELECT name FROM known)
+      QUALIFY row_number() OVER (PARTITION BY name ORDER BY p_partkey) = 1) f
+LEFT JOIN audio a USING (id)""", TRACKS, AUDIO),
+    "insert_if_absent": _q("""SELECT id AS _id, name, artist, popularity FROM tracks
+WHERE id NOT IN (SELECT id FROM known)""", TRACKS),
+    "day_plan": _q(f"""SELECT name, artist, 'slice' AS source FROM (
+  SELECT name, artist, row_number() OVER (ORDER BY add_date, id) - 1 AS pos FROM songs)
+WHERE pos >= (SELECT i * step FROM st) AND pos < (SELECT (i + 1) * step FROM st)
+UNION ALL
+SELECT name, artist, 'new' AS source FROM songs WHERE add_date = {RUN}""",
+                   SONGS,
+                   "fd AS (SELECT min(add_date) AS d FROM songs)",
+                   f"st AS (SELECT datediff('day', (SELECT d FROM fd), {RUN}) AS i, "
+                   "(SELECT count(*) FROM songs WHERE add_date = (SELECT d FROM fd)) // 7 AS step)"),
+    "search_string": _q(f"""SELECT id, name, artist, {trim_title_sql('name')} AS song_q,
+       {search_string_sql(trim_title_sql('name'), 'artist')} AS query FROM tracks""", TRACKS),
+    "title_trim": f"SELECT doc_id, {trim_title_sql('text')} AS title_q FROM documents",
+    "select_posts": _q(POST_OUT + f"""
+FROM (SELECT * FROM flat WHERE lang = 'en' AND created < TIMESTAMP '{CAT.END_DATE}'
+      QUALIFY row_number() OVER (PARTITION BY song ORDER BY created DESC, seq DESC) <= {CAT.POSTS_PER_SEARCH})
+WHERE retweeted = 0""", FLAT),
+    "attach_posts": _q("""SELECT song_id, song, tweet_id, CAST(created AS VARCHAR) AS created, seq FROM (
+  SELECT * FROM joined QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY song, seq) = 1)
+WHERE tweet_id NOT IN (SELECT CAST(event_id // 2 AS VARCHAR) FROM events WHERE event_id < 1000)""", FLAT),
+    "attach_posts_all": _q("SELECT song_id, song, tweet_id, CAST(created AS VARCHAR) AS created, seq FROM joined",
+                           FLAT),
+    "rejected_posts": _q("SELECT song, tweet_id, seq FROM flat WHERE song NOT IN (SELECT name FROM songs_a)", FLAT),
+    "fix_names": _q("""SELECT s.id, coalesce(f.new_name, s.name) AS name FROM songs s LEFT JOIN (
+  SELECT DISTINCT name, regexp_replace(name, '[^\\p{L}\\p{N}]+$', '') AS new_name FROM songs
+  WHERE regexp_replace(name, '[^\\p{L}\\p{N}]+$', '') <> name AND length(regexp_replace(name, '[^\\p{L}\\p{N}]+$', '')) > 0
+) f USING (name)""", SONGS),
+    "html_lines": f"""SELECT id, line AS lyric_line FROM (
+  SELECT page_id AS id, unnest(regexp_extract_all(html, {lit(r"<p(?:\s[^>]*)?>([^<]*)</p>")}, 1)) AS line
+  FROM pages WHERE regexp_matches(html, {lit(r"<h1(?:\s[^>]*)?>([^<]*)</h1>")}))
+WHERE length(line) - length(replace(line, ' ', '')) > 2""",
+})

@@ -59,7 +59,9 @@ def playlist_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("name"),
         F.col("p_partkey").cast("string").alias("id"),
         (F.col("p_size") * 2).alias("popularity"),
-        F.array(F.struct(F.col("p_brand").alias("name")), F.struct(F.col("p_type").alias("name"))).alias("artists"),
+        F.array(F.struct(F.col("p_brand").alias("name")),
+                F.struct(F.concat(F.lit("The "), F.col("p_type")).alias("name")),
+                F.struct(F.concat_ws(" ", "p_type", "p_name").alias("name"))).alias("artists"),
     )
     return p.select(
         (F.col("p_partkey") / ITEMS_PER_PLAYLIST).cast("long").alias("playlist_pos"),
@@ -144,7 +146,7 @@ def existing_post_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """tweet_ids already stored before this batch."""
     e = table(spark, sf_dir, "events")
     return (e.where(F.col("event_id") < EXISTING_POSTS_BELOW)
-             .select((F.col("event_id") / 2).cast("long").alias("tweet_id")).distinct())
+             .select((F.col("event_id") / 2).cast("long").cast("string").alias("tweet_id")).distinct())
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
