@@ -292,3 +292,116 @@ QUERIES.update({
     "fix_names": q_fix_names,
     "html_lines": q_html_lines,
 })
+
+
+# --- stemming, written tables, streaming ------------------------------------
+
+from textrec import schemas as SC  # noqa: E402
+from textrec.functions import stem as ST  # noqa: E402
+from textrec.plans import daily as DJ  # noqa: E402
+from textrec.session import scratch_path  # noqa: E402
+from textrec.sources import sinks as SK  # noqa: E402
+from textrec.streaming import intake as WS  # noqa: E402
+
+
+def q_stem_vocab(spark, sf):
+    terms = M.line_terms(FX.posts(spark, sf), "tweet_line")
+    return ST.stem_map(terms)
+
+
+def q_recommend_stemmed(spark, sf):
+    """Corpus and queries stemmed (T12, D6 stem_query=True)."""
+    pc = C.clean_posts(FX.posts(spark, sf))
+    vc = C.clean_verses(FX.verses(spark, sf))
+    lines = pc.select("id", F.col("tweet_line").alias("_l")).unionByName(vc.select("id", F.col("lyric_line").alias("_l")))
+    stems = ST.stem_map(M.line_terms(lines, "_l"))
+    from textrec.plans.build import build_model as _bm
+    m = _bm(spark, sf, stem_map=stems)
+    bench = FX.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    qstems = ST.stem_map(M.line_terms(bench.withColumnRenamed("query_id", "id"), "text"))
+    recs = S.recommend(bench, m.postings, FX.songs(spark, sf), TOP_K, stem_map=qstems)
+    return recs.select(F.col("query_id").alias("item_id"), "rank", "id", "name", "score")
+
+
+def q_csv_round_trip(spark, sf):
+    root = scratch_path(spark, "posts-csv")
+    chosen = CO.select_posts(_posts_flat(spark, sf), END_DATE, "en", POSTS_PER_SEARCH) \
+        .withColumn("date", F.lit(RUN_DATE).cast("date"))
+    SK.write_csv(chosen, root, partition_by=("date",))
+    from pyspark.sql.types import DateType, StructField, StructType
+    schema = StructType(list(SC.POSTS_CSV.fields) + [StructField("date", DateType())])
+    back = SK.arrays_from_json(RD.read_csv(spark, root, schema, multiline=True), SC.POSTS)
+    return _post_out(back)
+
+
+def q_path_to_song(spark, sf):
+    root = scratch_path(spark, "landed")
+    chosen = CO.select_posts(_posts_flat(spark, sf), END_DATE, "en", POSTS_PER_SEARCH) \
+        .withColumn("date", F.lit(RUN_DATE).cast("date"))
+    SK.write_csv(chosen, root, partition_by=("date", "song"), spread_by=("tweet_id",))
+    back = RD.read_landed_posts(spark, root, DJ._csv_schema(), date=RUN_DATE)
+    return back.select("song", "song_from_path", "tweet_id", F.col("date").cast("string").alias("date"))
+
+
+def q_intake_snapshot(spark, sf):
+    root = scratch_path(spark, "songs")
+    return DJ.intake_snapshot(spark, _tracks(spark, sf), FX.audio_features(spark, sf),
+                              root + "/whole", root + f"/new_{RUN_DATE}", RUN_DATE)
+
+
+def q_daily_job(spark, sf):
+    root = scratch_path(spark, "daily")
+    out = DJ.daily_job(spark, FX.search_songs(spark, sf), FX.raw_statuses(spark, sf), RUN_DATE, END_DATE,
+                       root, POSTS_PER_SEARCH)
+    return out.select("song", "tweet_id", F.col("created").cast("string").alias("created"), "retweeted")
+
+
+def q_ingest_batch(spark, sf):
+    root = scratch_path(spark, "ingest")
+    songs = FX.attach_songs(spark, sf).select(F.col("id").cast("string").alias("id"), "name")
+    SK.write_csv(songs, root + "/songs")
+    SK.write_csv(_posts_flat(spark, sf), root + "/posts")
+    song_schema = "id string, name string"
+    store = spark.createDataFrame([], "id string")
+    _, attached = DJ.ingest_batch(spark, root + "/songs", root + "/posts", song_schema, store,
+                                  FX.existing_post_ids(spark, sf))
+    return attached.select(F.col("song_id").cast("long").alias("song_id"), "song", "tweet_id",
+                           F.col("created").cast("string").alias("created"), "seq")
+
+
+def q_stream_intake(spark, sf):
+    root = scratch_path(spark, "stream")
+    landing, table, ckpt = root + "/landing", root + "/posts", root + "/_checkpoint"
+    flat = _posts_flat(spark, sf)
+    songs = FX.attach_songs(spark, sf)
+    existing = FX.existing_post_ids(spark, sf)
+    # two drops; both copies of a tweet (events 2k and 2k+1) land in the same drop
+    SK.write_json(flat.where(F.col("seq") % 4 < 2), landing)
+    WS.run_intake(spark, landing, table, ckpt, songs, SC.POSTS, existing)
+    SK.write_json(flat.where(F.col("seq") % 4 >= 2), landing, mode="append")
+    WS.run_intake(spark, landing, table, ckpt, songs, SC.POSTS, existing)
+    out = spark.read.parquet(table)
+    return out.select("song_id", "song", "tweet_id", F.col("created").cast("string").alias("created"), "seq")
+
+
+def q_recommend_from(spark, sf):
+    root = scratch_path(spark, "model")
+    m = build_model(spark, sf)
+    SK.write_parquet(m.postings, root + "/postings")
+    SK.write_parquet(FX.songs(spark, sf), root + "/songs")
+    bench = FX.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    recs = DJ.recommend_from(spark, root + "/postings", root + "/songs", bench, TOP_K)
+    return recs.select(F.col("query_id").alias("item_id"), "rank", "id", "name", "score")
+
+
+QUERIES.update({
+    "stem_vocab": q_stem_vocab,
+    "recommend_stemmed": q_recommend_stemmed,
+    "csv_round_trip": q_csv_round_trip,
+    "path_to_song": q_path_to_song,
+    "intake_snapshot": q_intake_snapshot,
+    "daily_job": q_daily_job,
+    "ingest_batch": q_ingest_batch,
+    "stream_intake": q_stream_intake,
+    "recommend_from": q_recommend_from,
+})

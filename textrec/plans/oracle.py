@@ -281,3 +281,33 @@ WHERE tweet_id NOT IN (SELECT CAST(event_id // 2 AS VARCHAR) FROM events WHERE e
   FROM pages WHERE regexp_matches(html, {lit(r"<h1(?:\s[^>]*)?>([^<]*)</h1>")}))
 WHERE length(line) - length(replace(line, ' ', '')) > 2""",
 })
+
+
+# Queries that write and read back tables equal one of the queries above.
+SQL["csv_round_trip"] = SQL["select_posts"]
+SQL["ingest_batch"] = SQL["attach_posts"]
+SQL["stream_intake"] = SQL["attach_posts"]
+SQL["recommend_from"] = SQL["recommend_benchmark"]
+SQL["path_to_song"] = _q(f"""SELECT song, song AS song_from_path, tweet_id, '{CAT.RUN_DATE}' AS date
+FROM (SELECT * FROM flat WHERE lang = 'en' AND created < TIMESTAMP '{CAT.END_DATE}'
+      QUALIFY row_number() OVER (PARTITION BY song ORDER BY created DESC, seq DESC) <= {CAT.POSTS_PER_SEARCH})
+WHERE retweeted = 0""", FLAT)
+SQL["intake_snapshot"] = _q(f"""SELECT f.name, f.id, f.artist, f.popularity, CAST(dayofyear({RUN}) AS INTEGER) AS add_day,
+       {RUN} AS add_date, a.danceability, a.energy, a.key, a.loudness, a.mode, a.speechiness, a.acousticness,
+       a.instrumentalness, a.liveness, a.valence, a.tempo, a.type, a.duration_ms, a.time_signature
+FROM (SELECT * FROM tracks WHERE popularity >= 60
+      QUALIFY row_number() OVER (PARTITION BY name ORDER BY p_partkey) = 1) f
+LEFT JOIN audio a USING (id)""", TRACKS, AUDIO)
+SQL["daily_job"] = _q(f"""SELECT song, tweet_id, CAST(created AS VARCHAR) AS created, retweeted
+FROM (SELECT * FROM flat WHERE lang = 'en' AND created < TIMESTAMP '{CAT.END_DATE}'
+        AND song IN (SELECT name FROM plan)
+      QUALIFY row_number() OVER (PARTITION BY song ORDER BY created DESC, seq DESC) <= {CAT.POSTS_PER_SEARCH})
+WHERE retweeted = 0""", FLAT,
+    """slist AS (SELECT DISTINCT user_id AS id, 'song' || CAST(user_id AS VARCHAR) AS name,
+       CAST(DATE '2024-02-23' + CASE WHEN user_id % 10 = 9 THEN 1 ELSE 0 END AS DATE) AS add_date FROM events)""",
+    "fd AS (SELECT min(add_date) AS d FROM slist)",
+    f"st AS (SELECT datediff('day', (SELECT d FROM fd), {RUN}) AS i, "
+    "(SELECT count(*) FROM slist WHERE add_date = (SELECT d FROM fd)) // 7 AS step)",
+    f"""plan AS (SELECT name FROM (SELECT name, row_number() OVER (ORDER BY add_date, id) - 1 AS pos FROM slist)
+  WHERE pos >= (SELECT i * step FROM st) AND pos < (SELECT (i + 1) * step FROM st)
+  UNION ALL SELECT name FROM slist WHERE add_date = {RUN})""")

@@ -151,3 +151,16 @@ def existing_post_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), "url", "html")
+
+
+def search_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The song list the daily searches are planned from (one row per user of
+    ``events``, named like the songs that tag the landed search results)."""
+    e = table(spark, sf_dir, "events")
+    u = e.select("user_id").distinct()
+    add_date = F.date_add(F.lit(FIRST_DAY), F.when(F.col("user_id") % 10 == 9, 1).otherwise(0))
+    return u.select(
+        F.col("user_id").alias("id"),
+        F.concat(F.lit("song"), F.col("user_id").cast("string")).alias("name"),
+        F.concat(F.lit("Artist "), (F.col("user_id") % 7).cast("string")).alias("artist"),
+        add_date.alias("add_date"))

@@ -9,16 +9,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from textrec.functions import text as T
+from textrec.schemas import TS_OPTIONS
 
 PARAGRAPH = r"<p(?:\s[^>]*)?>([^<]*)</p>"
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, multiline: bool = False,
-             glob: str | None = None) -> DataFrame:
-    """CSV with a header and an explicit schema (nothing inferred)."""
-    r = spark.read.schema(schema).option("header", True)
+             glob: str | None = None, escape: str | None = None) -> DataFrame:
+    """CSV with a header and an explicit schema (nothing inferred).
+    ``escape='"'`` reads files whose writer doubles quotes (pandas)."""
+    r = spark.read.schema(schema).option("header", True).options(**TS_OPTIONS)
     if multiline:
-        r = r.option("multiLine", True).option("escape", '"')
+        r = r.option("multiLine", True)
+    if escape:
+        r = r.option("escape", escape)
     if glob:
         r = r.option("pathGlobFilter", glob)
     return r.csv(path)
