@@ -117,8 +117,9 @@ def split_spaces(c) -> Column:
 
 
 def words(c) -> Column:
-    """Lower, replace symbols, split on a space, keep non-empty words."""
-    return F.filter(split_spaces(normalize(c)), lambda w: F.length(w) > 0)
+    """Lower, replace symbols, split on a space, keep non-empty words
+    (``array_remove`` is a native, code-generated array function)."""
+    return F.array_remove(split_spaces(normalize(c)), "")
 
 
 def tokens(c, stop_words=STOP_WORDS, min_len: int = 3) -> Column:
@@ -130,6 +131,14 @@ def tokens(c, stop_words=STOP_WORDS, min_len: int = 3) -> Column:
     )
 
 
+def is_token(term, stop_words=STOP_WORDS, min_len: int = 3) -> Column:
+    """T5 + T6 as a row predicate on one exploded word (code-generated; the
+    stop list becomes a hash-set lookup)."""
+    term = _col(term)
+    cond = F.length(term) >= min_len
+    return cond & ~term.isin(*stop_words) if stop_words else cond
+
+
 def word_count(c) -> Column:
     """Number of words."""
     return F.size(words(c))

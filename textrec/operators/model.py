@@ -20,8 +20,12 @@ NUM_FEATURES = 100000
 
 def line_terms(lines: DataFrame, line_col: str, id_col: str = "id",
                stop_words=T.STOP_WORDS) -> DataFrame:
-    """(id, term) for every token occurrence of every line."""
-    return lines.select(id_col, F.explode(T.tokens(line_col, stop_words)).alias("term"))
+    """(id, term) for every token occurrence of every line.
+
+    The line is split natively and exploded first; length and stop-word
+    tests then run as ordinary code-generated row predicates."""
+    words = lines.select(id_col, F.explode(T.split_spaces(T.normalize(line_col))).alias("term"))
+    return words.where(T.is_token("term", stop_words))
 
 
 def term_counts(lines: DataFrame, line_col: str, id_col: str = "id",

@@ -70,21 +70,25 @@ def recommend(queries: DataFrame, postings: DataFrame, songs: DataFrame, k: int
 
 def recommend_one(text: str, postings: DataFrame, songs: DataFrame, k: int = 15,
                   id_col: str = "id", term_col: str = "term", pad_zero: bool = True,
-                  **qopts) -> DataFrame:
-    """M6 / G1 for one text: the query side is one small row, broadcast to the
-    postings scan; top-k is a TakeOrderedAndProject.  With ``pad_zero`` songs
-    scoring 0 fill the list in id order when fewer than k corpus songs match
-    (D13); only the k smallest unmatched ids are ever taken."""
+                  corpus_ids: DataFrame | None = None, **qopts) -> DataFrame:
+    """M6 / G1 for one text.
+
+    The query is one literal row (no Python data path); its terms are
+    broadcast to the postings scan, which is filtered to those terms.  With
+    ``pad_zero`` songs scoring 0 fill the list in id order when fewer than k
+    corpus songs match (D13): the k smallest corpus ids join the candidates
+    with score 0 and each id keeps its best score, which is exact because at
+    most (matches) of those k ids can be matched.  The k result rows (a
+    bounded side) are broadcast to look up the names."""
     spark = postings.sparkSession
-    q = spark.createDataFrame([(0, text)], "query_id int, text string")
+    q = spark.range(1).select(F.lit(0).alias("query_id"), F.lit(text).alias("text"))
     qt = F.broadcast(query_terms(q, hashed=(term_col == "h"), **qopts))
     sc = scores(qt, postings, "query_id", id_col, term_col).select(id_col, "score")
     if pad_zero:
-        corpus_ids = postings.select(id_col).distinct()
-        zero = (corpus_ids.join(sc, id_col, "left_anti")
-                     .orderBy(id_col).limit(k).withColumn("score", F.lit(0.0)))
-        sc = sc.unionByName(zero)
+        ids = corpus_ids if corpus_ids is not None else postings.select(id_col).distinct()
+        zero = ids.select(id_col).orderBy(id_col).limit(k).withColumn("score", F.lit(0.0))
+        sc = sc.unionByName(zero).groupBy(id_col).agg(F.max("score").alias("score"))
     best = sc.orderBy(*_order(id_col)).limit(k)
     ranked = best.withColumn("rank", F.row_number().over(Window.orderBy(*_order(id_col))))
-    named = ranked.join(songs.select(id_col, "name"), id_col, "left")
+    named = F.broadcast(ranked).join(songs.select(id_col, "name"), id_col, "left")
     return named.select("rank", id_col, "name", F.round("score", OUT_DIGITS).alias("score"))

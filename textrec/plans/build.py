@@ -26,6 +26,11 @@ class Model:
     tf: DataFrame
     postings: DataFrame
 
+    @property
+    def corpus_ids(self) -> DataFrame:
+        """Songs in the corpus (kept next to the postings for zero padding)."""
+        return self.tf.select("id").distinct()
+
 
 def build_model(spark: SparkSession, sf_dir: str, frac: float = TEST_FRAC, seed: int = SEED,
                 stem_map: DataFrame | None = None, hashed: bool = False) -> Model:
