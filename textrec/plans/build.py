@@ -36,6 +36,13 @@ def build_model(spark: SparkSession, sf_dir: str, frac: float = TEST_FRAC, seed:
                 stem_map: DataFrame | None = None, hashed: bool = False) -> Model:
     pc = C.clean_posts(FX.posts(spark, sf_dir))
     vc = C.clean_verses(FX.verses(spark, sf_dir))
+    return build_from_lines(pc, vc, frac, seed, stem_map, hashed)
+
+
+def build_from_lines(pc: DataFrame, vc: DataFrame, frac: float = TEST_FRAC, seed: int = SEED,
+                     stem_map: DataFrame | None = None, hashed: bool = False) -> Model:
+    """The model from cleaned post and lyric lines (e.g. read back from the
+    cleaning job's output, the first materialisation point)."""
     tp, rp = SP.split_hash(pc, frac, ("id", "tweet_line"), seed)
     tv, rv = SP.split_hash(vc, frac, ("id", "lyric_line"), seed)
     tf = M.corpus_terms(rp, rv, stem_map=stem_map)
