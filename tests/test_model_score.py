@@ -73,3 +73,18 @@ def test_topk_rows_per_query(spark, sf):
     recs = catalog.q_recommend_benchmark(spark, sf)
     per = recs.groupBy("item_id").count().collect()
     assert all(r["count"] <= catalog.TOP_K for r in per)
+
+
+def test_sample_tests_is_stable(spark, sf):
+    from textrec.plans.build import build_model
+    test = build_model(spark, sf).test_posts
+    a = [tuple(r) for r in E.sample_tests(test, 5).collect()]
+    b = [tuple(r) for r in E.sample_tests(test, 5).collect()]
+    assert len(a) == min(5, test.count()) and sorted(a) == sorted(b)
+
+
+def test_hashed_recommend_close_to_exact(spark, sf):
+    from textrec.plans import catalog
+    exact = {(r.item_id, r.id) for r in catalog.q_recommend_benchmark(spark, sf).collect()}
+    hashed = {(r.item_id, r.id) for r in catalog.q_recommend_hashed(spark, sf).collect()}
+    assert len(exact & hashed) >= 0.9 * len(exact)

@@ -13,16 +13,21 @@ MIN_POSTS = 10     # F10: keep songs with more than 10 posts left (D3)
 
 def clean_posts(posts: DataFrame, id_col: str = "id", line_col: str = "tweet_line",
                 min_words: int = MIN_WORDS, min_posts: int = MIN_POSTS,
-                markers=T.AD_MARKERS) -> DataFrame:
+                markers=T.AD_MARKERS, materialize: bool = False) -> DataFrame:
     """A3 -> F5 -> F8 -> F9 -> F10.
 
     The per-song threshold is a partial aggregate plus a semi-join, so a song
     that holds a third of all posts is counted map-side and its rows are never
-    gathered in one task (AQE splits the skewed side of the semi-join)."""
+    gathered in one task (AQE splits the skewed side of the semi-join).  With
+    ``materialize`` the filtered lines are written once, so the text is not
+    tokenised a second time for the semi-join."""
     deduped = posts.select(id_col, line_col).where(F.col(line_col).isNotNull()).dropDuplicates([id_col, line_col])
     kept = (deduped.withColumn("word_count", T.word_count(line_col))
                    .where(F.col("word_count") > min_words)
                    .where(~T.has_ad_marker(line_col, markers)))
+    if materialize:
+        from textrec.session import materialize as _mat
+        kept = _mat(kept, "posts-kept")
     enough = kept.groupBy(id_col).count().where(F.col("count") > min_posts).select(id_col)
     return kept.join(enough, id_col, "left_semi")
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from textrec.operators import clean as C
 from textrec.operators import model as M
 from textrec.operators import split as SP
+from textrec.session import materialize
 from textrec.sources import fixtures as FX
 
 TEST_FRAC = 0.1
@@ -34,8 +35,10 @@ class Model:
 
 def build_model(spark: SparkSession, sf_dir: str, frac: float = TEST_FRAC, seed: int = SEED,
                 stem_map: DataFrame | None = None, hashed: bool = False) -> Model:
-    pc = C.clean_posts(FX.posts(spark, sf_dir))
-    vc = C.clean_verses(FX.verses(spark, sf_dir))
+    """Clean -> split -> corpus -> TF-IDF with two materialisation points:
+    the cleaned lines, and the term counts / postings."""
+    pc = materialize(C.clean_posts(FX.posts(spark, sf_dir), materialize=True), "posts-clean")
+    vc = materialize(C.clean_verses(FX.verses(spark, sf_dir)), "verses-clean")
     return build_from_lines(pc, vc, frac, seed, stem_map, hashed)
 
 
@@ -45,6 +48,6 @@ def build_from_lines(pc: DataFrame, vc: DataFrame, frac: float = TEST_FRAC, seed
     cleaning job's output, the first materialisation point)."""
     tp, rp = SP.split_hash(pc, frac, ("id", "tweet_line"), seed)
     tv, rv = SP.split_hash(vc, frac, ("id", "lyric_line"), seed)
-    tf = M.corpus_terms(rp, rv, stem_map=stem_map)
-    postings = M.tfidf_hashed(tf) if hashed else M.tfidf(tf)
+    tf = materialize(M.corpus_terms(rp, rv, stem_map=stem_map), "corpus-tf")
+    postings = materialize(M.tfidf_hashed(tf) if hashed else M.tfidf(tf), "postings")
     return Model(pc, vc, tp, rp, tv, rv, tf, postings)

@@ -139,7 +139,16 @@ def q_tfidf_hashed(spark, sf):
 
 def q_recommend_one(spark, sf):
     m = build_model(spark, sf)
-    return S.recommend_one(SMOKE_TEXT, m.postings, FX.songs(spark, sf), TOP_K)
+    return S.recommend_one(SMOKE_TEXT, m.postings, FX.songs(spark, sf), TOP_K, corpus_ids=m.corpus_ids)
+
+
+def q_recommend_hashed(spark, sf):
+    """The reference's own model: HashingTF buckets (100,000) + IDF; every
+    benchmark passage is a query, hashed the same way."""
+    m = build_model(spark, sf, hashed=True)
+    bench = FX.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    recs = S.recommend(bench, m.postings, FX.songs(spark, sf), TOP_K, term_col="h")
+    return recs.select(F.col("query_id").alias("item_id"), "rank", "id", "name", "score")
 
 
 def q_recommend_benchmark(spark, sf):
@@ -194,6 +203,7 @@ QUERIES = {
     "tfidf_hashed": q_tfidf_hashed,
     "recommend_one": q_recommend_one,
     "recommend_benchmark": q_recommend_benchmark,
+    "recommend_hashed": q_recommend_hashed,
     "recommend_batch": q_recommend_batch,
     "target_rank": q_target_rank,
     "topk_accuracy": q_topk_accuracy,
