@@ -11,11 +11,21 @@ from textrec.operators import evaluate as E
 from textrec.plans import catalog as CAT
 
 
+def rnd(x: str, d: int = 6) -> str:
+    """round(x, d) as the nearest double to the decimal result, like Spark's round."""
+    return f"CAST(CAST(round({x}, {d}) AS DECIMAL(38,{d})) AS DOUBLE)"
+
+
 def lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
 STOP = "[" + ", ".join(lit(w) for w in T.STOP_WORDS) + "]"
+R_SCORE = rnd("score")
+R_IDF = rnd("idf")
+R_W = rnd("w")
+R_PCT = rnd("(before - after) * 100.0 / before", 4)
+R_ACC = rnd(f"avg(CASE WHEN rank <= {E.HIT_RANK} THEN 1.0 ELSE 0.0 END)")
 PUNCT = lit(T.PUNCT_DIGITS)
 EMOJI = lit(T.EMOJI_PATTERN)
 
@@ -105,7 +115,7 @@ def _q(body: str, *ctes: str) -> str:
 
 
 def _one_query(text: str, k: int) -> str:
-    return _q(f"""SELECT CAST(rank AS INTEGER) AS rank, best.id, songs.name, round(score, 6) AS score
+    return _q(f"""SELECT CAST(rank AS INTEGER) AS rank, best.id, songs.name, {R_SCORE} AS score
 FROM best LEFT JOIN songs USING (id)""",
               SONGS, LINES, CLEAN, MODEL,
               f"qocc AS (SELECT unnest({tokens(lit(text))}) AS term)",
@@ -135,7 +145,7 @@ FROM posts p JOIN songs s USING (id)""", SONGS, LINES),
     "posts_clean": _q("SELECT id, tweet_line, word_count FROM posts_clean", LINES, CLEAN),
     "songs_min_posts": _q("SELECT id, count(*) AS n_posts FROM posts_clean GROUP BY id", LINES, CLEAN),
     "verses_clean": _q("SELECT id, lyric_line FROM verses_clean", LINES, CLEAN),
-    "clean_report": _q("""SELECT frame, before, after, round((before - after) * 100.0 / before, 4) AS pct_removed FROM (
+    "clean_report": _q("""SELECT frame, before, after, {R_PCT} AS pct_removed FROM (
   SELECT 'posts' AS frame, (SELECT count(*) FROM posts) AS before, (SELECT count(*) FROM posts_clean) AS after
   UNION ALL
   SELECT 'verses', (SELECT count(*) FROM verses), (SELECT count(*) FROM verses_clean))""", LINES, CLEAN),
@@ -160,11 +170,11 @@ FROM posts_clean""", LINES, CLEAN),
                  < ceil(round(0.1 * count(*) OVER (PARTITION BY id), 9)) THEN 'test' ELSE 'train' END AS part
 FROM posts_clean""", LINES, CLEAN),
     "corpus_terms": _q("SELECT id, term, tf FROM tf", LINES, CLEAN, MODEL),
-    "doc_freq_idf": _q("SELECT term, df, round(idf, 6) AS idf FROM idf", LINES, CLEAN, MODEL),
-    "tfidf_exact": _q("SELECT id, term, tf, round(w, 6) AS w FROM postings", LINES, CLEAN, MODEL),
+    "doc_freq_idf": _q("SELECT term, df, {R_IDF} AS idf FROM idf", LINES, CLEAN, MODEL),
+    "tfidf_exact": _q("SELECT id, term, tf, {R_W} AS w FROM postings", LINES, CLEAN, MODEL),
     "recommend_one": _one_query(CAT.SMOKE_TEXT, CAT.TOP_K),
     "recommend_benchmark": _q(f"""SELECT best.item_id, CAST(rank AS INTEGER) AS rank, best.id, songs.name,
-       round(score, 6) AS score FROM best LEFT JOIN songs USING (id)""",
+       {R_SCORE} AS score FROM best LEFT JOIN songs USING (id)""",
                               SONGS, LINES, CLEAN, MODEL,
                               f"qocc AS (SELECT item_id, unnest({tokens('text')}) AS term FROM benchmark)",
                               "qn AS (SELECT item_id, count(*) AS n FROM qocc GROUP BY item_id)",
@@ -175,14 +185,14 @@ FROM posts_clean""", LINES, CLEAN),
                               f"best AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 9) "
                               f"DESC, id ASC) AS rank FROM sc QUALIFY rank <= {CAT.TOP_K})"),
     "recommend_batch": _q("""SELECT best.query_song, best.query_line, CAST(rank AS INTEGER) AS rank, best.id, songs.name,
-       round(score, 6) AS score FROM best LEFT JOIN songs USING (id)""",
+       {R_SCORE} AS score FROM best LEFT JOIN songs USING (id)""",
                           SONGS, LINES, CLEAN, MODEL, TESTQ.replace("{k}", str(CAT.TOP_K))),
     "target_rank": _q(f"""SELECT tq.query_song AS id, tq.query_line AS tweet_line,
        CAST(coalesce(b.rank - 1, {T.MISSING_RANK}) AS INTEGER) AS rank
 FROM tq LEFT JOIN best b ON b.query_song = tq.query_song AND b.query_line = tq.query_line AND b.id = tq.query_song""",
                       LINES, CLEAN, MODEL, TESTQ.replace("{k}", str(E.LIST_SIZE))),
     "topk_accuracy": _q(f"""SELECT count(*) AS n_tests, CAST(sum(CASE WHEN rank <= {E.HIT_RANK} THEN 1 ELSE 0 END) AS BIGINT) AS n_hits,
-       round(avg(CASE WHEN rank <= {E.HIT_RANK} THEN 1.0 ELSE 0.0 END), 6) AS accuracy
+       {R_ACC} AS accuracy
 FROM (SELECT tq.query_song, CAST(coalesce(b.rank - 1, {T.MISSING_RANK}) AS INTEGER) AS rank
       FROM tq LEFT JOIN best b ON b.query_song = tq.query_song AND b.query_line = tq.query_line
                                AND b.id = tq.query_song)""",
@@ -311,3 +321,10 @@ WHERE retweeted = 0""", FLAT,
     f"""plan AS (SELECT name FROM (SELECT name, row_number() OVER (ORDER BY add_date, id) - 1 AS pos FROM slist)
   WHERE pos >= (SELECT i * step FROM st) AND pos < (SELECT (i + 1) * step FROM st)
   UNION ALL SELECT name FROM slist WHERE add_date = {RUN})""")
+
+
+for _k, _v in list(SQL.items()):
+    for _name, _val in (("{R_SCORE}", R_SCORE), ("{R_IDF}", R_IDF), ("{R_W}", R_W), ("{R_PCT}", R_PCT),
+                        ("{R_ACC}", R_ACC)):
+        _v = _v.replace(_name, _val)
+    SQL[_k] = _v
