@@ -24,7 +24,8 @@ SEARCH_CAP = 5000
 
 def flatten_playlists(playlists: DataFrame, col: str = "playlist") -> DataFrame:
     """S10 + T14: one row per track item with its position in the batch."""
-    items = playlists.select("*", F.posexplode(f"{col}.tracks.items").alias("_apos", "_item"))
+    items = (playlists.select("*", F.posexplode_outer(f"{col}.tracks.items").alias("_apos", "_item"))
+                      .where(F.col("_item").isNotNull()))
     return items.select(
         "playlist_pos", "item_pos", "_apos",
         F.col("_item.track.name").alias("name"),

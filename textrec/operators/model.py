@@ -24,8 +24,10 @@ def line_terms(lines: DataFrame, line_col: str, id_col: str = "id",
 
     The line is split natively and exploded first; length and stop-word
     tests then run as ordinary code-generated row predicates."""
-    words = lines.select(id_col, F.explode(T.split_spaces(T.normalize(line_col))).alias("term"))
-    return words.where(T.is_token("term", stop_words))
+    # explode_outer: a plain explode makes Catalyst add size(array) > 0 below
+    # the generator, which would run the regex a second time
+    words = lines.select(id_col, F.explode_outer(T.split_spaces(T.normalize(line_col))).alias("term"))
+    return words.where(F.col("term").isNotNull() & T.is_token("term", stop_words))
 
 
 def term_counts(lines: DataFrame, line_col: str, id_col: str = "id",

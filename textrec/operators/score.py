@@ -27,7 +27,7 @@ def query_terms(queries: DataFrame, qid: str = "query_id", text_col: str = "text
     """(query_id, term|h, qtf): raw counts after T7 and the T13 repetition."""
     toks = queries.select(qid, T.tokens(text_col, stop_words).alias("_t"))
     occ = toks.select(qid, T.repeat_factor(F.size("_t"), min_tokens, mult).alias("_f"),
-                      F.explode("_t").alias("term"))
+                      F.explode_outer("_t").alias("term")).where(F.col("term").isNotNull())
     qtf = occ.groupBy(qid, "term").agg((F.count("*") * F.max("_f")).alias("qtf"))
     if stem_map is not None:
         qtf = (qtf.join(stem_map, "term", "left")

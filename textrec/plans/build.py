@@ -26,11 +26,7 @@ class Model:
     train_verses: DataFrame
     tf: DataFrame
     postings: DataFrame
-
-    @property
-    def corpus_ids(self) -> DataFrame:
-        """Songs in the corpus (kept next to the postings for zero padding)."""
-        return self.tf.select("id").distinct()
+    corpus_ids: DataFrame     # songs in the corpus, kept next to the postings for zero padding
 
 
 def build_model(spark: SparkSession, sf_dir: str, frac: float = TEST_FRAC, seed: int = SEED,
@@ -50,4 +46,5 @@ def build_from_lines(pc: DataFrame, vc: DataFrame, frac: float = TEST_FRAC, seed
     tv, rv = SP.split_hash(vc, frac, ("id", "lyric_line"), seed)
     tf = materialize(M.corpus_terms(rp, rv, stem_map=stem_map), "corpus-tf")
     postings = materialize(M.tfidf_hashed(tf) if hashed else M.tfidf(tf), "postings")
-    return Model(pc, vc, tp, rp, tv, rv, tf, postings)
+    corpus_ids = materialize(tf.select("id").distinct(), "corpus-ids")
+    return Model(pc, vc, tp, rp, tv, rv, tf, postings, corpus_ids)

@@ -328,3 +328,12 @@ for _k, _v in list(SQL.items()):
                         ("{R_ACC}", R_ACC)):
         _v = _v.replace(_name, _val)
     SQL[_k] = _v
+
+
+SQL["topk_accuracy_code"] = _q(f"""SELECT count(*) AS n_tests,
+       CAST(sum(CASE WHEN rank <= {CAT.CODE_HIT_RANK} THEN 1 ELSE 0 END) AS BIGINT) AS n_hits,
+       {rnd(f"avg(CASE WHEN rank <= {CAT.CODE_HIT_RANK} THEN 1.0 ELSE 0.0 END)")} AS accuracy
+FROM (SELECT tq.query_song, CAST(coalesce(b.rank - 1, {T.MISSING_RANK}) AS INTEGER) AS rank
+      FROM tq LEFT JOIN best b ON b.query_song = tq.query_song AND b.query_line = tq.query_line
+                               AND b.id = tq.query_song)""",
+                               LINES, CLEAN, MODEL, TESTQ.replace("{k}", str(CAT.CODE_LIST_SIZE)))

@@ -36,7 +36,7 @@ def songs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _lines(spark: SparkSession, sf_dir: str, parity: int, col: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return (d.select(F.col("doc_id").alias("id"), F.posexplode(F.split("text", "\n")).alias("pos", col))
+    return (d.select(F.col("doc_id").alias("id"), F.posexplode_outer(F.split("text", "\n")).alias("pos", col))
              .where(F.col("pos") % 2 == parity)
              .select("id", col))
 

@@ -65,5 +65,6 @@ def html_lines(pages: DataFrame, id_col: str = "id", html_col: str = "html", hea
     ok = F.col("_has")
     if heading_text is not None:
         ok = ok & (F.col("_head") == heading_text)
-    lines = h.where(ok).select(id_col, F.explode(F.regexp_extract_all(html_col, F.lit(PARAGRAPH), 1)).alias("lyric_line"))
-    return lines.where(T.space_count("lyric_line") > min_spaces)
+    lines = h.where(ok).select(
+        id_col, F.explode_outer(F.regexp_extract_all(html_col, F.lit(PARAGRAPH), 1)).alias("lyric_line"))
+    return lines.where(F.col("lyric_line").isNotNull() & (T.space_count("lyric_line") > min_spaces))
