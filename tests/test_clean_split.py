@@ -50,6 +50,12 @@ def test_split_exact_counts(spark, sf):
     assert ((per.n < 2) | ((per.t >= 1) & (per.t < per.n))).all()
 
 
+def test_split_exact_uses_decimal_fraction(spark):
+    rows = [(1, f"line {i}") for i in range(30)]
+    lab = SP.split_exact(spark.createDataFrame(rows, "id long, tweet_line string"), 0.1)
+    assert lab.where("part = 'test'").count() == 3
+
+
 def test_group_position_matches_brute_force_with_hot_group(spark):
     # one group holds most rows: it must be spread over partitions and still numbered 0..n-1
     rows = [(0, i) for i in range(3000)] + [(g, i) for g in range(1, 40) for i in range(g)]

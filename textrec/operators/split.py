@@ -41,16 +41,21 @@ def split_exact(df: DataFrame, frac: float = 0.1, label: str = "id", line_col: s
     keyed = df.withColumn("_h", F.substring(F.md5(F.concat_ws("|", F.col(label).cast("string"),
                                                                F.col(line_col), F.lit(str(seed)))), 1, 16))
     pos = with_group_position(keyed, [label], ["_h", line_col], name="_pos", count_name="_n")
-    test_mask = F.col("_pos") < F.ceil(F.lit(frac) * F.col("_n"))
+    # round first: 0.1 * 30 is 3.0000000000000004 in binary floating point
+    test_mask = F.col("_pos") < F.ceil(F.round(F.lit(frac) * F.col("_n"), 9))
     labelled = pos.withColumn("part", F.when(test_mask, "test").otherwise("train")).drop("_h", "_pos", "_n")
     return labelled
 
 
-def split_sample_by(df: DataFrame, frac: float = 0.1, seed: int = 42) -> DataFrame:
+def split_sample_by(df: DataFrame, frac: float = 0.1, seed: int = 42, key_cols=("id", "tweet_line")) -> DataFrame:
     """Bernoulli sample per label with one fraction for every label.
 
     ``DataFrame.stat.sampleBy`` with equal fractions keeps a row when
     ``rand(seed) < fraction``; we evaluate that predicate once per row and
     label both parts from the same value (no collected fraction map, no
-    anti-join by a generated id)."""
-    return df.withColumn("part", F.when(F.rand(seed) < frac, "test").otherwise("train"))
+    anti-join by a generated id).  ``rand`` depends on the row's place in its
+    partition, so rows are first sorted within their partition by the key:
+    a partition recomputed after an executor loss draws the same values."""
+    keys = [c for c in key_cols if c in df.columns]
+    ordered = df.sortWithinPartitions(*keys) if keys else df
+    return ordered.withColumn("part", F.when(F.rand(seed) < frac, "test").otherwise("train"))

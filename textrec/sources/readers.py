@@ -37,10 +37,16 @@ def read_landed_posts(spark: SparkSession, root: str, schema: StructType | str,
     if date is not None:
         df = df.where(F.col("date") == F.lit(date).cast("date"))
     path = F.col("_metadata.file_path")
-    song = F.url_decode(F.regexp_extract(path, r"/song=([^/]+)/[^/]*$", 1))
+    song = _unescape(_unescape(F.regexp_extract(path, r"/song=([^/]+)/[^/]*$", 1)))
     return df.withColumn("song_from_path", song)
 
 
+def _unescape(c):
+    """Decode %XX escapes once; a literal '+' stays a '+'.  The file path is a
+    URI (one level) of a partition folder name (a second level)."""
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
 def song_from_blob(df: DataFrame, col: str = "blob") -> DataFrame:
     """S5 for the reference's own blob names ``YYYY-MM-DD/<song>.csv``."""
     return df.withColumn("song", T.song_from_path(col))
