@@ -76,19 +76,23 @@ def recommend_one(text: str, postings: DataFrame, songs: DataFrame, k: int = 15,
     The query is one literal row (no Python data path); its terms are
     broadcast to the postings scan, which is filtered to those terms.  With
     ``pad_zero`` songs scoring 0 fill the list in id order when fewer than k
-    corpus songs match (D13): the k smallest corpus ids join the candidates
-    with score 0 and each id keeps its best score, which is exact because at
-    most (matches) of those k ids can be matched.  The k result rows (a
-    bounded side) are broadcast to look up the names."""
+    corpus songs match (D13), taken from the k smallest unmatched corpus ids;
+    only the 2k candidate rows are ever merged.  The k result rows (a bounded
+    side) are broadcast to look up the names."""
     spark = postings.sparkSession
     q = spark.range(1).select(F.lit(0).alias("query_id"), F.lit(text).alias("text"))
     qt = F.broadcast(query_terms(q, hashed=(term_col == "h"), **qopts))
     sc = scores(qt, postings, "query_id", id_col, term_col).select(id_col, "score")
+    best = sc.orderBy(*_order(id_col)).limit(k)
     if pad_zero:
+        # If more than k songs match, zeros never enter the list; otherwise all
+        # matches are in ``best``.  So the k smallest corpus ids with score 0,
+        # merged with ``best`` keeping each id's larger score (at most 2k
+        # rows), give exactly the padded list.
         ids = corpus_ids if corpus_ids is not None else postings.select(id_col).distinct()
         zero = ids.select(id_col).orderBy(id_col).limit(k).withColumn("score", F.lit(0.0))
-        sc = sc.unionByName(zero).groupBy(id_col).agg(F.max("score").alias("score"))
-    best = sc.orderBy(*_order(id_col)).limit(k)
+        best = (best.unionByName(zero).groupBy(id_col).agg(F.max("score").alias("score"))
+                    .orderBy(*_order(id_col)).limit(k))
     ranked = best.withColumn("rank", F.row_number().over(Window.orderBy(*_order(id_col))))
     named = F.broadcast(ranked).join(songs.select(id_col, "name"), id_col, "left")
     return named.select("rank", id_col, "name", F.round("score", OUT_DIGITS).alias("score"))
