@@ -111,7 +111,9 @@ def select_posts(posts: DataFrame, end_date, lang: str = "en", cap: int = SEARCH
     search; planned as a window group limit, so each map task keeps at most
     ``cap`` rows per song before the shuffle) -> F3 (not retweeted, D17)."""
     from pyspark.sql import Window
-    cand = posts.where((F.col("lang") == lang) & (F.col("created") < F.lit(end_date).cast("timestamp")))
+    # the end date takes the column's own type, so no session time zone enters
+    end = F.lit(str(end_date)).cast(posts.schema["created"].dataType)
+    cand = posts.where((F.col("lang") == lang) & (F.col("created") < end))
     w = Window.partitionBy(song_col).orderBy(*[F.col(c).desc() for c in order_cols])
     capped = cand.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap).drop("_rn")
     return capped.where(F.col("retweeted") == 0)
