@@ -218,8 +218,11 @@ def trim_title(c) -> Column:
     """Cut a title at the first ``-`` or ``(`` found at index >= 1,
     also dropping the character just before it."""
     c = _col(c)
-    pos = F.regexp_instr(F.substring(c, 2, 1 << 30), F.lit("[-(]"))
-    return F.when(pos > 0, F.substring(c, F.lit(1), pos - 1)).otherwise(c)
+    # locate counts code points like substring (regexp_instr counts UTF-16
+    # units, which differs after an emoji); least() skips the nulls
+    hits = [F.when(F.locate(ch, c, 2) > 0, F.locate(ch, c, 2)) for ch in "-("]
+    pos = F.least(*hits)
+    return F.when(pos.isNotNull(), F.substring(c, F.lit(1), pos - 2)).otherwise(c)
 
 
 def concat_space(*cols) -> Column:
