@@ -100,10 +100,10 @@ def run_jobs(spark, sf_dir: str, root: str, repeat: int):
     info["recommend_one_rows"] = len(rows)
 
     def batch():
-        queries = (C.test_rows(tests).select(F.xxhash64("id", "tweet_line").alias("query_id"),
+        queries = (C.test_rows(tests).select(E.query_key("id", "tweet_line").alias("query_id"),
                                              F.col("tweet_line").alias("text"))
                    .unionByName(FX.table(spark, sf_dir, "benchmark")
-                                .select(F.col("item_id").alias("query_id"), "text")))
+                                .select(E.query_key("item_id", "text").alias("query_id"), "text")))
         recs = S.recommend(queries, postings, songs, CAT.TOP_K)
         recs.write.mode("overwrite").parquet(root + "/recs")
         return queries.count()

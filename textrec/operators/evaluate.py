@@ -16,6 +16,13 @@ LIST_SIZE = 15   # D4: top-15 list, one-based; LIST_SIZE=10 + HIT_RANK=15 reprod
 HIT_RANK = 14    # zero-based rank counted as a hit
 
 
+def query_key(*cols):
+    """A compact 96-bit key for a query row (two independent hashes): with a
+    billion test lines a collision, which would merge two queries, stays
+    below one in ten billion."""
+    return F.struct(F.xxhash64(*cols).alias("h64"), F.hash(*cols).alias("h32"))
+
+
 def sample_tests(test: DataFrame, n: int | None, id_col: str = "id", line_col: str = "tweet_line") -> DataFrame:
     """The first n test rows in a fixed arbitrary order (content hash)."""
     if n is None:
@@ -30,7 +37,7 @@ def target_ranks(test: DataFrame, postings: DataFrame, list_size: int = LIST_SIZ
     zero-based position of the row's own song in the top ``list_size`` for
     that line, or 100000 when it is not in the list."""
     rows = test_rows(test.select(id_col, line_col), line_col)
-    q = rows.select(F.xxhash64(id_col, line_col).alias("qid"), F.col(id_col).alias("target"), line_col)
+    q = rows.select(query_key(id_col, line_col).alias("qid"), F.col(id_col).alias("target"), line_col)
     qt = S.query_terms(q.select("qid", F.col(line_col).alias("text")), "qid", "text",
                        hashed=(term_col == "h"), **qopts)
     best = S.top_k(S.scores(qt, postings, "qid", id_col, term_col), list_size, "qid", id_col)

@@ -162,7 +162,7 @@ def q_recommend_benchmark(spark, sf):
 def q_recommend_batch(spark, sf):
     m = build_model(spark, sf)
     tests = C.test_rows(m.test_posts)
-    queries = tests.select(F.xxhash64("id", "tweet_line").alias("query_id"),
+    queries = tests.select(E.query_key("id", "tweet_line").alias("query_id"),
                            F.col("id").alias("query_song"), F.col("tweet_line").alias("text"))
     recs = S.recommend(queries.select("query_id", "text"), m.postings, FX.songs(spark, sf), TOP_K)
     return (queries.join(recs, "query_id", "inner")
