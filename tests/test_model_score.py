@@ -88,3 +88,19 @@ def test_hashed_recommend_close_to_exact(spark, sf):
     exact = {(r.item_id, r.id) for r in catalog.q_recommend_benchmark(spark, sf).collect()}
     hashed = {(r.item_id, r.id) for r in catalog.q_recommend_hashed(spark, sf).collect()}
     assert len(exact & hashed) >= 0.9 * len(exact)
+
+
+def test_one_query_reads_only_its_term_folders(spark, sf):
+    from textrec.plans import catalog
+    from textrec.plans.build import build_model
+    from textrec.sources import fixtures as FX
+    m = build_model(spark, sf, term_buckets=16)
+    songs = FX.songs(spark, sf)
+    text = FX.table(spark, sf, "benchmark").orderBy("item_id").first()["text"]
+    pruned = S.recommend_one(text, m.postings, songs, 15, corpus_ids=m.corpus_ids, term_buckets=16)
+    full = S.recommend_one(text, m.postings, songs, 15, corpus_ids=m.corpus_ids)
+    assert [tuple(r) for r in pruned.collect()] == [tuple(r) for r in full.collect()]
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [tb#" in plan and "INSET" in plan
+    qt = S.query_terms(spark.range(1).selectExpr("0 AS query_id", "'tough days doing homework' AS text"))
+    assert 1 <= len(S.query_buckets(qt, 16)) <= 3

@@ -68,9 +68,17 @@ def recommend(queries: DataFrame, postings: DataFrame, songs: DataFrame, k: int
     return named.select(qid, "rank", id_col, "name", F.round("score", OUT_DIGITS).alias("score"))
 
 
+def query_buckets(qterms: DataFrame, buckets: int, term_col: str = "term") -> list[int]:
+    """The postings folders one query needs: at most one small integer per
+    distinct query term (bounded by the query, never by the corpus)."""
+    rows = qterms.select(M.term_bucket(term_col, buckets).alias("tb")).distinct().collect()
+    return sorted(r.tb for r in rows)
+
+
 def recommend_one(text: str, postings: DataFrame, songs: DataFrame, k: int = 15,
                   id_col: str = "id", term_col: str = "term", pad_zero: bool = True,
-                  corpus_ids: DataFrame | None = None, **qopts) -> DataFrame:
+                  corpus_ids: DataFrame | None = None, term_buckets: int | None = None,
+                  **qopts) -> DataFrame:
     """M6 / G1 for one text.
 
     The query is one literal row (no Python data path); its terms are
@@ -82,6 +90,9 @@ def recommend_one(text: str, postings: DataFrame, songs: DataFrame, k: int = 15,
     spark = postings.sparkSession
     q = spark.range(1).select(F.lit(0).alias("query_id"), F.lit(text).alias("text"))
     qt = F.broadcast(query_terms(q, hashed=(term_col == "h"), **qopts))
+    if term_buckets and "tb" in postings.columns:
+        # partition pruning: the scan lists only this query's term folders
+        postings = postings.where(F.col("tb").isin(query_buckets(qt, term_buckets, term_col)))
     sc = scores(qt, postings, "query_id", id_col, term_col).select(id_col, "score")
     best = sc.orderBy(*_order(id_col)).limit(k)
     if pad_zero:

@@ -25,26 +25,35 @@ class Model:
     test_verses: DataFrame
     train_verses: DataFrame
     tf: DataFrame
-    postings: DataFrame
+    postings: DataFrame       # partitioned by the term bucket ``tb``
     corpus_ids: DataFrame     # songs in the corpus, kept next to the postings for zero padding
+    term_buckets: int = 1
 
 
 def build_model(spark: SparkSession, sf_dir: str, frac: float = TEST_FRAC, seed: int = SEED,
-                stem_map: DataFrame | None = None, hashed: bool = False) -> Model:
+                stem_map: DataFrame | None = None, hashed: bool = False,
+                term_buckets: int | None = None) -> Model:
     """Clean -> split -> corpus -> TF-IDF with two materialisation points:
     the cleaned lines, and the term counts / postings."""
     pc = materialize(C.clean_posts(FX.posts(spark, sf_dir), materialize=True), "posts-clean")
     vc = materialize(C.clean_verses(FX.verses(spark, sf_dir)), "verses-clean")
-    return build_from_lines(pc, vc, frac, seed, stem_map, hashed)
+    return build_from_lines(pc, vc, frac, seed, stem_map, hashed, term_buckets)
 
 
 def build_from_lines(pc: DataFrame, vc: DataFrame, frac: float = TEST_FRAC, seed: int = SEED,
-                     stem_map: DataFrame | None = None, hashed: bool = False) -> Model:
+                     stem_map: DataFrame | None = None, hashed: bool = False,
+                     term_buckets: int | None = None) -> Model:
     """The model from cleaned post and lyric lines (e.g. read back from the
     cleaning job's output, the first materialisation point)."""
     tp, rp = SP.split_hash(pc, frac, ("id", "tweet_line"), seed)
     tv, rv = SP.split_hash(vc, frac, ("id", "lyric_line"), seed)
     tf = materialize(M.corpus_terms(rp, rv, stem_map=stem_map), "corpus-tf")
-    postings = materialize(M.tfidf_hashed(tf) if hashed else M.tfidf(tf), "postings")
+    # postings are stored in term-bucket folders so that one query reads only
+    # the folders of its own terms; the folder count follows the data size
+    buckets = term_buckets if term_buckets else M.term_bucket_count(tf.count())
+    post = M.tfidf_hashed(tf) if hashed else M.tfidf(tf)
+    key = "h" if hashed else "term"
+    post = post.withColumn("tb", M.term_bucket(key, buckets)).repartition("tb")
+    postings = materialize(post, "postings", partition_by=("tb",))
     corpus_ids = materialize(tf.select("id").distinct(), "corpus-ids")
-    return Model(pc, vc, tp, rp, tv, rv, tf, postings, corpus_ids)
+    return Model(pc, vc, tp, rp, tv, rv, tf, postings, corpus_ids, buckets)

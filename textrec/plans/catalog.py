@@ -139,7 +139,8 @@ def q_tfidf_hashed(spark, sf):
 
 def q_recommend_one(spark, sf):
     m = build_model(spark, sf)
-    return S.recommend_one(SMOKE_TEXT, m.postings, FX.songs(spark, sf), TOP_K, corpus_ids=m.corpus_ids)
+    return S.recommend_one(SMOKE_TEXT, m.postings, FX.songs(spark, sf), TOP_K, corpus_ids=m.corpus_ids,
+                           term_buckets=m.term_buckets)
 
 
 def q_recommend_hashed(spark, sf):

@@ -59,12 +59,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/textrec-tables/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, partition_by=()):
     """Cut the lineage of a frame that several branches reuse: write it once
     as Parquet under the shared checkpoint folder and read it back.  Reads
     then prune columns, and a lost executor re-reads the table instead of
     recomputing the whole upstream plan."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    w = df.write
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(path)
     return spark.read.parquet(path)
