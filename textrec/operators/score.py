@@ -90,7 +90,7 @@ def recommend_one(text: str, postings: DataFrame, songs: DataFrame, k: int = 15,
     spark = postings.sparkSession
     q = spark.range(1).select(F.lit(0).alias("query_id"), F.lit(text).alias("text"))
     qt = F.broadcast(query_terms(q, hashed=(term_col == "h"), **qopts))
-    if term_buckets and "tb" in postings.columns:
+    if term_buckets and term_buckets > 1 and "tb" in postings.columns:
         # partition pruning: the scan lists only this query's term folders
         postings = postings.where(F.col("tb").isin(query_buckets(qt, term_buckets, term_col)))
     sc = scores(qt, postings, "query_id", id_col, term_col).select(id_col, "score")
