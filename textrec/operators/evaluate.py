@@ -52,3 +52,13 @@ def accuracy(ranks: DataFrame, hit_rank: int = HIT_RANK) -> DataFrame:
     hit = (F.col("rank") <= hit_rank).cast("int")
     return ranks.agg(F.count("*").alias("n_tests"), F.sum(hit).alias("n_hits"),
                      F.round(F.avg(hit.cast("double")), 6).alias("accuracy"))
+
+
+def accuracy_at(ranks: DataFrame, ks=(10, 15)) -> DataFrame:
+    """Hit rates for several list sizes in one pass over the ranks (computed
+    with a list of at least max(ks)): (n_tests, hits_at_k, accuracy_at_k ...)."""
+    cols = [F.count("*").alias("n_tests")]
+    for k in ks:
+        hit = (F.col("rank") < k).cast("int")
+        cols += [F.sum(hit).alias(f"hits_at_{k}"), F.round(F.avg(hit.cast("double")), 6).alias(f"accuracy_at_{k}")]
+    return ranks.agg(*cols)

@@ -47,10 +47,10 @@ def build_from_lines(pc: DataFrame, vc: DataFrame, frac: float = TEST_FRAC, seed
     cleaning job's output, the first materialisation point)."""
     tp, rp = SP.split_hash(pc, frac, ("id", "tweet_line"), seed)
     tv, rv = SP.split_hash(vc, frac, ("id", "lyric_line"), seed)
-    tf = materialize(M.corpus_terms(rp, rv, stem_map=stem_map), "corpus-tf")
+    tf, n_tf = materialize(M.corpus_terms(rp, rv, stem_map=stem_map), "corpus-tf", with_count=True)
     # postings are stored in term-bucket folders so that one query reads only
     # the folders of its own terms; the folder count follows the data size
-    buckets = term_buckets if term_buckets else M.term_bucket_count(tf.count())
+    buckets = term_buckets if term_buckets else M.term_bucket_count(n_tf)
     post = M.tfidf_hashed(tf) if hashed else M.tfidf(tf)
     key = "h" if hashed else "term"
     post = post.withColumn("tb", M.term_bucket(key, buckets)).repartition("tb")

@@ -189,6 +189,12 @@ def q_topk_accuracy_code(spark, sf):
     return E.accuracy(E.target_ranks(m.test_posts, m.postings, CODE_LIST_SIZE), CODE_HIT_RANK)
 
 
+def q_accuracy_at_10_15(spark, sf):
+    """Top-10 and top-15 hit rates over all held-out posts in one pass."""
+    m = build_model(spark, sf)
+    return E.accuracy_at(E.target_ranks(m.test_posts, m.postings, 15), (10, 15))
+
+
 def q_topk_accuracy_hashed(spark, sf):
     """The reference's configuration end to end: hashed TF-IDF, top-10 list."""
     m = build_model(spark, sf, hashed=True)
@@ -224,6 +230,7 @@ QUERIES = {
     "target_rank": q_target_rank,
     "topk_accuracy": q_topk_accuracy,
     "topk_accuracy_code": q_topk_accuracy_code,
+    "accuracy_at_10_15": q_accuracy_at_10_15,
     "topk_accuracy_hashed": q_topk_accuracy_hashed,
 }
 

@@ -337,3 +337,14 @@ FROM (SELECT tq.query_song, CAST(coalesce(b.rank - 1, {T.MISSING_RANK}) AS INTEG
       FROM tq LEFT JOIN best b ON b.query_song = tq.query_song AND b.query_line = tq.query_line
                                AND b.id = tq.query_song)""",
                                LINES, CLEAN, MODEL, TESTQ.replace("{k}", str(CAT.CODE_LIST_SIZE)))
+
+
+SQL["accuracy_at_10_15"] = _q(f"""SELECT count(*) AS n_tests,
+       CAST(sum(CASE WHEN rank < 10 THEN 1 ELSE 0 END) AS BIGINT) AS hits_at_10,
+       {rnd("avg(CASE WHEN rank < 10 THEN 1.0 ELSE 0.0 END)")} AS accuracy_at_10,
+       CAST(sum(CASE WHEN rank < 15 THEN 1 ELSE 0 END) AS BIGINT) AS hits_at_15,
+       {rnd("avg(CASE WHEN rank < 15 THEN 1.0 ELSE 0.0 END)")} AS accuracy_at_15
+FROM (SELECT tq.query_song, CAST(coalesce(b.rank - 1, {T.MISSING_RANK}) AS INTEGER) AS rank
+      FROM tq LEFT JOIN best b ON b.query_song = tq.query_song AND b.query_line = tq.query_line
+                               AND b.id = tq.query_song)""",
+                              LINES, CLEAN, MODEL, TESTQ.replace("{k}", "15"))

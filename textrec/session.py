@@ -59,15 +59,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/textrec-tables/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df, name: str, partition_by=()):
+def materialize(df, name: str, partition_by=(), with_count: bool = False):
     """Cut the lineage of a frame that several branches reuse: write it once
     as Parquet under the shared checkpoint folder and read it back.  Reads
     then prune columns, and a lost executor re-reads the table instead of
-    recomputing the whole upstream plan."""
+    recomputing the whole upstream plan.  With ``with_count`` the row count
+    is observed while writing (no second job) and returned as well."""
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    obs = Observation(f"{name}-rows") if with_count else None
+    if obs is not None:
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     w = df.write
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.parquet(path)
+    return (out, obs.get["rows"]) if obs is not None else out
