@@ -1,6 +1,6 @@
 """Explicit schemas (section 1.2): nothing is inferred from files."""
 
-from pyspark.sql.types import (ArrayType, BooleanType, DateType, DoubleType, FloatType, IntegerType, LongType,
+from pyspark.sql.types import (ArrayType, BooleanType, DateType, DoubleType, IntegerType, LongType,
                                StringType, StructField, StructType, TimestampNTZType, TimestampType)
 
 FEATURE_COLS = ("danceability", "energy", "key", "loudness", "mode", "speechiness", "acousticness",
@@ -33,7 +33,6 @@ POSTS_CSV = StructType([
     StructField(f.name, StringType()) if isinstance(f.dataType, ArrayType) else f for f in POSTS.fields
 ])
 
-FEATURES_FLOAT = FloatType()
 
 # Text formats that keep microseconds (CSV and JSON round trips).
 TS_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
