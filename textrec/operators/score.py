@@ -109,4 +109,6 @@ def recommend_one(text: str, postings: DataFrame, songs: DataFrame, k: int = 15,
     # down to the k result ids with a semi-join that broadcasts those ids
     names = songs.select(id_col, "name").join(F.broadcast(ranked.select(id_col)), id_col, "left_semi")
     named = ranked.join(names, id_col, "left")
-    return named.select("rank", id_col, "name", F.round("score", OUT_DIGITS).alias("score"))
+    # at most k rows: one partition, in rank order, without an exchange
+    return (named.select("rank", id_col, "name", F.round("score", OUT_DIGITS).alias("score"))
+                 .coalesce(1).sortWithinPartitions("rank"))
