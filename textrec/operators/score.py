@@ -105,10 +105,9 @@ def recommend_one(text: str, postings: DataFrame, songs: DataFrame, k: int = 15,
         best = (best.unionByName(zero).groupBy(id_col).agg(F.max("score").alias("score"))
                     .orderBy(*_order(id_col)).limit(k))
     ranked = best.withColumn("rank", F.row_number().over(Window.orderBy(*_order(id_col))))
-    # a left join can only build its right side, so first cut the catalogue
-    # down to the k result ids with a semi-join that broadcasts those ids
-    names = songs.select(id_col, "name").join(F.broadcast(ranked.select(id_col)), id_col, "left_semi")
-    named = ranked.join(names, id_col, "left")
+    # the k ranked rows are the broadcast side and the catalogue is streamed
+    # once; as in the reference, an id missing from the song table gives no row
+    named = F.broadcast(ranked).join(songs.select(id_col, "name"), id_col, "inner")
     # at most k rows: one partition, in rank order, without an exchange
     return (named.select("rank", id_col, "name", F.round("score", OUT_DIGITS).alias("score"))
                  .coalesce(1).sortWithinPartitions("rank"))
