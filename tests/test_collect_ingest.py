@@ -80,3 +80,10 @@ def test_fix_names(spark):
     songs = spark.createDataFrame([(1, "NO voy a llorar :')"), (2, "fine")], "id long, name string")
     got = {r.id: r.name for r in IN.fix_names(songs, IN.name_fixes(songs)).collect()}
     assert got == {1: "NO voy a llorar", 2: "fine"}
+
+
+def test_run_date_defaults_to_today(spark):
+    import datetime as _dt
+    got = spark.range(1).select(CO.run_day().alias("d")).collect()[0].d
+    assert abs((got - _dt.date.today()).days) <= 1
+    assert spark.range(1).select(CO.run_day("2024-02-24").alias("d")).collect()[0].d == _dt.date(2024, 2, 24)

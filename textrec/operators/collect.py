@@ -44,20 +44,27 @@ def first_per_key(df: DataFrame, key, order_cols) -> DataFrame:
     return df.groupBy(*keys).agg(packed).select(*keys, "_first.*")
 
 
-def intake(tracks: DataFrame, audio: DataFrame, known_names: DataFrame, run_date,
+def run_day(run_date=None):
+    """The run date as a date column; today (``current_date()``) when not given."""
+    if run_date is None:
+        return F.current_date()
+    return run_date if hasattr(run_date, "_jc") else F.lit(str(run_date)).cast("date")
+
+
+def intake(tracks: DataFrame, audio: DataFrame, known_names: DataFrame, run_date=None,
            min_popularity: int = MIN_POPULARITY, features=FEATURES) -> DataFrame:
     """F1 -> F2/J4 -> A10 -> S11; the rows appended to the song list today."""
     passing = tracks.where(F.col("popularity").cast("int") >= min_popularity)
     new = passing.join(known_names.select("name"), "name", "left_anti")
     first = first_per_key(new.select("name", "id", "artist", "popularity", "playlist_pos", "item_pos", "_apos"),
                           "name", ["playlist_pos", "item_pos", "_apos"])
-    run = F.lit(run_date).cast("date") if not hasattr(run_date, "_jc") else run_date
+    run = run_day(run_date)
     with_feat = first.join(audio.select("id", *features), "id", "left")
     return with_feat.select("name", "id", "artist", "popularity", F.dayofyear(run).alias("add_day"),
                             run.alias("add_date"), *features)
 
 
-def day_plan(songs: DataFrame, new_songs: DataFrame | None, run_date, epoch: int = EPOCH,
+def day_plan(songs: DataFrame, new_songs: DataFrame | None, run_date=None, epoch: int = EPOCH,
              order_cols=("add_date", "id")) -> DataFrame:
     """The slice of the song list for this day plus today's new songs.
 
@@ -66,7 +73,7 @@ def day_plan(songs: DataFrame, new_songs: DataFrame | None, run_date, epoch: int
     ingest order (G4); new songs are appended with duplicates kept (U2)."""
     first_day = songs.select(F.min("add_date")).scalar()
     n_first = songs.where(F.col("add_date") == songs.select(F.min("add_date")).scalar()).select(F.count("*")).scalar()
-    run = F.lit(run_date).cast("date")
+    run = run_day(run_date)
     i = F.datediff(run, first_day)
     step = F.floor(n_first / F.lit(epoch))
     sliced = positional_slice(songs, list(order_cols), i * step, (i + 1) * step, name="pos")
