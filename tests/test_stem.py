@@ -22,3 +22,14 @@ def test_vocabulary_job(spark):
     terms = spark.createDataFrame([(w,) for w in list(GOLDEN) * 3], "term string")
     got = {r.term: r.stem for r in stem_map(terms).collect()}
     assert got == GOLDEN
+
+
+def test_stemmed_query_matches_inflected_corpus(spark):
+    from textrec.operators import model as M
+    from textrec.operators import score as S
+    lines = spark.createDataFrame([(1, "mountain mountain"), (2, "fountain")], "id long, line string")
+    tf = M.apply_stems(M.term_counts(lines, "line"), stem_map(M.line_terms(lines, "line")))
+    post = M.tfidf(tf)
+    q = spark.createDataFrame([(0, "mountains")], "query_id int, text string")
+    got = {r.id for r in S.scores(S.query_terms(q, stem=True), post).collect()}
+    assert got == {1}

@@ -23,12 +23,19 @@ OUT_DIGITS = 6
 def query_terms(queries: DataFrame, qid: str = "query_id", text_col: str = "text",
                 stop_words=T.STOP_WORDS, min_tokens: int = T.MIN_QUERY_TOKENS,
                 mult: int = T.QUERY_REPEAT, stem_map: DataFrame | None = None,
-                hashed: bool = False, num_features: int = M.NUM_FEATURES) -> DataFrame:
-    """(query_id, term|h, qtf): raw counts after T7 and the T13 repetition."""
+                hashed: bool = False, num_features: int = M.NUM_FEATURES,
+                stem: bool = False) -> DataFrame:
+    """(query_id, term|h, qtf): raw counts after T7 and the T13 repetition.
+
+    ``stem`` stems the queries' own distinct terms (D6); ``stem_map`` applies
+    a given (term, stem) table instead."""
     toks = queries.select(qid, T.tokens(text_col, stop_words).alias("_t"))
     occ = toks.select(qid, T.repeat_factor(F.size("_t"), min_tokens, mult).alias("_f"),
                       F.explode_outer("_t").alias("term")).where(F.col("term").isNotNull())
     qtf = occ.groupBy(qid, "term").agg((F.count("*") * F.max("_f")).alias("qtf"))
+    if stem and stem_map is None:
+        from textrec.functions.stem import stem_map as _stem_map
+        stem_map = _stem_map(qtf.select("term"))
     if stem_map is not None:
         qtf = (qtf.join(stem_map, "term", "left")
                   .select(qid, F.coalesce("stem", "term").alias("term"), "qtf")

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from textrec.functions.stem import stem_map as stem_map_of
 from textrec.operators import clean as C
 from textrec.operators import model as M
 from textrec.operators import split as SP
@@ -32,22 +33,26 @@ class Model:
 
 def build_model(spark: SparkSession, sf_dir: str, frac: float = TEST_FRAC, seed: int = SEED,
                 stem_map: DataFrame | None = None, hashed: bool = False,
-                term_buckets: int | None = None) -> Model:
+                term_buckets: int | None = None, stem: bool = False) -> Model:
     """Clean -> split -> corpus -> TF-IDF with two materialisation points:
     the cleaned lines, and the term counts / postings."""
     pc = materialize(C.clean_posts(FX.posts(spark, sf_dir), materialize=True), "posts-clean")
     vc = materialize(C.clean_verses(FX.verses(spark, sf_dir)), "verses-clean")
-    return build_from_lines(pc, vc, frac, seed, stem_map, hashed, term_buckets)
+    return build_from_lines(pc, vc, frac, seed, stem_map, hashed, term_buckets, stem)
 
 
 def build_from_lines(pc: DataFrame, vc: DataFrame, frac: float = TEST_FRAC, seed: int = SEED,
                      stem_map: DataFrame | None = None, hashed: bool = False,
-                     term_buckets: int | None = None) -> Model:
+                     term_buckets: int | None = None, stem: bool = False) -> Model:
     """The model from cleaned post and lyric lines (e.g. read back from the
     cleaning job's output, the first materialisation point)."""
     tp, rp = SP.split_hash(pc, frac, ("id", "tweet_line"), seed)
     tv, rv = SP.split_hash(vc, frac, ("id", "lyric_line"), seed)
-    tf, n_tf = materialize(M.corpus_terms(rp, rv, stem_map=stem_map), "corpus-tf", with_count=True)
+    corpus = M.corpus_terms(rp, rv, stem_map=stem_map)
+    if stem and stem_map is None:
+        # Stem the corpus vocabulary once (distinct terms), re-add counts
+        corpus = M.apply_stems(corpus, stem_map_of(corpus.select("term")))
+    tf, n_tf = materialize(corpus, "corpus-tf", with_count=True)
     # postings are stored in term-bucket folders so that one query reads only
     # the folders of its own terms; the folder count follows the data size
     buckets = term_buckets if term_buckets else M.term_bucket_count(n_tf)
