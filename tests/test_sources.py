@@ -47,3 +47,12 @@ def test_landed_folders_prune_by_date_and_name_song(spark):
     assert got == [("t1", "song a", "song a"), ("t2", "song/b", "song/b"), ("t4", "c+d %e é", "c+d %e é")]
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in plan
+
+
+def test_cluster_conf_sizes_partitions():
+    from textrec.session import cluster_conf
+    conf = cluster_conf(100 * (1 << 40), executors=1000, cores_per_executor=4)   # 100 TB
+    assert int(conf["spark.sql.shuffle.partitions"]) == 100 * (1 << 40) // (256 << 20)
+    small = cluster_conf(1 << 30, executors=10, cores_per_executor=4)
+    assert int(small["spark.sql.shuffle.partitions"]) == 80          # two waves of 40 cores
+    assert conf["spark.sql.adaptive.skewJoin.skewedPartitionFactor"] == "5"

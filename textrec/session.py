@@ -22,6 +22,34 @@ DEFAULT_CONF = {
 }
 
 
+MB = 1 << 20
+TARGET_PARTITION_BYTES = 256 * MB
+
+
+def cluster_conf(input_bytes: int, executors: int = 1000, cores_per_executor: int = 4,
+                 partition_bytes: int = TARGET_PARTITION_BYTES) -> dict:
+    """Settings sized from the input, so that scan splits and shuffle
+    partitions stay near ``partition_bytes`` and fit executor memory.
+
+    * scan splits of ``partition_bytes`` (``maxPartitionBytes``);
+    * initial shuffle partitions = input / partition size, at least two waves
+      of the cluster's cores; AQE then coalesces small ones toward the
+      advisory size and splits skewed join partitions (5x median and over
+      the advisory size);
+    * broadcast stays at the default 10 MB, measured at run time by AQE."""
+    cores = max(1, executors * cores_per_executor)
+    shuffle = max(2 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    }
+
+
 def get_spark(master: str | None = None, app: str = "textrec",
               shuffle_partitions: int | None = None,
               extra: dict | None = None) -> SparkSession:
