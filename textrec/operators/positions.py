@@ -4,7 +4,9 @@
 key, the whole table) into one task.  Here a range exchange on
 (group, order) spreads even a group holding a third of all rows over many
 partitions; each partition numbers its own slice, and a small table of
-per-(partition, group) counts turns local numbers into group positions."""
+per-(partition, group) counts turns local numbers into group positions.
+The range-partitioned rows are written once with their partition id, so the
+numbering is deterministic under recomputation."""
 
 from __future__ import annotations
 
@@ -21,7 +23,14 @@ def with_group_position(df: DataFrame, group_cols, order_cols, name: str = "pos"
     order_cols = list(order_cols)
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *group_cols, *order_cols).withColumn("_pid", F.spark_partition_id())
+    # The partition id is computed once, right after the range exchange, and
+    # stored: both branches below (and any recomputation after an executor
+    # loss) read the same ids.  Recomputing the exchange instead would
+    # re-sample its bounds from input whose order is not fixed.
+    from textrec.session import materialize
+    ranged = materialize(
+        df.repartitionByRange(n, *group_cols, *order_cols).withColumn("_pid", F.spark_partition_id()),
+        "positions")
     local = ranged.withColumn(
         "_lrn", F.row_number().over(Window.partitionBy("_pid", *group_cols).orderBy(*order_cols)))
     counts = local.groupBy("_pid", *group_cols).agg(F.count("*").alias("_cnt"))
