@@ -16,7 +16,9 @@ def insert_if_absent(batch: DataFrame, target_keys: DataFrame, key: str = "id",
                      order_cols=None, out_key: str = "_id") -> DataFrame:
     """K1 + K2 + J5: the first row per key of the batch whose key is not in
     the target; the key is renamed to ``_id`` on the way out."""
-    first = first_per_key(batch, key, order_cols or [key])
+    # without an explicit ingest order every column takes part, so the choice
+    # among rows sharing a key is the same on every run
+    first = first_per_key(batch, key, order_cols or [c for c in batch.columns if c != key])
     new = first.join(target_keys.select(key), key, "left_anti")
     return new.withColumnRenamed(key, out_key)
 
