@@ -29,10 +29,14 @@ def query_terms(queries: DataFrame, qid: str = "query_id", text_col: str = "text
 
     ``stem`` stems the queries' own distinct terms (D6); ``stem_map`` applies
     a given (term, stem) table instead."""
-    toks = queries.select(qid, T.tokens(text_col, stop_words).alias("_t"))
-    occ = toks.select(qid, T.repeat_factor(F.size("_t"), min_tokens, mult).alias("_f"),
-                      F.explode_outer("_t").alias("term")).where(F.col("term").isNotNull())
-    qtf = occ.groupBy(qid, "term").agg((F.count("*") * F.max("_f")).alias("qtf"))
+    # explode first and test tokens with code-generated predicates (as the
+    # corpus does); the token count of a query, which sets the repetition,
+    # is a window sum over that query's distinct terms (bounded by its text)
+    words = queries.select(qid, F.explode_outer(T.split_spaces(T.normalize(text_col))).alias("term"))
+    occ = words.where(F.col("term").isNotNull() & T.is_token("term", stop_words))
+    cnt = (occ.groupBy(qid, "term").agg(F.count("*").alias("_c"))
+              .withColumn("_n", F.sum("_c").over(Window.partitionBy(qid))))
+    qtf = cnt.select(qid, "term", (F.col("_c") * T.repeat_factor("_n", min_tokens, mult)).alias("qtf"))
     if stem and stem_map is None:
         from textrec.functions.stem import stem_map as _stem_map
         stem_map = _stem_map(qtf.select("term"))
