@@ -14,7 +14,16 @@ from textrec.operators import model as M
 from textrec.operators import score as S
 from textrec.operators import split as SP
 from textrec.plans.build import build_model
+from textrec import schemas as SC
+from textrec.functions import stem as ST
+from textrec.operators import collect as CO
+from textrec.operators import ingest as IN
+from textrec.plans import daily as DJ
+from textrec.session import scratch_path
 from textrec.sources import fixtures as FX
+from textrec.sources import readers as RD
+from textrec.sources import sinks as SK
+from textrec.streaming import intake as WS
 
 # The two smoke sentences of the reference (fixed values).
 SMOKE_TEXT = "beautiful summer, wanna make a ride into mountains and find fountains"
@@ -237,9 +246,6 @@ QUERIES = {
 
 # --- collection and consolidation -------------------------------------------
 
-from textrec.operators import collect as CO  # noqa: E402
-from textrec.operators import ingest as IN  # noqa: E402
-from textrec.sources import readers as RD  # noqa: E402
 
 RUN_DATE = "2024-02-24"      # the day the intake and the day plan run for
 END_DATE = "2024-01-20"      # search results must be older than this
@@ -331,12 +337,6 @@ QUERIES.update({
 
 # --- stemming, written tables, streaming ------------------------------------
 
-from textrec import schemas as SC  # noqa: E402
-from textrec.functions import stem as ST  # noqa: E402
-from textrec.plans import daily as DJ  # noqa: E402
-from textrec.session import scratch_path  # noqa: E402
-from textrec.sources import sinks as SK  # noqa: E402
-from textrec.streaming import intake as WS  # noqa: E402
 
 
 def q_stem_vocab(spark, sf):
