@@ -74,14 +74,13 @@ def run_jobs(spark, sf_dir: str, root: str, repeat: int):
     FX.songs(spark, sf_dir).agg(F.count("*")).collect()   # parquet footers, file listing
 
     def clean():
+        # one scan of the raw text for both kinds of line (clean.clean_lines)
         from pyspark.sql import Observation
-        o_in, o_out = Observation("posts_in"), Observation("posts_out")
-        posts_in = FX.posts(spark, sf_dir).observe(o_in, F.count(F.lit(1)).alias("n"))
-        pc = C.clean_posts(posts_in, materialize=True).observe(o_out, F.count(F.lit(1)).alias("n"))
-        vc = C.clean_verses(FX.verses(spark, sf_dir))
-        pc.write.parquet(root + "/posts_clean")
+        o_in, o_out = Observation("lines_in"), Observation("posts_out")
+        pc, vc = C.clean_lines(FX.table(spark, sf_dir, "documents"), observation=o_in)
+        pc.observe(o_out, F.count(F.lit(1)).alias("n")).write.parquet(root + "/posts_clean")
         vc.write.parquet(root + "/verses_clean")
-        return o_in.get["n"], o_out.get["n"]
+        return o_in.get["posts_in"], o_out.get["n"]
     q["clean"], (info["posts_in"], info["posts_clean"]) = timed(clean)
 
     def build():

@@ -73,3 +73,11 @@ def test_positional_slice_day_plan_golden(spark):
     df = spark.createDataFrame([(i,) for i in range(70)], "k int")
     got = sorted(r.k for r in positional_slice(df, ["k"], 20, 30).collect())
     assert got == list(range(20, 30))
+
+
+def test_one_scan_cleaning_equals_separate_cleanings(spark, sf):
+    posts, verses = C.clean_lines(FX.table(spark, sf, "documents"))
+    exp_p = C.clean_posts(FX.posts(spark, sf)).select("id", "tweet_line", "word_count")
+    exp_v = C.clean_verses(FX.verses(spark, sf)).select("id", "lyric_line")
+    assert posts.exceptAll(exp_p).count() == 0 and exp_p.exceptAll(posts).count() == 0
+    assert verses.exceptAll(exp_v).count() == 0 and exp_v.exceptAll(verses).count() == 0

@@ -102,3 +102,35 @@ def songs_without_posts(songs: DataFrame, posts: DataFrame, id_col: str = "id")
 def songs_with_posts(songs: DataFrame, posts: DataFrame, id_col: str = "id") -> DataFrame:
     """Features only for songs that have posts (semi-join)."""
     return songs.join(posts.select(id_col), id_col, "left_semi")
+
+
+def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                min_words: int = MIN_WORDS, min_posts: int = MIN_POSTS, min_distinct: int = 1,
+                markers=T.AD_MARKERS, observation=None):
+    """Both cleanings from one scan of the documents: lines are split once,
+    even lines are posts and odd lines lyrics; each kind is deduplicated and
+    filtered by its own rule, and only the kept lines are written (the raw
+    text, the largest table, is read once).  Returns (posts_clean,
+    verses_clean) equal to ``clean_posts`` / ``clean_verses`` on the views."""
+    from textrec.session import materialize
+    raw = (docs.select(F.col(id_col).alias("id"), F.posexplode_outer(F.split(text_col, "\n")).alias("pos", "line"))
+               .where(F.col("pos").isNotNull() & F.col("line").isNotNull())
+               .select((F.col("pos") % 2).cast("int").alias("kind"), "id", "line"))
+    if observation is not None:
+        # A5: raw line counts, observed during the same scan (no extra job)
+        raw = raw.observe(observation, F.sum((F.col("kind") == 0).cast("long")).alias("posts_in"),
+                          F.sum((F.col("kind") == 1).cast("long")).alias("verses_in"))
+    lines = raw.dropDuplicates(["kind", "id", "line"])
+    w = T.words("line")
+    keep_post = (F.col("kind") == 0) & (F.size(w) > min_words) & ~T.has_ad_marker("line", markers)
+    keep_verse = (F.col("kind") == 1) & (F.size(F.array_distinct(w)) > min_distinct)
+    kept = materialize(
+        lines.where(keep_post | keep_verse)
+             .withColumn("word_count", F.when(F.col("kind") == 0, F.size(w)))
+             .repartition("kind"),
+        "lines-kept", partition_by=("kind",))
+    posts = kept.where(F.col("kind") == 0).select("id", F.col("line").alias("tweet_line"), "word_count")
+    enough = posts.groupBy("id").count().where(F.col("count") > min_posts).select("id")
+    posts = posts.join(enough, "id", "left_semi")
+    verses = kept.where(F.col("kind") == 1).select("id", F.col("line").alias("lyric_line"))
+    return posts, verses

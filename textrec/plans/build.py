@@ -36,8 +36,8 @@ def build_model(spark: SparkSession, sf_dir: str, frac: float = TEST_FRAC, seed:
                 term_buckets: int | None = None, stem: bool = False) -> Model:
     """Clean -> split -> corpus -> TF-IDF with two materialisation points:
     the cleaned lines, and the term counts / postings."""
-    pc = materialize(C.clean_posts(FX.posts(spark, sf_dir), materialize=True), "posts-clean")
-    vc = materialize(C.clean_verses(FX.verses(spark, sf_dir)), "verses-clean")
+    pc, vc = C.clean_lines(FX.table(spark, sf_dir, "documents"))   # one scan of the raw text
+    pc = materialize(pc, "posts-clean")
     return build_from_lines(pc, vc, frac, seed, stem_map, hashed, term_buckets, stem)
 
 
