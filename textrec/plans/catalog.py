@@ -70,6 +70,15 @@ def q_posts_clean(spark, sf):
     return C.clean_posts(FX.posts(spark, sf))
 
 
+def q_posts_clean_one_scan(spark, sf):
+    """posts_clean computed by the one-scan cleaning that the build uses."""
+    return C.clean_lines(FX.table(spark, sf, "documents"))[0]
+
+
+def q_verses_clean_one_scan(spark, sf):
+    return C.clean_lines(FX.table(spark, sf, "documents"))[1]
+
+
 def q_songs_min_posts(spark, sf):
     return C.songs_min_posts(C.clean_posts(FX.posts(spark, sf)))
 
@@ -218,6 +227,8 @@ QUERIES = {
     "strip_symbols": q_strip_symbols,
     "remove_own_words": q_remove_own_words,
     "posts_clean": q_posts_clean,
+    "posts_clean_one_scan": q_posts_clean_one_scan,
+    "verses_clean_one_scan": q_verses_clean_one_scan,
     "songs_min_posts": q_songs_min_posts,
     "verses_clean": q_verses_clean,
     "clean_report": q_clean_report,

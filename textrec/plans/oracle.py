@@ -348,3 +348,6 @@ FROM (SELECT tq.query_song, CAST(coalesce(b.rank - 1, {T.MISSING_RANK}) AS INTEG
       FROM tq LEFT JOIN best b ON b.query_song = tq.query_song AND b.query_line = tq.query_line
                                AND b.id = tq.query_song)""",
                               LINES, CLEAN, MODEL, TESTQ.replace("{k}", "15"))
+
+SQL["posts_clean_one_scan"] = SQL["posts_clean"]
+SQL["verses_clean_one_scan"] = SQL["verses_clean"]
