@@ -197,9 +197,9 @@ def measure(docs: DataFrame, limits: Limits, id_col: str = "doc_id", text_col: s
                 kept, whole, n, bad = verdict(text.encode("utf-8", "surrogatepass"), ratios, limits)
                 out.append((*base, kept and not base[-1], whole, n, bad))
             cols = list(zip(*out, strict=True))
-            longs = [pa.array(c, pa.int64()) for c in cols]
-            flags = [pa.array(cols[i], pa.bool_()) for i in (5, 6)]
-            yield pa.RecordBatch.from_arrays([rows.column(0), *longs[:5], *flags, *longs[7:]], names=NAMES)
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), *(pa.array(c, pa.bool_() if name in ("base_failed", "kept") else pa.int64())
+                                   for name, c in zip(NAMES[1:], cols, strict=True))], names=NAMES)
 
     return pairs.mapInArrow(run, f"doc_id {id_type(pairs)}, n_words bigint, word_chars bigint, n_symbols bigint, "
                                  "n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean, "
