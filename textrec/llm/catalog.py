@@ -3,8 +3,11 @@ its production parameters, to its whole table."""
 
 from __future__ import annotations
 
-from textrec.llm import compression
+from textrec.llm import ans, compression, lexicon, warc
 
 QUERIES = {
+    "op1_static_rans": ans.op1_static_rans,
     "op2_compression_bands": compression.op2_compression_bands,
+    "op5_transducer_bpe": lexicon.op5_transducer_bpe,
+    "op9_splittable_warc": warc.op9_splittable_warc,
 }

@@ -1,3 +1,19 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
-SQL: dict[str, str] = {}
+#: Base32 digit i of a SHA-1 in hex: five bits from the two hex digits that hold them.
+_OP9 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+f AS (SELECT x, min(page_id) AS m FROM p GROUP BY x)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((
+    (16 * (instr('0123456789abcdef', substr(x, (5 * i) // 4 + 1, 1)) - 1)
+      + instr('0123456789abcdef', substr(x, (5 * i) // 4 + 2, 1)) - 1) >> (3 - (5 * i) % 4)) & 31)::INT, 1)), '')
+    AS payload_digest,
+  CASE WHEN page_id = m THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> m THEN m END AS refers_to, true AS payload_ok
+FROM p JOIN f USING (x)
+"""
+
+SQL: dict[str, str] = {
+    "op9_splittable_warc": _OP9,
+}
