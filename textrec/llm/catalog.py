@@ -3,11 +3,12 @@ its production parameters, to its whole table."""
 
 from __future__ import annotations
 
-from textrec.llm import ans, compression, lexicon, positional, warc
+from textrec.llm import ans, compression, group_jaccard, lexicon, positional, warc
 
 QUERIES = {
     "op1_static_rans": ans.op1_static_rans,
     "op2_compression_bands": compression.op2_compression_bands,
+    "op4_token_groups": group_jaccard.op4_token_groups,
     "op5_transducer_bpe": lexicon.op5_transducer_bpe,
     "op6_positional_index": positional.op6_positional_index,
     "op9_splittable_warc": warc.op9_splittable_warc,
