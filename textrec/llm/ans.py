@@ -28,6 +28,7 @@ blocks as it needs."""
 
 from __future__ import annotations
 
+import os
 import zlib
 
 import numpy as np
@@ -64,6 +65,7 @@ class PieceTokenizer:
     KEEP = 400_000
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread of many on its executor
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {}

@@ -67,6 +67,7 @@ class Vocabulary:
         from tokenizers import Tokenizer
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread of many on its executor
         self.library = Tokenizer.from_file(path)
         model = spec["model"]
         self.ids: dict[str, int] = model["vocab"]
@@ -233,18 +234,27 @@ class Lexicon:
 class Encoder:
     """Encodes slices of texts; keeps what it knows of words (bounded)."""
 
-    KEEP = 200_000
+    KEEP = 300_000
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self.known: dict[str, tuple[str, str, int]] = {}
+        self.merged: dict[bytes, list[int]] = {}
+
+    def merge(self, piece: bytes) -> list[int]:
+        found = self.merged.get(piece)
+        if found is None:
+            if len(self.merged) >= self.KEEP:
+                self.merged.clear()
+            found = self.merged[piece] = self.vocabulary.merge(piece)
+        return found
 
     def piece_ids(self, pieces: list[bytes]) -> dict[bytes, list[int]]:
         distinct = list(dict.fromkeys(pieces))
         if self.lexicon is None:
-            return {p: self.vocabulary.merge(p) for p in distinct}
+            return {p: self.merge(p) for p in distinct}
         numbers = self.lexicon.numbers(distinct).tolist()
-        return {p: self.lexicon.ids_of(k) if k >= 0 else self.vocabulary.merge(p)
+        return {p: self.lexicon.ids_of(k) if k >= 0 else self.merge(p)
                 for p, k in zip(distinct, numbers, strict=True)}
 
     def entry(self, ids: list[int]) -> tuple[str, str, int]:
