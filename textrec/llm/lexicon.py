@@ -8,7 +8,7 @@ along a word's path is the word's number in sorted order, which is where its
 ids stand.  The arrays are one file that each executor fetches once and
 memory-maps; a worker looks up all new words of a slice together, a character
 position at a time.  Words that the automaton doesn't hold go through the exact
-merges of the vocabulary, so results don't depend on what is in it.
+merges of the vocabulary's model, so results don't depend on what is in it.
 
 Texts are normalised and split as the vocabulary's file says (NFC, white space
 dropped, lower case, pieces of letters, single digits, other signs).  Splitting
@@ -69,13 +69,10 @@ class Vocabulary:
             spec = json.load(f)
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread of many on its executor
         self.library = Tokenizer.from_file(path)
-        model = spec["model"]
-        self.ids: dict[str, int] = model["vocab"]
-        self.suffix = model["end_of_word_suffix"] or ""
-        self.ranks = {tuple(m.split(" ") if isinstance(m, str) else m): i for i, m in enumerate(model["merges"])}
+        self.model = self.library.model
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.special_of = {i: s for s, i in self.special.items()}
-        self.tokens = {i: s for s, i in self.ids.items()} | self.special_of
+        self.tokens = {i: s for s, i in spec["model"]["vocab"].items()} | {i: s for s, i in self.special.items()}
+        self.digits = {i: str(i) for i in self.tokens}
         self.to_char = byte_alphabet()
         self.to_byte = {c: b for b, c in enumerate(self.to_char)}
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
@@ -83,25 +80,8 @@ class Vocabulary:
         self.split_special = re.compile("(" + "|".join(map(re.escape, self.special)) + ")").split
 
     def merge(self, piece: bytes) -> list[int]:
-        """Ids of one piece: the lowest-ranked pair is merged, the leftmost
-        first, until no pair has a rank."""
-        parts = [self.to_char[b] for b in piece]
-        parts[-1] += self.suffix
-        ranks = self.ranks
-        while len(parts) > 1:
-            best = min(zip(parts, parts[1:], strict=False), key=lambda p: ranks.get(p, 1 << 60))
-            if best not in ranks:
-                break
-            joined, out, i = "".join(best), [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and (parts[i], parts[i + 1]) == best:
-                    out.append(joined)
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return [self.ids[p] for p in parts]
+        """Ids of one piece by the merges of the vocabulary's model."""
+        return [t.id for t in self.model.tokenize("".join([self.to_char[b] for b in piece]))]
 
     def is_plain(self, text: str) -> bool:
         return "<|" not in text and _PLAIN.fullmatch(text) is not None
@@ -123,7 +103,7 @@ class Vocabulary:
         return out
 
     def decode(self, ids) -> str:
-        return " ".join(self.tokens[i] for i in ids)
+        return " ".join([self.tokens[i] for i in ids])
 
 
 # ---- automaton ----------------------------------------------------------
@@ -258,7 +238,7 @@ class Encoder:
                 for p, k in zip(distinct, numbers, strict=True)}
 
     def entry(self, ids: list[int]) -> tuple[str, str, int]:
-        return " ".join(map(str, ids)), self.vocabulary.decode(ids), len(ids)
+        return " ".join([self.vocabulary.digits[i] for i in ids]), self.vocabulary.decode(ids), len(ids)
 
     def learn(self, words: list[str]) -> None:
         if len(self.known) + len(words) > self.KEEP:
