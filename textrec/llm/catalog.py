@@ -3,7 +3,7 @@ its production parameters, to its whole table."""
 
 from __future__ import annotations
 
-from textrec.llm import ans, compression, group_jaccard, lexicon, positional, warc
+from textrec.llm import ans, compression, group_jaccard, lexicon, nbsvm, positional, toxicity, warc
 
 QUERIES = {
     "op1_static_rans": ans.op1_static_rans,
@@ -11,5 +11,7 @@ QUERIES = {
     "op4_token_groups": group_jaccard.op4_token_groups,
     "op5_transducer_bpe": lexicon.op5_transducer_bpe,
     "op6_positional_index": positional.op6_positional_index,
+    "op7_compression_distance": toxicity.op7_compression_distance,
     "op9_splittable_warc": warc.op9_splittable_warc,
+    "op10_nbsvm_quality": nbsvm.op10_nbsvm_quality,
 }
