@@ -3,7 +3,7 @@ its production parameters, to its whole table."""
 
 from __future__ import annotations
 
-from textrec.llm import ans, compression, group_jaccard, lexicon, nbsvm, positional, toxicity, warc
+from textrec.llm import ans, compression, group_jaccard, lexicon, nbsvm, pii, positional, toxicity, warc
 
 QUERIES = {
     "op1_static_rans": ans.op1_static_rans,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_transducer_bpe": lexicon.op5_transducer_bpe,
     "op6_positional_index": positional.op6_positional_index,
     "op7_compression_distance": toxicity.op7_compression_distance,
+    "op8_crf_pii": pii.op8_crf_pii,
     "op9_splittable_warc": warc.op9_splittable_warc,
     "op10_nbsvm_quality": nbsvm.op10_nbsvm_quality,
 }
