@@ -3,11 +3,12 @@ its production parameters, to its whole table."""
 
 from __future__ import annotations
 
-from textrec.llm import ans, compression, group_jaccard, lexicon, nbsvm, pii, positional, toxicity, warc
+from textrec.llm import ans, compression, group_jaccard, lexicon, licences, nbsvm, pii, positional, toxicity, warc
 
 QUERIES = {
     "op1_static_rans": ans.op1_static_rans,
     "op2_compression_bands": compression.op2_compression_bands,
+    "op3_paragraph_licences": licences.op3_paragraph_licences,
     "op4_token_groups": group_jaccard.op4_token_groups,
     "op5_transducer_bpe": lexicon.op5_transducer_bpe,
     "op6_positional_index": positional.op6_positional_index,
