@@ -105,4 +105,17 @@ def materialize(df, name: str, partition_by=(), with_count: bool = False):
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     out = spark.read.parquet(path)
+    out._scratch = path
     return (out, obs.get["rows"]) if obs is not None else out
+
+
+def discard(*frames) -> None:
+    """Remove the tables that ``materialize`` wrote for these frames, once
+    nothing reads them any more.  Frames of other kinds are left alone."""
+    for df in frames:
+        path = getattr(df, "_scratch", None)
+        if path is not None:
+            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)
+            df._scratch = None
