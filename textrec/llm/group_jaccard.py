@@ -48,7 +48,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textrec.llm.common import fresh, id_type, ship_package, table, text_slices
-from textrec.session import materialize
+from textrec.session import discard, materialize
 
 WORDS = 5
 PERCENT = 75
@@ -272,18 +272,18 @@ def coverage(pairs: DataFrame, buckets: int) -> DataFrame:
 
 # ---- 2. and 3. classes, groups and links ---------------------------------
 
-def class_sets(pairs: DataFrame, classes: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
-    """class, n and the tokens in the common order (rarest first)."""
-    spark = pairs.sparkSession
-    shared = spark.sparkContext.broadcast(hot)  # two longs for each of at most HOT_TOKENS tokens
+def class_sets(reps: DataFrame, kept: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
+    """id, class, n, shared and the tokens in the common order (rarest first).
+    An id begins with how few of the tokens others share, so that the smallest
+    ids are the most central sets."""
+    shared = reps.sparkSession.sparkContext.broadcast(hot)  # two longs for each of at most HOT_TOKENS tokens
 
     def run(batches):
         known, df = shared.value
         for rows, texts in text_slices(batches):
-            wanted, out = rows.column(1).to_pylist(), []
-            for cls, tokens in zip(wanted, shingle_sets(texts), strict=True):
-                if class_id(set_key(tokens)) != cls:
-                    continue
+            out = []
+            for cls, also, tokens in zip(rows.column(1).to_pylist(), rows.column(2).to_pylist(),
+                                         shingle_sets(texts), strict=True):
                 rank = np.zeros(len(tokens), np.int64)
                 if len(known):
                     bucket, low = bucket_token(tokens, buckets)
@@ -291,37 +291,46 @@ def class_sets(pairs: DataFrame, classes: DataFrame, hot: np.ndarray, buckets: i
                     at = np.minimum(np.searchsorted(known, key), len(known) - 1)
                     rank = np.where(known[at] == key, df[at], 0)
                 order = np.lexsort((tokens, rank))
-                out.append((cls, len(tokens), tokens[order].view(np.int64)))
+                n = len(tokens)
+                out.append(((31 - 31 * also // n << 58) | (cls & ((1 << 58) - 1)), cls, n, also,
+                            tokens[order].view(np.int64)))
             if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([c for c, _, _ in out], pa.int64()), pa.array([n for _, n, _ in out], pa.int64()),
-                     pa.array([t for _, _, t in out], pa.list_(pa.int64()))], names=["class", "n", "tokens"])
+                cols = list(zip(*out, strict=True))
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]),
+                                                  pa.array(cols[4], pa.list_(pa.int64()))],
+                                                 names=["id", "class", "n", "shared", "tokens"])
 
-    one = (pairs.join(classes.select("text_key", "class"), "text_key")
-           .groupBy("text_key", "class").agg(F.first("text").alias("text")))
-    return one.select("text", "class").mapInArrow(run, "class bigint, n bigint, tokens array<bigint>")
+    return reps.join(kept, "class").select("text", "class", "shared").mapInArrow(
+        run, "id bigint, class bigint, n bigint, shared bigint, tokens array<bigint>")
 
 
 def prefix_lists(sets: DataFrame) -> DataFrame:
-    """list, class, n: classes under each token of their prefix, for their
+    """list, id, n, shared: sets under each token of their prefix, for their
     size band and for the next one."""
     band = F.floor(F.log("n") / F.log(F.lit(BAND))).cast("int")
     prefix = F.slice("tokens", 1, (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1).cast("int"))
-    return (sets.select("class", "n", band.alias("band"), F.explode(prefix).alias("token"))
-            .select("class", "n", F.explode(F.array(F.xxhash64("token", "band"), F.xxhash64("token", F.col("band") + 1)))
-                    .alias("list")))
+    return (sets.select("id", "n", "shared", band.alias("band"), F.explode(prefix).alias("token"))
+            .select("id", "n", "shared", F.explode(F.array(F.xxhash64("token", "band"),
+                                                           F.xxhash64("token", F.col("band") + 1))).alias("list")))
 
 
-def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes that link."""
-    a, b = (sets.select(F.col("class").alias(x), F.col("n").alias(f"n_{x}"), F.col("tokens").alias(f"t_{x}")) for x in "ab")
-    both = F.size(F.array_intersect("t_a", "t_b"))
-    return (pairs.join(a, "a").join(b, "b").withColumn("both", both)
-            .where(enough(F.col("both"), F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b"))
+def may_link(shared_a, shared_b, n_a, n_b):
+    """The intersection is at most the smaller number of shared tokens, and a
+    link needs (100 + PERCENT) x intersection >= PERCENT x both sizes."""
+    return F.least(shared_a, shared_b) * (100 + PERCENT) >= (n_a + n_b) * PERCENT
 
 
-def fits(a: str, b: str):
-    return (F.col(a) * 100 >= F.col(b) * PERCENT) & (F.col(b) * 100 >= F.col(a) * PERCENT)
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets that link; the bound is checked before any set is
+    fetched."""
+    sizes = sets.select("id", "n", "shared")
+    a, b = (sizes.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("shared").alias(f"s_{x}")) for x in "ab")
+    near = materialize(pairs.join(a, "a").join(b, "b")
+                       .where(may_link(F.col("s_a"), F.col("s_b"), F.col("n_a"), F.col("n_b")))
+                       .select("a", "b", "n_a", "n_b"), "pairs")
+    a, b = (sets.select(F.col("id").alias(x), F.col("tokens").alias(f"t_{x}")) for x in "ab")
+    return (near.join(a, "a").join(b, "b").withColumn("both", F.size(F.array_intersect("t_a", "t_b")))
+            .where(enough(F.col("both"), F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -346,61 +355,101 @@ def components(links: DataFrame) -> DataFrame:
     return roots.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+#: Leaders of a list: the most central set, ties broken in so many ways.
+LEADER_MASKS = (0, (1 << 58) - 1, 0x155555555555555)
+
+
 def grouped_links(sets: DataFrame) -> DataFrame:
-    """Links between classes that connect all that any links connect."""
+    """Links between sets that connect all that any links connect."""
     lists = prefix_lists(sets)
-    leaders = materialize(lists.groupBy("list").agg(F.min("class").alias("leader"), F.max("class").alias("last"))
-                          .where("leader != last").select("list", "leader"), "leaders")
+    orders = [F.min(F.col("id").bitwiseXOR(F.lit(m))).bitwiseXOR(F.lit(m)).alias(f"leader{i}")
+              for i, m in enumerate(LEADER_MASKS)]
+    leaders = materialize(lists.groupBy("list").agg(*orders, F.max("id").alias("last"))
+                          .where("leader0 != last").drop("last"), "leaders")
     members = materialize(lists.join(leaders, "list"), "members")
-    first = materialize(compared(members.where("class != leader").select(
-        F.col("class").alias("a"), F.col("leader").alias("b")).distinct(), sets), "links")
-
-    groups = materialize(components(first).withColumnsRenamed({"node": "class", "root": "group"}), "groups")
-    open_ = members.select("list", "class", "n").join(groups, "class", "left") \
-        .withColumn("group", F.coalesce("group", "class"))
+    star = None
+    for i in range(len(LEADER_MASKS)):
+        part = members.where(f"id != leader{i}").select(F.col("id").alias("a"), F.col(f"leader{i}").alias("b")).distinct()
+        star = part if star is None else star.unionByName(part)
+    first = materialize(compared(star.distinct(), sets), "links")
+    groups = materialize(components(first).withColumnsRenamed({"node": "id", "root": "group"}), "groups")
+
+    # Lists with several groups, and what their sets share with other groups.
+    open_ = members.select("list", "id", "n").join(groups, "id", "left").withColumn("group", F.coalesce("group", "id"))
     mixed = open_.groupBy("list").agg(F.min("group").alias("low"), F.max("group").alias("high")) \
         .where("low != high").select("list")
     open_ = materialize(open_.join(mixed, "list"), "open")
-
-    query = open_.select("list", F.col("class").alias("a"), F.col("n").alias("n_a"), F.col("group").alias("own"))
-    target = open_.select("list", "group").distinct()
-    asked = query.join(target, "list").where("own > group").select("a", "n_a", "group").distinct()
-    asked = materialize(asked, "asked")
-    tokens = sets.select("class", F.explode("tokens").alias("token"))
-    wanted = asked.select("group").distinct()
-    union = (tokens.join(groups, "class", "left").withColumn("group", F.coalesce("group", "class"))
-             .join(wanted, "group", "left_semi").select("group", "token").distinct())
-    overlap = (asked.join(tokens.withColumnRenamed("class", "a"), "a").join(union, ["group", "token"])
-               .groupBy("a", "n_a", "group").agg(F.count("*").alias("both")))
-    qualifying = overlap.where(enough(F.col("both"), F.col("n_a"))).select("a", "group")
+    discard(members, leaders)
+    wanted = open_.select("id", "group").distinct()
+    tokens = materialize(sets.select("id", "n", F.explode("tokens").alias("token")).join(wanted, "id"), "open-tokens")
+    union = tokens.select("group", "token").distinct()  # the token-group matrix, a row for each mark
+    elsewhere = materialize(union.groupBy("token").agg(F.count("*").alias("k")).where("k > 1").select("token"), "elsewhere")
+    bounds = (tokens.join(elsewhere, "token").groupBy("id", "n").agg(F.count("*").alias("shared"))
+              .where(enough(F.col("shared"), F.col("n"))).select("id", "shared"))
+    open_ = materialize(open_.join(bounds, "id"), "still-open")
+
+    # A set against another group: by sizes and shared tokens, then by the
+    # group's token union, then (only for groups that qualify) by its members.
+    query = open_.select("list", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("s_a"),
+                         F.col("group").alias("own"))
+    target = open_.groupBy("list", "group", "n").agg(F.max("shared").alias("s"))
+    asked = materialize(query.join(target, "list").where("own > group").where(
+        may_link(F.col("s_a"), F.col("s"), F.col("n_a"), F.col("n")))
+        .groupBy("a", "n_a", "group").agg(F.min("n").alias("n")), "asked")
+    overlap = (asked.join(tokens.select(F.col("id").alias("a"), "token"), "a").join(union, ["group", "token"])
+               .groupBy("a", "n_a", "group", "n").agg(F.count("*").alias("both")))
+    qualifying = materialize(overlap.where(may_link(F.col("both"), F.col("both"), F.col("n_a"), F.greatest(
+        F.col("n"), F.ceil(F.col("n_a") * PERCENT / 100)))).select("a", "group", "both"), "qualifying")
     opened = (query.join(qualifying, "a")
-              .join(open_.select("list", F.col("class").alias("b"), F.col("n").alias("n_b"), "group"), ["list", "group"])
-              .where(fits("n_a", "n_b")).select("a", "b").distinct())
-    return first.unionByName(compared(opened, sets))
+              .join(open_.select("list", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("s_b"),
+                                 "group"), ["list", "group"])
+              .where(may_link(F.col("both"), F.col("s_b"), F.col("n_a"), F.col("n_b"))).select("a", "b").distinct())
+    return materialize(first.unionByName(compared(opened, sets)), "all-links")
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, text_key, n_shingles, class, component_id
-    and class_first (the smallest id of its class)."""
-    spark = docs.sparkSession
-    ship_package(spark)
-    pairs = keyed(docs, id_col, text_col)
+def counted(pairs: DataFrame) -> tuple[DataFrame, np.ndarray, int]:
+    """One row per document (doc_id, text_key, n_shingles, class, shared), the
+    frequent tokens with their document frequencies, and the bucket count."""
     buckets = bucket_count(pairs)
     answers = materialize(coverage(pairs, buckets), "answers")
     found = answers.where("kind != 'hot'").drop("token", "df").groupBy("chunk").applyInArrow(
         add_up, f"doc_id {id_type(pairs)}, text_key bigint, n_shingles bigint, class bigint, shared bigint")
     rows = materialize(found, "sets")
     top = answers.where("kind = 'hot'").select("token", "df").orderBy(F.desc("df"), "token").limit(HOT_TOKENS).toPandas()
-    hot = top.sort_values("token").to_numpy(np.int64).T.copy()
+    discard(answers)
+    return rows, top.sort_values("token").to_numpy(np.int64).T.copy(), buckets
+
+
+def class_texts(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """class, text, text_key: one text of each class."""
+    found = pairs.join(classes.select("text_key", "class"), "text_key")
+    return materialize(found.groupBy("text_key", "class").agg(F.first("text").alias("text"))
+                       .select("class", "text", "text_key"), "class-texts")
+
+
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, text_key, n_shingles, class, component_id
+    and class_first (the smallest id of its class)."""
+    spark = docs.sparkSession
+    ship_package(spark)
+    pairs = keyed(docs, id_col, text_col)
+    rows, _, _ = counted(pairs)
 
     shared = rows.where("n_shingles > 0").where(enough(F.col("shared"), F.col("n_shingles")))
     classes = materialize(shared.groupBy("class").agg(F.min("text_key").alias("text_key"), F.min("doc_id").alias("first")),
                           "classes")
-    sets = materialize(class_sets(pairs, classes, hot, buckets), "class-sets")
-    roots = components(grouped_links(sets)).withColumnRenamed("node", "class")
-    named = classes.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    reps = class_texts(pairs, classes)
+    again, hot, buckets = counted(reps.select(F.col("class").alias("doc_id"), "text", "text_key"))
+    kept = again.where("doc_id = class").where(enough(F.col("shared"), F.col("n_shingles"))).select("class", "shared")
+    sets = materialize(class_sets(reps, kept, hot, buckets), "class-sets")
+    discard(reps, again)
+    links = grouped_links(sets)
+    roots = (components(links).withColumnRenamed("node", "id").join(sets.select("id", "class"), "id")
+             .select("class", "root"))
+    named = materialize(classes.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class")), "named")
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
     labels = materialize(named.join(least, "root").select("class", "first", "component_id"), "labels")
+    discard(sets, links, named, classes)
     own = F.when(F.col("n_shingles") > 0, F.col("class"))  # documents without shingles link with nothing
     return rows.withColumn("class", own).join(labels, "class", "left").select(
         "doc_id", "text_key", "n_shingles", "class", F.coalesce("component_id", "doc_id").alias("component_id"),

@@ -7,7 +7,7 @@ that a reader would see.  Payloads are grouped by SHA-1: the record with the
 smallest id is the response, the others are revisit records that refer to it
 and carry no payload.  The grouping runs on (id, digest) alone, without the
 payloads; a digest that a third of all rows share is one row after the partial
-aggregation, and the join back is on the row's own key.
+aggregation, and the join back is on the record's own id and digest.
 
 Reading.  A file is dealt out as byte ranges.  A task looks for the gzip magic
 from the start of its range on, takes a candidate for a member only if it
@@ -92,18 +92,16 @@ def member(record_id, url, payload: bytes, digest: str, refers_to) -> bytes:
 
 def with_revisits(pages: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
     """record_id, url, payload and refers_to (null for responses)."""
-    rows = materialize(pages.select(
-        F.monotonically_increasing_id().alias("row"), F.col("page_id").alias("record_id"),
-        F.col("url").cast("string").alias("url"),
-        F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
-        .withColumn("digest", F.sha1("payload")), "warc-rows")
-    keys = rows.select("row", "record_id", "digest", F.length("payload").alias("size")).where(
-        (F.col("size") >= min_bytes) & F.col("record_id").isNotNull())
-    first = (keys.groupBy("digest").agg(F.min("record_id").alias("first"), F.count("*").alias("copies"))
-             .where("copies > 1").select("digest", "first"))
+    rows = pages.select(
+        F.col("page_id").alias("record_id"), F.col("url").cast("string").alias("url"),
+        F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload")) \
+        .withColumn("digest", F.sha1("payload"))
+    keys = rows.where((F.length("payload") >= min_bytes) & F.col("record_id").isNotNull()).select("record_id", "digest")
+    first = materialize(keys.groupBy("digest").agg(F.min("record_id").alias("first"), F.max("record_id").alias("last"))
+                        .where("first != last").select("digest", "first"), "warc-first")
     revisits = (keys.join(first, "digest").where("record_id != first")
-                .select("row", F.col("first").alias("refers_to")))
-    return rows.join(revisits, "row", "left").select("record_id", "url", "payload", "refers_to")
+                .select("record_id", "digest", F.col("first").alias("refers_to")).distinct())
+    return rows.join(revisits, ["record_id", "digest"], "left").select("record_id", "url", "payload", "refers_to")
 
 
 def write_archives(records: DataFrame, folder: str) -> DataFrame:
