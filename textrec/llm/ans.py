@@ -1,10 +1,10 @@
 """Token-ID / binary output: static range asymmetric numeral system (rANS).
 
 File format: Parquet files as containers of blocks, one row a block, so that
-Spark's own committer, splits and column pruning apply on any store.  Files
-and blocks are in ascending document order.  A row holds
+Spark's own committer, splits and column pruning apply on any store.  A row holds
 
-    file, block     place in the order; ``file`` is the number of the range
+    file, block     place in the order: documents ascend with (file, block),
+                    where ``file`` is the number of a range of ids
     n_docs, doc_ids, doc_tokens
                     the documents (or parts of a long one) inside the block
     first_part      the first document continues one of the block before
@@ -29,6 +29,7 @@ blocks as it needs."""
 from __future__ import annotations
 
 import os
+import re
 import zlib
 
 import numpy as np
@@ -38,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textrec.llm.common import id_text, id_type, ship_package, table, text_slices
-from textrec.session import scratch_path
+from textrec.session import discard, scratch_path
 
 SCALE_BITS = 22
 STATE_LOW = np.uint64(1) << np.uint64(31)
@@ -52,63 +53,56 @@ VOCABULARY = "byte_bpe_50k.json"
 
 # ---- tokens -------------------------------------------------------------
 
-class PieceTokenizer:
-    """Ids of whole texts, as the library's ``encode`` gives them.
+#: The vocabulary's published splitting rule, for texts of the
+#: characters that ``_PLAIN`` admits (where every library agrees on classes).
+_PLAIN = re.compile(r"[\n\r\t\x20-\x7e\xa1-\xac\xae-\u024f]*")
+_LETTER, _NUMBER = "A-Za-zªµºÀ-ÖØ-öø-\u024f", "0-9²³¹¼-¾"
+_SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\s+(?!\S)|\s+")
 
-    The vocabulary's rule for splitting never joins a character that isn't
-    white space with a space after it.  So a text may be cut before each
-    single space between two visible characters, and the pieces' ids simply
-    follow each other.  Pieces recur, and their ids are kept (in a bounded
-    table).  A text in which some space isn't of this kind goes to the library
-    whole."""
 
-    KEEP = 400_000
+class PieceIds(dict):
+    """Piece to ids (uint32 little-endian) by the library's model, for the
+    pieces met so far; forgotten when there are too many."""
 
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread of many on its executor
-        from tokenizers import Tokenizer
-        self.tok = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+    KEEP = 500_000
 
-    @staticmethod
-    def visible(c: str) -> bool:
-        return "!" <= c <= "~" or "À" <= c <= "ɏ"
+    def __init__(self, library):
+        super().__init__()
+        from textrec.llm.lexicon import byte_alphabet
+        self.tokenize = library.model.tokenize
+        self.letters = dict(enumerate(byte_alphabet()))
+        self.raw = [i.to_bytes(4, "little") for i in range(library.get_vocab_size(with_added_tokens=True))]
 
-    def cuttable(self, piece: str) -> bool:
-        return bool(piece) and self.visible(piece[0]) and self.visible(piece[-1])
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= self.KEEP:
+            self.clear()
+        raw = self.raw
+        shown = piece.encode().decode("latin-1").translate(self.letters)
+        found = self[piece] = b"".join([raw[t.id] for t in self.tokenize(shown)])
+        return found
 
-    def learn(self, pieces: list[str]) -> None:
-        if len(self.known) + len(pieces) > self.KEEP:
-            self.known.clear()
-        good = [p for p in pieces if self.cuttable(p)]
-        for p, e in zip(good, self.tok.encode_batch([" " + p for p in good], add_special_tokens=False), strict=True):
-            self.known[p] = np.asarray(e.ids, "<u4").tobytes()
-        for p in pieces:
-            self.known.setdefault(p, b"")  # not cuttable: no piece has no ids
+
+class PieceTokenizer:
+    """Ids of whole texts, as the library's ``encode`` gives them.  Ordinary
+    texts are split by the vocabulary's published rule, and each distinct piece
+    goes through the library's model once; texts with other characters or with
+    the special token's string go to ``encode`` whole."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread of many on its executor
+        from tokenizers import Tokenizer
+        self.library = Tokenizer.from_file(path)
+        self.pieces = PieceIds(self.library)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.split(" ") for t in texts]
-        known = self.known
-        new = list({p for s in split for p in s[1:] if p not in known})
-        for i in range(0, len(new), 50_000):
-            self.learn(new[i:i + 50_000])
-        out = []
-        for text, s in zip(texts, split, strict=True):
-            parts = [self.lookup(p) for p in s[1:]]
-            if (not s[0] or self.visible(s[0][-1])) and all(parts) and (s[0] or len(s) == 1):
-                head = np.asarray(self.tok.encode(s[0], add_special_tokens=False).ids, "<u4").tobytes()
-                out.append(np.frombuffer(head + b"".join(parts), "<u4"))
+        ids, out = self.pieces.__getitem__, []
+        for text in texts:
+            if "<|" not in text and _PLAIN.fullmatch(text):
+                out.append(np.frombuffer(b"".join(map(ids, _SPLIT.findall(text))), "<u4"))
             else:
-                out.append(np.asarray(self.tok.encode(text, add_special_tokens=False).ids, "<u4"))
+                out.append(np.asarray(self.library.encode(text, add_special_tokens=False).ids, "<u4"))
         return out
 
-    def lookup(self, piece: str) -> bytes:
-        found = self.known.get(piece)
-        if found is None:  # forgotten meanwhile
-            self.learn([piece])
-            found = self.known[piece]
-        return found
-
 
 _TOKENIZERS: dict[str, PieceTokenizer] = {}
 
@@ -206,33 +200,66 @@ def normalise(counts: np.ndarray) -> np.ndarray:
 
 # ---- Spark --------------------------------------------------------------
 
-def token_counts(docs: DataFrame, path: str, vocab: int, text_col: str = "text") -> np.ndarray:
-    """How often each id occurs in all texts (with end ids); the result has
-    one row for each id of the vocabulary at most."""
+def sorted_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """file, ord, doc_id, ids: the documents in ascending order of their ids,
+    as ranges (``file``) of about the size of the scan's splits, each numbered
+    from 0.  Written once, so that texts are tokenised once."""
+    ship_package(docs.sparkSession)
+    pairs = id_text(docs, id_col, text_col)
+    vocab = vocabulary_size(path)
+    kind = "<u2" if vocab <= 1 << 16 else "<u4"
+
+    def run(batches):
+        tok, file, ord_ = tokenizer(path), TaskContext.get().partitionId(), 0
+        for rows, texts in text_slices(batches):
+            n = len(texts)
+            ids = [np.append(x, np.uint32(END_ID)).astype(kind).tobytes() for x in tok.encode(texts)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([file] * n, pa.int32()), pa.array(range(ord_, ord_ + n), pa.int64()), rows.column(0),
+                 pa.array(ids, pa.binary())], names=["file", "ord", "doc_id", "ids"])
+            ord_ += n
+
+    spans = max(1, pairs.rdd.getNumPartitions())
+    ordered = pairs.repartitionByRange(spans, F.col("doc_id").asc_nulls_first()) \
+        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    out = ordered.mapInArrow(run, f"file int, ord bigint, doc_id {id_type(pairs)}, ids binary")
+    folder = scratch_path(docs.sparkSession, "ids")
+    out.write.option("compression", "zstd").parquet(folder)
+    frame = docs.sparkSession.read.parquet(folder)
+    frame._scratch = folder
+    return frame
+
+
+def token_counts(ids: DataFrame, vocab: int) -> np.ndarray:
+    """How often each id occurs; the result has one row for each id of the
+    vocabulary at most."""
+    kind = "<u2" if vocab <= 1 << 16 else "<u4"
+
     def run(batches):
-        tok, counts = tokenizer(path), np.zeros(vocab, np.int64)
-        for _, texts in text_slices(batches):
-            for ids in tok.encode(texts):
-                counts += np.bincount(ids, minlength=vocab)
-            counts[END_ID] += len(texts)
+        counts = np.zeros(vocab, np.int64)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                data = b"".join(batch.column(0).slice(lo, 256).to_pylist())
+                counts += np.bincount(np.frombuffer(data, kind), minlength=vocab)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_pydict({"id": pa.array(used, pa.int32()), "n": pa.array(counts[used], pa.int64())})
 
-    rows = (docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "id int, n bigint")
-            .groupBy("id").agg(F.sum("n").alias("n")).collect())
+    rows = (ids.select("ids").mapInArrow(run, "id int, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect())
     out = np.zeros(vocab, np.int64)
     for r in rows:
         out[r.id] = r.n
     return out
 
 
-BLOCK_SCHEMA = ("file int, block int, n_docs int, doc_ids array<{id}>, doc_tokens array<bigint>, "
+BLOCK_SCHEMA = ("file int, block bigint, n_docs int, doc_ids array<{id}>, doc_tokens array<bigint>, "
                 "first_part boolean, n_tokens bigint, states binary, words binary, checkpoints binary, "
                 "ids_crc32 bigint, words_crc32 bigint")
+#: Blocks are numbered by their first document's place and the part of it.
+PARTS_OF_A_DOCUMENT = 1 << 20
 
 
 def arrow_schema(id_arrow: pa.DataType) -> pa.Schema:
-    return pa.schema([("file", pa.int32()), ("block", pa.int32()), ("n_docs", pa.int32()),
+    return pa.schema([("file", pa.int32()), ("block", pa.int64()), ("n_docs", pa.int32()),
                       ("doc_ids", pa.list_(id_arrow)), ("doc_tokens", pa.list_(pa.int64())),
                       ("first_part", pa.bool_()), ("n_tokens", pa.int64()), ("states", pa.binary()),
                       ("words", pa.binary()), ("checkpoints", pa.binary()), ("ids_crc32", pa.int64()),
@@ -240,54 +267,54 @@ def arrow_schema(id_arrow: pa.DataType) -> pa.Schema:
 
 
 def write_tokens(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id", text_col: str = "text") -> Coder:
-    """Tokenise the documents and write them into ``folder`` in ascending
-    order of their ids.  Returns the coder, which the reader needs (its table
-    is also written, to ``folder`` + "-table")."""
+    """Tokenise the documents and write them into ``folder``; ``file`` and
+    ``block`` ascend with the documents' ids.  Returns the coder; its table is
+    also written, to ``folder`` + "-table"."""
     spark = docs.sparkSession
-    ship_package(spark)
-    pairs = id_text(docs, id_col, text_col)
     vocab = vocabulary_size(path)
-    coder = Coder(normalise(token_counts(pairs, path, vocab)))
+    kind = "<u2" if vocab <= 1 << 16 else "<u4"
+    ids_table = sorted_ids(docs, path, id_col, text_col)
+    coder = Coder(normalise(token_counts(ids_table, vocab)))
     spark.createDataFrame([(i, int(f)) for i, f in enumerate(coder.freq)], "id int, freq bigint").coalesce(1) \
         .write.parquet(folder + "-table")
     shared = spark.sparkContext.broadcast(coder.freq.astype(np.uint32))  # 4 bytes an id of the vocabulary
 
     def run(batches):
-        tok, code = tokenizer(path), Coder(shared.value)
-        file, block = TaskContext.get().partitionId(), 0
-        ids_, sizes, parts, n, first = [], [], [], 0, False
+        code, at, id_arrow = Coder(shared.value), None, None
+        ids_, sizes, parts, n, first, file, block = [], [], [], 0, False, 0, 0
 
         def flush():
-            ids = np.concatenate(parts)
-            row = code.encode(ids) | {"file": file, "block": block, "n_docs": len(ids_), "doc_ids": list(ids_),
-                                      "doc_tokens": list(sizes), "first_part": first}
+            row = code.encode(np.concatenate(parts)) | {
+                "file": file, "block": block, "n_docs": len(ids_), "doc_ids": list(ids_), "doc_tokens": list(sizes),
+                "first_part": first}
             return pa.RecordBatch.from_pylist([row], schema=arrow_schema(id_arrow))
 
-        for rows, texts in text_slices(batches):
-            id_arrow = rows.schema.field(0).type
-            for doc_id, ids in zip(rows.column(0).to_pylist(), tok.encode(texts), strict=True):
-                ids = np.append(ids, np.uint32(END_ID))
-                if n and n + len(ids) > BLOCK_TOKENS:
+        for batch in batches:
+            id_arrow = batch.schema.field(2).type
+            for i in range(batch.num_rows):
+                now, doc_id = (batch.column(0)[i].as_py(), batch.column(1)[i].as_py()), batch.column(2)[i].as_py()
+                ids = np.frombuffer(batch.column(3)[i].as_buffer(), kind).astype(np.uint32)
+                if n and (now != at or n + len(ids) > BLOCK_TOKENS):
                     yield flush()
-                    block, ids_, sizes, parts, n, first = block + 1, [], [], [], 0, False
-                for i in range(0, len(ids), BLOCK_TOKENS):
-                    piece = ids[i:i + BLOCK_TOKENS]
-                    if i:
+                    ids_, sizes, parts, n = [], [], [], 0
+                for k in range(0, len(ids), BLOCK_TOKENS):
+                    if k:
                         yield flush()
-                        block, ids_, sizes, parts, n, first = block + 1, [], [], [], 0, True
+                        ids_, sizes, parts, n = [], [], [], 0
+                    if not n:
+                        file, block, first = now[0], now[1] * PARTS_OF_A_DOCUMENT + k // BLOCK_TOKENS, bool(k)
+                    piece = ids[k:k + BLOCK_TOKENS]
                     ids_.append(doc_id)
                     sizes.append(len(piece))
                     parts.append(piece)
                     n += len(piece)
+                at = (now[0], now[1] + 1)
         if n:
             yield flush()
 
-    # Ranges of about the size of the scan's splits, so that their number
-    # follows the input.
-    spans = max(1, pairs.rdd.getNumPartitions())
-    ordered = pairs.repartitionByRange(spans, F.col("doc_id").asc_nulls_first()) \
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    ordered.mapInArrow(run, BLOCK_SCHEMA.format(id=id_type(pairs))).write.option("compression", "none").parquet(folder)
+    id_name = dict(ids_table.dtypes)["doc_id"]
+    ids_table.mapInArrow(run, BLOCK_SCHEMA.format(id=id_name)).write.option("compression", "none").parquet(folder)
+    discard(ids_table)
     return coder
 
 
@@ -326,14 +353,14 @@ def read_documents(spark: SparkSession, folder: str, with_ids: bool = True) -> D
                 parts = [data[e - 4 * n:e] for n, e in zip(b["doc_tokens"], ends, strict=True)]
                 k = len(parts)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([b["file"]] * k, pa.int32()), pa.array([b["block"]] * k, pa.int32()),
+                    pa.array([b["file"]] * k, pa.int32()), pa.array([b["block"]] * k, pa.int64()),
                     pa.array(range(k), pa.int32()), pa.array([b["first_part"]] + [False] * (k - 1), pa.bool_()),
                     pa.array(b["doc_ids"], id_arrow), pa.array(b["doc_tokens"], pa.int64()),
                     pa.array([zlib.crc32(p) for p in parts], pa.int64()),
                     pa.array(parts if with_ids else [None] * k, pa.binary())],
                     names=["file", "block", "part", "continues", "doc_id", "n_tokens", "crc", "ids"])
 
-    return blocks.mapInArrow(run, f"file int, block int, part int, continues boolean, doc_id {id_name}, "
+    return blocks.mapInArrow(run, f"file int, block bigint, part int, continues boolean, doc_id {id_name}, "
                                   "n_tokens bigint, crc bigint, ids binary")
 
 
