@@ -16,18 +16,21 @@ MAX_CHARS = 20_000
 def training_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str = "doc_id", text_col: str = "text",
                     max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> dict[int, list[str]]:
     """{0: texts, 1: texts}: labelled rows that aren't held out, at most
-    ``max_rows`` of each class (those with the smallest hash of the id) and
-    only texts up to ``max_chars``.  Repeated labels and texts count once;
-    null labels, ids and texts are left out."""
+    ``max_rows`` ids of each class (those with the smallest hash), of which
+    texts up to ``max_chars`` are taken.  Repeated labels, rows and texts count
+    once; null labels, ids and texts are left out.  Ids are chosen before any
+    text is read, so what is sent and collected is bounded by the parameters."""
     known = (labels.select(F.col(id_col).alias("doc_id"), F.col(label).cast("int").alias("label"))
              .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & ~held_out(F.col("doc_id"))).distinct())
-    rows = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-            .where(F.length("text").between(1, max_chars)).join(known, "doc_id"))
-    out = {}
-    for value in (0, 1):
-        top = rows.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_rows)
-        out[value] = list(dict.fromkeys(r.text for r in top.select("text").collect()))
-    return out
+    chosen = [known.where(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows) for value in (0, 1)]
+    texts = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+             .where(F.length("text").between(1, max_chars)))
+    rows = (texts.join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")  # two numbers for 2 x max_rows ids
+            .groupBy("doc_id", "label").agg(F.min("text").alias("text")).collect())
+    out: dict[int, list[str]] = {0: [], 1: []}
+    for r in sorted(rows, key=lambda r: (str(r.doc_id), r.label)):
+        out[r.label].append(r.text)
+    return {value: list(dict.fromkeys(texts)) for value, texts in out.items()}
 
 
 def sigmoid(x):
