@@ -1,11 +1,6 @@
-"""Helpers that registered queries do not call: T22, S5 for blob names,
-DM11 vectors and K12 nested documents."""
-
-import math
+"""Helpers that registered queries do not call: T22 and S5 for blob names."""
 
 from textrec.functions import text as T
-from textrec.operators import ingest as IN
-from textrec.operators import model as M
 from textrec.sources import readers as RD
 
 
@@ -17,19 +12,3 @@ def test_concat_space_skips_nulls(spark):
 def test_song_from_blob_names(spark):
     df = spark.createDataFrame([("2023-03-21/Flowers.csv",), ("2023-03-21/NO voy a llorar :').csv",)], "blob string")
     assert [r.song for r in RD.song_from_blob(df).collect()] == ["Flowers", "NO voy a llorar :')"]
-
-
-def test_vectors_match_postings(spark):
-    tf = spark.createDataFrame([(1, "aaa", 2), (1, "bbb", 1), (2, "aaa", 1), (2, "ccc", 1)],
-                               "id long, term string, tf long")
-    v = {r.id: r for r in M.vectors(tf, num_features=1000).collect()}
-    assert v[1].indices == sorted(v[1].indices) and len(v[1].indices) == 2
-    w = dict(zip(v[2].indices, v[2]["values"]))
-    assert sorted(round(x, 9) for x in w.values()) == sorted([0.0, round(math.log(1.5), 9)])
-
-
-def test_nest_posts(spark):
-    songs = spark.createDataFrame([(1, "A"), (2, "B")], "id long, name string")
-    posts = spark.createDataFrame([(1, "t1", "x"), (1, "t2", "y")], "id long, tweet_id string, content string")
-    got = {r.id: r.tweets for r in IN.nest_posts(songs, posts).collect()}
-    assert sorted(t.tweet_id for t in got[1]) == ["t1", "t2"] and got[2] is None

@@ -10,6 +10,10 @@ from textrec.functions import text as T
 MIN_WORDS = 10     # F8: keep posts with more than 10 words
 MIN_POSTS = 10     # F10: keep songs with more than 10 posts left (D3)
 
+#: The feature columns that are cast to float.
+FLOAT_COLUMNS = ("popularity", "danceability", "energy", "key", "loudness", "mode", "speechiness", "acousticness",
+                 "instrumentalness", "liveness", "valence", "tempo")
+
 
 def clean_posts(posts: DataFrame, id_col: str = "id", line_col: str = "tweet_line",
                 min_words: int = MIN_WORDS, min_posts: int = MIN_POSTS,
@@ -86,22 +90,20 @@ def prepare_lines(songs: DataFrame, posts: DataFrame, id_col: str = "id",
     return joined.select(id_col, T.remove_words(cleaned, "_own").alias("tweet_line"))
 
 
-def features(songs: DataFrame, cols=("popularity", "danceability", "energy", "key", "loudness",
-                                     "mode", "speechiness", "acousticness", "instrumentalness",
-                                     "liveness", "valence", "tempo")) -> DataFrame:
-    """Cast the listed feature columns that exist to float, in one projection."""
-    present = [c for c in cols if c in songs.columns]
-    return songs.withColumns({c: F.col(c).cast("float") for c in present})
+def features(songs: DataFrame, cols=FLOAT_COLUMNS) -> DataFrame:
+    """Cast the listed feature columns to float, in one projection; a
+    missing column is an error."""
+    return songs.withColumns({c: F.col(c).cast("float") for c in cols})
 
 
 def songs_without_posts(songs: DataFrame, posts: DataFrame, id_col: str = "id") -> DataFrame:
     """F6 + F7: songs that have no post, kept aside (anti-join, no driver list)."""
-    return songs.join(posts.select(id_col), id_col, "left_anti")
+    return songs.join(posts.select(id_col).distinct(), id_col, "left_anti")
 
 
 def songs_with_posts(songs: DataFrame, posts: DataFrame, id_col: str = "id") -> DataFrame:
     """Features only for songs that have posts (semi-join)."""
-    return songs.join(posts.select(id_col), id_col, "left_semi")
+    return songs.join(posts.select(id_col).distinct(), id_col, "left_semi")
 
 
 def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -110,7 +112,8 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Both cleanings from one scan of the documents: lines are split once,
     even lines are posts and odd lines lyrics; each kind is deduplicated and
     filtered by its own rule, and only the kept lines are written (the raw
-    text, the largest table, is read once).  Returns (posts_clean,
+    text, the largest table, is read once) by the tasks that deduplicated them,
+    spread by the hash of the line.  Returns (posts_clean,
     verses_clean) equal to ``clean_posts`` / ``clean_verses`` on the views."""
     from textrec.session import materialize
     raw = (docs.select(F.col(id_col).alias("id"), F.posexplode_outer(F.split(text_col, "\n")).alias("pos", "line"))
@@ -126,8 +129,7 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keep_verse = (F.col("kind") == 1) & (F.size(F.array_distinct(w)) > min_distinct)
     kept = materialize(
         lines.where(keep_post | keep_verse)
-             .withColumn("word_count", F.when(F.col("kind") == 0, F.size(w)))
-             .repartition("kind"),
+             .withColumn("word_count", F.when(F.col("kind") == 0, F.size(w))),
         "lines-kept", partition_by=("kind",))
     posts = kept.where(F.col("kind") == 0).select("id", F.col("line").alias("tweet_line"), "word_count")
     enough = posts.groupBy("id").count().where(F.col("count") > min_posts).select("id")

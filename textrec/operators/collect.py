@@ -7,8 +7,6 @@ becomes a join or an aggregate."""
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -112,19 +110,18 @@ def flatten_status(raw: DataFrame, col: str = "status") -> DataFrame:
     )
 
 
-def select_posts(posts: DataFrame, end_date, lang: str = "en", cap: int = SEARCH_CAP,
+def select_posts(posts: DataFrame, end_date, lang: str = "en", cap: int | None = SEARCH_CAP,
                  song_col: str = "song", order_cols=("created", "seq")) -> DataFrame:
     """F4 (language, created before end date) -> G5 (newest ``cap`` per
     search; planned as a window group limit, so each map task keeps at most
-    ``cap`` rows per song before the shuffle) -> F3 (not retweeted, D17)."""
+    ``cap`` rows per song before the shuffle; None takes all) -> F3 (not
+    retweeted, D17)."""
     from pyspark.sql import Window
     # the end date takes the column's own type, so no session time zone enters
     end = F.lit(str(end_date)).cast(posts.schema["created"].dataType)
     cand = posts.where((F.col("lang") == lang) & (F.col("created") < end))
+    if cap is None:
+        return cand.where(F.col("retweeted") == 0)
     w = Window.partitionBy(song_col).orderBy(*[F.col(c).desc() for c in order_cols])
     capped = cand.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap).drop("_rn")
     return capped.where(F.col("retweeted") == 0)
-
-
-def as_date(d) -> _dt.date:
-    return d if isinstance(d, _dt.date) else _dt.date.fromisoformat(str(d))

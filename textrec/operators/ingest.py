@@ -63,14 +63,3 @@ def name_fixes(songs: DataFrame) -> DataFrame:
     new = F.regexp_replace("name", r"[^\p{L}\p{N}]+$", "")
     return (songs.select("name", new.alias("new_name"))
                  .where((F.col("new_name") != F.col("name")) & (F.length("new_name") > 0)).distinct())
-
-
-def nest_posts(songs: DataFrame, posts: DataFrame, id_col: str = "id", max_posts: int | None = None) -> DataFrame:
-    """K12 on demand: one document per song with its posts as an array.
-
-    The array of a song is a single row, so this is for export of bounded
-    songs only; the stored form stays the normalised ``posts`` table."""
-    p = posts
-    cols = [c for c in p.columns if c != id_col]
-    nested = p.groupBy(id_col).agg(F.collect_list(F.struct(*cols)).alias("tweets"))
-    return songs.join(nested, id_col, "left")

@@ -17,7 +17,6 @@ from textrec.functions import text as T
 
 NUM_FEATURES = 100000
 ROWS_PER_TERM_BUCKET = 4_000_000   # postings per term-bucket folder
-MAX_TERM_BUCKETS = 4096
 
 
 def term_bucket(term, buckets: int):
@@ -27,7 +26,7 @@ def term_bucket(term, buckets: int):
 
 def term_bucket_count(n_postings: int) -> int:
     """Enough folders that one holds about ROWS_PER_TERM_BUCKET postings."""
-    return max(1, min(MAX_TERM_BUCKETS, -(-n_postings // ROWS_PER_TERM_BUCKET)))
+    return max(1, -(-n_postings // ROWS_PER_TERM_BUCKET))
 
 
 def line_terms(lines: DataFrame, line_col: str, id_col: str = "id",
@@ -123,16 +122,3 @@ def tfidf_hashed(tf: DataFrame, id_col: str = "id", num_features: int = NUM_FEAT
                  drop_zero: bool = False) -> DataFrame:
     """M1-M3 hashed: postings (id, h, tf, idf, w), equal to HashingTF + IDF."""
     return tfidf(hashed_counts(tf, id_col, num_features), id_col, "h", drop_zero)
-
-
-def vectors(tf: DataFrame, id_col: str = "id", num_features: int = NUM_FEATURES) -> DataFrame:
-    """DM11 on demand: Spark ML sparse vectors (rawFeatures, features) per song,
-    built from the bucket postings (one row per song, size num_features)."""
-    post = tfidf_hashed(tf, id_col, num_features)
-    grouped = (post.groupBy(id_col)
-                   .agg(F.sort_array(F.collect_list(F.struct("h", "tf", "w"))).alias("_p")))
-    return grouped.select(
-        id_col,
-        F.col("_p.h").alias("indices"),
-        F.col("_p.tf").alias("raw_values"),
-        F.col("_p.w").alias("values"))

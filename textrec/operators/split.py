@@ -11,25 +11,25 @@ from pyspark.sql import functions as F
 
 from textrec.operators.positions import with_group_position
 
-HASH_BUCKETS = 1000
+HASH_RANGE = 1 << 32
 
 
-def hash_bucket(*cols, seed: int = 42, buckets: int = HASH_BUCKETS):
-    """Bucket in [0, buckets) from the first 8 hex digits of md5(cols|seed)."""
+def hash_draw(*cols, seed: int = 42):
+    """A whole number in [0, HASH_RANGE): the first 8 hex digits of md5(cols|seed)."""
     key = F.concat_ws("|", *[F.col(c).cast("string") for c in cols], F.lit(str(seed)))
-    return F.pmod(F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long"), F.lit(buckets))
+    return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long")
 
 
 def split_hash(df: DataFrame, frac: float = 0.1, cols=("id", "tweet_line"), seed: int = 42):
     """R2 (hash variant): returns (test, train); test has ~frac of each song."""
-    cut = int(round(frac * HASH_BUCKETS))
-    b = hash_bucket(*cols, seed=seed)
-    return df.where(b < cut), df.where(b >= cut)
+    cut = int(round(frac * HASH_RANGE))
+    draw = hash_draw(*cols, seed=seed)
+    return df.where(draw < cut), df.where(draw >= cut)
 
 
 def label_split_hash(df: DataFrame, frac: float = 0.1, cols=("id", "tweet_line"), seed: int = 42) -> DataFrame:
-    cut = int(round(frac * HASH_BUCKETS))
-    return df.withColumn("part", F.when(hash_bucket(*cols, seed=seed) < cut, "test").otherwise("train"))
+    cut = int(round(frac * HASH_RANGE))
+    return df.withColumn("part", F.when(hash_draw(*cols, seed=seed) < cut, "test").otherwise("train"))
 
 
 def split_exact(df: DataFrame, frac: float = 0.1, label: str = "id", line_col: str = "tweet_line",
@@ -47,15 +47,13 @@ def split_exact(df: DataFrame, frac: float = 0.1, label: str = "id", line_col: s
     return labelled
 
 
-def split_sample_by(df: DataFrame, frac: float = 0.1, seed: int = 42, key_cols=("id", "tweet_line")) -> DataFrame:
+def split_sample_by(df: DataFrame, frac: float = 0.1, seed: int = 42, key_cols=("id", "tweet_line"),
+                    label: str = "id") -> DataFrame:
     """Bernoulli sample per label with one fraction for every label.
 
-    ``DataFrame.stat.sampleBy`` with equal fractions keeps a row when
-    ``rand(seed) < fraction``; we evaluate that predicate once per row and
-    label both parts from the same value (no collected fraction map, no
-    anti-join by a generated id).  ``rand`` depends on the row's place in its
-    partition, so rows are first sorted within their partition by the key:
-    a partition recomputed after an executor loss draws the same values."""
-    keys = [c for c in key_cols if c in df.columns]
-    ordered = df.sortWithinPartitions(*keys) if keys else df
-    return ordered.withColumn("part", F.when(F.rand(seed) < frac, "test").otherwise("train"))
+    Each row draws from the hash of its label, its key and the seed, so the
+    draw doesn't depend on partitions, order or recomputation, and SQL can
+    repeat it."""
+    keys = [label, *(c for c in key_cols if c != label)]
+    draw = hash_draw(*keys, seed=f"sample{seed}")
+    return df.withColumn("part", F.when(draw < int(round(frac * HASH_RANGE)), "test").otherwise("train"))

@@ -58,7 +58,10 @@ def build_from_lines(pc: DataFrame, vc: DataFrame, frac: float = TEST_FRAC, seed
     buckets = term_buckets if term_buckets else M.term_bucket_count(n_tf)
     post = M.tfidf_hashed(tf) if hashed else M.tfidf(tf)
     key = "h" if hashed else "term"
-    post = post.withColumn("tb", M.term_bucket(key, buckets)).repartition("tb")
+    # ranges of (folder, term, song): a term held by every song is spread over
+    # several tasks, and each file is sorted by term, so row groups prune too
+    post = (post.withColumn("tb", M.term_bucket(key, buckets)).repartitionByRange("tb", key, "id")
+                .sortWithinPartitions("tb", key))
     postings = materialize(post, "postings", partition_by=("tb",))
     corpus_ids = materialize(tf.select("id").distinct(), "corpus-ids")
     return Model(pc, vc, tp, rp, tv, rv, tf, postings, corpus_ids, buckets)

@@ -34,18 +34,18 @@ TOP_K = 15
 # --- text functions -------------------------------------------------------
 
 def q_tokens_len_stop(spark: SparkSession, sf: str) -> DataFrame:
-    p = FX.posts(spark, sf)
+    p = FX.lines(spark, sf)
     t = T.tokens("tweet_line")
     return p.select("id", "tweet_line", F.size(t).alias("n_tokens"), F.array_join(t, " ").alias("tokens"))
 
 
 def q_word_count(spark, sf):
-    return FX.posts(spark, sf).select("id", "tweet_line", T.word_count("tweet_line").alias("word_count"))
+    return FX.lines(spark, sf).select("id", "tweet_line", T.word_count("tweet_line").alias("word_count"))
 
 
 def q_distinct_word_count(spark, sf):
-    return FX.verses(spark, sf).select(
-        "id", "lyric_line", T.distinct_word_count("lyric_line").alias("distinct_word_count"))
+    return FX.lines(spark, sf).select(
+        "id", "tweet_line", T.distinct_word_count("tweet_line").alias("distinct_word_count"))
 
 
 def q_strip_emoji(spark, sf):
@@ -60,7 +60,7 @@ def q_strip_symbols(spark, sf):
 
 def q_remove_own_words(spark, sf):
     own = FX.songs(spark, sf).select("id", F.concat(T.tokens("name"), T.tokens("artist")).alias("own"))
-    p = FX.posts(spark, sf).join(own, "id", "inner")
+    p = FX.lines(spark, sf).join(own, "id", "inner")
     return p.select("id", "tweet_line", T.remove_words("tweet_line", "own").alias("line_out"))
 
 
@@ -99,22 +99,20 @@ def q_songs_without_posts(spark, sf):
 
 
 def q_post_total(spark, sf):
-    per_song = FX.posts(spark, sf).groupBy("id").agg(F.count("*").alias("n"))
+    per_song = FX.lines(spark, sf).groupBy("id").agg(F.count("*").alias("n"))
     return per_song.agg(F.count("*").alias("n_songs"), F.sum("n").alias("n_posts"))
 
 
 def q_prepare_lines(spark, sf):
     songs = FX.songs(spark, sf)
-    posts = FX.posts(spark, sf).withColumnRenamed("tweet_line", "content")
+    posts = FX.lines(spark, sf).withColumnRenamed("tweet_line", "content")
     return C.prepare_lines(songs, posts)
 
 
 def q_features_cast(spark, sf):
-    songs = FX.songs(spark, sf)
-    with_posts = C.songs_with_posts(songs, FX.posts(spark, sf))
-    return C.features(with_posts).select(
-        "id", "name", "artist", "popularity", F.dayofyear("add_date").alias("add_day"),
-        F.lit(0.1).alias("frac"))
+    """The 12 casts on tracks with their audio features."""
+    songs = _tracks(spark, sf).select("id", "name", "popularity").join(FX.audio_features(spark, sf), "id")
+    return C.features(songs).select("id", "name", *C.FLOAT_COLUMNS)
 
 
 # --- split ------------------------------------------------------------------
@@ -174,7 +172,7 @@ def q_recommend_benchmark(spark, sf):
     """Every benchmark passage is a query against the whole corpus."""
     m = build_model(spark, sf)
     bench = FX.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    recs = S.recommend(bench, m.postings, FX.songs(spark, sf), TOP_K)
+    recs = S.recommend(bench, m.postings, FX.songs(spark, sf), TOP_K, corpus_ids=m.corpus_ids)
     return recs.select(F.col("query_id").alias("item_id"), "rank", "id", "name", "score")
 
 
@@ -183,7 +181,8 @@ def q_recommend_batch(spark, sf):
     tests = C.test_rows(m.test_posts)
     queries = tests.select(E.query_key("id", "tweet_line").alias("query_id"),
                            F.col("id").alias("query_song"), F.col("tweet_line").alias("text"))
-    recs = S.recommend(queries.select("query_id", "text"), m.postings, FX.songs(spark, sf), TOP_K)
+    recs = S.recommend(queries.select("query_id", "text"), m.postings, FX.songs(spark, sf), TOP_K,
+                       corpus_ids=m.corpus_ids)
     return (queries.join(recs, "query_id", "inner")
                    .select("query_song", F.col("text").alias("query_line"), "rank", "id", "name", "score"))
 
@@ -260,7 +259,7 @@ QUERIES = {
 
 RUN_DATE = "2024-02-24"      # the day the intake and the day plan run for
 END_DATE = "2024-01-20"      # search results must be older than this
-POSTS_PER_SEARCH = 20        # G5 cap used on the fixture (5000 in production)
+POSTS_PER_SEARCH = 20        # G5, the newest posts of each search; only in select_posts, whose feature it is
 
 
 def _tracks(spark, sf):
@@ -351,7 +350,7 @@ QUERIES.update({
 
 
 def q_stem_vocab(spark, sf):
-    terms = M.line_terms(FX.posts(spark, sf), "tweet_line")
+    terms = M.line_terms(FX.lines(spark, sf), "tweet_line")
     return ST.stem_map(terms)
 
 
@@ -366,7 +365,7 @@ def q_recommend_stemmed(spark, sf):
 
 def q_csv_round_trip(spark, sf):
     root = scratch_path(spark, "posts-csv")
-    chosen = CO.select_posts(_posts_flat(spark, sf), END_DATE, "en", POSTS_PER_SEARCH) \
+    chosen = CO.select_posts(_posts_flat(spark, sf), END_DATE, "en", None) \
         .withColumn("date", F.lit(RUN_DATE).cast("date"))
     SK.write_csv(chosen, root, partition_by=("date",))
     from pyspark.sql.types import DateType, StructField, StructType
@@ -377,7 +376,7 @@ def q_csv_round_trip(spark, sf):
 
 def q_path_to_song(spark, sf):
     root = scratch_path(spark, "landed")
-    chosen = CO.select_posts(_posts_flat(spark, sf), END_DATE, "en", POSTS_PER_SEARCH) \
+    chosen = CO.select_posts(_posts_flat(spark, sf), END_DATE, "en", None) \
         .withColumn("date", F.lit(RUN_DATE).cast("date"))
     SK.write_csv(chosen, root, partition_by=("date", "song"), spread_by=("tweet_id",))
     back = RD.read_landed_posts(spark, root, DJ._csv_schema(), date=RUN_DATE)
@@ -393,7 +392,7 @@ def q_intake_snapshot(spark, sf):
 def q_daily_job(spark, sf):
     root = scratch_path(spark, "daily")
     out = DJ.daily_job(spark, FX.search_songs(spark, sf), FX.raw_statuses(spark, sf), RUN_DATE, END_DATE,
-                       root, POSTS_PER_SEARCH)
+                       root, None)
     return out.select("song", "tweet_id", F.col("created").cast("string").alias("created"), "retweeted")
 
 

@@ -7,6 +7,7 @@ list lambdas)."""
 from __future__ import annotations
 
 from textrec.functions import text as T
+from textrec.operators.clean import FLOAT_COLUMNS
 from textrec.operators import evaluate as E
 from textrec.plans import catalog as CAT
 
@@ -57,7 +58,7 @@ def factor(n: str, min_tokens: int = T.MIN_QUERY_TOKENS, mult: int = T.QUERY_REP
 
 def hash_bucket(id_col: str, line_col: str, seed: int = 42) -> str:
     return (f"(('0x' || substr(md5(concat_ws('|', CAST({id_col} AS VARCHAR), {line_col}, '{seed}')), 1, 8))"
-            f"::BIGINT % 1000)")
+            f"::BIGINT)")
 
 
 SONGS = """songs AS (
@@ -70,6 +71,7 @@ LINES = """lines AS (
   SELECT doc_id AS id, s[1] AS line, s[2] AS pos
   FROM (SELECT doc_id, unnest(list_zip(string_split(text, chr(10)),
                                       range(0, len(string_split(text, chr(10)))))) AS s FROM documents)),
+all_lines AS (SELECT id, line AS tweet_line FROM lines),
 posts AS (SELECT id, line AS tweet_line FROM lines WHERE pos % 2 = 0),
 verses AS (SELECT id, line AS lyric_line FROM lines WHERE pos % 2 = 1)"""
 
@@ -81,9 +83,9 @@ posts_clean AS (SELECT * FROM pc_kept WHERE id IN (SELECT id FROM pc_kept GROUP
 vc_dedup AS (SELECT DISTINCT id, lyric_line FROM verses WHERE lyric_line IS NOT NULL),
 verses_clean AS (SELECT id, lyric_line FROM vc_dedup WHERE len(list_distinct({words('lyric_line')})) > 1)"""
 
-MODEL = f"""test_p AS (SELECT id, tweet_line FROM posts_clean WHERE {hash_bucket('id', 'tweet_line')} < 100),
-train_p AS (SELECT id, tweet_line FROM posts_clean WHERE {hash_bucket('id', 'tweet_line')} >= 100),
-train_v AS (SELECT id, lyric_line FROM verses_clean WHERE {hash_bucket('id', 'lyric_line')} >= 100),
+MODEL = f"""test_p AS (SELECT id, tweet_line FROM posts_clean WHERE {hash_bucket('id', 'tweet_line')} < 429496730),
+train_p AS (SELECT id, tweet_line FROM posts_clean WHERE {hash_bucket('id', 'tweet_line')} >= 429496730),
+train_v AS (SELECT id, lyric_line FROM verses_clean WHERE {hash_bucket('id', 'lyric_line')} >= 429496730),
 both_ids AS (SELECT DISTINCT id FROM train_p INTERSECT SELECT DISTINCT id FROM train_v),
 occ AS (SELECT id, unnest({tokens('line')}) AS term
         FROM (SELECT id, tweet_line AS line FROM train_p UNION ALL SELECT id, lyric_line AS line FROM train_v)),
@@ -101,9 +103,12 @@ qtf AS (SELECT o.query_song, o.query_line, o.term, count(*) * max({factor('qn.n'
         FROM qocc o JOIN qn USING (query_song, query_line) GROUP BY o.query_song, o.query_line, o.term),
 sc AS (SELECT q.query_song, q.query_line, p.id, sum(q.qtf * p.w) AS score
        FROM qtf q JOIN postings p USING (term) WHERE p.w <> 0 GROUP BY q.query_song, q.query_line, p.id),
+allsc AS (SELECT tq.query_song, tq.query_line, c.id, coalesce(sc.score, 0.0) AS score
+  FROM tq CROSS JOIN (SELECT DISTINCT id FROM postings) c
+  LEFT JOIN sc ON sc.query_song = tq.query_song AND sc.query_line = tq.query_line AND sc.id = c.id),
 best AS (SELECT *, row_number() OVER (PARTITION BY query_song, query_line
                                       ORDER BY round(score, 9) DESC, id ASC) AS rank
-         FROM sc QUALIFY rank <= {{k}})"""
+         FROM allsc QUALIFY rank <= {{k}})"""
 
 
 def with_(*ctes: str) -> str:
@@ -131,17 +136,17 @@ FROM best LEFT JOIN songs USING (id)""",
 
 SQL = {
     "tokens_len_stop": _q(f"""SELECT id, tweet_line, CAST(len({tokens('tweet_line')}) AS INTEGER) AS n_tokens,
-       array_to_string({tokens('tweet_line')}, ' ') AS tokens FROM posts""", LINES),
-    "word_count": _q(f"SELECT id, tweet_line, CAST(len({words('tweet_line')}) AS INTEGER) AS word_count FROM posts",
+       array_to_string({tokens('tweet_line')}, ' ') AS tokens FROM all_lines""", LINES),
+    "word_count": _q(f"SELECT id, tweet_line, CAST(len({words('tweet_line')}) AS INTEGER) AS word_count FROM all_lines",
                      LINES),
-    "distinct_word_count": _q(f"""SELECT id, lyric_line,
-       CAST(len(list_distinct({words('lyric_line')})) AS INTEGER) AS distinct_word_count FROM verses""", LINES),
+    "distinct_word_count": _q(f"""SELECT id, tweet_line,
+       CAST(len(list_distinct({words('tweet_line')})) AS INTEGER) AS distinct_word_count FROM all_lines""", LINES),
     "strip_emoji": f"SELECT doc_id, regexp_replace(text, {EMOJI}, '', 'g') AS text_out FROM documents",
     "strip_symbols": f"SELECT doc_id, regexp_replace(text, {PUNCT}, ' ', 'g') AS text_out FROM documents",
     "remove_own_words": _q(f"""SELECT p.id, p.tweet_line,
        list_reduce(list_concat({tokens('s.name')}, {tokens('s.artist')}),
                    lambda acc, w: replace(acc, w, ''), p.tweet_line) AS line_out
-FROM posts p JOIN songs s USING (id)""", SONGS, LINES),
+FROM all_lines p JOIN songs s USING (id)""", SONGS, LINES),
     "posts_clean": _q("SELECT id, tweet_line, word_count FROM posts_clean", LINES, CLEAN),
     "songs_min_posts": _q("SELECT id, count(*) AS n_posts FROM posts_clean GROUP BY id", LINES, CLEAN),
     "verses_clean": _q("SELECT id, lyric_line FROM verses_clean", LINES, CLEAN),
@@ -152,17 +157,14 @@ FROM posts p JOIN songs s USING (id)""", SONGS, LINES),
     "songs_without_posts": _q("SELECT id, name FROM songs WHERE id NOT IN (SELECT id FROM posts_clean)",
                               SONGS, LINES, CLEAN),
     "post_total": _q("""SELECT count(*) AS n_songs, CAST(sum(n) AS BIGINT) AS n_posts
-FROM (SELECT id, count(*) AS n FROM posts GROUP BY id)""", LINES),
+FROM (SELECT id, count(*) AS n FROM all_lines GROUP BY id)""", LINES),
     "prepare_lines": _q(f"""SELECT p.id,
        list_reduce(list_concat({tokens('s.name')}, {tokens('s.artist')}),
                    lambda acc, w: replace(acc, w, ''),
                    regexp_replace(regexp_replace(p.tweet_line, {EMOJI}, '', 'g'), {PUNCT}, ' ', 'g')) AS tweet_line
-FROM posts p JOIN songs s USING (id) WHERE p.tweet_line IS NOT NULL""", SONGS, LINES),
-    "features_cast": _q("""SELECT id, name, artist, CAST(popularity AS FLOAT) AS popularity,
-       CAST(dayofyear(add_date) AS INTEGER) AS add_day, CAST(0.1 AS DOUBLE) AS frac
-FROM songs WHERE id IN (SELECT id FROM posts)""", SONGS, LINES),
+FROM all_lines p JOIN songs s USING (id) WHERE p.tweet_line IS NOT NULL""", SONGS, LINES),
     "split_hash": _q(f"""SELECT id, tweet_line,
-       CASE WHEN {hash_bucket('id', 'tweet_line')} < 100 THEN 'test' ELSE 'train' END AS part
+       CASE WHEN {hash_bucket('id', 'tweet_line')} < 429496730 THEN 'test' ELSE 'train' END AS part
 FROM posts_clean""", LINES, CLEAN),
     "split_exact": _q("""SELECT id, tweet_line,
        CASE WHEN row_number() OVER (PARTITION BY id ORDER BY
@@ -182,8 +184,11 @@ FROM posts_clean""", LINES, CLEAN),
                               "FROM qocc o JOIN qn USING (item_id) GROUP BY o.item_id, o.term)",
                               "sc AS (SELECT q.item_id, p.id, sum(q.qtf * p.w) AS score FROM qtf q "
                               "JOIN postings p USING (term) WHERE p.w <> 0 GROUP BY q.item_id, p.id)",
+                              "allsc AS (SELECT b.item_id, c.id, coalesce(sc.score, 0.0) AS score FROM benchmark b "
+                              "CROSS JOIN (SELECT DISTINCT id FROM postings) c "
+                              "LEFT JOIN sc ON sc.item_id = b.item_id AND sc.id = c.id)",
                               f"best AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY round(score, 9) "
-                              f"DESC, id ASC) AS rank FROM sc QUALIFY rank <= {CAT.TOP_K})"),
+                              f"DESC, id ASC) AS rank FROM allsc QUALIFY rank <= {CAT.TOP_K})"),
     "recommend_batch": _q("""SELECT best.query_song, best.query_line, CAST(rank AS INTEGER) AS rank, best.id, songs.name,
        {R_SCORE} AS score FROM best LEFT JOIN songs USING (id)""",
                           SONGS, LINES, CLEAN, MODEL, TESTQ.replace("{k}", str(CAT.TOP_K))),
@@ -252,6 +257,12 @@ POST_OUT = """SELECT song, tweet_id, CAST(created AS VARCHAR) AS created, retwee
        user_id, username, num_followers, geo_enabled, long, lat"""
 
 SQL.update({
+    "features_cast": _q("SELECT id, tracks.name, "
+                        + ", ".join(f"CAST({c} AS FLOAT) AS {c}" for c in FLOAT_COLUMNS)
+                        + " FROM tracks JOIN audio USING (id)", TRACKS, AUDIO),
+    "split_sample_by": _q(f"""SELECT id, tweet_line,
+       CASE WHEN {hash_bucket('id', 'tweet_line', 'sample42')} < 429496730 THEN 'test' ELSE 'train' END AS part
+FROM posts_clean""", LINES, CLEAN),
     "song_intake": _q(f"""SELECT f.name, f.id, f.artist, f.popularity, CAST(dayofyear({RUN}) AS INTEGER) AS add_day,
        {RUN} AS add_date, a.danceability, a.energy, a.key, a.loudness, a.mode, a.speechiness, a.acousticness,
        a.instrumentalness, a.liveness, a.valence, a.tempo, a.type, a.duration_ms, a.time_signature
@@ -294,14 +305,13 @@ WHERE length(line) - length(replace(line, ' ', '')) > 2""",
 
 
 # Queries that write and read back tables equal one of the queries above.
-SQL["csv_round_trip"] = SQL["select_posts"]
+SQL["csv_round_trip"] = _q(POST_OUT + f"""
+FROM flat WHERE lang = 'en' AND created < TIMESTAMP '{CAT.END_DATE}' AND retweeted = 0""", FLAT)
 SQL["ingest_batch"] = SQL["attach_posts"]
 SQL["stream_intake"] = SQL["attach_posts"]
 SQL["recommend_from"] = SQL["recommend_benchmark"]
 SQL["path_to_song"] = _q(f"""SELECT song, song AS song_from_path, tweet_id, '{CAT.RUN_DATE}' AS date
-FROM (SELECT * FROM flat WHERE lang = 'en' AND created < TIMESTAMP '{CAT.END_DATE}'
-      QUALIFY row_number() OVER (PARTITION BY song ORDER BY created DESC, seq DESC) <= {CAT.POSTS_PER_SEARCH})
-WHERE retweeted = 0""", FLAT)
+FROM flat WHERE lang = 'en' AND created < TIMESTAMP '{CAT.END_DATE}' AND retweeted = 0""", FLAT)
 SQL["intake_snapshot"] = _q(f"""SELECT f.name, f.id, f.artist, f.popularity, CAST(dayofyear({RUN}) AS INTEGER) AS add_day,
        {RUN} AS add_date, a.danceability, a.energy, a.key, a.loudness, a.mode, a.speechiness, a.acousticness,
        a.instrumentalness, a.liveness, a.valence, a.tempo, a.type, a.duration_ms, a.time_signature
@@ -310,8 +320,7 @@ FROM (SELECT * FROM tracks WHERE popularity >= 60
 LEFT JOIN audio a USING (id)""", TRACKS, AUDIO)
 SQL["daily_job"] = _q(f"""SELECT song, tweet_id, CAST(created AS VARCHAR) AS created, retweeted
 FROM (SELECT * FROM flat WHERE lang = 'en' AND created < TIMESTAMP '{CAT.END_DATE}'
-        AND song IN (SELECT name FROM plan)
-      QUALIFY row_number() OVER (PARTITION BY song ORDER BY created DESC, seq DESC) <= {CAT.POSTS_PER_SEARCH})
+        AND song IN (SELECT name FROM plan))
 WHERE retweeted = 0""", FLAT,
     """slist AS (SELECT DISTINCT user_id AS id, 'song' || CAST(user_id AS VARCHAR) AS name,
        CAST(DATE '2024-02-23' + CASE WHEN user_id % 10 = 9 THEN 1 ELSE 0 END AS DATE) AS add_date FROM events)""",

@@ -41,6 +41,12 @@ def _lines(spark: SparkSession, sf_dir: str, parity: int, col: str) -> DataFrame
              .select("id", col))
 
 
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of each document (id, tweet_line)."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return d.select(F.col("doc_id").alias("id"), F.explode(F.split("text", "\n")).alias("tweet_line"))
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Post lines (id, tweet_line): even-numbered lines of each document."""
     return _lines(spark, sf_dir, 0, "tweet_line")
