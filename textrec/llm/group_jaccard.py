@@ -355,8 +355,11 @@ def components(links: DataFrame) -> DataFrame:
     return roots.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
+#: Groups of more sets than this are bounded by their token union before they
+#: are opened; in smaller ones the sets' own bounds are as cheap.
+UNION_SIZE = 8
 #: Leaders of a list: the most central set, ties broken in so many ways.
-LEADER_MASKS = (0, (1 << 58) - 1, 0x155555555555555)
+LEADER_MASKS = (0, (1 << 58) - 1, 0x155555555555555, 0x2AAAAAAAAAAAAAA, 0x333333333333333)
 
 
 def grouped_links(sets: DataFrame) -> DataFrame:
@@ -396,14 +399,20 @@ def grouped_links(sets: DataFrame) -> DataFrame:
     asked = materialize(query.join(target, "list").where("own > group").where(
         may_link(F.col("s_a"), F.col("s"), F.col("n_a"), F.col("n")))
         .groupBy("a", "n_a", "group").agg(F.min("n").alias("n")), "asked")
-    overlap = (asked.join(tokens.select(F.col("id").alias("a"), "token"), "a").join(union, ["group", "token"])
+    large = (open_.select("id", "group").distinct().groupBy("group").agg(F.count("*").alias("size"))
+             .where(F.col("size") > UNION_SIZE).select("group"))
+    big = asked.join(large, "group", "left_semi")
+    overlap = (big.join(tokens.select(F.col("id").alias("a"), "token"), "a").join(union, ["group", "token"])
                .groupBy("a", "n_a", "group", "n").agg(F.count("*").alias("both")))
-    qualifying = materialize(overlap.where(may_link(F.col("both"), F.col("both"), F.col("n_a"), F.greatest(
-        F.col("n"), F.ceil(F.col("n_a") * PERCENT / 100)))).select("a", "group", "both"), "qualifying")
+    qualifying = materialize(
+        overlap.where(may_link(F.col("both"), F.col("both"), F.col("n_a"), F.greatest(
+            F.col("n"), F.ceil(F.col("n_a") * PERCENT / 100)))).select("a", "group", "both")
+        .unionByName(asked.join(large, "group", "left_anti").select("a", "group", F.col("n_a").alias("both"))), "qualifying")
     opened = (query.join(qualifying, "a")
               .join(open_.select("list", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("s_b"),
                                  "group"), ["list", "group"])
-              .where(may_link(F.col("both"), F.col("s_b"), F.col("n_a"), F.col("n_b"))).select("a", "b").distinct())
+              .where(may_link(F.least("both", "s_a"), F.col("s_b"), F.col("n_a"), F.col("n_b")))
+              .select("a", "b").distinct())
     return materialize(first.unionByName(compared(opened, sets)), "all-links")
 
 
@@ -422,7 +431,8 @@ def counted(pairs: DataFrame) -> tuple[DataFrame, np.ndarray, int]:
 
 def class_texts(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """class, text, text_key: one text of each class."""
-    found = pairs.join(classes.select("text_key", "class"), "text_key")
+    # classes grow with the documents, so they are never broadcast
+    found = pairs.join(classes.select("text_key", "class").hint("merge"), "text_key")
     return materialize(found.groupBy("text_key", "class").agg(F.first("text").alias("text"))
                        .select("class", "text", "text_key"), "class-texts")
 
