@@ -62,9 +62,9 @@ def test_hashed_equals_exact_where_no_collision(spark, sf):
 def test_target_rank_missing_is_sentinel(spark):
     post = M.tfidf(tf_frame(spark))
     test = spark.createDataFrame([(2, "bbb bbb"), (1, "bbb")], "id long, tweet_line string")
-    ranks = {r.id: r.rank for r in E.target_ranks(test, post, list_size=10).collect()}
+    ranks = {r.id: r.rank for r in E.target_ranks(test, post, list_size=1).collect()}
     assert ranks == {2: 100000, 1: 0}
-    acc = E.accuracy(E.target_ranks(test, post, list_size=10)).collect()[0]
+    acc = E.accuracy(E.target_ranks(test, post, list_size=1)).collect()[0]
     assert acc.n_tests == 2 and acc.n_hits == 1
 
 
@@ -72,7 +72,23 @@ def test_topk_rows_per_query(spark, sf):
     from textrec.plans import catalog
     recs = catalog.q_recommend_benchmark(spark, sf)
     per = recs.groupBy("item_id").count().collect()
-    assert all(r["count"] <= catalog.TOP_K for r in per)
+    songs = catalog.build_model(spark, sf).corpus_ids.count()
+    assert len(per) == spark.read.parquet(f"{sf}/benchmark.parquet").count()
+    assert all(r["count"] == min(catalog.TOP_K, songs) for r in per)
+
+
+def test_a_query_without_tokens_gets_a_full_list(spark):
+    post = M.tfidf(tf_frame(spark))
+    ids = sorted(r.id for r in post.select("id").distinct().collect())
+    songs = post.select("id").distinct().withColumn("name", F.lit("x"))
+    queries = spark.createDataFrame([(0, ""), (1, "zzz"), (2, None), (3, "bbb")], "query_id int, text string")
+    for k in (1, 2, 50):
+        rows = S.recommend(queries, post, songs, k).collect()
+        for q in range(4):
+            mine = sorted((r.rank, r.id) for r in rows if r.query_id == q)
+            assert [rank for rank, _ in mine] == list(range(1, min(k, len(ids)) + 1))
+            if q < 3:
+                assert [i for _, i in mine] == ids[:k]
 
 
 def test_sample_tests_is_stable(spark, sf):

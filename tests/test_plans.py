@@ -36,3 +36,31 @@ def test_postings_scan_pushes_filter(spark, sf):
 def test_select_posts_cap_is_window_group_limit(spark, sf):
     df = catalog.q_select_posts(spark, sf)
     assert "WindowGroupLimit" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_no_exchange_by_kind_or_folder_alone(spark, sf):
+    """Neither the two kinds of line nor a postings folder is one task's work."""
+    import re
+
+    import textrec.operators.clean as C
+    import textrec.plans.build as B
+    from textrec.sources import fixtures as FX
+    seen = []
+    import textrec.session as session
+    keep = session.materialize
+
+    def spy(df, name, *args, **kwargs):
+        seen.append((name, plan(df)))
+        return keep(df, name, *args, **kwargs)
+
+    session.materialize, B.materialize = spy, spy
+    try:
+        B.build_model(spark, sf)
+        C.clean_lines(FX.table(spark, sf, "documents"))
+    finally:
+        session.materialize, B.materialize = keep, keep
+    assert {"lines-kept", "postings"} <= {n for n, _ in seen}
+    for _, p in seen:
+        assert not re.search(r"hashpartitioning\((kind|tb)#\d+L?, \d+\)", p)
+    postings = dict(seen)["postings"]
+    assert re.search(r"rangepartitioning\(tb#\d+ ASC NULLS FIRST, term#\d+ ASC NULLS FIRST, id#", postings)
