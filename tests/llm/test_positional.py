@@ -82,6 +82,16 @@ def test_random_words_against_brute_force():
         assert got == [w[:4] for w in expected(list(enumerate(texts)), items)]
 
 
+def test_proximity_in_spark(spark):
+    docs = spark.createDataFrame([(1, "alpha beta gamma"), (2, "x alpha y beta gamma"), (3, "gamma")], "doc_id bigint, text string")
+    items = spark.createDataFrame([("p", "alpha beta gamma")], "item_id string, text string")
+    index = P.build_index(docs, scratch_path(spark, "p"))
+    got = {r.doc_id: (r["items"], r.near_items) for r in P.find(index, items, slop=1).collect()}
+    assert got == {1: (["p"], []), 2: ([], ["p"]), 3: ([], [])}
+    with pytest.raises(ValueError, match="slop"):
+        P.find(index, items, slop=P.GAP)
+
+
 def test_proximity():
     windows = P.Windows([("p", "alpha beta gamma")])
     texts = ["alpha beta gamma", "alpha x beta gamma", "alpha x y z beta gamma", "alpha beta", "beta gamma"]

@@ -14,6 +14,47 @@ SELECT page_id, strlen(h)::BIGINT AS payload_bytes,
 FROM p JOIN f USING (x)
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: Sets of 5-word shingles, all pairs that share one, and what links reach.
+_OP4 = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS g FROM d),
+u AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS c
+  FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p WHERE 100 * c >= 75 * (na + nb - c)),
+l AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT doc_id AS id, doc_id AS root FROM s UNION SELECT l.b, r.root FROM r JOIN l ON r.id = l.a),
+k AS (SELECT doc_id, md5(array_to_string(list_sort(g), chr(10))) AS key FROM s),
+f AS (SELECT key, min(doc_id) AS class_first FROM k GROUP BY key)
+SELECT s.doc_id, len(g)::BIGINT AS n_shingles, c.component_id,
+  CASE WHEN len(g) > 0 THEN f.class_first ELSE s.doc_id END AS class_first
+FROM s JOIN (SELECT id, min(root) AS component_id FROM r GROUP BY id) c ON c.id = s.doc_id
+JOIN k ON k.doc_id = s.doc_id JOIN f USING (key)
+"""
+
+_OP6_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_OP6 = f"""
+WITH d AS (SELECT doc_id, {_OP6_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_OP6_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS g
+  FROM b, unnest(range(1, greatest(1, len(w) - 9) + 1)) t(i) WHERE len(w) > 0),
+dw AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS g
+  FROM d, (SELECT DISTINCT n FROM win) m, unnest(range(1, len(w) - n + 2)) t(i)),
+hits AS (SELECT DISTINCT doc_id, i, n, item_id FROM dw JOIN win USING (g, n)),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
+it AS (SELECT doc_id, count(*) AS n_items, string_agg(v, ',' ORDER BY v) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS v FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
+"""
+
 SQL: dict[str, str] = {
+    "op4_token_groups": _OP4,
+    "op6_positional_index": _OP6,
     "op9_splittable_warc": _OP9,
 }
