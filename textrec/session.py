@@ -74,8 +74,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not conf_dir and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not conf_dir:
-        # Only when nothing is configured (local runs and tests).
+        # Only in local mode, where driver and tasks share one machine.
         conf_dir = tempfile.mkdtemp(prefix="textrec-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
