@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import StringType
 
+from textrec.session import ship_package
+
 # ---------------------------------------------------------------------------
 # Fixed values of the published algorithm.
 # ---------------------------------------------------------------------------
@@ -201,6 +203,7 @@ def stem_map(terms: DataFrame, term_col: str = "term", lemma_map: DataFrame | No
 
     Distinct is a partial aggregate, so the Python UDF sees each term once no
     matter how often it occurs; a lemma table, when given, is applied first."""
+    ship_package(terms.sparkSession)
     vocab = terms.select(F.col(term_col).alias("term")).distinct()
     base = F.col("term")
     if lemma_map is not None:

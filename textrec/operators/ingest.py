@@ -53,8 +53,10 @@ def rejected_posts(posts: DataFrame, songs: DataFrame, song_col: str = "song") -
 
 
 def fix_names(songs: DataFrame, fixes: DataFrame) -> DataFrame:
-    """Apply a (name, new_name) correction table."""
-    return (songs.join(fixes.select("name", "new_name").dropDuplicates(["name"]), "name", "left")
+    """Apply a (name, new_name) correction table; of several corrections
+    of a name the smallest counts."""
+    one = fixes.groupBy("name").agg(F.min("new_name").alias("new_name"))
+    return (songs.join(one, "name", "left")
                  .withColumn("name", F.coalesce("new_name", "name")).drop("new_name"))
 
 

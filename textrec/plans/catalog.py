@@ -415,10 +415,11 @@ def q_stream_intake(spark, sf):
     flat = _posts_flat(spark, sf)
     songs = FX.attach_songs(spark, sf)
     existing = FX.existing_post_ids(spark, sf)
-    # two drops; both copies of a tweet (events 2k and 2k+1) land in the same drop
-    SK.write_json(flat.where(F.col("seq") % 4 < 2), landing)
+    # two drops; the copies of a tweet (events 2k and 2k+1) cross them, so the
+    # second drop has to find the stored ones
+    SK.write_json(flat.where(F.col("seq") % 2 == 0), landing)
     WS.run_intake(spark, landing, table, ckpt, songs, SC.POSTS, existing)
-    SK.write_json(flat.where(F.col("seq") % 4 >= 2), landing, mode="append")
+    SK.write_json(flat.where(F.col("seq") % 2 == 1), landing, mode="append")
     WS.run_intake(spark, landing, table, ckpt, songs, SC.POSTS, existing)
     out = spark.read.parquet(table)
     return out.select("song_id", "song", "tweet_id", F.col("created").cast("string").alias("created"), "seq")

@@ -16,13 +16,18 @@ from textrec.sources import sinks as SK
 def intake_snapshot(spark: SparkSession, tracks: DataFrame, audio: DataFrame, whole_path: str,
                     new_path: str, run_date) -> DataFrame:
     """M13 + K7 + K8: today's new songs are appended to the song list and
-    also written on their own; a missing list starts empty."""
+    also written on their own; a missing list starts empty.
+
+    A run may be repeated, also after a failure between the two writes: songs
+    of the same day don't count as known, the day's table is written anew, and
+    only what the list lacks is appended."""
     SK.ensure_table(spark, whole_path, SC.SONGS)
     whole = spark.read.parquet(whole_path)
-    new = CO.intake(tracks, audio, whole.select("name"), run_date)
+    known = whole.where(~F.col("add_date").eqNullSafe(CO.run_day(run_date)))
+    new = CO.intake(tracks, audio, known.select("name"), run_date)
     new = new.select(*[F.col(f.name).cast(f.dataType) for f in SC.SONGS.fields])
-    SK.write_parquet(new, new_path)
-    SK.append(spark.read.parquet(new_path), whole_path)
+    SK.write_parquet(new, new_path, "overwrite")
+    SK.append(spark.read.parquet(new_path).join(whole.select("id"), "id", "left_anti").select(*whole.columns), whole_path)
     return spark.read.parquet(whole_path)
 
 

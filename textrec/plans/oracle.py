@@ -308,7 +308,7 @@ WHERE length(line) - length(replace(line, ' ', '')) > 2""",
 SQL["csv_round_trip"] = _q(POST_OUT + f"""
 FROM flat WHERE lang = 'en' AND created < TIMESTAMP '{CAT.END_DATE}' AND retweeted = 0""", FLAT)
 SQL["ingest_batch"] = SQL["attach_posts"]
-SQL["stream_intake"] = SQL["attach_posts"]
+SQL["stream_intake"] = SQL["attach_posts"].replace("ORDER BY song, seq", "ORDER BY seq % 2, song, seq")  # the first drop wins
 SQL["recommend_from"] = SQL["recommend_benchmark"]
 SQL["path_to_song"] = _q(f"""SELECT song, song AS song_from_path, tweet_id, '{CAT.RUN_DATE}' AS date
 FROM flat WHERE lang = 'en' AND created < TIMESTAMP '{CAT.END_DATE}' AND retweeted = 0""", FLAT)

@@ -8,6 +8,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -121,3 +122,21 @@ def discard(*frames) -> None:
             target = jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(conf).delete(target, True)
             df._scratch = None
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send the package to the executors once per application, so that Python
+    tasks can import it whatever their working folder or PYTHONPATH is."""
+    sc = spark.sparkContext
+    if getattr(sc, "_textrec_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="textrec-"), "textrec-package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in sorted(os.walk(root)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("textrec", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._textrec_shipped = True

@@ -45,11 +45,14 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", partiti
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Only a missing path counts as absent; any other failure is raised."""
     try:
         spark.read.parquet(path).schema  # noqa: B018
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
 def ensure_table(spark: SparkSession, path: str, schema: StructType) -> None:
