@@ -375,8 +375,10 @@ def encode_documents(docs: DataFrame, path: str, lexicon_file: str, text_col: st
         enc = encoder(path, lexicon_file)
         for rows, texts in text_slices(batches, text_col):
             found = enc.encode(texts)
+            flat = np.array(" ".join([ids for ids, _, n in found if n]).split(), np.int32)
+            ends = np.cumsum([0] + [n for _, _, n in found])
             yield pa.RecordBatch.from_arrays(
-                [*rows.columns, pa.array([[int(i) for i in ids.split()] for ids, _, _ in found], pa.list_(pa.int32())),
+                [*rows.columns, pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
                  pa.array([d for _, d, _ in found], pa.string())], names=[*rows.schema.names, *names])
 
     return docs.mapInArrow(run, schema)
