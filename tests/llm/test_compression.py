@@ -66,3 +66,26 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert kept.schema == odd_docs.schema
     assert Counter(r.doc_id for r in kept.collect()) == Counter(r.doc_id for r in rows if r.kept)
     assert C.measure(no_docs, C.fit_limits(no_docs)).count() == 0 and C.filter_documents(no_docs).count() == 0
+
+
+def prose(rng, vocab, n):
+    return " ".join(rng.choice(vocab, n))
+
+
+def test_copies_do_not_become_the_norm(spark):
+    """A band that is 70 % copies of one repetitive text: the others stay, and
+    the copies, which pass the base rules, go.  A thin band has its
+    neighbours' norm."""
+    rng = np.random.default_rng(2)
+    vocab = ["".join(rng.choice(list("etaoinshrdlu"), rng.integers(2, 9))) for _ in range(900)]
+    clean = [prose(rng, vocab, 300) for _ in range(90)]
+    size = sorted(len(t) for t in clean)[45]
+    copy = prose(rng, vocab[:12], 900)[:size]
+    noise = " ".join("".join(map(chr, rng.integers(33, 2000, 6))) for _ in range(300))
+    rows = [(i, t) for i, t in enumerate(clean)] + [(1000 + i, copy) for i in range(210)] + [(5000, noise)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert not C.base_measures(copy)[-1] and not C.base_measures(noise)[-1]
+    assert sum(C.band(len(t)) == C.band(len(copy)) for t in clean) > 20
+    assert C.band(len(noise.encode())) not in {C.band(len(t)) for t in clean}
+    assert {r.doc_id for r in C.filter_documents(df).collect()} == set(range(90))
+    assert C.fit_norms(df) == C.fit_norms(df.dropDuplicates(["text"]).repartition(5))

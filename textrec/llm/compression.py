@@ -6,13 +6,17 @@ length, noise far worse.  What is usual depends on the length (a short text
 compresses little), so texts are put in length bands, two for each doubling of
 the byte length, and each band has its own limits.
 
-The limits come from all documents with text: an exact
-histogram of ratios (in thousandths) for each band is counted by Spark, and a
-band's limits are its median minus/plus ``SPREAD_LOW`` / ``SPREAD_HIGH``
-robust standard deviations (1.4826 x median absolute deviation), at least
-``FLOOR`` of the median.  The histogram is bounded (bands x ratios), whatever
-the input.  A band with one text, or with equal texts only, keeps them: the
-median is their own ratio.
+The limits come from all documents with text, each distinct text counted
+once, so that copies don't become the norm: Spark groups the ratios by a hash
+of the text and counts an exact histogram of ratios (in thousandths) for each
+band.  A band's limits are its median minus/plus ``SPREAD_LOW`` /
+``SPREAD_HIGH`` robust standard deviations (1.4826 x median absolute
+deviation), at least ``FLOOR`` of the median.  No band's deviation is below
+that of the typical band (a share of the median), and a band with fewer than
+``MIN_TEXTS`` texts takes its neighbours in, up to ``REACH`` bands on either
+side.  The histogram is bounded (bands x ratios), whatever the input.  A text
+without another one in reach is judged by its chunks only.  ``fit_limits`` has
+the plain limits over rows, each band by itself.
 
 Defined cases: null text counts as empty (no words, fails the base rules);
 empty tables give an empty result; repeated rows are judged alike; a text of
@@ -20,6 +24,7 @@ any length is compressed whole."""
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -35,6 +40,10 @@ LEVEL = 3
 SPREAD_LOW = 3.0
 SPREAD_HIGH = 6.0
 FLOOR = 0.08
+#: A band with fewer distinct texts takes in its neighbours up to REACH bands
+#: away (a factor of four in length).
+MIN_TEXTS = 30
+REACH = 4
 #: A text fails when more than this share of its full chunks is out of limits.
 CHUNK_SHARE = 0.25
 MIN_WORDS = 10
@@ -140,6 +149,30 @@ def histogram(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return parts.groupBy("kind", "band", "ratio").agg(F.sum("n").alias("n"))
 
 
+def distinct_histogram(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``histogram`` with each distinct text counted once.  What is grouped is
+    a hash of the text and its ratios; copies are combined in their tasks."""
+    ship_package(docs.sparkSession)
+
+    def run(batches):
+        ratios = Ratios()
+        for _, texts in text_slices(batches):
+            raws = [t.encode("utf-8", "surrogatepass") for t in texts if t]
+            found = [ratios.of(raw) for raw in raws]
+            yield pa.RecordBatch.from_pydict({
+                "key": pa.array([hashlib.blake2b(raw, digest_size=16).digest() for raw in raws], pa.binary()),
+                "band": pa.array([band(len(raw)) for raw in raws], pa.int32()),
+                "ratio": pa.array([whole for whole, _ in found], pa.int32()),
+                "chunks": pa.array([chunks for _, chunks in found], pa.list_(pa.int32()))})
+
+    texts = (docs.select(F.col(text_col).cast("string").alias("text"))
+             .mapInArrow(run, "key binary, band int, ratio int, chunks array<int>").distinct())
+    whole = F.struct(F.lit("w").alias("kind"), "band", "ratio")
+    chunks = F.transform("chunks", lambda c: F.struct(F.lit("c").alias("kind"), F.lit(0).alias("band"), c.alias("ratio")))
+    return (texts.select(F.explode(F.concat(F.array(whole), chunks)).alias("x")).select("x.*")
+            .groupBy("kind", "band", "ratio").agg(F.count("*").alias("n")))
+
+
 def weighted_median(counts: dict[float, int]) -> float:
     """Mean of the lower and the upper median."""
     total, seen, low = sum(counts.values()), 0, None
@@ -152,25 +185,59 @@ def weighted_median(counts: dict[float, int]) -> float:
     return 0.0
 
 
-def limits_of(counts: dict[int, int]) -> tuple[float, float]:
+def spread_of(counts: dict[int, int]) -> tuple[float, float]:
+    """Median and robust standard deviation."""
     mid = weighted_median(counts)
     off = Counter()
     for ratio, n in counts.items():
         off[abs(ratio - mid)] += n
-    sigma = 1.4826 * weighted_median(off)
+    return mid, 1.4826 * weighted_median(off)
+
+
+def limits_of(counts: dict[int, int], least: float = 0.0) -> tuple[float, float]:
+    """``least``: the smallest deviation, as a share of the median."""
+    mid, sigma = spread_of(counts)
+    sigma = max(sigma, least * mid)
     return (mid - max(SPREAD_LOW * sigma, FLOOR * mid), mid + max(SPREAD_HIGH * sigma, FLOOR * mid))
 
 
-def fit_limits(docs: DataFrame, text_col: str = "text") -> Limits:
-    """Limits from all documents.  What is collected is the histogram: at most
-    a few thousand ratios for each of some 70 bands."""
+def collected(counts: DataFrame) -> tuple[dict[int, dict[int, int]], dict[int, int]]:
+    """The histogram of whole texts by band, and that of chunks: at most a few
+    thousand ratios for each of some 70 bands."""
     whole: dict[int, dict[int, int]] = {}
     chunk: dict[int, int] = {}
-    for kind, b, ratio, n in histogram(docs, text_col).collect():
+    for kind, b, ratio, n in counts.collect():
         if kind == "w":
             whole.setdefault(b, {})[ratio] = n
         else:
             chunk[ratio] = n
+    return whole, chunk
+
+
+def pooled(whole: dict[int, dict[int, int]], b: int) -> Counter:
+    """Ratios of a band, with those of the nearest bands if it is thin."""
+    out = Counter(whole[b])
+    for d in range(1, REACH + 1):
+        if out.total() >= MIN_TEXTS:
+            break
+        for other in (b - d, b + d):
+            out.update(whole.get(other, {}))
+    return out
+
+
+def fit_norms(docs: DataFrame, text_col: str = "text") -> Limits:
+    """The limits that texts are judged by: from distinct texts, thin bands
+    pooled, deviations not below the typical band's."""
+    whole, chunk = collected(distinct_histogram(docs, text_col))
+    pools = {b: pooled(whole, b) for b in whole}
+    spreads = [spread_of(c) for c in pools.values() if c.total() >= MIN_TEXTS]
+    least = weighted_median(Counter(sigma / mid for mid, sigma in spreads)) if spreads else 0.0
+    return Limits({b: limits_of(c, least) for b, c in pools.items()}, limits_of(chunk) if chunk else Limits.chunk)
+
+
+def fit_limits(docs: DataFrame, text_col: str = "text") -> Limits:
+    """Limits over all rows, each band by itself."""
+    whole, chunk = collected(histogram(docs, text_col))
     return Limits({b: limits_of(c) for b, c in whole.items()}, limits_of(chunk) if chunk else Limits.chunk)
 
 
@@ -213,7 +280,7 @@ NAMES = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repea
 def filter_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents that pass the base rules and the compression bands, all
     columns unchanged."""
-    limits = fit_limits(docs, text_col)
+    limits = fit_norms(docs, text_col)
 
     def mask(texts):
         ratios = Ratios()
@@ -225,4 +292,4 @@ def filter_documents(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def op2_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return measure(docs, fit_limits(docs))
+    return measure(docs, fit_norms(docs))
