@@ -102,3 +102,21 @@ def test_redaction_and_odd_rows(spark, odd_docs, no_docs):
     assert got == [(1, "mail [EMAIL] or [PHONE]", 23), (2, None, 3), (3, "clean", 99), (3, "clean", 99)]
     assert P.redact(odd_docs).schema == odd_docs.schema and P.redact(odd_docs).count() == odd_docs.count()
     assert P.find(odd_docs).count() == odd_docs.count() and P.find(no_docs).count() == 0
+
+
+def test_each_form_of_the_table_is_opened_and_found():
+    """Every labelled span, in its own sentence; the e-mail forms without any
+    digit or the word "dot" also in new sentences."""
+    field = P.field()
+    lines = [(re.sub(r"\{\w+:([^}]*)\}", r"\1", x), re.findall(r"\{\w+:([^}]*)\}", x)) for x in P.TRAINING]
+    for (text, want), (_, spans) in zip(lines, P.all_spans([t for t, _ in lines], field), strict=True):
+        got = [text[s:e] for _, s, e in spans]
+        # a base pattern keeps an address without its port or its prefix length
+        assert got == [re.sub(r"^([0-9.]+)[:/][0-9]+$", r"\1", w) if w.count(".") == 3 else w for w in want], text
+    new = [("please write to j.roe (at) example.org", ["j.roe (at) example.org"]), ("sam AT corp.org", ["sam AT corp.org"]),
+           ("mail tom [at] mail.net please", ["tom [at] mail.net"]), ("contact mary at example.org today", ["mary at example.org"]),
+           ("reach info(at)example.com here", ["info(at)example.com"]), ("she glanced at example.com and left", []),
+           ("he sat at home. Then he left", []), ("look at it.", []), ("more at www.example.com", [])]
+    for (text, want), (_, spans) in zip(new, P.all_spans([t for t, _ in new], field), strict=True):
+        assert [text[s:e] for _, s, e in spans] == want, text
+        assert P.redacted(text, spans) == (text.replace(want[0], "[EMAIL]") if want else text)

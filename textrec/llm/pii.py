@@ -8,7 +8,8 @@ addresses with "at" and "dot", and so on).  It labels white-space words with
 B/I tags from the shapes of the word and of its neighbours, and is trained
 from a small labelled table (``TRAINING``) by gradient steps on the exact
 likelihood.  Its sequences are the words within ``CONTEXT`` words of a seed: a
-word with a digit or an at sign, or one of ``SEED_WORDS``.  All sequences of a
+word with a digit, an at sign, "(at)" or "[at]", one of ``SEED_WORDS``, or "at"
+before a word with a dot inside.  All sequences of a
 slice are decoded together, by Viterbi steps on numpy arrays of equal-length
 classes.  A decoded span is added if it has what its kind needs (digits, a
 check sum, a host) and overlaps no base span; base spans always stay.
@@ -103,6 +104,17 @@ a1b2c3 d4e5 f6 is a code
 see http://example.net/fr/25930 for more
 the commit 4c2ef3bd91 fixed it
 born 1970, moved 1990, died 2020.
+contact {email:ann at example.org} for more
+my address is {email:sam AT corp.com} now
+write to {email:j.doe at mail.example.org} soon
+{email:kim AT uni.edu}
+email {email:info(at)example.com} or {email:lee[at]mail.net} please
+she looked at example.com yesterday
+they shop at example.com often
+we met at St.Paul and stayed at home
+look at www.example.org for more
+the train arrived at a.m. hours
+read more at example.org and at docs.example.org
 """.strip().split("\n")
 
 # ---- base patterns --------------------------------------------------------
@@ -163,7 +175,9 @@ def base_spans(text: str) -> dict[str, list[tuple[int, int]]]:
 
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_SEED = re.compile(r"[0-9@]|\b(?:" + "|".join(SEED_WORDS) + r")\b", re.I)
+_SEED = re.compile(r"[0-9@]|[(\[]at[)\]]|\b(?:" + "|".join(SEED_WORDS) + r")\b", re.I)
+#: A seed by what follows it.
+_AT = re.compile(r"(?<![^\x20\x09-\x0D])at(?=[\x20\x09-\x0D]+[^\x20\x09-\x0D]*\w\.\w)", re.I)
 _RUN = re.compile(r"[0-9]+|[^\W\d_]+|.", re.S)
 
 
@@ -186,6 +200,8 @@ def attributes(word: str) -> tuple[str, ...]:
         out.append(f"colons={min(core.count(':'), 3)}")
     if low.strip("()[]") in TRIGGERS:
         out.append("is=" + low.strip("()[]"))
+    if core in ("AT", "DOT"):
+        out.append("capitals")
     if low.isalpha():
         out.append("letters")
     if digits and not re.search(r"[^\W\d_]", core):
@@ -329,15 +345,16 @@ class Field:
 def sequences_of(text: str) -> list[list[tuple[int, int]]]:
     """Word spans in runs around seeds; runs don't cross lines."""
     out = []
-    if not _SEED.search(text):
+    if not _SEED.search(text) and not _AT.search(text):
         return out
     at = 0
     for line in text.split("\n"):
-        if _SEED.search(line):
+        before = {m.start() for m in _AT.finditer(line)}
+        if before or _SEED.search(line):
             spans = [m.span() for m in _WORD.finditer(line)]
             keep = np.zeros(len(spans), bool)
             for i, (s, e) in enumerate(spans):
-                if _SEED.search(line[s:e]):
+                if s in before or _SEED.search(line[s:e]):
                     keep[max(0, i - CONTEXT):i + CONTEXT + 1] = True
             run: list[tuple[int, int]] = []
             for k, (s, e) in zip(keep, spans, strict=True):
@@ -357,7 +374,7 @@ def plausible(kind: str, text: str) -> bool:
     digits = "".join(_DIGIT.findall(text))
     letters = re.search(r"[^\W\d_]", text)
     if kind == "email":
-        return re.search(r"(?i)\w\s*(@|\(at\)|\[at\]|\bat\b)\s*\w", text) is not None and \
+        return re.fullmatch(r"[\w.%+-]+@localhost", text) is not None or re.search(r"(?i)\w\s*(@|\(at\)|\[at\]|\bat\b)\s*\w", text) is not None and \
             re.search(r"(?i)\w\s*(\.|\(dot\)|\[dot\]|\bdot\b)\s*\w", text.split("@")[-1]) is not None
     if kind == "ip":
         if text.count(":") >= 3:
