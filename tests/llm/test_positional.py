@@ -99,3 +99,61 @@ def test_proximity():
     found = P.matches(seg, windows, slop=2)
     assert found[0][1] == {"p"} and found[0][0] == [(0, 3)]
     assert found[1] == ([], set(), {"p"}) and set(found) == {0, 1}
+
+
+def near(text, items, slop):
+    """Exact and near-only items: the first word anywhere, the others within
+    ``slop`` words of their places after it."""
+    w, at = words(text), {}
+    for i, x in enumerate(w):
+        at.setdefault(x, set()).add(i)
+    exact, loose = set(), set()
+    for item, t in items:
+        q = words(t)
+        for g in {tuple(q[i:i + 10]) for i in range(max(1, len(q) - 9))} if q else ():
+            if all(x in at for x in g):
+                for a in at[g[0]]:
+                    if all(a + i in at[x] for i, x in enumerate(g)):
+                        exact.add(item)
+                    elif all(any(a + i + d in at[x] for d in range(-slop, slop + 1)) for i, x in enumerate(g) if i):
+                        loose.add(item)
+    return exact - {None}, loose - exact - {None}
+
+
+@pytest.mark.parametrize("slop", [1, 2])
+def test_random_proximity_against_brute_force(slop):
+    rng = np.random.default_rng(5)
+    for size in (1, 7, 30):  # documents in a segment: the result doesn't depend on it
+        texts = [" ".join(rng.choice(list("abcdefgh"), rng.integers(0, 40))) for _ in range(30)]
+        items = [(str(i), " ".join(rng.choice(list("abcdefgh"), rng.integers(2, 6)))) for i in range(12)]
+        windows, loose = P.Windows(items), 0
+        for lo in range(0, 30, size):
+            part = texts[lo:lo + size]
+            found = P.matches(P.Segment.of([P.words_of(t) for t in part]), windows, slop)
+            for i, t in enumerate(part):
+                got = found.get(i, ([], set(), set()))
+                assert (got[1], got[2]) == near(t, items, slop)
+                loose += len(got[2])
+        assert loose > 10
+
+
+def test_registered_query_returns_near_items(spark, sf, tmp_path):
+    """A passage with a word put into every window is near; exact columns are
+    those of the exact query."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    items = spark.read.parquet(f"{sf}/benchmark.parquet")
+    passage = next(t for t, in rows(items, "text") if len(words(t)) >= 20)
+    w = words(passage)
+    broken = " ".join(x for i in range(0, len(w), 5) for x in [*w[i:i + 5], "zzz"])
+    docs = docs.unionByName(spark.createDataFrame([(10**9, broken)], docs.schema))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    texts, found = dict(rows(docs, "doc_id", "text")), P.op6_positional_near(spark, str(tmp_path))
+    exact = P.op6_positional_index(spark, str(tmp_path))
+    got = found.collect()
+    assert sorted(map(tuple, found.select(exact.columns).collect())) == sorted(map(tuple, exact.collect()))
+    pairs = [(str(i), t) for i, t in rows(items, "item_id", "text")]
+    for r in got:
+        assert r.near_items == sorted(near(texts[r.doc_id], pairs, P.SLOP)[1]) and r.n_near_items == len(r.near_items)
+    assert next(r for r in got if r.doc_id == 10**9).n_near_items > 0
+    assert not next(r for r in got if r.doc_id == 10**9).contaminated

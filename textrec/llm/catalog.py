@@ -12,6 +12,7 @@ QUERIES = {
     "op4_token_groups": group_jaccard.op4_token_groups,
     "op5_transducer_bpe": lexicon.op5_transducer_bpe,
     "op6_positional_index": positional.op6_positional_index,
+    "op6_positional_near": positional.op6_positional_near,
     "op7_compression_distance": toxicity.op7_compression_distance,
     "op8_crf_pii": pii.op8_crf_pii,
     "op9_splittable_warc": warc.op9_splittable_warc,

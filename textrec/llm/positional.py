@@ -13,11 +13,14 @@ for a shorter item) are looked up in every segment.  Windows with a term that
 the segment lacks are dropped at once.  For the others the positions of the
 rarest term, shifted by its offset, are intersected with the shifted positions
 of the next rarer ones.  With ``slop`` each term may stand that many words away
-from its exact place (proximity); exact phrases are those with none.
+from its exact place, counted from the window's first word (proximity), which
+doesn't depend on the segments; exact phrases are those with none.
 
 The test side is dealt by hash into parts of at most ``PART_BYTES``, each a
 broadcast of checked size; matches of all parts are merged for each document.
-The registered query asks for exact phrases (``slop`` 0), which SQL can repeat.
+``op6_positional_index`` asks for exact phrases (``slop`` 0), which SQL can
+repeat; ``op6_positional_near`` has the same columns and the items that are near
+within ``SLOP`` words only.
 
 Defined cases: null and wordless texts have no words and no hits; items
 without words have no windows; an item without an id hits but isn't counted;
@@ -36,6 +39,7 @@ from textrec.llm.common import id_text, id_type, keep_where, ship_package, table
 from textrec.session import scratch_path
 
 WINDOW = 10
+SLOP = 2
 #: More than a window and any sensible slop.
 GAP = 64
 SEGMENT_WORDS = 1 << 20
@@ -128,6 +132,12 @@ def search(segment: Segment, windows: Windows, slop: int = 0):
         terms = [int(t) for t in matrix[number] if t >= 0]
         order = sorted(range(len(terms)), key=lambda i: (segment.counts[terms[i]], i))
         at = segment.postings(terms[order[0]]) - order[0]
+        if slop and order[0]:  # the places of the first word that have the rarest in reach
+            first, at = segment.postings(terms[0]), np.unique(np.add.outer(at, np.arange(-slop, slop + 1)))
+            k = np.searchsorted(first, at)
+            there = k < len(first)
+            there[there] = first[k[there]] == at[there]
+            at, order = at[there], [0, *(i for i in order if i)]
         exact = np.ones(len(at), bool)
         for i in order[1:]:
             if not len(at):
@@ -335,10 +345,19 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", id_
     return out
 
 
-def op6_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+def findings(spark: SparkSession, sf_dir: str, slop: int) -> DataFrame:
     index = build_index(table(spark, sf_dir, "documents"), scratch_path(spark, "postings"))
-    found = find(index, table(spark, sf_dir, "benchmark"))
+    found = find(index, table(spark, sf_dir, "benchmark"), slop)
     hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, x: n + x["e"] - x["s"])
     return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-                        (hit > 0).alias("contaminated"))
+                        (hit > 0).alias("contaminated"), F.array_sort("near_items").alias("near_items"))
+
+
+def op6_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return findings(spark, sf_dir, 0).drop("near_items")
+
+
+def op6_positional_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``op6_positional_index`` with n_near_items and near_items."""
+    return findings(spark, sf_dir, SLOP).withColumn("n_near_items", F.size("near_items").cast("bigint"))
