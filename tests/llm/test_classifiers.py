@@ -59,3 +59,14 @@ def test_dual_coordinate_descent_reaches_the_optimum():
     grid = np.linspace(-3, 3, 60_001)
     loss = grid ** 2 / 2 + 0.7 * sum(np.maximum(0, 1 - k * grid * v[0]) for k, (_, v) in zip(y, rows, strict=True))
     assert abs(w - grid[loss.argmin()]) < 1e-3
+
+
+def test_all_toxic_segments_are_in_the_dictionary():
+    """Also those of a sample with more than a few kilobytes of them."""
+    import random
+    rng = random.Random(4)
+    words = sorted({"".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(1500)})
+    toxic = [" ".join(rng.sample(words, len(words))) for _ in range(12)]
+    ordinary = [" ".join(f"word{rng.randrange(300)}" for _ in range(50)) for _ in range(60)]
+    plain, found = toxicity.dictionaries(toxic, ordinary)
+    assert set(words) <= set(found.decode().split()) and len(plain) == len(found)

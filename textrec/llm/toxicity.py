@@ -6,6 +6,8 @@ ordinary rows; the toxic one ends with the segments (words and their
 beginnings) that are far more frequent in toxic rows, where the ordinary one
 has further ordinary words of the same size.  A segment counts by its distinct
 neighbours, not by its occurrences, so passages that copies share don't get in.
+Toxic phrases of ordinary words give no gain; dictionaries of whole windows find
+far less (README).
 
 A text is cut into windows of ``WINDOW`` words.  A window's gain is by how many
 bytes it is shorter with the toxic dictionary than with the ordinary one.  The
@@ -32,7 +34,6 @@ from textrec.llm.learning import Constant, Logistic, scored, split_rows, trainin
 
 WINDOW = 8
 ORDINARY_BYTES = 40_000
-TOXIC_BYTES = 8_000
 MIN_CONTEXTS = 3
 #: Log-odds of a segment, and how many standard errors they are at least.
 MIN_LOG_ODDS = 2.5
@@ -80,7 +81,7 @@ def toxic_segments(toxic: list[str], ordinary: list[str]) -> list[str]:
 
 def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
     """Contents of the ordinary and the toxic dictionary, of the same size."""
-    found = " ".join(toxic_segments(toxic, ordinary)).encode()[-TOXIC_BYTES:]
+    found = " ".join(toxic_segments(toxic, ordinary)).encode()
     counts = Counter(w for t in ordinary for w in t.lower().split())
     words = sorted(counts, key=lambda w: (-counts[w], w))[:ORDINARY_BYTES]
     common = " ".join(reversed(words)).encode("utf-8", "surrogatepass")
