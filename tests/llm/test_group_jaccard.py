@@ -92,3 +92,18 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 90), (95, 100)], "a bigint, b bigint")
     got = {(r.node, r.root) for r in G.components(links).collect()}
     assert got == {(i, 0) for i in range(41)} | {(90, 90), (95, 90), (100, 90)}
+
+
+def test_keep_one_goes_by_links_not_by_ids(spark):
+    """Rows that share an id but don't link stay, also where the id is another
+    component's smallest; near copies without ids leave one."""
+    rng = np.random.default_rng(9)
+    a, b, c, d = ([f"{x}{i}" for i in rng.permutation(200)[:60]] for x in "abcd")
+    rows = [(1, a), (1, b), (2, c), (3, [*c[:-1], "other"]), (2, d), (None, [*d[1:], "x"]),
+            *((None, [f"n{i}" for i in range(60)][:59 - k] + ["y"] * (1 + k)) for k in range(3))]
+    rows = [(i, " ".join(w)) for i, w in rows]
+    kept = G.keep_one(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    texts = {r.text for r in kept}
+    assert {t for _, t in rows[:3]} <= texts and rows[3][1] not in texts
+    assert rows[4][1] in texts and rows[5][1] not in texts
+    assert len(kept) == 5 and len(texts & {t for _, t in rows[6:]}) == 1

@@ -438,8 +438,9 @@ def class_texts(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, text_key, n_shingles, class, component_id
-    and class_first (the smallest id of its class)."""
+    """One row per document: doc_id, text_key, n_shingles, class, component_id,
+    class_first (the smallest id of its class) and component (a key that doesn't
+    depend on ids; null without shingles)."""
     spark = docs.sparkSession
     ship_package(spark)
     pairs = keyed(docs, id_col, text_col)
@@ -458,12 +459,12 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
              .select("class", "root"))
     named = materialize(classes.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class")), "named")
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    labels = materialize(named.join(least, "root").select("class", "first", "component_id"), "labels")
+    labels = materialize(named.join(least, "root").select("class", "first", "component_id", "root"), "labels")
     discard(sets, links, named, classes)
     own = F.when(F.col("n_shingles") > 0, F.col("class"))  # documents without shingles link with nothing
     return rows.withColumn("class", own).join(labels, "class", "left").select(
         "doc_id", "text_key", "n_shingles", "class", F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce("first", "doc_id").alias("class_first"))
+        F.coalesce("first", "doc_id").alias("class_first"), F.coalesce("root", "class").alias("component"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -471,11 +472,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     without an id or with the same id: the smallest text hash, then any of
     equal rows).  Documents without shingles all stay."""
     found = materialize(join(docs, id_col, text_col).where("n_shingles > 0")
-                        .select("doc_id", "text_key", "component_id"), "found")
+                        .select("doc_id", "text_key", "component"), "found")
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    best = (found.groupBy("component_id").agg(F.min(row).alias("best"), F.count("*").alias("rows"))
+    best = (found.groupBy("component").agg(F.min(row).alias("best"), F.count("*").alias("rows"))
             .where("rows > 1"))
-    drop = (found.join(best, "component_id").where(~row.eqNullSafe(F.col("best"))).select("doc_id", "text_key").distinct())
+    drop = (found.join(best, "component").where(~row.eqNullSafe(F.col("best"))).select("doc_id", "text_key").distinct())
     twice = (found.groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key"))
     key = fresh(docs, "text_key")
     keyed_docs = docs.withColumn(key, F.xxhash64(F.col(text_col).cast("string")))
