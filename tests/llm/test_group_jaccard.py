@@ -107,3 +107,11 @@ def test_keep_one_goes_by_links_not_by_ids(spark):
     assert {t for _, t in rows[:3]} <= texts and rows[3][1] not in texts
     assert rows[4][1] in texts and rows[5][1] not in texts
     assert len(kept) == 5 and len(texts & {t for _, t in rows[6:]}) == 1
+
+
+@pytest.mark.parametrize("buckets", [1, 12, 64, 100, 4096])
+def test_info_rows_of_first_chunks_are_spread(buckets):
+    schema = G.chunk_schema(G.pa.int64())
+    found = Counter(G.Chunk(part << 24).rows(buckets, G.pa.int64(), schema).column("bucket")[0].as_py() for part in range(640))
+    assert all(-buckets <= b < 0 for b in found)
+    assert max(found.values()) <= max(4, 3 * 640 / buckets)

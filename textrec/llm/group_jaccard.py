@@ -127,6 +127,12 @@ def prefix_size(n: int) -> int:
 
 # ---- 1. documents whose tokens others share ------------------------------
 
+def info_bucket(number: int, buckets: int) -> int:
+    """A negative bucket from the mixed bits of a chunk's number, whose low bits
+    are zero for the first chunk of each partition."""
+    return -1 - ((number * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) >> 32) % buckets
+
+
 class Chunk:
     """Sets of consecutive documents on their way to the buckets."""
 
@@ -141,7 +147,7 @@ class Chunk:
         distinct, place, counts = np.unique(tokens, return_inverse=True, return_counts=True)
         shared_here = counts[place] > 1
         own = np.bincount(docs[shared_here], minlength=len(sizes))
-        out = [{"bucket": -1 - self.number % buckets, "chunk": self.number, "doc_ids": self.ids,
+        out = [{"bucket": info_bucket(self.number, buckets), "chunk": self.number, "doc_ids": self.ids,
                 "text_keys": self.text_keys, "sizes": sizes.tolist(), "own": own.tolist(),
                 "keys": [set_key(s) for s in self.sets]}]
         asked, asked_docs = tokens[~shared_here], docs[~shared_here]
