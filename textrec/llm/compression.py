@@ -62,6 +62,8 @@ class Limits:
     """(low, high) in thousandths by length band; chunks have one pair."""
     whole: dict[int, tuple[float, float]] = field(default_factory=dict)
     chunk: tuple[float, float] = (0.0, float("inf"))
+    #: What texts are judged by, if other than these.
+    norms: Limits | None = None
 
 
 def band(n_bytes: int) -> int:
@@ -236,14 +238,17 @@ def fit_norms(docs: DataFrame, text_col: str = "text") -> Limits:
 
 
 def fit_limits(docs: DataFrame, text_col: str = "text") -> Limits:
-    """Limits over all rows, each band by itself."""
+    """Limits over all rows, each band by itself, with the norms of
+    ``fit_norms``, which texts are judged by."""
     whole, chunk = collected(histogram(docs, text_col))
-    return Limits({b: limits_of(c) for b, c in whole.items()}, limits_of(chunk) if chunk else Limits.chunk)
+    return Limits({b: limits_of(c) for b, c in whole.items()}, limits_of(chunk) if chunk else Limits.chunk,
+                  fit_norms(docs, text_col))
 
 
 def verdict(raw: bytes, ratios: Ratios, limits: Limits) -> tuple[bool, int, int, int]:
     """kept, whole ratio, full chunks, chunks out of limits."""
     whole, chunks = ratios.of(raw)
+    limits = limits.norms or limits
     low, high = limits.whole.get(band(len(raw)), (0.0, float("inf")))
     c_low, c_high = limits.chunk
     bad = sum(not c_low <= c <= c_high for c in chunks)
