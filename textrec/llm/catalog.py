@@ -3,7 +3,8 @@ its production parameters, to its whole table."""
 
 from __future__ import annotations
 
-from textrec.llm import ans, compression, group_jaccard, lexicon, licences, nbsvm, pii, positional, toxicity, warc
+from textrec.llm import (ans, compression, group_jaccard, lexicon, licences, nbsvm, pii, positional, toxicity, url_markov,
+                         warc)
 
 QUERIES = {
     "op1_static_rans": ans.op1_static_rans,
@@ -17,4 +18,5 @@ QUERIES = {
     "op8_crf_pii": pii.op8_crf_pii,
     "op9_splittable_warc": warc.op9_splittable_warc,
     "op10_nbsvm_quality": nbsvm.op10_nbsvm_quality,
+    "op13_url_markov": url_markov.op13_url_markov,
 }

@@ -53,8 +53,60 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
 FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+_URL = "'(?s)^.*?://([^/?#]*)([^?#]*)'"
+
+
+def _fits(host: str, path: str) -> str:
+    return f"(host = '{host}' OR suffix(host, '.{host}')) AND prefix(path, '{path}')"
+
+
+def _order(k: int) -> str:
+    """Chances of each window's last character after its last k characters."""
+    return f"""
+p{k} AS (SELECT w,
+  CASE WHEN coalesce(ha, 0) < 4 THEN a ELSE (coalesce(ga, 0) + ta * a) / (ha + ta) END AS a,
+  CASE WHEN coalesce(hb, 0) < 4 THEN b ELSE (coalesce(gb, 0) + tb * b) / (hb + tb) END AS b
+  FROM p{k - 1} LEFT JOIN t ON t.g = right(w, {k + 1}) LEFT JOIN c ON c.h = left(right(w, {k + 1}), {k})),"""
+
+
+#: Rules, counts of grams, five orders of smoothing, mean log-ratios, threshold.
+_OP13 = f"""
+WITH u AS (SELECT DISTINCT coalesce(url, '') AS url FROM pages),
+n AS (SELECT url, translate(regexp_extract(url, {_URL}, 1), {_AZ}) AS host, regexp_extract(url, {_URL}, 2) AS path FROM u),
+r AS (SELECT *, CASE WHEN {_fits('example.org', '/en/1')} THEN 'example.org/en/1'
+  WHEN {_fits('example.org', '/es/')} THEN 'example.org/es/' WHEN {_fits('com', '/fr/')} THEN 'com/fr/'
+  WHEN {_fits('com', '/de/')} THEN 'com/de/' WHEN {_fits('org', '/')} THEN 'org/' END AS rule FROM n),
+l AS (SELECT *, CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' END AS label,
+  substr(md5(url), 1, 1) < '4' AS kept, repeat(chr(2), 4) || translate(url, {_AZ}) || chr(3) AS padded FROM r),
+x AS (SELECT url, label, kept, substr(padded, i, 5) AS w FROM l, unnest(range(1, length(url) + 2)) q(i)),
+t AS (SELECT right(w, k) AS g, count(*) FILTER (label = 'allow') AS ga, count(*) FILTER (label = 'block') AS gb
+  FROM x, range(1, 6) q(k) WHERE label IS NOT NULL AND NOT kept GROUP BY ALL),
+c AS (SELECT left(g, length(g) - 1) AS h, sum(ga) AS ha, count(*) FILTER (ga > 0) AS ta, sum(gb) AS hb,
+  count(*) FILTER (gb > 0) AS tb FROM t GROUP BY ALL),
+p AS (SELECT DISTINCT w, 1.0::DOUBLE / (v + 1) AS a, 1.0::DOUBLE / (v + 1) AS b
+  FROM x, (SELECT count(*) AS v FROM t WHERE length(g) = 1)),
+p0 AS (SELECT w,
+  CASE WHEN coalesce(ha, 0) < 4 THEN a ELSE (coalesce(ga, 0) + ta * a) / (ha + ta) END AS a,
+  CASE WHEN coalesce(hb, 0) < 4 THEN b ELSE (coalesce(gb, 0) + tb * b) / (hb + tb) END AS b
+  FROM p LEFT JOIN t ON t.g = right(w, 1) LEFT JOIN c ON c.h = ''),{''.join(_order(k) for k in range(1, 5))}
+s AS (SELECT url, floor(sum(round((ln(a) - ln(b)) * 1e6)::BIGINT) / count(*))::BIGINT AS score
+  FROM x JOIN p4 USING (w) WHERE label IS NULL OR kept GROUP BY url),
+k AS (SELECT label, floor(score / 10000)::BIGINT AS bin FROM s JOIN l USING (url) WHERE label IS NOT NULL),
+z AS (SELECT count(*) FILTER (label = 'allow') AS n_a, count(*) FILTER (label = 'block') AS n_b FROM k),
+b AS (SELECT m.bin, (SELECT count(*) FROM k WHERE label = 'allow' AND k.bin >= m.bin) / n_a
+    + (SELECT count(*) FROM k WHERE label = 'block' AND k.bin < m.bin) / n_b AS good
+  FROM (SELECT DISTINCT bin FROM k) m, z WHERE n_a > 0 AND n_b > 0),
+cut AS (SELECT coalesce((SELECT bin FROM b ORDER BY good DESC, abs(bin), bin LIMIT 1), 0) * 10000 AS least,
+  (SELECT count(DISTINCT label) FROM l WHERE NOT kept) = 2 AS two)
+SELECT page_id, l.host, l.path, l.rule,
+  coalesce(l.label, CASE WHEN two AND score < least THEN 'block' ELSE 'allow' END) AS verdict, score
+FROM pages JOIN l ON l.url = coalesce(pages.url, '') LEFT JOIN s ON s.url = l.url, cut
+"""
+
 SQL: dict[str, str] = {
     "op4_token_groups": _OP4,
     "op6_positional_index": _OP6,
     "op9_splittable_warc": _OP9,
+    "op13_url_markov": _OP13,
 }
