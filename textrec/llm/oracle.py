@@ -104,9 +104,42 @@ SELECT page_id, l.host, l.path, l.rule,
 FROM pages JOIN l ON l.url = coalesce(pages.url, '') LEFT JOIN s ON s.url = l.url, cut
 """
 
+#: crc32 of a decimal number, bit by bit over its bytes, lowest bit first.
+def _crc32(x: str) -> str:
+    bits = (f"flatten(list_transform(string_split(CAST({x} AS VARCHAR), ''), "
+            "lambda ch: list_transform(range(8), lambda i: (ascii(ch) >> i) & 1)))")
+    return (f"xor(list_reduce(list_concat([4294967295::BIGINT], {bits}), "
+            "lambda a, b: xor(a >> 1, CASE WHEN (xor(a, b) & 1) = 1 THEN 3988292384 ELSE 0 END)), 4294967295)")
+
+
+#: A node's key is the digests of its turns in a row; left(key, 32 * d) is its ancestor of depth d.
+_OP11 = f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS r, length(coalesce(text, '')) AS chars,
+  md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r, k) AS pos FROM t),
+c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_crc32('conv_id')} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+q AS (SELECT c.conv_id, 0 AS part, pos, k, chars FROM c JOIN o ON o.conv_id = base AND pos <= h
+  UNION ALL SELECT c.conv_id, 1, pos, k, chars FROM c JOIN o ON o.conv_id = c.conv_id AND pos > h),
+p AS (SELECT conv_id, chars, row_number() OVER w AS depth, string_agg(k, '') OVER w AS key FROM q
+  WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+e AS (SELECT conv_id, max(depth) AS last FROM p GROUP BY conv_id),
+n AS (SELECT key, depth, min(p.conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS own,
+  sha256(coalesce(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) FILTER (depth = last), '')) AS ends_sha256
+  FROM p JOIN e USING (conv_id) GROUP BY key, depth),
+k AS (SELECT depth - 1 AS depth, left(key, 32 * (depth - 1)) AS key, count(*) AS n FROM n WHERE depth > 0 GROUP BY ALL),
+f AS (SELECT n.*, coalesce(k.n, 0) AS n_children FROM n LEFT JOIN k USING (depth, key)),
+s AS (SELECT left(key, 32 * d) AS key, d AS depth, count(*) FILTER (n_children = 0) AS n_leaves, sum(own)::BIGINT AS saved_tokens
+  FROM f, unnest(range(depth + 1)) u(d) GROUP BY ALL)
+SELECT f.conv_id, f.depth, a.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+FROM f JOIN s USING (key, depth) LEFT JOIN n a ON a.depth = f.depth - 1 AND a.key = left(f.key, 32 * (f.depth - 1))
+"""
+
 SQL: dict[str, str] = {
     "op4_token_groups": _OP4,
     "op6_positional_index": _OP6,
     "op9_splittable_warc": _OP9,
+    "op11_prefix_trie": _OP11,
     "op13_url_markov": _OP13,
 }
