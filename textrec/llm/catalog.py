@@ -3,8 +3,8 @@ its production parameters, to its whole table."""
 
 from __future__ import annotations
 
-from textrec.llm import (ans, compression, group_jaccard, lexicon, licences, nbsvm, pii, positional, prefix_trie, toxicity,
-                         url_markov, warc)
+from textrec.llm import (ans, compression, group_jaccard, lexical, lexicon, licences, nbsvm, pii, positional, prefix_trie,
+                         toxicity, url_markov, warc)
 
 QUERIES = {
     "op1_static_rans": ans.op1_static_rans,
@@ -19,5 +19,6 @@ QUERIES = {
     "op9_splittable_warc": warc.op9_splittable_warc,
     "op10_nbsvm_quality": nbsvm.op10_nbsvm_quality,
     "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+    "op12_shared_search": lexical.op12_shared_search,
     "op13_url_markov": url_markov.op13_url_markov,
 }

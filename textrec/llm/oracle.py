@@ -136,10 +136,27 @@ SELECT f.conv_id, f.depth, a.conv_id AS parent_conv_id, f.n_convs, f.n_children,
 FROM f JOIN s USING (key, depth) LEFT JOIN n a ON a.depth = f.depth - 1 AND a.key = left(f.key, 32 * (f.depth - 1))
 """
 
+_OP12_TERMS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+_OP12 = f"""
+WITH d AS (SELECT doc_id, {_OP12_TERMS} AS w FROM documents),
+k AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS length FROM d WHERE len(w) > 0),
+q AS (SELECT DISTINCT item_id, unnest({_OP12_TERMS}) AS t FROM benchmark),
+p AS (SELECT doc_id, n, t, count(*) AS tf FROM (SELECT row_number() OVER () AS row, doc_id, len(w) AS n, unnest(w) AS t FROM d)
+  WHERE t IN (SELECT t FROM q) GROUP BY row, doc_id, n, t),
+f AS (SELECT t, count(*) AS df FROM p GROUP BY t),
+g AS (SELECT doc_id, t, (floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT
+  * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // length))))::BIGINT AS part FROM p JOIN f USING (t), k),
+s AS (SELECT item_id, doc_id, sum(part)::BIGINT AS score FROM q JOIN g USING (t) GROUP BY item_id, doc_id),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+  FROM s WHERE score > 0)
+SELECT * FROM r WHERE rank <= 10
+"""
+
 SQL: dict[str, str] = {
     "op4_token_groups": _OP4,
     "op6_positional_index": _OP6,
     "op9_splittable_warc": _OP9,
     "op11_prefix_trie": _OP11,
+    "op12_shared_search": _OP12,
     "op13_url_markov": _OP13,
 }
