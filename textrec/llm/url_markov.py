@@ -95,31 +95,34 @@ def windows(urls: DataFrame, order: int, *keep: str) -> DataFrame:
 
 def gram_counts(counted: DataFrame, order: int) -> DataFrame:
     """(g, ga, gb): how often each gram of 1 to ``order`` + 1 characters occurs
-    in accepted and rejected URLs, from window counts (w, na, nb)."""
-    sizes = F.explode(F.sequence(F.lit(1), F.lit(order + 1)))
-    seen = counted.where("na + nb > 0").select("na", "nb", "w", sizes.alias("k"))
-    return seen.groupBy(F.expr("right(w, k)").alias("g")).agg(F.sum("na").alias("ga"), F.sum("nb").alias("gb"))
+    in accepted and rejected URLs (0 if only in others), from window counts
+    (w, na, nb)."""
+    return _suffixes(counted, order).groupBy("g").agg(F.sum("na").alias("ga"), F.sum("nb").alias("gb"))
+
+
+def _suffixes(counted: DataFrame, order: int) -> DataFrame:
+    sizes = counted.select("*", F.explode(F.sequence(F.lit(1), F.lit(order + 1))).alias("k"))
+    return sizes.select("*", F.expr("right(w, k)").alias("g"))
 
 
 def context_counts(grams: DataFrame) -> DataFrame:
     """(h, ha, ta, hb, tb): occurrences of each context and the number of
     distinct characters after it, for both classes."""
-    return grams.groupBy(F.expr("left(g, length(g) - 1)").alias("h")).agg(
+    return grams.where("ga + gb > 0").groupBy(F.expr("left(g, length(g) - 1)").alias("h")).agg(
         F.sum("ga").alias("ha"), F.sum(F.expr("cast(ga > 0 AS bigint)")).alias("ta"),
         F.sum("gb").alias("hb"), F.sum(F.expr("cast(gb > 0 AS bigint)")).alias("tb"))
 
 
 def log_ratios(counted: DataFrame, order: int, min_context: int) -> DataFrame:
     """(w, r): the log-ratio of accepted to rejected of each window's last
-    character, in millionths."""
+    character, in millionths.  Contexts meet distinct grams, so the short ones
+    that most windows share are looked up few times."""
     grams = materialize(gram_counts(counted, order), "url-grams")
-    contexts = context_counts(grams)
-    known = grams.where(F.length("g") == 1).agg(F.count("*").alias("v"))
+    known = grams.where("length(g) = 1 AND ga + gb > 0").agg(F.count("*").alias("v"))
     unknown = 1.0 / (known.select("v").scalar() + 1)
-    sizes = F.explode(F.sequence(F.lit(1), F.lit(order + 1)))
-    parts = counted.select("w", sizes.alias("k")).select(
-        "w", "k", F.expr("right(w, k)").alias("g"), F.expr("left(right(w, k), k - 1)").alias("h"))
-    parts = parts.join(grams, "g", "left").join(contexts, "h", "left")
+    in_context = materialize(grams.withColumn("h", F.expr("left(g, length(g) - 1)"))
+                                  .join(context_counts(grams), "h", "left").drop("h"), "url-contexts")
+    parts = _suffixes(counted.select("w"), order).join(in_context, "g")
     zero = {c: 0 for c in ("ga", "ha", "ta", "gb", "hb", "tb")}
     steps = parts.na.fill(zero).groupBy("w").agg(
         F.sort_array(F.collect_list(F.struct("k", *zero))).alias("steps")).select("w", "steps", unknown.alias("p0"))
