@@ -161,7 +161,10 @@ def band_of(n: int, shard_convs: int) -> int:
 def nodes(on_paths: DataFrame, shard_convs: int = SHARD_CONVS) -> DataFrame:
     """One row a node, given by its smallest member, which sees on its own path
     the parent and the shard root."""
-    counts = on_paths.groupBy("key").agg(F.count("*").alias("n_convs"), F.min("conv_id").alias("first"))
+    # written first: the join then has exchanges of its own, whose hot keys (the
+    # root, a common first turn) Spark can split
+    counts = materialize(on_paths.groupBy("key").agg(F.count("*").alias("n_convs"), F.min("conv_id").alias("first")),
+                         "trie-counts")
 
     def owned(rows):
         above = shard = band = first_above = None
