@@ -177,7 +177,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, id_co
                                   for v, c in (("allow", "a"), ("block", "b"))])
     counted = materialize(windows(taught, order, "a", "b").groupBy("w").agg(
         F.sum("a").alias("na"), F.sum("b").alias("nb")), "url-windows")
-    ratios = log_ratios(counted, order, min_context)
+    # written first, so that the join on windows has exchanges of its own, whose hot keys Spark can split
+    ratios = materialize(log_ratios(counted, order, min_context), "url-ratios")
     places = windows(urls.where(asked), order, "key").join(ratios, "w", "left")
     score = F.floor(F.sum("r") / F.count(F.lit(1))).alias("score")
     scored = materialize(urls.join(places.groupBy("key").agg(score), "key", "left"), "url-scores")
