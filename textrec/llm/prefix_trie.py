@@ -53,7 +53,7 @@ from textrec.session import materialize, ship_package
 GROUP = 100
 HEADS = 6
 #: L: the most sequences of a shard of the first band.
-SHARD_CONVS = 4096
+SHARD_CONVS = 512
 QUEUE_ENTRIES = 1 << 17
 RUN_ROWS = 1 << 14
 CHUNK_BYTES = 1 << 16
