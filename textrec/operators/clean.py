@@ -48,22 +48,27 @@ def clean_verses(verses: DataFrame, id_col: str = "id", line_col: str = "lyric_l
     return deduped.where(T.distinct_word_count(line_col) > min_distinct)
 
 
-def clean_report(frames: dict[str, tuple[DataFrame, DataFrame]], spark) -> DataFrame:
-    """A5 + A7: one row per frame with (frame, before, after, pct_removed).
-
-    Counts are scalar subqueries, so the report is one lazy plan."""
-    rows = []
-    for name, (before, after) in frames.items():
-        b = before.select(F.count("*")).scalar()
-        a = after.select(F.count("*")).scalar()
-        rows.append(spark.range(1).select(
-            F.lit(name).alias("frame"), b.alias("before"), a.alias("after")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out.withColumn(
-        "pct_removed",
-        F.round((F.col("before") - F.col("after")) * 100.0 / F.col("before"), 4))
+def clean_report(posts: DataFrame, verses: DataFrame, id_col: str = "id", post_col: str = "tweet_line",
+                 verse_col: str = "lyric_line", min_words: int = MIN_WORDS, min_posts: int = MIN_POSTS,
+                 min_distinct: int = 1, markers=T.AD_MARKERS) -> DataFrame:
+    """A5 + A7: one row per kind of line with (frame, before, after, pct_removed).
+
+    Raw lines are counted while they are deduplicated, kept lines while they are
+    counted for each song (A1 -> F10), so both counts of a kind come out of one
+    read and two partial aggregates."""
+    lines = (posts.select(F.lit("posts").alias("frame"), id_col, F.col(post_col).alias("line"))
+                  .unionByName(verses.select(F.lit("verses").alias("frame"), id_col, F.col(verse_col).alias("line"))))
+    distinct = lines.groupBy("frame", id_col, "line").agg(F.count("*").alias("n"))
+    post = (F.col("frame") == "posts") & (T.word_count("line") > min_words) & ~T.has_ad_marker("line", markers)
+    verse = (F.col("frame") == "verses") & (T.distinct_word_count("line") > min_distinct)
+    kept = F.col("line").isNotNull() & (post | verse)
+    songs = distinct.groupBy("frame", id_col).agg(F.sum("n").alias("n"), F.sum(kept.cast("bigint")).alias("kept"))
+    after = F.sum(F.when((F.col("frame") == "verses") | (F.col("kept") > min_posts), F.col("kept")).otherwise(0))
+    report = songs.groupBy("frame").agg(F.sum("n").alias("before"), after.alias("after"))
+    # a kind without lines has a row as well
+    both = posts.sparkSession.range(2).select(F.when(F.col("id") == 0, "posts").otherwise("verses").alias("frame"))
+    full = both.join(report, "frame", "left").na.fill(0, ["before", "after"])
+    return full.withColumn("pct_removed", F.round(F.try_divide((F.col("before") - F.col("after")) * 100.0, F.col("before")), 4))
 
 
 def test_rows(lines: DataFrame, line_col: str = "tweet_line") -> DataFrame:
@@ -90,6 +95,42 @@ def prepare_lines(songs: DataFrame, posts: DataFrame, id_col: str = "id",
     return joined.select(id_col, T.remove_words(cleaned, "_own").alias("tweet_line"))
 
 
+def document_lines(documents: DataFrame, id_col: str = "_id", list_col: str = "tweets",
+                   content: str = "content") -> DataFrame:
+    """M10 from nested documents: S6 (list not empty) -> S9 (explode) -> F5 ->
+    T1 -> T2 -> T11, giving (id, tweet_line).  Only the content of the list's
+    elements is asked for, so a columnar scan reads no other field of them."""
+    contents = F.col(f"{list_col}.{content}")
+    rows = documents.where(F.size(contents) > 0).select(
+        F.col(id_col).alias("id"), F.concat(T.tokens("name"), T.tokens("artist")).alias("_own"),
+        F.explode(contents).alias("_content"))
+    cleaned = T.strip_symbols(T.strip_emoji("_content"))
+    return rows.where(F.col("_content").isNotNull()).select("id", T.remove_words(cleaned, "_own").alias("tweet_line"))
+
+
+def document_features(documents: DataFrame, id_col: str = "_id", list_col: str = "tweets", key: str = "tweet_id",
+                      cols=FLOAT_COLUMNS) -> DataFrame:
+    """F6 + P2 + P4: the features of songs that have posts, without the list."""
+    has = documents.where(F.size(f"{list_col}.{key}") > 0).drop(list_col)
+    return features(has.withColumnRenamed(id_col, "id"), cols)
+
+
+def documents_without_posts(documents: DataFrame, id_col: str = "_id", list_col: str = "tweets",
+                            key: str = "tweet_id") -> DataFrame:
+    """songs without posts, kept aside: (id, name, missing), where missing
+    tells a document that lacks the list from one whose list is empty."""
+    size = F.size(f"{list_col}.{key}")
+    listed = F.col(f"{list_col}.{key}").isNotNull()
+    return documents.where(~listed | (size == 0)).select(F.col(id_col).alias("id"), "name", (~listed).alias("missing"))
+
+
+def document_total(documents: DataFrame, list_col: str = "tweets", key: str = "tweet_id") -> DataFrame:
+    """One row (n_songs, n_posts), songs that have the list and the sum of its sizes."""
+    ids = F.col(f"{list_col}.{key}")
+    return documents.where(ids.isNotNull()).agg(F.count("*").alias("n_songs"),
+                                                F.coalesce(F.sum(F.size(ids)), F.lit(0)).alias("n_posts"))
+
+
 def features(songs: DataFrame, cols=FLOAT_COLUMNS) -> DataFrame:
     """Cast the listed feature columns to float, in one projection; a
     missing column is an error."""

@@ -52,12 +52,14 @@ def rejected_posts(posts: DataFrame, songs: DataFrame, song_col: str = "song") -
     return posts.join(songs.select(F.col("name").alias(song_col)).distinct(), song_col, "left_anti")
 
 
-def fix_names(songs: DataFrame, fixes: DataFrame) -> DataFrame:
-    """Apply a (name, new_name) correction table; of several corrections
-    of a name the smallest counts."""
+def fix_names(songs: DataFrame, fixes: DataFrame, id_col: str = "id") -> DataFrame:
+    """Apply a (name, new_name) correction table.  As with any update by
+    name it reaches the first song of that name (J7) only; of several
+    corrections of a name the smallest counts."""
     one = fixes.groupBy("name").agg(F.min("new_name").alias("new_name"))
-    return (songs.join(one, "name", "left")
-                 .withColumn("name", F.coalesce("new_name", "name")).drop("new_name"))
+    named = song_per_name(songs, id_col).join(one, "name").select(F.col("song_id").alias(id_col), "name", "new_name")
+    return (songs.join(named, [id_col, "name"], "left")
+                 .withColumn("name", F.coalesce("new_name", "name")).drop("new_name").select(*songs.columns))
 
 
 def name_fixes(songs: DataFrame) -> DataFrame:

@@ -88,14 +88,29 @@ def q_verses_clean(spark, sf):
 
 
 def q_clean_report(spark, sf):
-    posts, verses = FX.posts(spark, sf), FX.verses(spark, sf)
-    return C.clean_report({"posts": (posts, C.clean_posts(posts)),
-                           "verses": (verses, C.clean_verses(verses))}, spark)
+    return C.clean_report(FX.posts(spark, sf), FX.verses(spark, sf))
+
+
+def _documents(spark, sf):
+    root = scratch_path(spark, "song-documents")
+    SK.write_parquet(FX.song_documents(spark, sf), root)
+    return RD.read_documents(spark, root)
 
 
 def q_songs_without_posts(spark, sf):
-    songs = FX.songs(spark, sf)
-    return C.songs_without_posts(songs, C.clean_posts(FX.posts(spark, sf))).select("id", "name")
+    return C.documents_without_posts(_documents(spark, sf))
+
+
+def q_document_lines(spark, sf):
+    return C.document_lines(_documents(spark, sf))
+
+
+def q_document_features(spark, sf):
+    return C.document_features(_documents(spark, sf)).select("id", "name", *C.FLOAT_COLUMNS)
+
+
+def q_document_total(spark, sf):
+    return C.document_total(_documents(spark, sf))
 
 
 def q_post_total(spark, sf):
@@ -212,6 +227,14 @@ def q_accuracy_at_10_15(spark, sf):
     return E.accuracy_at(E.target_ranks(m.test_posts, m.postings, 15), (10, 15))
 
 
+SAMPLE_TESTS = 50
+
+
+def q_sample_tests(spark, sf):
+    """The first 50 held-out rows, which is the feature."""
+    return E.sample_tests(C.test_rows(build_model(spark, sf).test_posts), SAMPLE_TESTS).select("id", "tweet_line")
+
+
 def q_topk_accuracy_hashed(spark, sf):
     """The reference's configuration end to end: hashed TF-IDF, top-10 list."""
     m = build_model(spark, sf, hashed=True)
@@ -232,6 +255,9 @@ QUERIES = {
     "verses_clean": q_verses_clean,
     "clean_report": q_clean_report,
     "songs_without_posts": q_songs_without_posts,
+    "document_lines": q_document_lines,
+    "document_features": q_document_features,
+    "document_total": q_document_total,
     "post_total": q_post_total,
     "prepare_lines": q_prepare_lines,
     "features_cast": q_features_cast,
@@ -251,6 +277,7 @@ QUERIES = {
     "topk_accuracy_code": q_topk_accuracy_code,
     "accuracy_at_10_15": q_accuracy_at_10_15,
     "topk_accuracy_hashed": q_topk_accuracy_hashed,
+    "sample_tests": q_sample_tests,
 }
 
 
@@ -326,8 +353,21 @@ def q_fix_names(spark, sf):
     return IN.fix_names(songs, IN.name_fixes(songs)).select("id", "name")
 
 
+def q_blob_names(spark, sf):
+    """Song names out of blob names ``<day>/<name>.csv``."""
+    t = _tracks(spark, sf)
+    blob = F.concat(F.lit(RUN_DATE + "/"), F.col("name"), F.when(F.col("popularity") % 4 == 0, ".csv").otherwise(".csv.csv"))
+    return RD.song_from_blob(t.select("id", blob.alias("blob")))
+
+
 def q_html_lines(spark, sf):
-    return RD.html_lines(FX.pages(spark, sf), heading_tag="h1")
+    """Any first-level heading, lines of the article around it."""
+    return RD.html_lines(FX.pages(spark, sf), heading_tag="h1", heading_text=None, container="article")
+
+
+def q_lyric_lines(spark, sf):
+    """The first second-level heading has to be ``Lyrics``; lines of its div."""
+    return RD.html_lines(FX.lyric_pages(spark, sf))
 
 
 QUERIES.update({
@@ -341,7 +381,9 @@ QUERIES.update({
     "attach_posts_all": q_attach_posts_all,
     "rejected_posts": q_rejected_posts,
     "fix_names": q_fix_names,
+    "blob_names": q_blob_names,
     "html_lines": q_html_lines,
+    "lyric_lines": q_lyric_lines,
 })
 
 

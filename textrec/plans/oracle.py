@@ -10,6 +10,7 @@ from textrec.functions import text as T
 from textrec.operators.clean import FLOAT_COLUMNS
 from textrec.operators import evaluate as E
 from textrec.plans import catalog as CAT
+from textrec.plans import oracle_html
 
 
 def rnd(x: str, d: int = 6) -> str:
@@ -67,6 +68,14 @@ SONGS = """songs AS (
          CAST(DATE '2024-02-23' + CASE WHEN doc_id % 10 = 9 THEN 1 ELSE 0 END AS DATE) AS add_date, n_chars
   FROM documents)"""
 
+DOCS = f"""docs AS (
+  SELECT CAST(doc_id AS VARCHAR) AS id, array_to_string(string_split(text, ' ')[1:3], ' ') AS name,
+         concat_ws(',', lang, source) AS artist, CAST(doc_id % 100 AS VARCHAR) AS popularity,
+         {", ".join(f"CAST(n_chars % {i + 2} AS VARCHAR) AS {c}" for i, c in enumerate(FLOAT_COLUMNS[1:]))},
+         CASE WHEN doc_id % 7 = 0 THEN NULL WHEN doc_id % 11 = 0 THEN [] ELSE
+           list_transform(string_split(text, chr(10)), lambda x, i: {{'content': CASE WHEN (i - 1) % 13 <> 12 THEN x END}}) END AS tweets
+  FROM documents)"""
+
 LINES = """lines AS (
   SELECT doc_id AS id, s[1] AS line, s[2] AS pos
   FROM (SELECT doc_id, unnest(list_zip(string_split(text, chr(10)),
@@ -154,8 +163,16 @@ FROM all_lines p JOIN songs s USING (id)""", SONGS, LINES),
   SELECT 'posts' AS frame, (SELECT count(*) FROM posts) AS before, (SELECT count(*) FROM posts_clean) AS after
   UNION ALL
   SELECT 'verses', (SELECT count(*) FROM verses), (SELECT count(*) FROM verses_clean))""", LINES, CLEAN),
-    "songs_without_posts": _q("SELECT id, name FROM songs WHERE id NOT IN (SELECT id FROM posts_clean)",
-                              SONGS, LINES, CLEAN),
+    "songs_without_posts": _q("""SELECT id, name, tweets IS NULL AS missing FROM docs
+WHERE coalesce(len(tweets), 0) = 0""", DOCS),
+    "document_lines": _q(f"""SELECT id,
+       list_reduce(list_concat({tokens('name')}, {tokens('artist')}), lambda acc, w: replace(acc, w, ''),
+                   regexp_replace(regexp_replace(t.content, {EMOJI}, '', 'g'), {PUNCT}, ' ', 'g')) AS tweet_line
+FROM (SELECT id, name, artist, unnest(tweets) AS t FROM docs) WHERE t.content IS NOT NULL""", DOCS),
+    "document_features": _q("SELECT id, name, " + ", ".join(f"CAST({c} AS FLOAT) AS {c}" for c in FLOAT_COLUMNS)
+                            + " FROM docs WHERE len(tweets) > 0", DOCS),
+    "document_total": _q("SELECT count(*) AS n_songs, CAST(sum(len(tweets)) AS BIGINT) AS n_posts FROM docs "
+                         "WHERE tweets IS NOT NULL", DOCS),
     "post_total": _q("""SELECT count(*) AS n_songs, CAST(sum(n) AS BIGINT) AS n_posts
 FROM (SELECT id, count(*) AS n FROM all_lines GROUP BY id)""", LINES),
     "prepare_lines": _q(f"""SELECT p.id,
@@ -293,14 +310,10 @@ WHERE tweet_id NOT IN (SELECT CAST(event_id // 2 AS VARCHAR) FROM events WHERE e
     "attach_posts_all": _q("SELECT song_id, song, tweet_id, CAST(created AS VARCHAR) AS created, seq FROM joined",
                            FLAT),
     "rejected_posts": _q("SELECT song, tweet_id, seq FROM flat WHERE song NOT IN (SELECT name FROM songs_a)", FLAT),
-    "fix_names": _q("""SELECT s.id, coalesce(f.new_name, s.name) AS name FROM songs s LEFT JOIN (
-  SELECT DISTINCT name, regexp_replace(name, '[^\\p{L}\\p{N}]+$', '') AS new_name FROM songs
-  WHERE regexp_replace(name, '[^\\p{L}\\p{N}]+$', '') <> name AND length(regexp_replace(name, '[^\\p{L}\\p{N}]+$', '')) > 0
-) f USING (name)""", SONGS),
-    "html_lines": f"""SELECT id, line AS lyric_line FROM (
-  SELECT page_id AS id, unnest(regexp_extract_all(html, {lit(r"<p(?:\s[^>]*)?>([^<]*)</p>")}, 1)) AS line
-  FROM pages WHERE regexp_matches(html, {lit(r"<h1(?:\s[^>]*)?>([^<]*)</h1>")}))
-WHERE length(line) - length(replace(line, ' ', '')) > 2""",
+    "fix_names": _q("""SELECT id, CASE WHEN id = min(id) OVER (PARTITION BY name) AND length(short) > 0 THEN short ELSE name END AS name
+FROM (SELECT id, name, regexp_replace(name, '[^\\p{L}\\p{N}]+$', '') AS short FROM songs)""", SONGS),
+    "blob_names": _q(f"""SELECT id, '{CAT.RUN_DATE}/' || name || CASE WHEN popularity % 4 = 0 THEN '.csv' ELSE '.csv.csv' END AS blob,
+       name AS song FROM tracks""", TRACKS),
 })
 
 
@@ -358,5 +371,10 @@ FROM (SELECT tq.query_song, CAST(coalesce(b.rank - 1, {T.MISSING_RANK}) AS INTEG
                                AND b.id = tq.query_song)""",
                               LINES, CLEAN, MODEL, TESTQ.replace("{k}", "15"))
 
+SQL["sample_tests"] = _q(f"""SELECT id, tweet_line FROM test_p
+WHERE tweet_line IS NOT NULL AND length(replace(tweet_line, ' ', '')) > 1
+ORDER BY md5(concat_ws('|', CAST(id AS VARCHAR), tweet_line)), id, tweet_line LIMIT {CAT.SAMPLE_TESTS}""", LINES, CLEAN, MODEL)
+
 SQL["posts_clean_one_scan"] = SQL["posts_clean"]
 SQL["verses_clean_one_scan"] = SQL["verses_clean"]
+SQL |= oracle_html.SQL

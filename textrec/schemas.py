@@ -37,3 +37,13 @@ POSTS_CSV = StructType([
 # Text formats that keep microseconds (CSV and JSON round trips).
 TS_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
               "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
+# A song document as the document store exports it: the posts are a list inside,
+# which may be empty or absent; numbers are strings, as they came from CSV.
+SONG_DOCUMENTS = StructType([
+    StructField("_id", StringType()), StructField("name", StringType()), StructField("artist", StringType()),
+    *[StructField(c, StringType()) for c in ("popularity", *FEATURE_COLS[:11])],
+    StructField("tweets", ArrayType(StructType([POSTS[c] for c in (
+        "tweet_id", "created", "retweeted", "content", "hashtags", "username")]))),
+])

@@ -9,6 +9,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from textrec import schemas as SC
+
 FIRST_DAY = _dt.date(2024, 2, 23)
 KNOWN_EVERY = 400          # intake: p_partkey % 400 = 0 are already known
 ATTACH_SKIP_EVERY = 10     # attach targets: songs with user_id % 10 != 0
@@ -159,6 +161,44 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), "url", "html")
 
 
+def song_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Song documents in the shape of ``schemas.SONG_DOCUMENTS``: the lines of a
+    document are its posts, every thirteenth without content; a seventh of the
+    songs has no list at all, an eleventh of the others an empty one."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    number = F.col("doc_id")
+    post = F.transform(F.split("text", "\n"), lambda line, i: F.struct(
+        F.concat_ws("-", number.cast("string"), i.cast("string")).alias("tweet_id"),
+        F.make_timestamp_ntz(F.lit(2024), F.lit(1), F.lit(1), i % 24, F.lit(0), F.lit(0)).alias("created"),
+        (i % 3).cast("int").alias("retweeted"),
+        F.when(i % 13 != 12, line).alias("content"),
+        F.array(F.col("lang")).alias("hashtags"),
+        F.concat(F.lit("user"), (i % 5).cast("string")).alias("username")))
+    tweets = F.when(number % 7 == 0, None).when(number % 11 == 0, F.slice(post, 1, 0)).otherwise(post)
+    return d.select(
+        number.cast("string").alias("_id"),
+        F.array_join(F.slice(F.split("text", " "), 1, 3), " ").alias("name"),
+        F.concat_ws(",", "lang", "source").alias("artist"),
+        (number % 100).cast("string").alias("popularity"),
+        *[(F.col("n_chars") % (i + 2)).cast("string").alias(c) for i, c in enumerate(SC.FEATURE_COLS[:11])],
+        tweets.alias("tweets"))
+
+
+def lyric_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Track pages (id, html): the article of each page becomes a block under a
+    second-level heading, written in five ways (plain, in a nested tag, another
+    text, in a block of its own, in two pieces), with a line before and one
+    after the block."""
+    p = pages(spark, sf_dir)
+    head = (F.when(F.col("id") % 5 == 0, "<h2>Lyrics</h2>").when(F.col("id") % 5 == 1, "<h2><b>Lyrics</b></h2>")
+             .when(F.col("id") % 5 == 2, "<h2>About this</h2>").when(F.col("id") % 5 == 3, "<div><h2>Lyrics</h2></div>")
+             .otherwise("<h2>Ly<i>rics</i></h2>"))
+    block = F.concat(F.lit('<div class="page"><p>a line before the heading</p>'), head)
+    opened = F.replace("html", F.lit("<article>"), block)
+    closed = F.replace(opened, F.lit("</article>"), F.lit("</div><p>a line after the block</p>"))
+    return p.select("id", closed.alias("html"))
+
+
 def search_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The song list the daily searches are planned from (one row per user of
     ``events``, named like the songs that tag the landed search results)."""

@@ -4,14 +4,13 @@ files laid out by date, Parquet, and lyric lines out of HTML pages
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from textrec.functions import html as H
 from textrec.functions import text as T
-from textrec.schemas import TS_OPTIONS
-
-PARAGRAPH = r"<p(?:\s[^>]*)?>([^<]*)</p>"
+from textrec.schemas import SONG_DOCUMENTS, TS_OPTIONS
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, multiline: bool = False,
@@ -57,20 +56,28 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def html_lines(pages: DataFrame, id_col: str = "id", html_col: str = "html", heading_tag: str = "h1",
-               heading_text: str | None = None, min_spaces: int = 2) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, schema: StructType = SONG_DOCUMENTS, fmt: str = "parquet") -> DataFrame:
+    """Song documents with their posts as a nested list.  From Parquet only
+    the asked fields of the list are read."""
+    return spark.read.schema(schema).options(**TS_OPTIONS).format(fmt).load(path)
+
+
+def html_lines(pages: DataFrame, id_col: str = "id", html_col: str = "html", heading_tag: str = "h2",
+               heading_text: str | Column | None = "Lyrics", container: str | None = "div", line_tag: str = "p",
+               min_spaces: int = 2) -> DataFrame:
     """S13 + F16 + F12: lyric lines out of landed HTML pages.
 
-    A page takes part when its first ``heading_tag`` exists (and, if given,
-    equals ``heading_text``); its lines are the texts of ``<p>`` elements
-    without nested tags, kept when they hold more than ``min_spaces`` spaces."""
-    head_re = f"<{heading_tag}(?:\\s[^>]*)?>([^<]*)</{heading_tag}>"
-    h = pages.select(id_col, html_col,
-                     F.regexp_extract(html_col, head_re, 1).alias("_head"),
-                     F.regexp_like(html_col, F.lit(head_re)).alias("_has"))
-    ok = F.col("_has")
+    A page takes part when its first ``heading_tag`` has the string
+    ``heading_text`` (None: any); its lines are the strings of the ``line_tag``
+    elements inside the ``container`` that encloses the heading most closely
+    (None: the whole page), kept when they hold more than ``min_spaces``
+    spaces.  Strings are those of ``functions.html``.  A heading without such a
+    container gives no lines."""
+    found = pages.select(id_col, H.fold_block(F.col(html_col), heading_tag, container or "", line_tag).alias("_f"))
+    ok = F.col("_f.head_at").isNotNull()
     if heading_text is not None:
-        ok = ok & (F.col("_head") == heading_text)
-    lines = h.where(ok).select(
-        id_col, F.explode_outer(F.regexp_extract_all(html_col, F.lit(PARAGRAPH), 1)).alias("lyric_line"))
-    return lines.where(F.col("lyric_line").isNotNull() & (T.space_count("lyric_line") > min_spaces))
+        ok = ok & F.col("_f.head").eqNullSafe(heading_text)
+    inside = F.lit(True) if container is None else (F.col("_l.at") > F.col("_f.box")) & (F.col("_l.at") < F.col("_f.box_end"))
+    lines = found.where(ok).select(id_col, "_f", F.explode("_f.lines").alias("_l")).where(inside)
+    return (lines.select(id_col, F.col("_l.s").alias("lyric_line"))
+                 .where(F.col("lyric_line").isNotNull() & (T.space_count("lyric_line") > min_spaces)))
