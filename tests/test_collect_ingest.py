@@ -62,10 +62,11 @@ def test_attach_twice_equals_once(spark):
 
 
 def test_insert_if_absent(spark):
-    batch = spark.createDataFrame([("1", "x"), ("1", "y"), ("2", "z")], "id string, name string")
+    batch = spark.createDataFrame([("1", "y", 2), ("1", "x", 1), ("2", "z", 0)], "id string, name string, row int")
     target = spark.createDataFrame([("2",)], "id string")
-    got = [(r._id, r.name) for r in IN.insert_if_absent(batch, target, "id", ["name"]).collect()]
+    got = [(r._id, r.name) for r in IN.insert_if_absent(batch, target, "id", ["row"]).collect()]
     assert got == [("1", "x")]
+    assert IN.insert_if_absent(batch, target).count() == 1
 
 
 def test_select_posts_cap_before_retweet_filter(spark):

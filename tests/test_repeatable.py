@@ -8,18 +8,20 @@ from textrec.plans import catalog, daily
 from textrec.session import discard, materialize, scratch_path
 from textrec.sources import fixtures as FX
 from textrec.sources import sinks as SK
+from textrec.sources.store import Store
 
 
 def test_intake_can_be_repeated(spark, sf):
     root = scratch_path(spark, "again")
     run = lambda day: daily.intake_snapshot(
-        spark, catalog._tracks(spark, sf), FX.audio_features(spark, sf), root + "/whole", root + f"/new_{day}", day)
+        Store(spark, root), catalog._tracks(spark, sf), FX.audio_features(spark, sf), day)
+    new = lambda day: Store(spark, root).read(f"new_{day}", SC.SONGS)
     first = {r.id for r in run(catalog.RUN_DATE).select("id").collect()}
     again = run(catalog.RUN_DATE)
     assert {r.id for r in again.select("id").collect()} == first and again.count() == len(first) > 0
-    assert spark.read.parquet(root + f"/new_{catalog.RUN_DATE}").count() == len(first)
+    assert new(catalog.RUN_DATE).count() == len(first)
     assert run("2024-03-01").count() == len(first)
-    assert spark.read.parquet(root + "/new_2024-03-01").count() == 0
+    assert new("2024-03-01").count() == 0
 
 
 def test_a_failure_is_not_an_absent_table(spark):

@@ -7,7 +7,7 @@ becomes a join or an aggregate."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from textrec.functions import text as T
@@ -32,14 +32,30 @@ def flatten_playlists(playlists: DataFrame, col: str = "playlist") -> DataFrame:
         T.join_names("_item.track.artists").alias("artist"))
 
 
+#: Digits of a packed order (Spark's widest decimal).
+ORDER_DIGITS = 38
+
+
+def order_number(cols) -> Column:
+    """Non-negative whole numbers as one decimal that sorts like them, each with
+    an equal share of the digits (19, 19 and 12 for one, two and three); null
+    comes first."""
+    share = min(19, ORDER_DIGITS // len(cols))
+    text = F.concat(*[F.lpad(F.coalesce(F.col(c).cast("bigint"), F.lit(0)).cast("string"), share, "0") for c in cols])
+    return text.cast(f"decimal({ORDER_DIGITS},0)")
+
+
 def first_per_key(df: DataFrame, key, order_cols) -> DataFrame:
-    """A10 / K1 / K4: the first row per key in the given order, as an aggregate
-    (``min_by`` combines map-side, so a hot key is never gathered in one task)."""
+    """A10 / K1 / K4: the first row per key in the given order of whole numbers.
+
+    The least order of each key is a hash aggregate over one fixed-width number
+    (combined map-side, so a hot key is never gathered in one task); whole rows
+    only meet it in a semi-join.  Rows alike in key and order have to be copies
+    of each other, of which one stays."""
     keys = [key] if isinstance(key, str) else list(key)
-    others = [c for c in df.columns if c not in keys]
-    ordering = F.struct(*[F.col(c) for c in order_cols])
-    packed = F.min_by(F.struct(*[F.col(c) for c in others]), ordering).alias("_first")
-    return df.groupBy(*keys).agg(packed).select(*keys, "_first.*")
+    rows = df.withColumn("_order", order_number(list(order_cols)))
+    least = rows.groupBy(*keys).agg(F.min("_order").alias("_order"))
+    return rows.join(least, [*keys, "_order"], "left_semi").drop("_order").distinct()
 
 
 def run_day(run_date=None):

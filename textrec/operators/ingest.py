@@ -10,17 +10,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from textrec.operators.collect import first_per_key
+from textrec.operators.positions import with_group_position
 
 
 def insert_if_absent(batch: DataFrame, target_keys: DataFrame, key: str = "id",
                      order_cols=None, out_key: str = "_id") -> DataFrame:
     """K1 + K2 + J5: the first row per key of the batch whose key is not in
-    the target; the key is renamed to ``_id`` on the way out."""
-    # without an explicit ingest order every column takes part, so the choice
-    # among rows sharing a key is the same on every run
-    first = first_per_key(batch, key, order_cols or [c for c in batch.columns if c != key])
-    new = first.join(target_keys.select(key), key, "left_anti")
-    return new.withColumnRenamed(key, out_key)
+    the target; the key is renamed to ``_id`` on the way out.
+
+    Without an ingest order (whole numbers) the hash of all columns decides, so
+    the choice among rows sharing a key is the same on every run."""
+    new = batch.join(target_keys.select(key), key, "left_anti")
+    if order_cols is None:
+        drawn = F.xxhash64(*new.columns).bitwiseAND(F.lit((1 << 63) - 1))
+        first = first_per_key(new.withColumn("_drawn", drawn), key, ["_drawn"]).drop("_drawn")
+    else:
+        first = first_per_key(new, key, order_cols)
+    return first.withColumnRenamed(key, out_key)
 
 
 def song_per_name(songs: DataFrame, id_col: str = "id") -> DataFrame:
@@ -29,19 +35,23 @@ def song_per_name(songs: DataFrame, id_col: str = "id") -> DataFrame:
 
 
 def attach_posts(posts: DataFrame, songs: DataFrame, existing_ids: DataFrame | None = None,
-                 dedupe: bool = True, song_col: str = "song", order_cols=("song", "seq"),
+                 dedupe: bool = True, song_col: str = "song", seq_col: str = "seq",
                  id_col: str = "id") -> DataFrame:
     """K4 (dedupe=True) / K5 (dedupe=False).
 
     In this order: inner join to the song with that name (K6 drops unknown
     names), first occurrence per ``tweet_id`` in file order, then anti-join to
     the stored posts.  A post whose song is unknown stores nothing, so it
-    cannot block a later copy under a known song."""
+    cannot block a later copy under a known song.
+
+    Files are read by song name, and rows in the order of ``seq_col``; names are
+    numbered once for each song, so the order of a row is two whole numbers."""
     target = song_per_name(songs, id_col)
-    joined = posts.join(target, posts[song_col] == target["name"], "inner").drop("name")
     if not dedupe:
-        return joined
-    first = first_per_key(joined, "tweet_id", list(order_cols))
+        return posts.join(target, posts[song_col] == target["name"], "inner").drop("name")
+    numbered = with_group_position(target, [], ["name"], name="_file")
+    joined = posts.join(numbered, posts[song_col] == numbered["name"], "inner").drop("name")
+    first = first_per_key(joined, "tweet_id", ["_file", seq_col]).drop("_file")
     if existing_ids is not None:
         first = first.join(existing_ids.select("tweet_id"), "tweet_id", "left_anti")
     return first

@@ -23,6 +23,8 @@ from textrec.session import scratch_path
 from textrec.sources import fixtures as FX
 from textrec.sources import readers as RD
 from textrec.sources import sinks as SK
+from textrec.sources.split_csv import read_csv_split
+from textrec.sources.store import Store
 from textrec.streaming import intake as WS
 
 # The two smoke sentences of the reference (fixed values).
@@ -416,55 +418,80 @@ def q_csv_round_trip(spark, sf):
     return _post_out(back)
 
 
+def q_csv_line_breaks(spark, sf):
+    """Whole documents, line breaks and quotes included, through CSV files
+    that are read in ranges."""
+    root = scratch_path(spark, "documents-csv")
+    d = FX.table(spark, sf, "documents").select("doc_id", "text", "source")
+    d.write.option("header", True).option("escape", '"').options(**SK.KEEP_SPACES).csv(root)
+    return read_csv_split(spark, root, d.schema, glob="*.csv").select("doc_id", "text", "source")
+
+
 def q_path_to_song(spark, sf):
+    """Landed posts with the song that the table of files gives for them."""
     root = scratch_path(spark, "landed")
-    chosen = CO.select_posts(_posts_flat(spark, sf), END_DATE, "en", None) \
-        .withColumn("date", F.lit(RUN_DATE).cast("date"))
-    SK.write_csv(chosen, root, partition_by=("date", "song"), spread_by=("tweet_id",))
-    back = RD.read_landed_posts(spark, root, DJ._csv_schema(), date=RUN_DATE)
-    return back.select("song", "song_from_path", "tweet_id", F.col("date").cast("string").alias("date"))
+    chosen = CO.select_posts(_posts_flat(spark, sf), END_DATE, "en", None)
+    SK.write_landed(chosen.select(*SC.POSTS.names), root, RUN_DATE)
+    back = RD.read_landed(spark, root, SC.POSTS_CSV, RUN_DATE)
+    songs = RD.landed_songs(spark, root, RUN_DATE).select("file", F.col("song").alias("song_from_path"))
+    found = back.join(songs, (back["file"] == songs["file"]) & (back["song"] == F.col("song_from_path")))
+    return found.select("song", "song_from_path", "tweet_id", back["date"].cast("string").alias("date"))
 
 
 def q_intake_snapshot(spark, sf):
-    root = scratch_path(spark, "songs")
-    return DJ.intake_snapshot(spark, _tracks(spark, sf), FX.audio_features(spark, sf),
-                              root + "/whole", root + f"/new_{RUN_DATE}", RUN_DATE)
+    store = Store(spark, scratch_path(spark, "songs"))
+    return DJ.intake_snapshot(store, _tracks(spark, sf), FX.audio_features(spark, sf), RUN_DATE)
 
 
 def q_daily_job(spark, sf):
+    """Intake into a list with earlier songs, plan, search by string, landed posts."""
     root = scratch_path(spark, "daily")
-    out = DJ.daily_job(spark, FX.search_songs(spark, sf), FX.raw_statuses(spark, sf), RUN_DATE, END_DATE,
-                       root, None)
-    return out.select("song", "tweet_id", F.col("created").cast("string").alias("created"), "retweeted")
+    store = Store(spark, root + "/store")
+    store.commit(replace={"whole": FX.stored_tracks(_tracks(spark, sf))})
+    out = DJ.daily_job(spark, store, _tracks(spark, sf), FX.audio_features(spark, sf), FX.landed_statuses(spark, sf),
+                       RUN_DATE, END_DATE, root + "/landed", None)
+    return out.select("song", "tweet_id", F.col("created").cast("string").alias("created"), "retweeted", "content")
+
+
+STORED_EVERY = 3             # ingest: songs with user_id % 3 = 0 are in the store already
 
 
 def q_ingest_batch(spark, sf):
+    """A batch into a store that has songs and posts already; all stored posts."""
     root = scratch_path(spark, "ingest")
-    songs = FX.attach_songs(spark, sf).select(F.col("id").cast("string").alias("id"), "name")
+    store = Store(spark, root + "/store", buckets=16)
+    songs = FX.attach_songs(spark, sf).select(
+        F.col("id").cast("string").alias("id"), "name", F.lit("artist").alias("artist"))
+    early = songs.where(F.col("id").cast("long") % STORED_EVERY == 0)
+    posts = _posts_flat(spark, sf)
+    first = IN.attach_posts(posts.where(F.col("seq") < FX.EXISTING_POSTS_BELOW), early)
+    store.commit(append={"songs": early.withColumnRenamed("id", "_id"), "posts": first.select(*SC.STORED_POSTS.names)},
+                 cluster={"posts": "tweet_id"})
     SK.write_csv(songs, root + "/songs")
-    SK.write_csv(_posts_flat(spark, sf), root + "/posts")
-    song_schema = "id string, name string"
-    store = spark.createDataFrame([], "id string")
-    _, attached = DJ.ingest_batch(spark, root + "/songs", root + "/posts", song_schema, store,
-                                  FX.existing_post_ids(spark, sf))
-    return attached.select(F.col("song_id").cast("long").alias("song_id"), "song", "tweet_id",
-                           F.col("created").cast("string").alias("created"), "seq")
+    SK.write_csv(posts, root + "/posts")
+    DJ.ingest_batch(spark, store, root + "/songs", root + "/posts")
+    return store.read("posts", SC.STORED_POSTS).select(
+        F.col("song_id").cast("long").alias("song_id"), "song", "tweet_id",
+        F.col("created").cast("string").alias("created"), "seq")
 
 
 def q_stream_intake(spark, sf):
     root = scratch_path(spark, "stream")
-    landing, table, ckpt = root + "/landing", root + "/posts", root + "/_checkpoint"
+    landing, ckpt = root + "/landing", root + "/_checkpoint"
+    store = Store(spark, root + "/store", buckets=16)
     flat = _posts_flat(spark, sf)
     songs = FX.attach_songs(spark, sf)
-    existing = FX.existing_post_ids(spark, sf)
+    stored = flat.where(F.col("seq") < FX.EXISTING_POSTS_BELOW).withColumn("song_id", F.lit(None).cast("string"))
+    store.commit(append={"posts": stored.select(*SC.STORED_POSTS.names)}, cluster={"posts": "tweet_id"})
     # two drops; the copies of a tweet (events 2k and 2k+1) cross them, so the
     # second drop has to find the stored ones
     SK.write_json(flat.where(F.col("seq") % 2 == 0), landing)
-    WS.run_intake(spark, landing, table, ckpt, songs, SC.POSTS, existing)
+    WS.run_intake(spark, landing, store.root, ckpt, songs, SC.POSTS)
     SK.write_json(flat.where(F.col("seq") % 2 == 1), landing, mode="append")
-    WS.run_intake(spark, landing, table, ckpt, songs, SC.POSTS, existing)
-    out = spark.read.parquet(table)
-    return out.select("song_id", "song", "tweet_id", F.col("created").cast("string").alias("created"), "seq")
+    WS.run_intake(spark, landing, store.root, ckpt, songs, SC.POSTS)
+    out = Store(spark, store.root).read("posts", SC.STORED_POSTS).where(F.col("song_id").isNotNull())
+    return out.select(F.col("song_id").cast("long").alias("song_id"), "song", "tweet_id",
+                      F.col("created").cast("string").alias("created"), "seq")
 
 
 def q_recommend_from(spark, sf):
@@ -472,8 +499,9 @@ def q_recommend_from(spark, sf):
     m = build_model(spark, sf)
     SK.write_parquet(m.postings, root + "/postings")
     SK.write_parquet(FX.songs(spark, sf), root + "/songs")
+    SK.write_parquet(m.corpus_ids, root + "/corpus_ids")
     bench = FX.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    recs = DJ.recommend_from(spark, root + "/postings", root + "/songs", bench, TOP_K)
+    recs = DJ.recommend_from(spark, root + "/postings", root + "/songs", bench, TOP_K, root + "/corpus_ids")
     return recs.select(F.col("query_id").alias("item_id"), "rank", "id", "name", "score")
 
 
@@ -481,6 +509,7 @@ QUERIES.update({
     "stem_vocab": q_stem_vocab,
     "recommend_stemmed": q_recommend_stemmed,
     "csv_round_trip": q_csv_round_trip,
+    "csv_line_breaks": q_csv_line_breaks,
     "path_to_song": q_path_to_song,
     "intake_snapshot": q_intake_snapshot,
     "daily_job": q_daily_job,

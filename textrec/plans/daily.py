@@ -9,60 +9,80 @@ from textrec import schemas as SC
 from textrec.operators import collect as CO
 from textrec.operators import ingest as IN
 from textrec.operators import score as S
+from textrec.operators.search import search
+from textrec.session import discard, materialize
 from textrec.sources import readers as RD
 from textrec.sources import sinks as SK
+from textrec.sources.split_csv import read_csv_split
+from textrec.sources.store import Store
 
 
-def intake_snapshot(spark: SparkSession, tracks: DataFrame, audio: DataFrame, whole_path: str,
-                    new_path: str, run_date) -> DataFrame:
-    """M13 + K7 + K8: today's new songs are appended to the song list and
-    also written on their own; a missing list starts empty.
+def intake_snapshot(store: Store, tracks: DataFrame, audio: DataFrame, run_date) -> DataFrame:
+    """M13 + K7 + K8: today's new songs are appended to the song list (table
+    ``whole``) and written on their own (table ``new_<date>``) in one commit; a
+    missing list starts empty.
 
-    A run may be repeated, also after a failure between the two writes: songs
-    of the same day don't count as known, the day's table is written anew, and
-    only what the list lacks is appended."""
-    SK.ensure_table(spark, whole_path, SC.SONGS)
-    whole = spark.read.parquet(whole_path)
+    A run may be repeated, also after a failure before the commit: songs of the
+    same day don't count as known, the day's table is written anew, and only
+    what the list lacks is appended."""
+    whole = store.read("whole", SC.SONGS)
     known = whole.where(~F.col("add_date").eqNullSafe(CO.run_day(run_date)))
     new = CO.intake(tracks, audio, known.select("name"), run_date)
-    new = new.select(*[F.col(f.name).cast(f.dataType) for f in SC.SONGS.fields])
-    SK.write_parquet(new, new_path, "overwrite")
-    SK.append(spark.read.parquet(new_path).join(whole.select("id"), "id", "left_anti").select(*whole.columns), whole_path)
-    return spark.read.parquet(whole_path)
+    new = materialize(SC.conform(new, SC.SONGS), "new-songs")
+    missing = new.join(whole.select("id"), "id", "left_anti").select(*whole.columns)
+    store.commit(append={"whole": missing}, replace={f"new_{run_date}": new})
+    discard(new)
+    return store.read("whole", SC.SONGS)
 
 
-def daily_job(spark: SparkSession, song_list: DataFrame, statuses: DataFrame, run_date, end_date,
-              out_root: str, cap: int = CO.SEARCH_CAP) -> DataFrame:
-    """Plan the day's searches, pick the posts each search returns and
-    write them under ``date=<run_date>/song=<name>/`` (K9)."""
-    new = song_list.where(F.col("add_date") == F.lit(run_date).cast("date"))
-    plan = CO.search_plan(CO.day_plan(song_list, new, run_date))
-    posts = CO.flatten_status(statuses).join(plan.select(F.col("name").alias("song")).distinct(), "song", "left_semi")
-    chosen = CO.select_posts(posts, end_date, "en", cap).withColumn("date", F.lit(run_date).cast("date"))
-    SK.write_csv(chosen, out_root, partition_by=("date", "song"), spread_by=("tweet_id",))
-    return RD.read_landed_posts(spark, out_root, _csv_schema(), date=run_date)
+def daily_job(spark: SparkSession, store: Store, tracks: DataFrame, audio: DataFrame, statuses: DataFrame, run_date,
+              end_date, out_root: str, cap: int | None = CO.SEARCH_CAP) -> DataFrame:
+    """today's intake, the plan from the song list it left, the search of each
+    planned song over the landed posts (M15) and the day's posts written (K9).
 
+    A song that is planned twice (in the slice and as a new one) is searched
+    once, as its second result would replace an equal one."""
+    whole = intake_snapshot(store, tracks, audio, run_date)
+    new = store.read(f"new_{run_date}", SC.SONGS)
+    plan = CO.search_plan(CO.day_plan(whole, new, run_date))
+    asked = plan.select(F.col("name").alias("song"), "query").distinct()
+    posts = CO.flatten_status(statuses)
+    chosen = CO.select_posts(search(posts, asked, "seq").drop("query"), end_date, "en", cap)
+    SK.write_landed(chosen.select(*SC.POSTS.names), out_root, run_date)
+    return read_posts(spark, out_root, run_date)
 
-def _csv_schema():
-    from pyspark.sql.types import DateType, StructField, StructType
-    fields = [f for f in SC.POSTS_CSV.fields if f.name != "song"]
-    return StructType(fields + [StructField("date", DateType()), StructField("song", SC.POSTS.fields[0].dataType)])
 
+def read_posts(spark: SparkSession, root: str, date=None, songs: list[str] | None = None) -> DataFrame:
+    """Landed posts with their lists, as ``daily_job`` wrote them."""
+    return SK.arrays_from_json(RD.read_landed(spark, root, SC.POSTS_CSV, date, songs), SC.POSTS)
 
-def ingest_batch(spark: SparkSession, songs_csv: str, posts_csv: str, song_schema, songs_store_keys: DataFrame,
-                 existing_ids: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Read the landed song list, then the landed posts; K1 into songs,
-    K4 into posts.  Returns (new songs, attached posts)."""
-    songs = RD.read_csv(spark, songs_csv, song_schema)
-    new_songs = IN.insert_if_absent(songs, songs_store_keys, "id")
-    posts = SK.arrays_from_json(RD.read_csv(spark, posts_csv, SC.POSTS_CSV, multiline=True), SC.POSTS)
-    attached = IN.attach_posts(posts, songs, existing_ids)
-    return new_songs, attached
+
+def ingest_batch(spark: SparkSession, store: Store, songs_csv: str, posts_csv: str) -> int:
+    """The landed song list, then the landed posts, into the store.
+
+    New songs (K1) and posts of all known songs (K4), earlier ones included, are
+    staged and become visible in one commit; a run that fails before it has
+    changed nothing, and one that is repeated adds nothing.  Of the stored posts
+    only the folders of the batch's own ids are read (J6)."""
+    songs = RD.read_csv(spark, songs_csv, SC.STORED_SONGS_CSV)
+    stored = store.read("songs", SC.STORED_SONGS)
+    new_songs = materialize(IN.insert_if_absent(songs, stored.select(F.col("_id").alias("id")))
+                            .select(*SC.STORED_SONGS.names), "batch-songs")
+    posts = SK.arrays_from_json(read_csv_split(spark, posts_csv, SC.POSTS_CSV, escape="\\", glob="*.csv"), SC.POSTS)
+    known = stored.unionByName(new_songs)
+    first = materialize(SC.conform(IN.attach_posts(posts, known, id_col="_id"), SC.STORED_POSTS), "batch-posts")
+    old = store.probe("posts", SC.STORED_POSTS, first, "tweet_id")
+    new_posts = first.join(old.select("tweet_id"), "tweet_id", "left_anti").select(*SC.STORED_POSTS.names)
+    version = store.commit(append={"songs": new_songs, "posts": new_posts}, cluster={"posts": "tweet_id"})
+    discard(new_songs, first)
+    return version
 
 
 def recommend_from(spark: SparkSession, postings_path: str, songs_path: str, queries: DataFrame,
-                   k: int = 15) -> DataFrame:
-    """M9: load saved postings and songs (S7) and recommend for the queries."""
+                   k: int = 15, corpus_ids_path: str | None = None) -> DataFrame:
+    """M9: load saved postings and songs (S7) and recommend for the queries;
+    without stored ids of the corpus they are taken from the postings."""
     postings = RD.read_parquet(spark, postings_path)
     songs = RD.read_parquet(spark, songs_path)
-    return S.recommend(queries, postings, songs, k)
+    ids = None if corpus_ids_path is None else RD.read_parquet(spark, corpus_ids_path)
+    return S.recommend(queries, postings, songs, k, corpus_ids=ids)

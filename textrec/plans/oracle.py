@@ -320,7 +320,13 @@ FROM (SELECT id, name, regexp_replace(name, '[^\\p{L}\\p{N}]+$', '') AS short FR
 # Queries that write and read back tables equal one of the queries above.
 SQL["csv_round_trip"] = _q(POST_OUT + f"""
 FROM flat WHERE lang = 'en' AND created < TIMESTAMP '{CAT.END_DATE}' AND retweeted = 0""", FLAT)
-SQL["ingest_batch"] = SQL["attach_posts"]
+SQL["csv_line_breaks"] = "SELECT doc_id, text, source FROM documents"
+SQL["ingest_batch"] = _q("""SELECT * FROM early UNION ALL
+SELECT song_id, song, tweet_id, CAST(created AS VARCHAR) AS created, seq FROM (
+  SELECT * FROM joined QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY song, seq) = 1)
+WHERE tweet_id NOT IN (SELECT tweet_id FROM early)""", FLAT, """early AS (
+  SELECT song_id, song, tweet_id, CAST(created AS VARCHAR) AS created, seq FROM joined WHERE seq < 1000 AND song_id % 3 = 0
+  QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY song, seq) = 1)""")
 SQL["stream_intake"] = SQL["attach_posts"].replace("ORDER BY song, seq", "ORDER BY seq % 2, song, seq")  # the first drop wins
 SQL["recommend_from"] = SQL["recommend_benchmark"]
 SQL["path_to_song"] = _q(f"""SELECT song, song AS song_from_path, tweet_id, '{CAT.RUN_DATE}' AS date
@@ -331,18 +337,31 @@ SQL["intake_snapshot"] = _q(f"""SELECT f.name, f.id, f.artist, f.popularity, CAS
 FROM (SELECT * FROM tracks WHERE popularity >= 60
       QUALIFY row_number() OVER (PARTITION BY name ORDER BY p_partkey) = 1) f
 LEFT JOIN audio a USING (id)""", TRACKS, AUDIO)
-SQL["daily_job"] = _q(f"""SELECT song, tweet_id, CAST(created AS VARCHAR) AS created, retweeted
-FROM (SELECT * FROM flat WHERE lang = 'en' AND created < TIMESTAMP '{CAT.END_DATE}'
-        AND song IN (SELECT name FROM plan))
-WHERE retweeted = 0""", FLAT,
-    """slist AS (SELECT DISTINCT user_id AS id, 'song' || CAST(user_id AS VARCHAR) AS name,
-       CAST(DATE '2024-02-23' + CASE WHEN user_id % 10 = 9 THEN 1 ELSE 0 END AS DATE) AS add_date FROM events)""",
-    "fd AS (SELECT min(add_date) AS d FROM slist)",
-    f"st AS (SELECT datediff('day', (SELECT d FROM fd), {RUN}) AS i, "
-    "(SELECT count(*) FROM slist WHERE add_date = (SELECT d FROM fd)) // 7 AS step)",
-    f"""plan AS (SELECT name FROM (SELECT name, row_number() OVER (ORDER BY add_date, id) - 1 AS pos FROM slist)
-  WHERE pos >= (SELECT i * step FROM st) AND pos < (SELECT (i + 1) * step FROM st)
-  UNION ALL SELECT name FROM slist WHERE add_date = {RUN})""")
+def plain(x: str) -> str:
+    """Words of a text with one space before and after each."""
+    return f"(' ' || trim(regexp_replace(lower({x}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g')) || ' ')"
+
+
+_WHO = (f"CASE WHEN len(string_split(a, ' ')) > 1 AND NOT list_contains({STOP}, lower(string_split(a, ' ')[1])) "
+        "THEN string_split(a, ' ')[1] ELSE a END")
+SQL["daily_job"] = _q(f"""SELECT song, tweet_id, CAST(created AS VARCHAR) AS created, retweeted, content
+FROM (SELECT DISTINCT plan.name AS song, p.* FROM plan JOIN landed p ON contains({plain('p.content')}, {plain('title')})
+      AND contains({plain('p.content')}, {plain('who')}))
+WHERE lang = 'en' AND created < TIMESTAMP '{CAT.END_DATE}' AND retweeted = 0""", TRACKS, FLAT,
+    """landed AS (SELECT seq, tweet_id, created, retweeted, lang, e.event_type || ' heard: ' || p_name || ' ' || chr(10) || '- by '
+    || CASE WHEN CAST(json_extract_string(e.props, '$.k') AS INTEGER) % 4 = 0 THEN p_brand
+            WHEN CAST(json_extract_string(e.props, '$.k') AS INTEGER) % 4 = 1 THEN 'the ' || p_type
+            WHEN CAST(json_extract_string(e.props, '$.k') AS INTEGER) % 4 = 2 THEN string_split(p_type, ' ')[1] ELSE 'nobody' END
+    || ' !' AS content
+  FROM flat JOIN events e ON e.event_id = seq JOIN part ON p_partkey = e.event_id // 5 + 1)""",
+    """stored AS (SELECT name, id, artist FROM tracks WHERE popularity >= 60 AND p_partkey % 3 = 0
+  QUALIFY row_number() OVER (PARTITION BY name ORDER BY p_partkey) = 1)""",
+    """fresh AS (SELECT name, id, artist FROM tracks WHERE popularity >= 60 AND name NOT IN (SELECT name FROM stored)
+  QUALIFY row_number() OVER (PARTITION BY name ORDER BY p_partkey) = 1)""",
+    f"""plan AS (SELECT name, {trim_title_sql('name')} AS title, {_WHO} AS who FROM (
+  SELECT name, unnest(string_split(artist, ',')) AS a FROM (
+    SELECT name, artist FROM stored QUALIFY (row_number() OVER (ORDER BY id) - 1) // ((SELECT count(*) FROM stored) // 7) = 1
+    UNION ALL SELECT name, artist FROM fresh)))""")
 
 
 for _k, _v in list(SQL.items()):

@@ -34,6 +34,19 @@ POSTS_CSV = StructType([
 ])
 
 
+# The store of songs and posts; a post has the key of its song.
+STORED_SONGS = StructType([StructField("_id", StringType()), StructField("name", StringType()),
+                           StructField("artist", StringType())])
+STORED_SONGS_CSV = StructType([StructField("id", StringType()), *STORED_SONGS.fields[1:]])
+STORED_POSTS = StructType([*POSTS.fields, StructField("song_id", StringType())])
+
+
+def conform(df, schema: StructType):
+    """The columns of ``schema``, in its order and types."""
+    from pyspark.sql import functions as F
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
+
+
 # Text formats that keep microseconds (CSV and JSON round trips).
 TS_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
               "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}

@@ -141,6 +141,34 @@ def raw_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def landed_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed posts that no search has chosen yet (seq, status): each of five
+    posts about a track names its title and one of its artists, in whole, by the
+    first word, or not at all."""
+    e, p = table(spark, sf_dir, "events"), table(spark, sf_dir, "part")
+    number = F.floor(F.col("event_id") / 5) + 1
+    k = F.get_json_object("props", "$.k").cast("int")
+    who = (F.when(k % 4 == 0, F.col("p_brand")).when(k % 4 == 1, F.concat(F.lit("the "), "p_type"))
+            .when(k % 4 == 2, F.element_at(F.split("p_type", " "), 1)).otherwise("nobody"))
+    text = F.concat_ws(" ", "event_type", F.lit("heard:"), "p_name", F.lit("\n- by"), who, F.lit("!"))
+    about = e.join(p, number == F.col("p_partkey")).select("event_id", text.alias("full_text"))
+    tagged = raw_statuses(spark, sf_dir).select("seq", "status")
+    return (tagged.join(about, tagged["seq"] == about["event_id"])
+                  .select("seq", F.col("status").withField("full_text", F.col("full_text")).alias("status")))
+
+
+def stored_tracks(tracks: DataFrame) -> DataFrame:
+    """The song list before the run: every third of the passing tracks, first
+    track of a name, added on the first day."""
+    kept = tracks.where((F.col("popularity") >= 60) & (F.col("id").cast("long") % 3 == 0))
+    first = kept.groupBy("name").agg(F.min(F.col("id").cast("long")).cast("string").alias("id"))
+    rows = kept.join(first, ["name", "id"], "left_semi").withColumns({
+        "add_date": F.lit(FIRST_DAY), "add_day": F.dayofyear(F.lit(FIRST_DAY))})
+    have = set(rows.columns)
+    return rows.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                         for f in SC.SONGS.fields])
+
+
 def attach_songs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Songs in the store that posts can be attached to (id, name)."""
     e = table(spark, sf_dir, "events")

@@ -6,11 +6,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from textrec.functions import html as H
 from textrec.functions import text as T
 from textrec.schemas import SONG_DOCUMENTS, TS_OPTIONS
+from textrec.sources.split_csv import read_csv_split
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, multiline: bool = False,
@@ -40,6 +41,31 @@ def read_landed_posts(spark: SparkSession, root: str, schema: StructType | str,
     return df.withColumn("song_from_path", song)
 
 
+def read_landed(spark: SparkSession, root: str, schema: StructType, date=None, songs: list[str] | None = None,
+                song_col: str = "song") -> DataFrame:
+    """S4 + S5 + F15 for what ``write_landed`` wrote: posts with their ``file`` and
+    ``date``.  A date reads one folder; given songs read only the files that the
+    table of songs names."""
+    path: str | list[str] = f"{root}/posts" + (f"/date={date}" if date is not None else "")
+    if songs is not None:
+        index = spark.read.parquet(f"{root}/songs").where(F.col(song_col).isin(songs))
+        if date is not None:
+            index = index.where(F.col("date") == F.lit(str(date)).cast("date"))
+        path = sorted(r.f for r in index.select(_unescape(F.col("file")).alias("f")).distinct().collect())
+    if path == []:
+        rows = spark.createDataFrame([], StructType([StructField("file", StringType()), *schema.fields]))
+    else:
+        rows = read_csv_split(spark, path, schema, glob="*.csv", with_file=True)
+    rows = rows.withColumn("date", F.regexp_extract("file", r"/date=([^/]+)/[^/]*$", 1).cast("date"))
+    return rows if songs is None else rows.where(F.col(song_col).isin(songs))
+
+
+def landed_songs(spark: SparkSession, root: str, date=None) -> DataFrame:
+    """(file, song, date), which files hold a song's posts."""
+    index = spark.read.parquet(f"{root}/songs")
+    return index if date is None else index.where(F.col("date") == F.lit(str(date)).cast("date"))
+
+
 def _unescape(c):
     """Decode %XX escapes once; a literal '+' stays a '+'.  The file path is a
     URI (one level) of a partition folder name (a second level)."""

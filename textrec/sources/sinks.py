@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from textrec.schemas import TS_OPTIONS
+from textrec.sources.split_csv import read_csv_split
+
+
+#: The CSV writer trims values unless told not to.
+KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def arrays_to_json(df: DataFrame) -> DataFrame:
@@ -36,6 +41,20 @@ def write_csv(df: DataFrame, path: str, partition_by=(), mode: str = "errorifexi
     w.csv(path)
 
 
+def write_landed(df: DataFrame, root: str, date, song_col: str = "song", order_cols=("tweet_id",)) -> None:
+    """K9: the posts of one day, clustered by ranges of the song's hash.  How many
+    files there are follows from the bytes, not from the number of songs; a song
+    with many posts spreads over several.  ``songs/`` beside them tells which
+    files hold a song."""
+    path, index = f"{root}/posts/date={date}", f"{root}/songs/date={date}"
+    out = arrays_to_json(df).withColumn("_h", F.xxhash64(song_col))
+    order = ["_h", song_col, *order_cols]
+    (out.repartitionByRange(*order).sortWithinPartitions(*order).drop("_h")
+        .write.option("header", True).option("escape", '"').options(**TS_OPTIONS, **KEEP_SPACES).csv(path))
+    written = read_csv_split(df.sparkSession, path, out.drop("_h").schema, glob="*.csv", with_file=True)
+    written.select("file", song_col).distinct().write.parquet(index)
+
+
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", partition_by=()) -> None:
     """Save a frame as Parquet; by default an existing path is an error."""
     w = df.write.mode(mode)
