@@ -1,25 +1,21 @@
-"""Stemming of the corpus vocabulary.
-
-Spark has no stemmer, so the published Snowball English ("Porter2")
-algorithm is written here as a small per-word helper.  It runs in an
-Arrow-batched pandas UDF over the *distinct* terms only (the vocabulary job),
-and the (term, stem) table is joined back to the postings; the Python
-worker never sees a posting row.
-
-The WordNet lemmatiser that runs before the stemmer in the reference needs a
-dictionary that is not part of it; ``lemma_map`` (a (word, lemma) table) can
-be applied with the same join when one is provided.
+"""Lemmas and stems of a vocabulary.
+
+The published Snowball English ("Porter2") rules are written as Column
+expressions: the regions R1 and R2 are lengths found by a regular expression, a
+step is one projection over the word so far.  Stemming runs over the *distinct*
+terms only (the vocabulary job), and the (term, stem) table is joined back to the
+postings; there is no Python worker.
+
+A lemma step may come first.  It takes a (word, lemma) table, given or made by
+``lemma_map`` from any dictionary of base forms: a word's candidates are the
+word itself and what the published noun rules detach from it, and the shortest
+one in the dictionary is its lemma.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import StringType
-
-from textrec.session import ship_package
 
 # ---------------------------------------------------------------------------
 # Fixed values of the published algorithm.
@@ -50,163 +46,108 @@ STEP4 = ("ement", "ance", "ence", "able", "ible", "ment", "ant", "ent", "ism", "
          "ous", "ive", "ize", "ion", "al", "er", "ic")
 
 
-def _is_vowel(ch: str) -> bool:
-    return ch in VOWELS
-
-
-def _regions(w: str) -> tuple[int, int]:
-    def after_vc(start: int) -> int:
-        for i in range(start + 1, len(w)):
-            if not _is_vowel(w[i]) and _is_vowel(w[i - 1]):
-                return i + 1
-        return len(w)
-
-    r1 = None
-    for p in R1_PREFIXES:
-        if w.startswith(p):
-            r1 = len(p)
-            break
-    if r1 is None:
-        r1 = after_vc(0)
-    r2 = after_vc(r1) if r1 < len(w) else len(w)
-    return r1, r2
-
-
-def _short_syllable_end(w: str) -> bool:
-    n = len(w)
-    if n == 2:
-        return _is_vowel(w[0]) and not _is_vowel(w[1])
-    if n >= 3:
-        return (not _is_vowel(w[-3]) and _is_vowel(w[-2]) and not _is_vowel(w[-1])
-                and w[-1] not in "wxY")
-    return False
-
-
-def _is_short(w: str, r1: int) -> bool:
-    return r1 >= len(w) and _short_syllable_end(w)
-
-
-def stem_word(word: str) -> str:
-    """Snowball English stem of one lower-case word."""
-    if word is None:
-        return None
-    if len(word) <= 2:
-        return word
-    if word in EXCEPTIONS:
-        return EXCEPTIONS[word]
-    w = word.lstrip("'")
-    if w.startswith("y"):
-        w = "Y" + w[1:]
-    w = "".join("Y" if (c == "y" and i > 0 and _is_vowel(w[i - 1])) else c for i, c in enumerate(w))
-    r1, r2 = _regions(w)
-
-    # Step 0
-    for suf in ("'s'", "'s", "'"):
-        if w.endswith(suf):
-            w = w[: -len(suf)]
-            break
-
-    # Step 1a
-    if w.endswith("sses"):
-        w = w[:-2]
-    elif w.endswith("ied") or w.endswith("ies"):
-        w = w[:-2] if len(w) > 4 else w[:-1]
-    elif w.endswith("us") or w.endswith("ss"):
-        pass
-    elif w.endswith("s"):
-        if any(_is_vowel(c) for c in w[:-2]):
-            w = w[:-1]
-
-    if w in AFTER_1A:
-        return w
-
-    # Step 1b
-    done = False
-    for suf in ("eedly", "eed"):
-        if w.endswith(suf):
-            if len(w) - len(suf) >= r1:
-                w = w[: -len(suf)] + "ee"
-            done = True
-            break
-    if not done:
-        for suf in ("ingly", "edly", "ing", "ed"):
-            if w.endswith(suf):
-                stem = w[: -len(suf)]
-                if any(_is_vowel(c) for c in stem):
-                    w = stem
-                    if w.endswith(("at", "bl", "iz")):
-                        w += "e"
-                    elif w.endswith(DOUBLES):
-                        w = w[:-1]
-                    elif _is_short(w, r1):
-                        w += "e"
-                break
-
-    # Step 1c
-    if len(w) > 2 and w[-1] in "yY" and not _is_vowel(w[-2]):
-        w = w[:-1] + "i"
-
-    # Step 2
-    for suf, rep in STEP2:
-        if w.endswith(suf):
-            if len(w) - len(suf) >= r1:
-                if suf == "ogi":
-                    if w[-4:-3] == "l":
-                        w = w[:-3] + rep
-                elif suf == "li":
-                    if len(w) >= 3 and w[-3] in LI_ENDING:
-                        w = w[:-2]
-                else:
-                    w = w[: -len(suf)] + rep
-            break
-
-    # Step 3
-    for suf, rep in STEP3:
-        if w.endswith(suf):
-            if len(w) - len(suf) >= r1:
-                if suf == "ative":
-                    if len(w) - len(suf) >= r2:
-                        w = w[:-5]
-                else:
-                    w = w[: -len(suf)] + rep
-            break
-
-    # Step 4
-    for suf in STEP4:
-        if w.endswith(suf):
-            if len(w) - len(suf) >= r2:
-                if suf == "ion":
-                    if len(w) >= 4 and w[-4] in "st":
-                        w = w[:-3]
-                else:
-                    w = w[: -len(suf)]
-            break
-
-    # Step 5
-    if w.endswith("e"):
-        if len(w) - 1 >= r2 or (len(w) - 1 >= r1 and not _short_syllable_end(w[:-1])):
-            w = w[:-1]
-    elif w.endswith("l"):
-        if len(w) - 1 >= r2 and w[-2:-1] == "l":
-            w = w[:-1]
-
-    return w.replace("Y", "y")
-
-
-@pandas_udf(StringType())
-def stem_udf(words: pd.Series) -> pd.Series:
-    return words.map(stem_word)
-
-
-def stem_map(terms: DataFrame, term_col: str = "term", lemma_map: DataFrame | None = None) -> DataFrame:
-    """Vocabulary job: (term, stem) for every distinct term.
-
-    Distinct is a partial aggregate, so the Python UDF sees each term once no
-    matter how often it occurs; a lemma table, when given, is applied first."""
-    ship_package(terms.sparkSession)
+
+# Endings of English nouns and what stands in their place in the base form.
+NOUN_ENDINGS = (("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"), ("ches", "ch"), ("shes", "sh"),
+                ("men", "man"), ("ies", "y"))
+
+V, NON_V = f"[{VOWELS}]", f"[^{VOWELS}]"
+#: Up to and with the first non-vowel after a vowel.
+REGION = f"^{NON_V}*{V}+{NON_V}"
+SHORT_END = f"^{V}{NON_V}$|{NON_V}{V}[^{VOWELS}wxY]$"
+
+
+def _cut(w: Column, n: int, more: str = "") -> Column:
+    """The word without its last ``n`` characters, with ``more`` after it."""
+    kept = F.substring(w, F.lit(1), F.length(w) - n)
+    return F.concat(kept, F.lit(more)) if more else kept
+
+
+def _by_suffix(w: Column, cases) -> Column:
+    """The result of the first case (suffix, result) whose suffix the word has."""
+    first, *others = cases
+    out = F.when(w.endswith(first[0]), first[1])
+    for suffix, result in others:
+        out = out.when(w.endswith(suffix), result)
+    return out.otherwise(w)
+
+
+def _region_end(w: Column, start: Column) -> Column:
+    """Where the region after ``start`` begins; the word's length if there is none."""
+    found = F.length(F.regexp_extract(F.substring(w, start + 1, F.length(w)), REGION, 0))
+    return F.when(found > 0, start + found).otherwise(F.length(w))
+
+
+def stems(words: DataFrame, word: str = "term", out: str = "stem") -> DataFrame:
+    """Adds the stem of a lower-case word."""
+    w, r1, r2 = F.col("_w"), F.col("_r1"), F.col("_r2")
+    exception = F.create_map(*[F.lit(x) for pair in EXCEPTIONS.items() for x in pair])
+    # short words and exceptions are done at the start, and some after the plural step
+    df = words.withColumn("_done", F.when(F.length(word) <= 2, F.col(word)).otherwise(F.try_element_at(exception, F.col(word))))
+    df = df.withColumn("_w", F.regexp_replace(F.ltrim(F.col(word), F.lit("'")), "^y", "Y"))
+    df = df.withColumn("_w", F.regexp_replace(w, f"(?<={V})y", "Y"))
+    prefix = F.length(F.regexp_extract(w, f"^({'|'.join(R1_PREFIXES)})", 1))
+    df = df.withColumn("_r1", F.when(prefix > 0, prefix).otherwise(_region_end(w, F.lit(0))))
+    df = df.withColumn("_r2", _region_end(w, r1))
+
+    def in_region(n: int, region: Column, result: Column) -> Column:
+        return F.when(F.length(w) - n >= region, result).otherwise(w)
+
+    # 0 and 1a: possessives, plurals
+    df = df.withColumn("_w", F.regexp_replace(w, "('s'|'s|')$", ""))
+    short = F.when(F.length(w) > 4, _cut(w, 2)).otherwise(_cut(w, 1))
+    df = df.withColumn("_w", _by_suffix(w, [
+        ("sses", _cut(w, 2)), ("ied", short), ("ies", short), ("us", w), ("ss", w),
+        ("s", F.when(w.rlike(f"{V}.*..$"), _cut(w, 1)).otherwise(w))]))
+    df = df.withColumn("_done", F.coalesce("_done", F.when(w.isin(*AFTER_1A), w)))
+    # 1b: past and -ing forms; what they leave is mended
+    df = df.withColumn("_cut", F.when(w.endswith("eedly") | w.endswith("eed"), None)
+                       .when(w.rlike(f"{V}.*(ingly|edly|ing|ed)$"), F.regexp_replace(w, "(ingly|edly|ing|ed)$", "")))
+    # the vowel has to stand before the ending, so the rest is asked again
+    df = df.withColumn("_cut", F.when(F.col("_cut").rlike(V), F.col("_cut")))
+    c = F.col("_cut")
+    mended = (F.when(c.rlike("(at|bl|iz)$"), F.concat(c, F.lit("e")))
+               .when(c.rlike(f"({'|'.join(DOUBLES)})$"), _cut(c, 1))
+               .when((F.length(c) <= r1) & c.rlike(SHORT_END), F.concat(c, F.lit("e"))).otherwise(c))
+    df = df.withColumn("_w", F.when(c.isNotNull(), mended).otherwise(_by_suffix(w, [
+        ("eedly", in_region(5, r1, _cut(w, 5, "ee"))), ("eed", in_region(3, r1, _cut(w, 3, "ee")))])))
+    # 1c: y after a consonant
+    df = df.withColumn("_w", F.regexp_replace(w, f"^(.+{NON_V})[yY]$", "$1i"))
+    # 2, 3 and 4: suffixes in R1 and R2
+    df = df.withColumn("_w", _by_suffix(w, [(s, in_region(len(s), r1, _cut(w, len(s), more) if s not in ("ogi", "li") else
+        F.when(w.rlike("logi$" if s == "ogi" else f"[{LI_ENDING}]li$"), _cut(w, len(s), more)).otherwise(w)))
+        for s, more in STEP2]))
+    df = df.withColumn("_w", _by_suffix(w, [(s, in_region(len(s), r2 if s == "ative" else r1, _cut(w, len(s), more)))
+                                            for s, more in STEP3]))
+    df = df.withColumn("_w", _by_suffix(w, [(s, in_region(len(s), r2, _cut(w, len(s)) if s != "ion" else
+        F.when(w.rlike("[st]ion$"), _cut(w, 3)).otherwise(w))) for s in STEP4]))
+    # 5: a last e or l
+    e = F.when((F.length(w) - 1 >= r2) | ((F.length(w) - 1 >= r1) & ~_cut(w, 1).rlike(SHORT_END)), _cut(w, 1)).otherwise(w)
+    df = df.withColumn("_w", _by_suffix(w, [("e", e), ("l", in_region(1, r2, F.when(w.endswith("ll"), _cut(w, 1)).otherwise(w)))]))
+    return df.withColumn(out, F.coalesce("_done", F.replace(w, F.lit("Y"), F.lit("y")))).drop("_w", "_r1", "_r2", "_done", "_cut")
+
+
+def lemma_map(terms: DataFrame, dictionary: DataFrame, term_col: str = "term", word_col: str = "word") -> DataFrame:
+    """(word, lemma) for each distinct term that has a base form in the dictionary."""
+    t = F.col("word")
+    forms = [F.struct(t.alias("form"), F.lit(0).alias("rule"))] + [
+        F.when(t.endswith(end), F.struct(_cut(t, len(end), put).alias("form"), F.lit(i + 1).alias("rule")))
+        for i, (end, put) in enumerate(NOUN_ENDINGS)]
+    words = terms.select(F.col(term_col).alias("word")).distinct()
+    tried = words.select("word", F.explode(F.array(*forms)).alias("f")).where(F.col("f").isNotNull() & (F.length("f.form") > 0))
+    known = dictionary.select(F.col(word_col).alias("form")).distinct()
+    kept = tried.select("word", "f.form", "f.rule").join(known, "form", "left_semi")
+    # of equally short forms the earlier rule; length and rule are one number, so the choice is a hash aggregate
+    ranked = kept.select("word", F.col("form").alias("lemma"), (F.length("form") * 100 + F.col("rule")).alias("rank"))
+    best = ranked.groupBy("word").agg(F.min("rank").alias("rank"))
+    return ranked.join(best, ["word", "rank"], "left_semi").select("word", "lemma")
+
+
+def stem_map(terms: DataFrame, term_col: str = "term", lemmas: DataFrame | None = None) -> DataFrame:
+    """Vocabulary job: (term, stem) for every distinct term; with a (word, lemma)
+    table each term's lemma is stemmed, if it has one."""
     vocab = terms.select(F.col(term_col).alias("term")).distinct()
-    base = F.col("term")
-    if lemma_map is not None:
-        vocab = vocab.join(lemma_map.select(F.col("word").alias("term"), "lemma"), "term", "left")
-        base = F.coalesce("lemma", "term")
-    return vocab.select("term", stem_udf(base).alias("stem"))
+    if lemmas is None:
+        return stems(vocab)
+    known = vocab.join(lemmas.select(F.col("word").alias("term"), "lemma"), "term", "left")
+    return stems(known.select("term", F.coalesce("lemma", "term").alias("_base")), "_base").select("term", "stem")

@@ -19,7 +19,7 @@ from textrec.functions import stem as ST
 from textrec.operators import collect as CO
 from textrec.operators import ingest as IN
 from textrec.plans import daily as DJ
-from textrec.session import scratch_path
+from textrec.session import materialize, scratch_path
 from textrec.sources import fixtures as FX
 from textrec.sources import readers as RD
 from textrec.sources import sinks as SK
@@ -394,8 +394,17 @@ QUERIES.update({
 
 
 def q_stem_vocab(spark, sf):
-    terms = M.line_terms(FX.lines(spark, sf), "tweet_line")
-    return ST.stem_map(terms)
+    return ST.stem_map(M.line_terms(FX.lines(spark, sf), "tweet_line"))
+
+
+def q_lemma_stem_vocab(spark, sf):
+    """The lemma step before the stem; the vocabulary is its own dictionary of
+    base forms."""
+    terms = M.line_terms(FX.lines(spark, sf), "tweet_line").select("term").distinct()
+    lemmas = materialize(ST.lemma_map(terms, terms.withColumnRenamed("term", "word")), "lemmas")
+    with_lemma = terms.join(lemmas.withColumnRenamed("word", "term"), "term", "left").select(
+        "term", F.coalesce("lemma", "term").alias("lemma"))
+    return with_lemma.join(ST.stem_map(terms, lemmas=lemmas), "term").select("term", "lemma", "stem")
 
 
 def q_recommend_stemmed(spark, sf):
@@ -507,6 +516,7 @@ def q_recommend_from(spark, sf):
 
 QUERIES.update({
     "stem_vocab": q_stem_vocab,
+    "lemma_stem_vocab": q_lemma_stem_vocab,
     "recommend_stemmed": q_recommend_stemmed,
     "csv_round_trip": q_csv_round_trip,
     "csv_line_breaks": q_csv_line_breaks,

@@ -11,6 +11,7 @@ from textrec.operators.clean import FLOAT_COLUMNS
 from textrec.operators import evaluate as E
 from textrec.plans import catalog as CAT
 from textrec.plans import oracle_html
+from textrec.plans import oracle_terms as OT
 
 
 def rnd(x: str, d: int = 6) -> str:
@@ -397,3 +398,57 @@ ORDER BY md5(concat_ws('|', CAST(id AS VARCHAR), tweet_line)), id, tweet_line LI
 SQL["posts_clean_one_scan"] = SQL["posts_clean"]
 SQL["verses_clean_one_scan"] = SQL["verses_clean"]
 SQL |= oracle_html.SQL
+
+
+# --- stems and hash buckets ----------------------------------------------------
+
+VOCABULARY = f"vocabulary AS (SELECT DISTINCT unnest({tokens('tweet_line')}) AS term FROM all_lines)"
+SQL["stem_vocab"] = _q("SELECT term, stem FROM stems", LINES, VOCABULARY, OT.stems("vocabulary"))
+SQL["lemma_stem_vocab"] = _q("""SELECT v.term, coalesce(lemma, v.term) AS lemma, stem
+FROM vocabulary v LEFT JOIN lemmas ON word = v.term JOIN stems s ON s.term = coalesce(lemma, v.term)""",
+                             LINES, VOCABULARY, "dictionary AS (SELECT term AS word FROM vocabulary)",
+                             OT.lemmas("vocabulary", "dictionary"),
+                             "bases AS (SELECT DISTINCT coalesce(lemma, v.term) AS term FROM vocabulary v LEFT JOIN lemmas ON word = v.term)",
+                             OT.stems("bases"))
+
+#: The model over another kind of term: ``mapped`` (term, u) gives it.
+MAPPED = """utf AS (SELECT id, u, CAST(sum(tf) AS BIGINT) AS tf FROM tf JOIN mapped USING (term) GROUP BY id, u),
+uidf AS (SELECT u, ln(((SELECT count(DISTINCT id) FROM utf) + 1.0) / (count(*) + 1.0)) AS idf FROM utf GROUP BY u),
+upost AS (SELECT id, u, tf, tf * idf AS w FROM utf JOIN uidf USING (u))"""
+BENCH_TERMS = f"""bocc AS (SELECT item_id, unnest({tokens('text')}) AS term FROM benchmark),
+bn AS (SELECT item_id, count(*) AS n FROM bocc GROUP BY item_id)"""
+BENCH_BEST = f"""bq AS (SELECT o.item_id, u, count(*) * max({factor('bn.n')}) AS qtf FROM bocc o JOIN bn USING (item_id)
+  JOIN mapped USING (term) GROUP BY o.item_id, u),
+bsc AS (SELECT item_id, id, sum(qtf * w) AS score FROM bq JOIN upost USING (u) GROUP BY item_id, id),
+best AS (SELECT b.item_id, c.id, coalesce(bsc.score, 0.0) AS score, row_number() OVER (
+    PARTITION BY b.item_id ORDER BY round(coalesce(bsc.score, 0.0), 9) DESC, c.id) AS rank
+  FROM benchmark b CROSS JOIN (SELECT DISTINCT id FROM upost) c
+  LEFT JOIN bsc ON bsc.item_id = b.item_id AND bsc.id = c.id QUALIFY rank <= {CAT.TOP_K})"""
+BENCH_OUT = f"""SELECT best.item_id, CAST(rank AS INTEGER) AS rank, best.id, songs.name, {R_SCORE} AS score
+FROM best LEFT JOIN songs USING (id)"""
+SQL["recommend_stemmed"] = _q(BENCH_OUT, SONGS, LINES, CLEAN, MODEL, BENCH_TERMS,
+                              "both_terms AS (SELECT term FROM tf UNION SELECT term FROM bocc)", OT.stems("both_terms"),
+                              "mapped AS (SELECT term, stem AS u FROM stems)", MAPPED, BENCH_BEST)
+SQL["recommend_hashed"] = _q(BENCH_OUT, SONGS, LINES, CLEAN, MODEL, BENCH_TERMS,
+                             "both_terms AS (SELECT term FROM tf UNION SELECT term FROM bocc)", OT.buckets("both_terms"),
+                             "mapped AS (SELECT term, h AS u FROM buckets)", MAPPED, BENCH_BEST)
+SQL["tfidf_hashed"] = _q(f"SELECT id, u AS h, tf, {R_W} AS w FROM upost", LINES, CLEAN, MODEL, OT.buckets("tf"),
+                         "mapped AS (SELECT term, h AS u FROM buckets)", MAPPED)
+SQL["topk_accuracy_hashed"] = _q(f"""SELECT count(*) AS n_tests,
+       CAST(sum(CASE WHEN rank <= {CAT.CODE_HIT_RANK} THEN 1 ELSE 0 END) AS BIGINT) AS n_hits,
+       {rnd(f"avg(CASE WHEN rank <= {CAT.CODE_HIT_RANK} THEN 1.0 ELSE 0.0 END)")} AS accuracy
+FROM (SELECT tq.query_song, CAST(coalesce(b.rank - 1, {T.MISSING_RANK}) AS INTEGER) AS rank
+      FROM tq LEFT JOIN best b ON b.query_song = tq.query_song AND b.query_line = tq.query_line AND b.id = tq.query_song)""",
+    LINES, CLEAN, MODEL, f"""tq AS (SELECT id AS query_song, tweet_line AS query_line FROM test_p
+  WHERE tweet_line IS NOT NULL AND length(replace(tweet_line, ' ', '')) > 1),
+qocc AS (SELECT query_song, query_line, unnest({tokens('query_line')}) AS term FROM tq),
+qn AS (SELECT query_song, query_line, count(*) AS n FROM qocc GROUP BY query_song, query_line),
+both_terms AS (SELECT term FROM tf UNION SELECT term FROM qocc)""", OT.buckets("both_terms"),
+    "mapped AS (SELECT term, h AS u FROM buckets)", MAPPED, f"""qu AS (SELECT o.query_song, o.query_line, u, count(*) * max({factor('qn.n')}) AS qtf
+  FROM qocc o JOIN qn USING (query_song, query_line) JOIN mapped USING (term) GROUP BY o.query_song, o.query_line, u),
+sc AS (SELECT query_song, query_line, id, sum(qtf * w) AS score FROM qu JOIN upost USING (u) GROUP BY query_song, query_line, id),
+best AS (SELECT tq.query_song, tq.query_line, c.id, row_number() OVER (PARTITION BY tq.query_song, tq.query_line
+    ORDER BY round(coalesce(sc.score, 0.0), 9) DESC, c.id) AS rank
+  FROM tq CROSS JOIN (SELECT DISTINCT id FROM upost) c
+  LEFT JOIN sc ON sc.query_song = tq.query_song AND sc.query_line = tq.query_line AND sc.id = c.id
+  QUALIFY rank <= {CAT.CODE_LIST_SIZE})""")
