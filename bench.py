@@ -97,11 +97,9 @@ def run_jobs(spark, sf_dir: str, root: str, repeat: int):
     corpus_ids = model.corpus_ids
 
     # warm-up query (plans and code paths of the scoring job), then the timed one
-    tb = model.term_buckets
-    S.recommend_one(CAT.SMOKE_TEXT, postings, songs, CAT.TOP_K, corpus_ids=corpus_ids, term_buckets=tb).collect()
+    S.recommend_one(CAT.SMOKE_TEXT, postings, songs, CAT.TOP_K, corpus_ids=corpus_ids).collect()
     q["recommend_one"], rows = timed(
-        lambda: S.recommend_one(CAT.SMOKE_TEXT_2, postings, songs, CAT.TOP_K, corpus_ids=corpus_ids,
-                                term_buckets=tb).collect(),
+        lambda: S.recommend_one(CAT.SMOKE_TEXT_2, postings, songs, CAT.TOP_K, corpus_ids=corpus_ids).collect(),
         repeat)
     info["recommend_one_rows"] = len(rows)
 
@@ -110,14 +108,14 @@ def run_jobs(spark, sf_dir: str, root: str, repeat: int):
                                              F.col("tweet_line").alias("text"))
                    .unionByName(FX.table(spark, sf_dir, "benchmark")
                                 .select(E.query_key("item_id", "text").alias("query_id"), "text")))
-        recs = S.recommend(queries, postings, songs, CAT.TOP_K)
+        recs = S.recommend(queries, postings, songs, CAT.TOP_K, corpus_ids=corpus_ids, blocks=model.blocks)
         recs.write.mode("overwrite").parquet(root + "/recs")
         return queries.count()
     q["recommend_batch"], info["batch_queries"] = timed(batch, repeat)
     info["batch_ms_per_query"] = round(1000 * q["recommend_batch"] / max(info["batch_queries"], 1), 2)
 
     def evaluate():
-        ranks = E.target_ranks(tests, postings, 15)
+        ranks = E.target_ranks(tests, postings, 15, corpus_ids=corpus_ids, blocks=model.blocks)
         return E.accuracy_at(ranks, (10, 15)).collect()[0]
     q["evaluate"], acc = timed(evaluate, repeat)
     info["n_tests"] = acc["n_tests"]

@@ -1,7 +1,9 @@
 """TF-IDF, scoring and ranking (golden rows and properties)."""
 
 import math
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from textrec.operators import evaluate as E
@@ -106,17 +108,59 @@ def test_hashed_recommend_close_to_exact(spark, sf):
     assert len(exact & hashed) >= 0.9 * len(exact)
 
 
-def test_one_query_reads_only_its_term_folders(spark, sf):
-    from textrec.plans import catalog
+def test_one_text_reads_the_row_groups_of_its_terms(spark, sf):
+    """The scan is given the text's own terms; the list is that of the whole join."""
     from textrec.plans.build import build_model
     from textrec.sources import fixtures as FX
-    m = build_model(spark, sf, term_buckets=16)
+    m = build_model(spark, sf)
     songs = FX.songs(spark, sf)
-    text = FX.table(spark, sf, "benchmark").orderBy("item_id").first()["text"]
-    pruned = S.recommend_one(text, m.postings, songs, 15, corpus_ids=m.corpus_ids, term_buckets=16)
-    full = S.recommend_one(text, m.postings, songs, 15, corpus_ids=m.corpus_ids)
-    assert [tuple(r) for r in pruned.collect()] == [tuple(r) for r in full.collect()]
-    plan = pruned._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [tb#" in plan and "INSET" in plan
-    qt = S.query_terms(spark.range(1).selectExpr("0 AS query_id", "'tough days doing homework' AS text"))
-    assert 1 <= len(S.query_buckets(qt, 16)) <= 3
+    text = " ".join(r.term for r in m.tf.groupBy("term").count().orderBy("count", "term").limit(3).collect())
+    one = S.recommend_one(text, m.postings, songs, 15, corpus_ids=m.corpus_ids)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [" in plan and "EqualTo(term," in plan
+    batch = S.recommend(spark.createDataFrame([(0, text)], "query_id int, text string"), m.postings, songs, 15,
+                        corpus_ids=m.corpus_ids, blocks=m.blocks)
+    assert [tuple(r) for r in one.collect()] == [tuple(r)[1:] for r in batch.orderBy("rank").collect()]
+    long = " ".join(r.term for r in m.tf.select("term").distinct().limit(S.SCAN_TERMS + 5).collect())
+    assert S.recommend_one(long, m.postings, songs, 15, corpus_ids=m.corpus_ids).count() == min(15, m.corpus_ids.count())
+
+
+@pytest.fixture(scope="module")
+def random_postings(spark):
+    rnd = random.Random(8)
+    rows = []
+    for t in range(40):
+        share = 0.9 if t < 3 else rnd.choice([0.02, 0.1, 0.4])
+        for song in range(400):
+            if rnd.random() < share:
+                tf = rnd.choice([1, 1, 1, 2, 3, 8, 40])
+                rows.append((song, f"t{t}", float(tf) * (0.1 if t < 3 else rnd.choice([1.5, 2.25]))))
+    queries = [(q, f"t{rnd.randrange(40)}" if rnd.random() < 0.7 else f"t{rnd.randrange(3)}", rnd.choice([1, 1, 5]))
+               for q in range(60) for _ in range(rnd.randint(1, 8))] + [(100, "t0", 1), (101, "unknown", 1), (102, "t1", 25)]
+    terms = spark.createDataFrame(queries, "query_id int, term string, c int").groupBy("query_id", "term").agg(F.sum("c").alias("qtf"))
+    return spark.createDataFrame(rows, "id int, term string, w double"), terms
+
+
+@pytest.mark.parametrize("k, first_rows", [(1, 1000), (5, 1000), (5, 20), (15, 100), (500, 1000)])
+def test_bounded_lists_equal_the_whole_join(random_postings, k, first_rows):
+    postings, terms = random_postings
+    want = S.top_k(S.scores(terms, postings), k)
+    got = S.top_k(S.top_scores(terms, postings, k, first_rows=first_rows, join_rows=0), k)
+    key = lambda df: sorted((r.query_id, r["rank"], r.id, round(r.score, 9)) for r in df.collect())
+    assert key(got) == key(want)
+
+
+def test_a_term_of_nearly_every_song_is_not_joined(spark):
+    """Joined rows follow the rare terms: ten times the songs add none."""
+    def joined(n_songs):
+        hot = [(s, "hot", 0.1) for s in range(n_songs) if s % 10]
+        rare = [(s, f"rare{s % 20}", 5.0 + s % 7) for s in range(400)]
+        postings = spark.createDataFrame(hot + rare, "id int, term string, w double")
+        terms = spark.createDataFrame([(q, t, 1) for q in range(20) for t in ("hot", f"rare{q}")], "query_id int, term string, qtf long")
+        qb = S.query_blocks(terms, S.posting_blocks(postings))
+        marked = S.needed_blocks(qb, S.least_scores(qb, postings, 10))
+        want = S.top_k(S.scores(terms, postings), 10)
+        got = S.top_k(S.top_scores(terms, postings, 10, join_rows=0), 10)
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+        return marked.where("needed").agg(F.sum("n")).first()[0]
+    assert joined(500) == joined(5000) <= 400

@@ -33,7 +33,7 @@ def sample_tests(test: DataFrame, n: int | None, id_col: str = "id", line_col: s
 
 def target_ranks(test: DataFrame, postings: DataFrame, list_size: int = LIST_SIZE,
                  id_col: str = "id", line_col: str = "tweet_line", term_col: str = "term",
-                 corpus_ids: DataFrame | None = None, **qopts) -> DataFrame:
+                 corpus_ids: DataFrame | None = None, blocks: DataFrame | None = None, **qopts) -> DataFrame:
     """M7 / G3 for every test row: (id, tweet_line, rank) where rank is the
     zero-based position of the row's own song in the top ``list_size`` for
     that line, or 100000 when it is not in the list."""
@@ -42,7 +42,8 @@ def target_ranks(test: DataFrame, postings: DataFrame, list_size: int = LIST_SIZ
     qt = S.query_terms(q.select("qid", F.col(line_col).alias("text")), "qid", "text",
                        hashed=(term_col == "h"), **qopts)
     ids = corpus_ids if corpus_ids is not None else postings.select(id_col).distinct()
-    best = S.full_top_k(q, S.scores(qt, postings, "qid", id_col, term_col), ids, list_size, "qid", id_col)
+    scored = S.top_scores(qt, postings, list_size, blocks, "qid", id_col, term_col)
+    best = S.full_top_k(q, scored, ids, list_size, "qid", id_col)
     hits = best.select("qid", F.col(id_col).alias("target"), (F.col("rank") - 1).alias("rank"))
     joined = q.join(hits, ["qid", "target"], "left")
     return joined.select(F.col("target").alias(id_col), line_col,

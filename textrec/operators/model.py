@@ -16,17 +16,6 @@ from pyspark.sql import functions as F
 from textrec.functions import text as T
 
 NUM_FEATURES = 100000
-ROWS_PER_TERM_BUCKET = 4_000_000   # postings per term-bucket folder
-
-
-def term_bucket(term, buckets: int):
-    """Folder of a term in the postings table (stable across runs)."""
-    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
-
-
-def term_bucket_count(n_postings: int) -> int:
-    """Enough folders that one holds about ROWS_PER_TERM_BUCKET postings."""
-    return max(1, -(-n_postings // ROWS_PER_TERM_BUCKET))
 
 
 def line_terms(lines: DataFrame, line_col: str, id_col: str = "id",

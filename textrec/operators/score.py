@@ -3,10 +3,17 @@
 A query is scored against every song as the unnormalised dot product of its
 raw term counts (IDF is not applied to the query, M4) with the songs' TF-IDF
 weights.  Instead of shipping a query vector into a UDF and scoring every
-song, query terms are joined to the postings on the term: the cost is the
-total posting length of the query terms, any number of queries share one
-plan, and partial sums are combined map-side before the (query, song)
-shuffle."""
+song, query terms are joined to the postings on the term; any number of queries
+share one plan, and partial sums are combined map-side before the (query, song)
+shuffle.
+
+For the k best songs of many queries not all postings are joined.  The postings
+of a term fall into blocks by the power of two of their weight; a table of the
+blocks holds their sizes and largest weights.  A few short blocks of a query give
+a score that k songs reach at least; blocks whose largest weights can't add up
+to it together are left out of the join, and only songs that may still be among
+the best have their other postings looked up.  Lists are exact; a term that
+nearly every song has is joined where its weight can matter, and else not."""
 
 from __future__ import annotations
 
@@ -15,6 +22,7 @@ from pyspark.sql import functions as F
 
 from textrec.functions import text as T
 from textrec.operators import model as M
+from textrec.session import materialize
 
 RANK_DIGITS = 9   # ranking uses round(score, 9) desc, id asc (D12)
 OUT_DIGITS = 6
@@ -58,6 +66,91 @@ def scores(qterms: DataFrame, postings: DataFrame, qid: str = "query_id", id_col
                   .groupBy(qid, id_col).agg(F.sum(F.col("qtf") * F.col("w")).alias("score")))
 
 
+#: Postings that a query's first look may join.
+FIRST_ROWS = 1000
+#: Joined rows of all queries together up to which the bounds cost more than they save.
+JOIN_ROWS = 100_000_000
+
+
+def weight_level(w="w"):
+    """The block of a posting within its term: the power of two of its weight."""
+    return F.floor(F.log2(F.col(w))).cast("int")
+
+
+def posting_blocks(postings: DataFrame, term_col: str = "term") -> DataFrame:
+    """(term, lv, n, hi): size and largest weight of each block of a term."""
+    p = postings.where(F.col("w") != 0).select(term_col, weight_level().alias("lv"), "w")
+    return p.groupBy(term_col, "lv").agg(F.count("*").alias("n"), F.max("w").alias("hi"))
+
+
+def query_blocks(qterms: DataFrame, blocks: DataFrame, qid: str = "query_id", term_col: str = "term") -> DataFrame:
+    """The blocks of each query's terms, with ``ub``, the most that a posting of
+    the block adds to a score, and ``rest``, the most that a song can score that
+    has postings in this block and in those of smaller ``ub`` only."""
+    qb = qterms.join(blocks, term_col).select(qid, term_col, "qtf", "lv", "n", (F.col("qtf") * F.col("hi")).alias("ub"))
+    down = (F.col("ub").desc(), F.col(term_col), F.col("lv").desc())
+    below = F.lead("ub", 1, 0.0).over(Window.partitionBy(qid, term_col).orderBy(F.col("lv").desc()))
+    step = qb.withColumn("_step", F.col("ub") - below)
+    onward = Window.partitionBy(qid).orderBy(*down).rowsBetween(0, Window.unboundedFollowing)
+    return step.withColumn("rest", F.sum("_step").over(onward)).drop("_step")
+
+
+def _join_blocks(chosen: DataFrame, postings: DataFrame, qid: str, id_col: str, term_col: str) -> DataFrame:
+    p = postings.where(F.col("w") != 0).select(term_col, id_col, "w", weight_level().alias("lv"))
+    return (chosen.select(qid, term_col, "lv", "qtf").join(p, [term_col, "lv"])
+                  .groupBy(qid, id_col).agg(F.sum(F.col("qtf") * F.col("w")).alias("score")))
+
+
+def least_scores(qb: DataFrame, postings: DataFrame, k: int, qid: str = "query_id", id_col: str = "id",
+                 term_col: str = "term", first_rows: int = FIRST_ROWS) -> DataFrame:
+    """(query, least): a score that at least k songs reach, from the query's
+    blocks of the largest weights, ``first_rows`` postings together."""
+    so_far = Window.partitionBy(qid).orderBy(F.col("ub").desc(), term_col, "lv").rowsBetween(Window.unboundedPreceding, 0)
+    small = qb.where(F.col("n") <= first_rows).withColumn("_sum", F.sum("n").over(so_far))
+    part = _join_blocks(small.where(F.col("_sum") <= first_rows), postings, qid, id_col, term_col)
+    best = top_k(part, k, qid, id_col)
+    return best.groupBy(qid).agg(F.count("*").alias("_n"), F.min("score").alias("least")).where(F.col("_n") == k).drop("_n")
+
+
+def needed_blocks(qb: DataFrame, least: DataFrame, qid: str = "query_id") -> DataFrame:
+    """``qb`` with ``least`` (0 if there is none) and ``needed``: whether songs
+    that have no larger block can still reach it."""
+    held = qb.join(least, qid, "left").withColumn("least", F.coalesce("least", F.lit(0.0)))
+    # a little below, so that neither rounding nor the order of adding loses a tie
+    return held.withColumn("least", F.col("least") * (1 - 1e-9) - 1e-6).withColumn("needed", F.col("rest") >= F.col("least"))
+
+
+def top_scores(qterms: DataFrame, postings: DataFrame, k: int, blocks: DataFrame | None = None, qid: str = "query_id",
+               id_col: str = "id", term_col: str = "term", first_rows: int = FIRST_ROWS,
+               join_rows: int = JOIN_ROWS) -> DataFrame:
+    """(query_id, id, score) of every song that may be among the k best of a query.
+
+    The block table tells beforehand how many rows the join of all postings
+    would have; up to ``join_rows`` it is made directly, as a join is broadcast
+    below a size, since the bounds cost some passes over the queries.  The rows of
+    the k best are the same either way."""
+    blocks = blocks if blocks is not None else posting_blocks(postings, term_col)
+    qterms = materialize(qterms, "query-terms")
+    joined = qterms.join(blocks, term_col).agg(F.sum("n")).first()[0] or 0
+    if joined <= join_rows:
+        return scores(qterms, postings, qid, id_col, term_col)
+    qb = materialize(query_blocks(qterms, blocks, qid, term_col), "query-blocks")
+    least = least_scores(qb, postings, k, qid, id_col, term_col, first_rows)
+    marked = materialize(needed_blocks(qb, least, qid), "query-needed")
+    seen = _join_blocks(marked.where("needed"), postings, qid, id_col, term_col)
+    left = marked.where("NOT needed")
+    bound = marked.groupBy(qid).agg(F.min("least").alias("least"), F.coalesce(
+        F.max(F.when(~F.col("needed"), F.col("rest"))), F.lit(0.0)).alias("rest"))
+    maybe = materialize(seen.join(bound, qid).where(F.col("score") + F.col("rest") >= F.col("least"))
+                            .select(qid, id_col, "score"), "query-songs")
+    p = postings.where(F.col("w") != 0).select(term_col, id_col, "w", weight_level().alias("lv"))
+    more = (maybe.select(qid, id_col).join(left.select(qid, term_col, "lv", "qtf"), qid)
+                 .join(p, [term_col, id_col, "lv"])
+                 .groupBy(qid, id_col).agg(F.sum(F.col("qtf") * F.col("w")).alias("_more")))
+    return (maybe.join(more, [qid, id_col], "left")
+                 .select(qid, id_col, (F.col("score") + F.coalesce("_more", F.lit(0.0))).alias("score")))
+
+
 def _order(id_col: str):
     return [F.round("score", RANK_DIGITS).desc(), F.col(id_col).asc()]
 
@@ -87,40 +180,51 @@ def full_top_k(queries: DataFrame, scored: DataFrame, corpus_ids: DataFrame, k:
 
 def recommend(queries: DataFrame, postings: DataFrame, songs: DataFrame, k: int = 15,
               qid: str = "query_id", text_col: str = "text", id_col: str = "id",
-              term_col: str = "term", corpus_ids: DataFrame | None = None, **qopts) -> DataFrame:
+              term_col: str = "term", corpus_ids: DataFrame | None = None, blocks: DataFrame | None = None,
+              join_rows: int = JOIN_ROWS, **qopts) -> DataFrame:
     """M6 for a batch of queries: (query_id, rank, id, name, score), with
-    min(k, songs) rows for each query."""
+    min(k, songs) rows for each query.  ``corpus_ids`` and ``blocks``, where they
+    are stored beside the postings, save a pass over these."""
     qt = query_terms(queries, qid, text_col, hashed=(term_col == "h"), **qopts)
     ids = corpus_ids if corpus_ids is not None else postings.select(id_col).distinct()
-    best = full_top_k(queries, scores(qt, postings, qid, id_col, term_col), ids, k, qid, id_col)
+    best = full_top_k(queries, top_scores(qt, postings, k, blocks, qid, id_col, term_col, join_rows=join_rows), ids, k, qid, id_col)
     named = best.join(songs.select(id_col, "name"), id_col, "left")
     return named.select(qid, "rank", id_col, "name", F.round("score", OUT_DIGITS).alias("score"))
 
 
-def query_buckets(qterms: DataFrame, buckets: int, term_col: str = "term") -> list[int]:
-    """The postings folders one query needs: at most one small integer per
-    distinct query term (bounded by the query, never by the corpus)."""
-    rows = qterms.select(M.term_bucket(term_col, buckets).alias("tb")).distinct().collect()
-    return sorted(r.tb for r in rows)
+#: Up to so many distinct terms a text's own terms are given to the scan.
+SCAN_TERMS = 1000
+
+
+def of_terms(postings: DataFrame, qterms: DataFrame, term_col: str = "term") -> DataFrame:
+    """The postings of one text's terms, as a filter that reaches the scan: files
+    are sorted by term, so other row groups are skipped.  At most a text's own
+    terms come to the driver; a text with more than ``SCAN_TERMS`` is left to the
+    join."""
+    terms = [r[0] for r in qterms.select(term_col).distinct().limit(SCAN_TERMS + 1).collect()]
+    if len(terms) > SCAN_TERMS:
+        return postings
+    tests = [F.col(term_col) == t for t in sorted(terms)] or [F.lit(False)]
+    while len(tests) > 1:                                # a balanced tree of ORs
+        tests = [tests[i] | tests[i + 1] if i + 1 < len(tests) else tests[i] for i in range(0, len(tests), 2)]
+    return postings.where(tests[0])
 
 
 def recommend_one(text: str, postings: DataFrame, songs: DataFrame, k: int = 15,
                   id_col: str = "id", term_col: str = "term", pad_zero: bool = True,
-                  corpus_ids: DataFrame | None = None, term_buckets: int | None = None,
-                  **qopts) -> DataFrame:
+                  corpus_ids: DataFrame | None = None, **qopts) -> DataFrame:
     """M6 / G1 for one text.
 
-    The query is one literal row (no Python data path); its terms are joined to
-    the postings of their folders.  With
+    The query is one literal row (no Python data path); the scan of the postings
+    is given its terms.  With
     ``pad_zero`` songs scoring 0 fill the list in id order when fewer than k
     corpus songs match (D13), taken from the k smallest unmatched corpus ids;
     only the 2k candidate rows are ever merged."""
     spark = postings.sparkSession
     q = spark.range(0, 1, 1, 1).select(F.lit(0).alias("query_id"), F.lit(text).alias("text"))
     qt = query_terms(q, hashed=(term_col == "h"), **qopts)
-    if term_buckets and term_buckets > 1 and "tb" in postings.columns:
-        # partition pruning: the scan lists only this query's term folders
-        postings = postings.where(F.col("tb").isin(query_buckets(qt, term_buckets, term_col)))
+    ids = corpus_ids if corpus_ids is not None else postings.select(id_col).distinct()
+    postings = of_terms(postings, qt, term_col)
     sc = scores(qt, postings, "query_id", id_col, term_col).select(id_col, "score")
     best = sc.orderBy(*_order(id_col)).limit(k)
     if pad_zero:
@@ -128,7 +232,6 @@ def recommend_one(text: str, postings: DataFrame, songs: DataFrame, k: int = 15,
         # matches are in ``best``.  So the k smallest corpus ids with score 0,
         # merged with ``best`` keeping each id's larger score (at most 2k
         # rows), give exactly the padded list.
-        ids = corpus_ids if corpus_ids is not None else postings.select(id_col).distinct()
         zero = ids.select(id_col).orderBy(id_col).limit(k).withColumn("score", F.lit(0.0))
         best = (best.unionByName(zero).groupBy(id_col).agg(F.max("score").alias("score"))
                     .orderBy(*_order(id_col)).limit(k))

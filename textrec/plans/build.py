@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from textrec.functions.stem import stem_map as stem_map_of
 from textrec.operators import clean as C
 from textrec.operators import model as M
+from textrec.operators import score as S
 from textrec.operators import split as SP
 from textrec.session import materialize
 from textrec.sources import fixtures as FX
@@ -26,24 +27,24 @@ class Model:
     test_verses: DataFrame
     train_verses: DataFrame
     tf: DataFrame
-    postings: DataFrame       # partitioned by the term bucket ``tb``
+    postings: DataFrame       # sorted by term in ranges of (term, song)
     corpus_ids: DataFrame     # songs in the corpus, kept next to the postings for zero padding
-    term_buckets: int = 1
+    blocks: DataFrame         # sizes and largest weights of the postings' blocks
 
 
 def build_model(spark: SparkSession, sf_dir: str, frac: float = TEST_FRAC, seed: int = SEED,
                 stem_map: DataFrame | None = None, hashed: bool = False,
-                term_buckets: int | None = None, stem: bool = False) -> Model:
+                stem: bool = False) -> Model:
     """Clean -> split -> corpus -> TF-IDF with two materialisation points:
     the cleaned lines, and the term counts / postings."""
     pc, vc = C.clean_lines(FX.table(spark, sf_dir, "documents"))   # one scan of the raw text
     pc = materialize(pc, "posts-clean")
-    return build_from_lines(pc, vc, frac, seed, stem_map, hashed, term_buckets, stem)
+    return build_from_lines(pc, vc, frac, seed, stem_map, hashed, stem)
 
 
 def build_from_lines(pc: DataFrame, vc: DataFrame, frac: float = TEST_FRAC, seed: int = SEED,
                      stem_map: DataFrame | None = None, hashed: bool = False,
-                     term_buckets: int | None = None, stem: bool = False) -> Model:
+                     stem: bool = False) -> Model:
     """The model from cleaned post and lyric lines (e.g. read back from the
     cleaning job's output, the first materialisation point)."""
     tp, rp = SP.split_hash(pc, frac, ("id", "tweet_line"), seed)
@@ -52,16 +53,13 @@ def build_from_lines(pc: DataFrame, vc: DataFrame, frac: float = TEST_FRAC, seed
     if stem and stem_map is None:
         # Stem the corpus vocabulary once (distinct terms), re-add counts
         corpus = M.apply_stems(corpus, stem_map_of(corpus.select("term")))
-    tf, n_tf = materialize(corpus, "corpus-tf", with_count=True)
-    # postings are stored in term-bucket folders so that one query reads only
-    # the folders of its own terms; the folder count follows the data size
-    buckets = term_buckets if term_buckets else M.term_bucket_count(n_tf)
+    tf = materialize(corpus, "corpus-tf")
     post = M.tfidf_hashed(tf) if hashed else M.tfidf(tf)
     key = "h" if hashed else "term"
-    # ranges of (folder, term, song): a term held by every song is spread over
-    # several tasks, and each file is sorted by term, so row groups prune too
-    post = (post.withColumn("tb", M.term_bucket(key, buckets)).repartitionByRange("tb", key, "id")
-                .sortWithinPartitions("tb", key))
-    postings = materialize(post, "postings", partition_by=("tb",))
+    # ranges of (term, song): a term held by every song is spread over several
+    # tasks, and files are sorted by term, so a text's terms skip row groups
+    post = post.repartitionByRange(key, "id").sortWithinPartitions(key, "id")
+    postings = materialize(post, "postings")
     corpus_ids = materialize(tf.select("id").distinct(), "corpus-ids")
-    return Model(pc, vc, tp, rp, tv, rv, tf, postings, corpus_ids, buckets)
+    blocks = materialize(S.posting_blocks(postings, key), "posting-blocks")
+    return Model(pc, vc, tp, rp, tv, rv, tf, postings, corpus_ids, blocks)

@@ -172,8 +172,7 @@ def q_tfidf_hashed(spark, sf):
 
 def q_recommend_one(spark, sf):
     m = build_model(spark, sf)
-    return S.recommend_one(SMOKE_TEXT, m.postings, FX.songs(spark, sf), TOP_K, corpus_ids=m.corpus_ids,
-                           term_buckets=m.term_buckets)
+    return S.recommend_one(SMOKE_TEXT, m.postings, FX.songs(spark, sf), TOP_K, corpus_ids=m.corpus_ids)
 
 
 def q_recommend_hashed(spark, sf):
@@ -181,7 +180,7 @@ def q_recommend_hashed(spark, sf):
     benchmark passage is a query, hashed the same way."""
     m = build_model(spark, sf, hashed=True)
     bench = FX.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    recs = S.recommend(bench, m.postings, FX.songs(spark, sf), TOP_K, term_col="h")
+    recs = S.recommend(bench, m.postings, FX.songs(spark, sf), TOP_K, term_col="h", corpus_ids=m.corpus_ids, blocks=m.blocks)
     return recs.select(F.col("query_id").alias("item_id"), "rank", "id", "name", "score")
 
 
@@ -189,7 +188,15 @@ def q_recommend_benchmark(spark, sf):
     """Every benchmark passage is a query against the whole corpus."""
     m = build_model(spark, sf)
     bench = FX.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    recs = S.recommend(bench, m.postings, FX.songs(spark, sf), TOP_K, corpus_ids=m.corpus_ids)
+    recs = S.recommend(bench, m.postings, FX.songs(spark, sf), TOP_K, corpus_ids=m.corpus_ids, blocks=m.blocks)
+    return recs.select(F.col("query_id").alias("item_id"), "rank", "id", "name", "score")
+
+
+def q_recommend_bounded(spark, sf):
+    """recommend_benchmark by the bounds of posting blocks, whatever its size."""
+    m = build_model(spark, sf)
+    bench = FX.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
+    recs = S.recommend(bench, m.postings, FX.songs(spark, sf), TOP_K, corpus_ids=m.corpus_ids, blocks=m.blocks, join_rows=0)
     return recs.select(F.col("query_id").alias("item_id"), "rank", "id", "name", "score")
 
 
@@ -199,19 +206,19 @@ def q_recommend_batch(spark, sf):
     queries = tests.select(E.query_key("id", "tweet_line").alias("query_id"),
                            F.col("id").alias("query_song"), F.col("tweet_line").alias("text"))
     recs = S.recommend(queries.select("query_id", "text"), m.postings, FX.songs(spark, sf), TOP_K,
-                       corpus_ids=m.corpus_ids)
+                       corpus_ids=m.corpus_ids, blocks=m.blocks)
     return (queries.join(recs, "query_id", "inner")
                    .select("query_song", F.col("text").alias("query_line"), "rank", "id", "name", "score"))
 
 
 def q_target_rank(spark, sf):
     m = build_model(spark, sf)
-    return E.target_ranks(m.test_posts, m.postings, E.LIST_SIZE)
+    return E.target_ranks(m.test_posts, m.postings, E.LIST_SIZE, corpus_ids=m.corpus_ids, blocks=m.blocks)
 
 
 def q_topk_accuracy(spark, sf):
     m = build_model(spark, sf)
-    return E.accuracy(E.target_ranks(m.test_posts, m.postings, E.LIST_SIZE), E.HIT_RANK)
+    return E.accuracy(E.target_ranks(m.test_posts, m.postings, E.LIST_SIZE, corpus_ids=m.corpus_ids, blocks=m.blocks), E.HIT_RANK)
 
 
 # The reference's code ranks within a top-10 list and counts rank <= 15 (zero-based) as a hit.
@@ -220,13 +227,13 @@ CODE_LIST_SIZE, CODE_HIT_RANK = 10, 15
 
 def q_topk_accuracy_code(spark, sf):
     m = build_model(spark, sf)
-    return E.accuracy(E.target_ranks(m.test_posts, m.postings, CODE_LIST_SIZE), CODE_HIT_RANK)
+    return E.accuracy(E.target_ranks(m.test_posts, m.postings, CODE_LIST_SIZE, corpus_ids=m.corpus_ids, blocks=m.blocks), CODE_HIT_RANK)
 
 
 def q_accuracy_at_10_15(spark, sf):
     """Top-10 and top-15 hit rates over all held-out posts in one pass."""
     m = build_model(spark, sf)
-    return E.accuracy_at(E.target_ranks(m.test_posts, m.postings, 15), (10, 15))
+    return E.accuracy_at(E.target_ranks(m.test_posts, m.postings, 15, corpus_ids=m.corpus_ids, blocks=m.blocks), (10, 15))
 
 
 SAMPLE_TESTS = 50
@@ -240,7 +247,7 @@ def q_sample_tests(spark, sf):
 def q_topk_accuracy_hashed(spark, sf):
     """The reference's configuration end to end: hashed TF-IDF, top-10 list."""
     m = build_model(spark, sf, hashed=True)
-    return E.accuracy(E.target_ranks(m.test_posts, m.postings, CODE_LIST_SIZE, term_col="h"), CODE_HIT_RANK)
+    return E.accuracy(E.target_ranks(m.test_posts, m.postings, CODE_LIST_SIZE, term_col="h", corpus_ids=m.corpus_ids, blocks=m.blocks), CODE_HIT_RANK)
 
 
 QUERIES = {
@@ -272,6 +279,7 @@ QUERIES = {
     "tfidf_hashed": q_tfidf_hashed,
     "recommend_one": q_recommend_one,
     "recommend_benchmark": q_recommend_benchmark,
+    "recommend_bounded": q_recommend_bounded,
     "recommend_hashed": q_recommend_hashed,
     "recommend_batch": q_recommend_batch,
     "target_rank": q_target_rank,
@@ -412,7 +420,7 @@ def q_recommend_stemmed(spark, sf):
     its own distinct terms."""
     m = build_model(spark, sf, stem=True)
     bench = FX.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    recs = S.recommend(bench, m.postings, FX.songs(spark, sf), TOP_K, stem=True)
+    recs = S.recommend(bench, m.postings, FX.songs(spark, sf), TOP_K, stem=True, corpus_ids=m.corpus_ids, blocks=m.blocks)
     return recs.select(F.col("query_id").alias("item_id"), "rank", "id", "name", "score")
 
 
@@ -509,8 +517,9 @@ def q_recommend_from(spark, sf):
     SK.write_parquet(m.postings, root + "/postings")
     SK.write_parquet(FX.songs(spark, sf), root + "/songs")
     SK.write_parquet(m.corpus_ids, root + "/corpus_ids")
+    SK.write_parquet(m.blocks, root + "/blocks")
     bench = FX.table(spark, sf, "benchmark").select(F.col("item_id").alias("query_id"), "text")
-    recs = DJ.recommend_from(spark, root + "/postings", root + "/songs", bench, TOP_K, root + "/corpus_ids")
+    recs = DJ.recommend_from(spark, root, bench, TOP_K)
     return recs.select(F.col("query_id").alias("item_id"), "rank", "id", "name", "score")
 
 

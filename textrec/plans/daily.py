@@ -78,11 +78,9 @@ def ingest_batch(spark: SparkSession, store: Store, songs_csv: str, posts_csv: s
     return version
 
 
-def recommend_from(spark: SparkSession, postings_path: str, songs_path: str, queries: DataFrame,
-                   k: int = 15, corpus_ids_path: str | None = None) -> DataFrame:
-    """M9: load saved postings and songs (S7) and recommend for the queries;
-    without stored ids of the corpus they are taken from the postings."""
-    postings = RD.read_parquet(spark, postings_path)
-    songs = RD.read_parquet(spark, songs_path)
-    ids = None if corpus_ids_path is None else RD.read_parquet(spark, corpus_ids_path)
-    return S.recommend(queries, postings, songs, k, corpus_ids=ids)
+def recommend_from(spark: SparkSession, model_path: str, queries: DataFrame, k: int = 15) -> DataFrame:
+    """M9: load a saved model (S7), that is ``postings``, ``songs``, ``corpus_ids``
+    and ``blocks`` below its folder, and recommend for the queries."""
+    postings, songs, ids, blocks = (RD.read_parquet(spark, f"{model_path}/{t}")
+                                    for t in ("postings", "songs", "corpus_ids", "blocks"))
+    return S.recommend(queries, postings, songs, k, corpus_ids=ids, blocks=blocks)

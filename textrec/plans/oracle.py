@@ -329,7 +329,7 @@ WHERE tweet_id NOT IN (SELECT tweet_id FROM early)""", FLAT, """early AS (
   SELECT song_id, song, tweet_id, CAST(created AS VARCHAR) AS created, seq FROM joined WHERE seq < 1000 AND song_id % 3 = 0
   QUALIFY row_number() OVER (PARTITION BY tweet_id ORDER BY song, seq) = 1)""")
 SQL["stream_intake"] = SQL["attach_posts"].replace("ORDER BY song, seq", "ORDER BY seq % 2, song, seq")  # the first drop wins
-SQL["recommend_from"] = SQL["recommend_benchmark"]
+SQL["recommend_from"] = SQL["recommend_bounded"] = SQL["recommend_benchmark"]
 SQL["path_to_song"] = _q(f"""SELECT song, song AS song_from_path, tweet_id, '{CAT.RUN_DATE}' AS date
 FROM flat WHERE lang = 'en' AND created < TIMESTAMP '{CAT.END_DATE}' AND retweeted = 0""", FLAT)
 SQL["intake_snapshot"] = _q(f"""SELECT f.name, f.id, f.artist, f.popularity, CAST(dayofyear({RUN}) AS INTEGER) AS add_day,

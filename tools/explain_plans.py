@@ -49,7 +49,7 @@ def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_spark("local[8]", "textrec-plans", shuffle_partitions=16)
     spark.sparkContext.setLogLevel("ERROR")
-    m = build_model(spark, sf, term_buckets=64)
+    m = build_model(spark, sf)
     songs = FX.songs(spark, sf).select("id", "name")
     flat = CO.flatten_status(FX.raw_statuses(spark, sf))
     text = FX.table(spark, sf, "benchmark").orderBy("item_id").first()["text"]
@@ -58,7 +58,7 @@ def main() -> None:
          "Query terms are broadcast; the postings scan has `PartitionFilters: [tb INSET …]` (only this query's "
          "folders) and `PushedFilters` for w != 0; partial sums before the (query, song) exchange; top-k is a "
          "TakeOrderedAndProject; the k result rows are broadcast for the name lookup.",
-         S.recommend_one(text, m.postings, songs, 15, corpus_ids=m.corpus_ids, term_buckets=64)),
+         S.recommend_one(text, m.postings, songs, 15, corpus_ids=m.corpus_ids)),
         ("recommend (batch of all held-out posts)",
          "Partial aggregation before the (query, song) exchange; `WindowGroupLimit … Partial` keeps at most k rows "
          "per query in each map task before the exchange on the query key.",
