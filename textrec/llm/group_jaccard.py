@@ -18,9 +18,11 @@ either set.  This bound is used at two levels, always before any pair is made:
    groups.  Members of a group are connected, so no pair inside a group matters
    any more.
 3. Between groups: a class and another group that share a prefix token are a
-   query and a group of the token-group matrix.  The group's token union bounds
-   the overlap; only for qualifying groups is the query compared with those
-   members that share the token.  What links joins groups.
+   query and a group of the token-group matrix, if the tokens that both have
+   from the shared one on in the common order can make up a link.  A group is
+   dealt into sub-groups of a few similar sets, each with its token union, which
+   bounds the overlap; only the members of qualifying sub-groups are compared
+   with the query.  What links joins groups.
 
 So the work inside a group of N near copies is N comparisons for each leader,
 never N x N, and the result is exact: every linked pair shares a prefix token,
@@ -38,13 +40,14 @@ documents of one class; empty tables give an empty result."""
 from __future__ import annotations
 
 import hashlib
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textrec.llm.common import fresh, id_type, ship_package, table, text_slices
@@ -52,8 +55,9 @@ from textrec.session import discard, materialize
 
 WORDS = 5
 PERCENT = 75
-#: Shingles in a chunk; text bytes for each bucket of tokens.
+#: Shingles and documents in a chunk; text bytes for each bucket of tokens.
 CHUNK_SHINGLES = 1 << 20
+CHUNK_DOCS = 1 << 16
 BUCKET_BYTES = 8 << 20
 HOT_TOKENS = 1 << 18
 HOT_DF = 16
@@ -107,8 +111,21 @@ def set_key(tokens: np.ndarray) -> bytes:
     return hashlib.md5(tokens.tobytes()).digest()
 
 
-def class_id(key: bytes) -> int:
-    return int.from_bytes(key[:8], "little", signed=True)
+#: Keys of texts and classes have 124 bits, as whole numbers in a decimal: of
+#: fixed width for joins and hash aggregates, and beyond collisions.
+KEY = "decimal(38,0)"
+KEY_BITS = 62
+
+
+def class_id(key: bytes) -> Decimal:
+    return Decimal(int.from_bytes(key, "little") >> (128 - 2 * KEY_BITS))
+
+
+def text_key(text: Column) -> Column:
+    """Two hashes of a text with different seeds; null where the text is."""
+    low = F.lit((1 << KEY_BITS) - 1)
+    halves = [h.bitwiseAND(low).cast(KEY) for h in (F.xxhash64(text), F.xxhash64(F.lit("second"), text))]
+    return F.when(text.isNotNull(), (halves[0] * F.lit(1 << KEY_BITS).cast("decimal(19,0)") + halves[1]).cast(KEY))
 
 
 def bucket_token(tokens: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -173,12 +190,15 @@ def numbers(data: bytes | None, packed: bool = False) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data) if packed else data, np.uint32)
 
 
-INFO = "doc_ids array<{id}>, text_keys array<bigint>, sizes array<bigint>, own array<bigint>, keys array<binary>"
+INFO = "doc_ids array<{id}>, text_keys array<" + KEY + ">, sizes array<bigint>, own array<bigint>, keys array<binary>"
+
+
+_KEY = pa.decimal128(38, 0)
 
 
 def info_fields(id_arrow: pa.DataType) -> list:
     longs = pa.list_(pa.int64())
-    return [("doc_ids", pa.list_(id_arrow)), ("text_keys", longs), ("sizes", longs), ("own", longs),
+    return [("doc_ids", pa.list_(id_arrow)), ("text_keys", pa.list_(_KEY)), ("sizes", longs), ("own", longs),
             ("keys", pa.list_(pa.binary()))]
 
 
@@ -232,8 +252,8 @@ def add_up(rows: pa.Table) -> pa.Table:
             shared[np.cumsum(numbers(docs, True).astype(np.int64))] += numbers(counts, True)
     id_arrow = rows.schema.field("doc_ids").type.value_type
     return pa.Table.from_arrays(
-        [pa.array(info["doc_ids"], id_arrow), pa.array(info["text_keys"], pa.int64()),
-         pa.array(info["sizes"], pa.int64()), pa.array([class_id(k) for k in info["keys"]], pa.int64()),
+        [pa.array(info["doc_ids"], id_arrow), pa.array(info["text_keys"], _KEY),
+         pa.array(info["sizes"], pa.int64()), pa.array([class_id(k) for k in info["keys"]], _KEY),
          pa.array(shared, pa.int64())], names=["doc_id", "text_key", "n_shingles", "class", "shared"])
 
 
@@ -245,7 +265,7 @@ def bucket_count(pairs: DataFrame) -> int:
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, text, text_key (a hash of the text)."""
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
-        .withColumn("text_key", F.xxhash64("text"))
+        .withColumn("text_key", text_key(F.col("text")))
 
 
 def coverage(pairs: DataFrame, buckets: int) -> DataFrame:
@@ -259,7 +279,7 @@ def coverage(pairs: DataFrame, buckets: int) -> DataFrame:
             id_arrow = rows.schema.field(0).type
             for doc_id, key, tokens in zip(rows.column(0).to_pylist(), rows.column(2).to_pylist(),
                                            shingle_sets(texts), strict=True):
-                if chunk.n and chunk.n + len(tokens) > CHUNK_SHINGLES:
+                if (chunk.n and chunk.n + len(tokens) > CHUNK_SHINGLES) or len(chunk.ids) >= CHUNK_DOCS:
                     yield chunk.rows(buckets, id_arrow, chunk_schema(id_arrow))
                     number += 1
                     chunk = Chunk((part << 24) + number)
@@ -278,14 +298,20 @@ def coverage(pairs: DataFrame, buckets: int) -> DataFrame:
 
 # ---- 2. and 3. classes, groups and links ---------------------------------
 
+#: Multiplication by an odd number is a bijection of 58 bits.
+ODD = 0x9E3779B97F4A7C15
+
+
 def class_sets(reps: DataFrame, kept: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
     """id, class, n, shared and the tokens in the common order (rarest first).
     An id begins with how few of the tokens others share, so that the smallest
-    ids are the most central sets."""
+    ids are the most central sets; what follows is the set's own number, spread
+    by a bijection, so that ties are broken without regard to the order of rows."""
     shared = reps.sparkSession.sparkContext.broadcast(hot)  # two longs for each of at most HOT_TOKENS tokens
 
     def run(batches):
         known, df = shared.value
+        number = TaskContext.get().partitionId() << 33
         for rows, texts in text_slices(batches):
             out = []
             for cls, also, tokens in zip(rows.column(1).to_pylist(), rows.column(2).to_pylist(),
@@ -298,26 +324,29 @@ def class_sets(reps: DataFrame, kept: DataFrame, hot: np.ndarray, buckets: int)
                     rank = np.where(known[at] == key, df[at], 0)
                 order = np.lexsort((tokens, rank))
                 n = len(tokens)
-                out.append(((31 - 31 * also // n << 58) | (cls & ((1 << 58) - 1)), cls, n, also,
+                out.append(((31 - 31 * also // n << 58) | (number * ODD & ((1 << 58) - 1)), cls, n, also,
                             tokens[order].view(np.int64)))
+                number += 1
             if out:
                 cols = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in cols[:4]),
+                yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], _KEY),
+                                                  *(pa.array(c, pa.int64()) for c in cols[2:4]),
                                                   pa.array(cols[4], pa.list_(pa.int64()))],
                                                  names=["id", "class", "n", "shared", "tokens"])
 
     return reps.join(kept, "class").select("text", "class", "shared").mapInArrow(
-        run, "id bigint, class bigint, n bigint, shared bigint, tokens array<bigint>")
+        run, f"id bigint, class {KEY}, n bigint, shared bigint, tokens array<bigint>")
 
 
 def prefix_lists(sets: DataFrame) -> DataFrame:
-    """list, id, n, shared: sets under each token of their prefix, for their
-    size band and for the next one."""
+    """list, id, n, shared, rest: sets under each token of their prefix, for their
+    size band and for the next one; ``rest`` of the set's tokens stand from this
+    one on in the common order."""
     band = F.floor(F.log("n") / F.log(F.lit(BAND))).cast("int")
     prefix = F.slice("tokens", 1, (F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1).cast("int"))
-    return (sets.select("id", "n", "shared", band.alias("band"), F.explode(prefix).alias("token"))
-            .select("id", "n", "shared", F.explode(F.array(F.xxhash64("token", "band"),
-                                                           F.xxhash64("token", F.col("band") + 1))).alias("list")))
+    return (sets.select("id", "n", "shared", band.alias("band"), F.posexplode(prefix).alias("at", "token"))
+            .select("id", "n", "shared", (F.col("n") - F.col("at")).alias("rest"),
+                    F.explode(F.array(F.xxhash64("token", "band"), F.xxhash64("token", F.col("band") + 1))).alias("list")))
 
 
 def may_link(shared_a, shared_b, n_a, n_b):
@@ -352,7 +381,8 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("root"))
         joined = large.join(least, "a")
         small = joined.select(F.col("b").alias("a"), F.col("root").alias("b")).unionByName(joined.select("a", F.col("root").alias("b")))
-        edges = materialize(small.where("a != b").distinct(), "edges")
+        before, edges = edges, materialize(small.where("a != b").distinct(), "edges")
+        discard(before)
         now = tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
         if now == state:
             break
@@ -361,9 +391,8 @@ def components(links: DataFrame) -> DataFrame:
     return roots.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
-#: Groups of more sets than this are bounded by their token union before they
-#: are opened; in smaller ones the sets' own bounds are as cheap.
-UNION_SIZE = 8
+#: Sets in a sub-group, which has a token union of its own (about; they are dealt by hash).
+SUB_SETS = 8
 #: Leaders of a list: the most central set, ties broken in so many ways.
 LEADER_MASKS = (0, (1 << 58) - 1, 0x155555555555555, 0x2AAAAAAAAAAAAAA, 0x333333333333333)
 
@@ -384,7 +413,7 @@ def grouped_links(sets: DataFrame) -> DataFrame:
     groups = materialize(components(first).withColumnsRenamed({"node": "id", "root": "group"}), "groups")
 
     # Lists with several groups, and what their sets share with other groups.
-    open_ = members.select("list", "id", "n").join(groups, "id", "left").withColumn("group", F.coalesce("group", "id"))
+    open_ = members.select("list", "id", "n", "rest").join(groups, "id", "left").withColumn("group", F.coalesce("group", "id"))
     mixed = open_.groupBy("list").agg(F.min("group").alias("low"), F.max("group").alias("high")) \
         .where("low != high").select("list")
     open_ = materialize(open_.join(mixed, "list"), "open")
@@ -400,25 +429,31 @@ def grouped_links(sets: DataFrame) -> DataFrame:
     # A set against another group: by sizes and shared tokens, then by the
     # group's token union, then (only for groups that qualify) by its members.
     query = open_.select("list", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("shared").alias("s_a"),
-                         F.col("group").alias("own"))
-    target = open_.groupBy("list", "group", "n").agg(F.max("shared").alias("s"))
+                         F.col("rest").alias("r_a"), F.col("group").alias("own"))
+    target = open_.groupBy("list", "group", "n").agg(F.max("shared").alias("s"), F.max("rest").alias("r"))
     asked = materialize(query.join(target, "list").where("own > group").where(
-        may_link(F.col("s_a"), F.col("s"), F.col("n_a"), F.col("n")))
+        may_link(F.col("s_a"), F.col("s"), F.col("n_a"), F.col("n"))
+        & may_link(F.col("r_a"), F.col("r"), F.col("n_a"), F.col("n")))
         .groupBy("a", "n_a", "group").agg(F.min("n").alias("n")), "asked")
-    large = (open_.select("id", "group").distinct().groupBy("group").agg(F.count("*").alias("size"))
-             .where(F.col("size") > UNION_SIZE).select("group"))
-    big = asked.join(large, "group", "left_semi")
-    overlap = (big.join(tokens.select(F.col("id").alias("a"), "token"), "a").join(union, ["group", "token"])
-               .groupBy("a", "n_a", "group", "n").agg(F.count("*").alias("both")))
-    qualifying = materialize(
-        overlap.where(may_link(F.col("both"), F.col("both"), F.col("n_a"), F.greatest(
-            F.col("n"), F.ceil(F.col("n_a") * PERCENT / 100)))).select("a", "group", "both")
-        .unionByName(asked.join(large, "group", "left_anti").select("a", "group", F.col("n_a").alias("both"))), "qualifying")
-    opened = (query.join(qualifying, "a")
-              .join(open_.select("list", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("s_b"),
-                                 "group"), ["list", "group"])
-              .where(may_link(F.least("both", "s_a"), F.col("s_b"), F.col("n_a"), F.col("n_b")))
-              .select("a", "b").distinct())
+    # A group is dealt into sub-groups of similar sets (by the least mixed token),
+    # each with its token union; a query opens those whose union allows a link.
+    members = wanted.join(asked.select("group").distinct(), "group", "left_semi").join(sets.select("id", "n", "shared", "tokens"), "id")
+    alike = members.withColumn("like", F.array_min(F.transform("tokens", lambda t: F.xxhash64(t))))
+    counts = alike.groupBy("group", "like").agg(F.ceil(F.count("*") / SUB_SETS).alias("parts"))
+    subs = materialize(alike.join(counts, ["group", "like"]).withColumn("sub", F.xxhash64(
+        "group", "like", F.pmod(F.xxhash64("id"), F.col("parts")))).drop("like", "parts"), "sub-groups")
+    unions = materialize(subs.groupBy("group", "sub").agg(
+        F.min("n").alias("n"), F.max("shared").alias("s"), F.array_distinct(F.flatten(F.collect_list("tokens"))).alias("union")), "unions")
+    bounded = (asked.select("a", "n_a", "group").join(unions.select("group", "sub", "n", "s"), "group")
+               .join(sets.select(F.col("id").alias("a"), F.col("shared").alias("s_a"), F.col("tokens").alias("t_a")), "a")
+               .where(may_link(F.col("s_a"), F.col("s"), F.col("n_a"), F.col("n")))
+               .join(unions.select("sub", "union"), "sub")
+               .withColumn("both", F.size(F.array_intersect("t_a", "union"))))
+    needed = F.greatest(F.col("n"), F.ceil(F.col("n_a") * PERCENT / 100))
+    qualifying = materialize(bounded.where(may_link(F.col("both"), F.col("both"), F.col("n_a"), needed))
+                             .select("a", "n_a", "s_a", "sub", "both"), "qualifying")
+    opened = (qualifying.join(subs.select("sub", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("shared").alias("s_b")), "sub")
+              .where(may_link(F.least("both", "s_a"), F.col("s_b"), F.col("n_a"), F.col("n_b"))).select("a", "b"))
     return materialize(first.unionByName(compared(opened, sets)), "all-links")
 
 
@@ -428,7 +463,7 @@ def counted(pairs: DataFrame) -> tuple[DataFrame, np.ndarray, int]:
     buckets = bucket_count(pairs)
     answers = materialize(coverage(pairs, buckets), "answers")
     found = answers.where("kind != 'hot'").drop("token", "df").groupBy("chunk").applyInArrow(
-        add_up, f"doc_id {id_type(pairs)}, text_key bigint, n_shingles bigint, class bigint, shared bigint")
+        add_up, f"doc_id {id_type(pairs)}, text_key {KEY}, n_shingles bigint, class {KEY}, shared bigint")
     rows = materialize(found, "sets")
     top = answers.where("kind = 'hot'").select("token", "df").orderBy(F.desc("df"), "token").limit(HOT_TOKENS).toPandas()
     discard(answers)
@@ -436,11 +471,13 @@ def counted(pairs: DataFrame) -> tuple[DataFrame, np.ndarray, int]:
 
 
 def class_texts(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """class, text, text_key: one text of each class."""
+    """class, text, text_key: one text of each class, that of its first document,
+    so that copies of a text are not brought together."""
     # classes grow with the documents, so they are never broadcast
-    found = pairs.join(classes.select("text_key", "class").hint("merge"), "text_key")
-    return materialize(found.groupBy("text_key", "class").agg(F.first("text").alias("text"))
-                       .select("class", "text", "text_key"), "class-texts")
+    wanted = classes.select(F.col("first").alias("_first"), F.col("text_key").alias("_key"), "class").hint("merge")
+    found = pairs.join(wanted, pairs["doc_id"].eqNullSafe(F.col("_first")) & (F.col("text_key") == F.col("_key")))
+    return materialize(found.groupBy("class").agg(F.first("text").alias("text"), F.first("text_key").alias("text_key")),
+                       "class-texts")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -453,8 +490,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     rows, _, _ = counted(pairs)
 
     shared = rows.where("n_shingles > 0").where(enough(F.col("shared"), F.col("n_shingles")))
-    classes = materialize(shared.groupBy("class").agg(F.min("text_key").alias("text_key"), F.min("doc_id").alias("first")),
-                          "classes")
+    firsts = materialize(shared.groupBy("class").agg(F.min("doc_id").alias("first")), "firsts")
+    of_first = shared.select("class", "doc_id", "text_key").join(firsts, "class").where(F.col("doc_id").eqNullSafe(F.col("first")))
+    classes = materialize(of_first.groupBy("class", "first").agg(F.min("text_key").alias("text_key")), "classes")
     reps = class_texts(pairs, classes)
     again, hot, buckets = counted(reps.select(F.col("class").alias("doc_id"), "text", "text_key"))
     kept = again.where("doc_id = class").where(enough(F.col("shared"), F.col("n_shingles"))).select("class", "shared")
@@ -462,9 +500,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     discard(reps, again)
     links = grouped_links(sets)
     roots = (components(links).withColumnRenamed("node", "id").join(sets.select("id", "class"), "id")
-             .select("class", "root"))
+             .join(sets.select(F.col("id").alias("root"), F.col("class").alias("top")), "root")
+             .select("class", F.col("top").alias("root")))
     named = materialize(classes.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class")), "named")
-    least = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    least = materialize(named.groupBy("root").agg(F.min("first").alias("component_id")), "least")
     labels = materialize(named.join(least, "root").select("class", "first", "component_id", "root"), "labels")
     discard(sets, links, named, classes)
     own = F.when(F.col("n_shingles") > 0, F.col("class"))  # documents without shingles link with nothing
@@ -480,12 +519,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     found = materialize(join(docs, id_col, text_col).where("n_shingles > 0")
                         .select("doc_id", "text_key", "component"), "found")
     row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    best = (found.groupBy("component").agg(F.min(row).alias("best"), F.count("*").alias("rows"))
-            .where("rows > 1"))
+    # written, so that the join on components has exchanges of its own, whose hot keys Spark can split
+    best = materialize(found.groupBy("component").agg(F.min(row).alias("best"), F.count("*").alias("rows"))
+                       .where("rows > 1"), "best")
     drop = (found.join(best, "component").where(~row.eqNullSafe(F.col("best"))).select("doc_id", "text_key").distinct())
     twice = (found.groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key"))
     key = fresh(docs, "text_key")
-    keyed_docs = docs.withColumn(key, F.xxhash64(F.col(text_col).cast("string")))
+    keyed_docs = docs.withColumn(key, text_key(F.col(text_col).cast("string")))
 
     def same(other):
         return keyed_docs[f"`{id_col}`"].eqNullSafe(other["doc_id"]) & (keyed_docs[key] == other["text_key"])
