@@ -69,3 +69,28 @@ def test_false_magic_and_damage_are_passed_over():
     data = W.GZIP_MAGIC + b"junk" + good[0] + good[1][:-9] + b"\x00" + good[2] + W.GZIP_MAGIC * 3 + good[3] + good[4][:20]
     got = [h["warc-record-id"] for h, _ in W.RangeReader(io.BytesIO(data), len(data), 0, len(data)).records()]
     assert got == [W.record_urn(i) for i in (0, 2, 3)]
+
+
+def test_ids_of_any_characters_and_clashing_columns(spark):
+    ids = ["a", "b\r\nc: d", "None", "", "%41", "é 漢/<>", None, "null", " lead", "x" * 5000]
+    pages = spark.createDataFrame([(i, f"u{n}", f"<p>{n % 3}</p>", "x", 1, "y", b"z", "r") for n, i in enumerate(ids)],
+                                  "page_id string, url string, html string, record_id string, path int, digest string, "
+                                  "payload binary, refers_to string").repartition(3)
+    manifest = W.write_archives(W.with_revisits(pages), scratch_path(spark, "w"))
+    rows = W.read_archives(W.byte_ranges(manifest, 100), "string")
+    W.check_complete(rows, manifest)
+    assert digest(rows.collect()) == expected([(i, f"<p>{n % 3}</p>") for n, i in enumerate(ids)])
+
+
+def test_a_lost_record_is_noticed_and_ranges_are_spread(spark):
+    pages = spark.createDataFrame([(i, "u", "x" * i) for i in range(200)], "page_id bigint, url string, html string")
+    manifest = W.write_archives(W.with_revisits(pages).coalesce(1), scratch_path(spark, "w"))
+    ranges = W.byte_ranges(manifest, 2000)
+    n = ranges.count()
+    assert n > 8 and ranges.rdd.getNumPartitions() == 8 and min(map(len, ranges.rdd.glom().collect())) > 0
+    rows = W.read_archives(ranges)
+    W.check_complete(rows, manifest)
+    with pytest.raises(RuntimeError, match="1 archives"):
+        W.check_complete(rows.where("record_id != 7"), manifest)
+    with pytest.raises(RuntimeError, match="1 archives"):
+        W.check_complete(rows.limit(0), manifest)

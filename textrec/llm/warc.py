@@ -16,8 +16,11 @@ member after member.  It owns the records that start inside its range, and
 reads beyond its end to finish the last one.  So any split gives every record
 exactly once, and a damaged stretch costs only the records inside it.
 
+A run compares the records read with the manifest and fails on a difference.
+
 Defined cases: null html is an empty payload; null url or id are left out of
-the record (the row's id comes back null); records with equal payloads and the
+the record (the row's id comes back null); ids may hold any characters; other
+columns are not read; records with equal payloads and the
 same smallest id are all responses; payloads below ``min_bytes`` are always
 responses; an empty table gives no files and an empty result."""
 
@@ -28,6 +31,7 @@ import hashlib
 import re
 import uuid
 import zlib
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -59,12 +63,13 @@ def base32_sha1(payload: bytes) -> str:
 
 
 def record_urn(record_id) -> str:
-    return f"<urn:record:{record_id}>"
+    """Whatever an id holds, its name stays on one line and can be read back."""
+    return f"<urn:record:{quote(str(record_id), safe='')}>"
 
 
 def urn_id(urn: str | None) -> str | None:
-    m = re.fullmatch(r"<urn:record:(.*)>", urn or "", re.S)
-    return None if m is None or m[1] == "None" else m[1]
+    m = re.fullmatch(r"<urn:record:(.*)>", urn or "")
+    return None if m is None else unquote(m[1])
 
 
 def header_value(text) -> str:
@@ -75,8 +80,9 @@ def header_value(text) -> str:
 def member(record_id, url, payload: bytes, digest: str, refers_to) -> bytes:
     """One record as a gzip member."""
     revisit = refers_to is not None
-    fields = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", record_urn(record_id)),
-              ("WARC-Date", DATE)]
+    fields = [("WARC-Type", "revisit" if revisit else "response"), ("WARC-Date", DATE)]
+    if record_id is not None:
+        fields.append(("WARC-Record-ID", record_urn(record_id)))
     if url is not None:
         fields.append(("WARC-Target-URI", header_value(url)))
     fields += [("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Payload-Length", len(payload)),
@@ -215,12 +221,26 @@ def parse_headers(block: bytes) -> dict[str, str] | None:
 
 
 def byte_ranges(manifest: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """path, size, start, end: one row for each range, dealt out evenly."""
-    return (manifest.select("path", F.col("bytes").alias("size"),
-                            F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("bytes") - 1, F.lit(0)),
-                                                 F.lit(range_bytes).cast("bigint"))).alias("start"))
-            .withColumn("end", F.col("start") + range_bytes)
-            .repartition(F.col("path"), F.col("start")))
+    """path, size, start, end: one row for each range, dealt out evenly to as many
+    tasks as there are ranges, or a sixteenth of that where it is more than the
+    session's usual number (a range is small; rows of ranges are too small for
+    Spark to see the work behind them)."""
+    ranges = manifest.select(
+        "path", F.col("bytes").alias("size"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.greatest(F.col("bytes") - 1, F.lit(0)),
+                             F.lit(range_bytes).cast("bigint"))).alias("start")).withColumn("end", F.col("start") + range_bytes)
+    n = manifest.agg(F.sum(F.greatest(F.ceil(F.col("bytes") / range_bytes), F.lit(1)))).first()[0] or 1
+    usual = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return ranges.repartition(min(n, max(usual, n // 16)))
+
+
+def check_complete(records: DataFrame, manifest: DataFrame) -> None:
+    """Raises if a file gave other than the number of records that its task wrote."""
+    found = records.groupBy("path").agg(F.count("*").alias("found"))
+    wrong = (manifest.join(found, "path", "left").where(~F.col("records").eqNullSafe(F.coalesce("found", F.lit(0))))
+             .agg(F.count("*").alias("files"), F.min("path").alias("path")).first())
+    if wrong["files"]:
+        raise RuntimeError(f"{wrong['files']} archives don't give the records written to them, such as {wrong['path']}")
 
 
 def read_archives(ranges: DataFrame, id_type: str = "bigint", with_block: bool = True) -> DataFrame:
@@ -238,13 +258,13 @@ def read_archives(ranges: DataFrame, id_type: str = "bigint", with_block: bool =
                 ok = kind != "response" or (digest == base32_sha1(payload)
                                             and str(len(payload)) == head.get("x-payload-length"))
                 length = head.get("x-payload-length", "")
-                yield {"record_id": urn_id(head.get("warc-record-id")), "record_type": kind,
+                yield {"path": path, "record_id": urn_id(head.get("warc-record-id")), "record_type": kind,
                        "url": head.get("warc-target-uri"),
                        "payload_bytes": int(length) if length.isdigit() else len(payload), "payload_digest": digest,
                        "refers_to": urn_id(head.get("warc-refers-to")), "payload_ok": ok,
                        "payload": payload if with_block else None}, len(payload)
 
-    schema = pa.schema([("record_id", pa.string()), ("record_type", pa.string()), ("url", pa.string()),
+    schema = pa.schema([("path", pa.string()), ("record_id", pa.string()), ("record_type", pa.string()), ("url", pa.string()),
                         ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.string()),
                         ("payload_ok", pa.bool_()), ("payload", pa.binary())])
 
@@ -262,7 +282,7 @@ def read_archives(ranges: DataFrame, id_type: str = "bigint", with_block: bool =
             yield pa.RecordBatch.from_pylist(out, schema=schema)
 
     read = ranges.select("path", "size", "start", "end").mapInArrow(
-        run, "record_id string, record_type string, url string, payload_bytes bigint, payload_digest string, "
+        run, "path string, record_id string, record_type string, url string, payload_bytes bigint, payload_digest string, "
              "refers_to string, payload_ok boolean, payload binary")
     return read.withColumns({c: F.col(c).cast(id_type) for c in ("record_id", "refers_to")})
 
@@ -270,6 +290,7 @@ def read_archives(ranges: DataFrame, id_type: str = "bigint", with_block: bool =
 def op9_splittable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     manifest = write_archives(with_revisits(pages), scratch_path(spark, "warc"))
-    records = read_archives(byte_ranges(manifest), dict(pages.dtypes)["page_id"], with_block=False)
+    records = materialize(read_archives(byte_ranges(manifest), dict(pages.dtypes)["page_id"], with_block=False), "warc-records")
+    check_complete(records, manifest)
     return records.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                           "refers_to", "payload_ok")
