@@ -11,9 +11,8 @@ position at a time.  Words that the automaton doesn't hold go through the exact
 merges of the vocabulary's model, so results don't depend on what is in it.
 
 Texts are normalised and split as the vocabulary's file says (NFC, white space
-dropped, lower case, pieces of letters, single digits, other signs).  Splitting
-never joins across white space, so a worker keeps the ids of each white-space
-word it has met.  Texts with control characters, characters beyond Latin
+dropped, lower case, pieces of letters, single digits, other signs); a worker
+keeps the ids of the pieces it has met.  Texts with control characters, characters beyond Latin
 Extended-B or special-token strings are normalised and split by the library's
 own components, piece by piece.
 
@@ -40,9 +39,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textrec.llm.common import id_text, id_type, sha256_hex, ship_package, table, text_slices
+from textrec.session import discard, materialize
 
 VOCABULARY = "word_bpe_49k.json"
 LEXICON_WORDS = 1 << 16
+#: Words that a task counts before it hands their counts on.
+COUNTED = 300_000
 #: Longer words are left to the merges; with it the lexicon's size is bounded.
 LEXICON_WORD_BYTES = 64
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e\xa1-ɏ]*")
@@ -175,7 +177,7 @@ class Lexicon:
     def __init__(self, path: str):
         with open(path, "rb") as f:
             head = f.readline()
-        data = np.memmap(path, np.uint8, "r", offset=0)
+        data = np.asarray(np.memmap(path, np.uint8, "r", offset=0))  # a plain view of the mapped file
         for name, (kind, at, n) in json.loads(head).items():
             start = len(head) + at
             setattr(self, name, data[start:start + n * np.dtype(kind).itemsize].view(kind))
@@ -212,68 +214,55 @@ class Lexicon:
 
 
 class Encoder:
-    """Encodes slices of texts; keeps what it knows of words (bounded)."""
+    """Encodes slices of texts; keeps what it knows of pieces in two generations
+    of about ``KEEP`` pieces: what a slice uses is in the younger one, and what
+    neither of two generations has used is forgotten."""
 
-    KEEP = 300_000
+    KEEP = 400_000
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
-        self.known: dict[str, tuple[str, str, int]] = {}
-        self.merged: dict[bytes, list[int]] = {}
-
-    def merge(self, piece: bytes) -> list[int]:
-        found = self.merged.get(piece)
-        if found is None:
-            if len(self.merged) >= self.KEEP:
-                self.merged.clear()
-            found = self.merged[piece] = self.vocabulary.merge(piece)
-        return found
-
-    def piece_ids(self, pieces: list[bytes]) -> dict[bytes, list[int]]:
-        distinct = list(dict.fromkeys(pieces))
-        if self.lexicon is None:
-            return {p: self.merge(p) for p in distinct}
-        numbers = self.lexicon.numbers(distinct).tolist()
-        return {p: self.lexicon.ids_of(k) if k >= 0 else self.merge(p)
-                for p, k in zip(distinct, numbers, strict=True)}
+        self.known: dict[str | bytes, tuple[str, str, int]] = {}
+        self.older: dict[str | bytes, tuple[str, str, int]] = {}
 
     def entry(self, ids: list[int]) -> tuple[str, str, int]:
         return " ".join([self.vocabulary.digits[i] for i in ids]), self.vocabulary.decode(ids), len(ids)
 
-    def learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > self.KEEP:
-            self.known.clear()
-        pieces = [self.vocabulary.word_pieces(w) for w in words]
-        ids = self.piece_ids([p for ps in pieces for p in ps])
-        for w, ps in zip(words, pieces, strict=True):
-            self.known[w] = self.entry([i for p in ps for i in ids[p]])
+    def piece_ids(self, pieces: list[bytes]) -> list[list[int]]:
+        """Ids by the lexicon, all pieces together, and by merges for the rest."""
+        if self.lexicon is None:
+            return [self.vocabulary.merge(p) for p in pieces]
+        return [self.lexicon.ids_of(k) if k >= 0 else self.vocabulary.merge(p)
+                for p, k in zip(pieces, self.lexicon.numbers(pieces).tolist(), strict=True)]
+
+    def learn(self, pieces: set) -> None:
+        """Puts all pieces of a slice into the younger generation."""
+        if len(self.known) >= self.KEEP:
+            self.older, self.known = self.known, {}
+        new = []
+        for p in pieces.difference(self.known):
+            found = self.older.get(p)
+            if found is None:
+                new.append(p)
+            else:
+                self.known[p] = found
+        ids = self.piece_ids([p if isinstance(p, bytes) else p.encode() for p in new])
+        self.known.update(zip(new, map(self.entry, ids), strict=True))
 
     def encode(self, texts: list[str]) -> list[tuple[str, str, int]]:
         """(ids joined by spaces, decoded text, number of ids) of each text."""
-        plain = [self.vocabulary.is_plain(t) for t in texts]
-        split = [t.split() if p else [] for t, p in zip(texts, plain, strict=True)]
-        known, extra = self.known, {}
-        new = list({w for s in split for w in s if w not in known})
-        for i in range(0, len(new), self.KEEP // 2):
-            self.learn(new[i:i + self.KEEP // 2])
+        voc = self.vocabulary
+        plain = [voc.is_plain(t) for t in texts]
+        split = [voc.pieces(t.lower()) if p else voc.text_pieces(t) for t, p in zip(texts, plain, strict=True)]
+        special = {x for ps, p in zip(split, plain, strict=True) if not p for x in ps if isinstance(x, int)}
+        self.learn(set().union(*split) - special)
+        known = self.known
+        if special:
+            known = known | {i: self.entry([i]) for i in special}
         out = []
-        for text, p, words in zip(texts, plain, split, strict=True):
-            if not p:
-                pieces = self.vocabulary.text_pieces(text)
-                ids = self.piece_ids([x for x in pieces if isinstance(x, bytes)])
-                out.append(self.entry([i for x in pieces for i in (ids[x] if isinstance(x, bytes) else [x])]))
-                continue
-            try:
-                entries = [known[w] for w in words]
-            except KeyError:  # a text with more new words than are kept
-                extra = {}
-                missing = list({w for w in words if w not in known})
-                pieces = {w: self.vocabulary.word_pieces(w) for w in missing}
-                ids = self.piece_ids([x for ps in pieces.values() for x in ps])
-                extra = {w: self.entry([i for x in ps for i in ids[x]]) for w, ps in pieces.items()}
-                entries = [known[w] if w in known else extra[w] for w in words]
-            out.append((" ".join([e[0] for e in entries]), " ".join([e[1] for e in entries]),
-                        sum([e[2] for e in entries])))
+        for pieces in split:
+            entries = [known[p] for p in pieces]
+            out.append((" ".join([e[0] for e in entries]), " ".join([e[1] for e in entries]), sum([e[2] for e in entries])))
         return out
 
 
@@ -300,7 +289,8 @@ def encoder(path: str, lexicon_file: str) -> Encoder:
 # ---- Spark --------------------------------------------------------------
 
 def frequent_words(docs: DataFrame, path: str, n: int = LEXICON_WORDS, text_col: str = "text") -> list[bytes]:
-    """The n most frequent pieces of all texts, counted in each task first."""
+    """Up to n most frequent pieces of all texts, counted in each task first; of
+    pieces with one count all or none."""
     def run(batches):
         voc, words, pieces = vocabulary(path), Counter(), Counter()
 
@@ -320,13 +310,22 @@ def frequent_words(docs: DataFrame, path: str, n: int = LEXICON_WORDS, text_col:
                     words.update(t.split())
                 else:
                     pieces.update(p for p in voc.text_pieces(t) if isinstance(p, bytes))
-            if len(words) + len(pieces) > Encoder.KEEP:
+            if len(words) + len(pieces) > COUNTED:
                 yield flush()
         yield flush()
 
-    counts = (docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "piece binary, n bigint")
-              .groupBy("piece").agg(F.sum("n").alias("n")))
-    top = counts.orderBy(F.desc("n"), "piece").limit(n).collect()
+    counts = materialize(
+        docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "piece binary, n bigint")
+            .groupBy("piece").agg(F.sum("n").alias("n")), "piece-counts")
+    # how many pieces have each count: as few rows as there are different counts
+    left, cut = n, None
+    for r in counts.groupBy("n").agg(F.count("*").alias("pieces")).orderBy(F.desc("n")).limit(n).collect():
+        if r.pieces > left:
+            break
+        left, cut = left - r.pieces, r.n
+    # pieces with the first count that doesn't fit in whole are left to the merges
+    top = [] if cut is None else counts.where(F.col("n") >= cut).select("piece").collect()
+    discard(counts)
     return sorted(bytes(r.piece) for r in top)
 
 
