@@ -23,7 +23,8 @@ blocks and checkpoints are independent units for parallel decoding.
 
 Defined cases: null text is an empty document (its end id only); empty tables
 give no blocks and an empty result; repeated rows are kept as documents of
-their own; null ids come first; a text of any length is cut into as many
+their own; null ids come first,
+rows with one id in the order of their texts' first 64 characters; a text of any length is cut into as many
 blocks as it needs."""
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textrec.llm.common import id_text, id_type, ship_package, table, text_slices
-from textrec.session import discard, scratch_path
+from textrec.session import discard, materialize, scratch_path
 
 SCALE_BITS = 22
 STATE_LOW = np.uint64(1) << np.uint64(31)
@@ -56,32 +57,53 @@ VOCABULARY = "byte_bpe_50k.json"
 #: The vocabulary's published splitting rule, for texts of the
 #: characters that ``_PLAIN`` admits (where every library agrees on classes).
 _PLAIN = re.compile(r"[\n\r\t\x20-\x7e\xa1-\xac\xae-\u024f]*")
+_PLAIN_LATIN1 = bytes([9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)])
 _LETTER, _NUMBER = "A-Za-zªµºÀ-ÖØ-öø-\u024f", "0-9²³¹¼-¾"
 _SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\s+(?!\S)|\s+")
 
 
+def is_plain(text: str) -> bool:
+    """Whether all characters are of ``_PLAIN``; in Latin-1 by one byte table."""
+    if "<|" in text:
+        return False
+    try:
+        return not text.encode("latin-1").translate(None, _PLAIN_LATIN1)
+    except UnicodeEncodeError:
+        return _PLAIN.fullmatch(text) is not None
+
+
 class PieceIds(dict):
-    """Piece to ids (uint32 little-endian) by the library's model, for the
-    pieces met so far; forgotten when there are too many."""
+    """Piece to ids (little-endian, ``width`` bytes each) by the library's model, for the
+    pieces met so far; what neither of two generations of ``KEEP`` pieces has
+    used is forgotten."""
 
-    KEEP = 500_000
+    KEEP = 400_000
 
-    def __init__(self, library):
+    def __init__(self, library, width: int):
         super().__init__()
         from textrec.llm.lexicon import byte_alphabet
         self.tokenize = library.model.tokenize
         self.letters = dict(enumerate(byte_alphabet()))
-        self.raw = [i.to_bytes(4, "little") for i in range(library.get_vocab_size(with_added_tokens=True))]
+        self.raw = [i.to_bytes(width, "little") for i in range(library.get_vocab_size(with_added_tokens=True))]
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
         if len(self) >= self.KEEP:
+            self.older = dict(self)
             self.clear()
-        raw = self.raw
-        shown = piece.encode().decode("latin-1").translate(self.letters)
-        found = self[piece] = b"".join([raw[t.id] for t in self.tokenize(shown)])
+        found = self.older.get(piece)
+        if found is None:
+            raw = self.raw
+            shown = piece.encode().decode("latin-1").translate(self.letters)
+            found = b"".join([raw[t.id] for t in self.tokenize(shown)])
+        self[piece] = found
         return found
 
 
+def id_kind(vocab: int) -> str:
+    return "<u2" if vocab <= 1 << 16 else "<u4"
+
+
 class PieceTokenizer:
     """Ids of whole texts, as the library's ``encode`` gives them.  Ordinary
     texts are split by the vocabulary's published rule, and each distinct piece
@@ -92,15 +114,17 @@ class PieceTokenizer:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task is one thread of many on its executor
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
-        self.pieces = PieceIds(self.library)
+        self.kind = id_kind(self.library.get_vocab_size(with_added_tokens=True))
+        self.pieces = PieceIds(self.library, np.dtype(self.kind).itemsize)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as numbers of ``kind``."""
         ids, out = self.pieces.__getitem__, []
         for text in texts:
-            if "<|" not in text and _PLAIN.fullmatch(text):
-                out.append(np.frombuffer(b"".join(map(ids, _SPLIT.findall(text))), "<u4"))
+            if is_plain(text):
+                out.append(b"".join(map(ids, _SPLIT.findall(text))))
             else:
-                out.append(np.asarray(self.library.encode(text, add_special_tokens=False).ids, "<u4"))
+                out.append(np.asarray(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes())
         return out
 
 
@@ -206,22 +230,26 @@ def sorted_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     from 0.  Written once, so that texts are tokenised once."""
     ship_package(docs.sparkSession)
     pairs = id_text(docs, id_col, text_col)
-    vocab = vocabulary_size(path)
-    kind = "<u2" if vocab <= 1 << 16 else "<u4"
+    end = END_ID.to_bytes(np.dtype(id_kind(vocabulary_size(path))).itemsize, "little")
 
     def run(batches):
         tok, file, ord_ = tokenizer(path), TaskContext.get().partitionId(), 0
         for rows, texts in text_slices(batches):
             n = len(texts)
-            ids = [np.append(x, np.uint32(END_ID)).astype(kind).tobytes() for x in tok.encode(texts)]
+            ids = [x + end for x in tok.encode(texts)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([file] * n, pa.int32()), pa.array(range(ord_, ord_ + n), pa.int64()), rows.column(0),
                  pa.array(ids, pa.binary())], names=["file", "ord", "doc_id", "ids"])
             ord_ += n
 
     spans = max(1, pairs.rdd.getNumPartitions())
-    ordered = pairs.repartitionByRange(spans, F.col("doc_id").asc_nulls_first()) \
-        .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # rows that share an id, or have none, spread over ranges by the beginning
+    # of the text and their place in the scan
+    first = F.col("doc_id").asc_nulls_first()
+    beginning = F.substring("text", 1, 64).asc_nulls_first()
+    ordered = (pairs.withColumn("place", F.monotonically_increasing_id())
+               .repartitionByRange(spans, first, beginning, "place")
+               .sortWithinPartitions(first, beginning, "text").drop("place"))
     out = ordered.mapInArrow(run, f"file int, ord bigint, doc_id {id_type(pairs)}, ids binary")
     folder = scratch_path(docs.sparkSession, "ids")
     out.write.option("compression", "zstd").parquet(folder)
@@ -233,7 +261,7 @@ def sorted_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
 def token_counts(ids: DataFrame, vocab: int) -> np.ndarray:
     """How often each id occurs; the result has one row for each id of the
     vocabulary at most."""
-    kind = "<u2" if vocab <= 1 << 16 else "<u4"
+    kind = id_kind(vocab)
 
     def run(batches):
         counts = np.zeros(vocab, np.int64)
@@ -272,7 +300,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id"
     also written, to ``folder`` + "-table"."""
     spark = docs.sparkSession
     vocab = vocabulary_size(path)
-    kind = "<u2" if vocab <= 1 << 16 else "<u4"
+    kind = id_kind(vocab)
     ids_table = sorted_ids(docs, path, id_col, text_col)
     coder = Coder(normalise(token_counts(ids_table, vocab)))
     spark.createDataFrame([(i, int(f)) for i, f in enumerate(coder.freq)], "id int, freq bigint").coalesce(1) \
@@ -393,7 +421,8 @@ def document_checksums(parts: DataFrame) -> DataFrame:
     Offsets are sums within a file plus the totals of the files before.  A
     file's rows are few numbers each, and files hold a bounded share of the
     input, so the windows are small; the one over files has a row a file."""
-    rows = parts.select("file", "block", "part", "continues", "doc_id", "n_tokens", "crc")
+    # written, so that the files are decoded once
+    rows = materialize(parts.select("file", "block", "part", "continues", "doc_id", "n_tokens", "crc"), "token-parts")
     order = Window.partitionBy("file").orderBy("block", "part")
     rows = (rows.withColumn("doc", F.sum(F.when(F.col("continues"), 0).otherwise(1)).over(order))
             .withColumn("before", F.sum("n_tokens").over(order) - F.col("n_tokens")))
