@@ -79,11 +79,12 @@ def test_exploded_tokens_equal_array_tokens(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_library_never_collects():
-    """No data reaches the driver; the one exception is a query's own list of
-    postings folders (at most one integer per query term)."""
+def test_library_collects_bounded_lists_only():
+    """No data reaches the driver; the exceptions are lists whose size the caller
+    or a parameter bounds: a text's own terms (``SCAN_TERMS`` at most), the
+    folder numbers of a batch (``BUCKETS`` at most), the files of given songs."""
     root = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "textrec")
-    allowed = {("score.py", ".collect()")}
+    allowed = {("score.py", ".collect()"), ("store.py", ".collect()"), ("readers.py", ".collect()")}
     for dirpath, _, files in os.walk(root):
         if os.path.basename(dirpath) == "llm":
             continue  # optional subpackage with bounded samples, tested on its own
