@@ -24,7 +24,7 @@ blocks and checkpoints are independent units for parallel decoding.
 Defined cases: null text is an empty document (its end id only); empty tables
 give no blocks and an empty result; repeated rows are kept as documents of
 their own; null ids come first,
-rows with one id in the order of their texts' first 64 characters; a text of any length is cut into as many
+rows with one id as they are read; a text of any length is cut into as many
 blocks as it needs."""
 
 from __future__ import annotations
@@ -243,16 +243,14 @@ def sorted_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
             ord_ += n
 
     spans = max(1, pairs.rdd.getNumPartitions())
-    # rows that share an id, or have none, spread over ranges by the beginning
-    # of the text and their place in the scan
+    # rows that share an id, or have none, spread over ranges by their place in
+    # the scan; the sample for the ranges reads no text
     first = F.col("doc_id").asc_nulls_first()
-    beginning = F.substring("text", 1, 64).asc_nulls_first()
     ordered = (pairs.withColumn("place", F.monotonically_increasing_id())
-               .repartitionByRange(spans, first, beginning, "place")
-               .sortWithinPartitions(first, beginning, "text").drop("place"))
+               .repartitionByRange(spans, first, "place").sortWithinPartitions(first, "place").drop("place"))
     out = ordered.mapInArrow(run, f"file int, ord bigint, doc_id {id_type(pairs)}, ids binary")
     folder = scratch_path(docs.sparkSession, "ids")
-    out.write.option("compression", "zstd").parquet(folder)
+    out.write.option("compression", "lz4").parquet(folder)
     frame = docs.sparkSession.read.parquet(folder)
     frame._scratch = folder
     return frame
