@@ -54,9 +54,9 @@ def main() -> None:
     flat = CO.flatten_status(FX.raw_statuses(spark, sf))
     text = FX.table(spark, sf, "benchmark").orderBy("item_id").first()["text"]
     jobs = [
-        ("recommend_one (postings in 64 term folders)",
-         "Query terms are broadcast; the postings scan has `PartitionFilters: [tb INSET …]` (only this query's "
-         "folders) and `PushedFilters` for w != 0; partial sums before the (query, song) exchange; top-k is a "
+        ("recommend_one (postings sorted by term)",
+         "Query terms are broadcast; the postings scan has the text's own terms and w != 0 in "
+         "`PushedFilters`, so row groups of other terms are skipped; partial sums before the (query, song) exchange; top-k is a "
          "TakeOrderedAndProject; the k result rows are broadcast for the name lookup.",
          S.recommend_one(text, m.postings, songs, 15, corpus_ids=m.corpus_ids)),
         ("recommend (batch of all held-out posts)",
@@ -80,7 +80,7 @@ def main() -> None:
          "`WindowGroupLimit … Partial` before the exchange on the song: at most N rows per song per map task.",
          CO.select_posts(flat, CAT.END_DATE, "en", CAT.POSTS_PER_SEARCH)),
         ("attach_posts (K4)",
-         "First row per tweet_id is a `min_by` aggregate (map-side combine), then an anti-join with stored ids.",
+         "The least order per tweet_id is a hash aggregate over one decimal; whole rows only meet it in a semi-join, then an anti-join with stored ids.",
          IN.attach_posts(flat, FX.attach_songs(spark, sf), FX.existing_post_ids(spark, sf))),
     ]
     out = ["# Physical plans of the headline jobs", "",
