@@ -10,7 +10,7 @@ from textrec.llm import compression, lexicon, pii
 
 def brute(spark, sf):
     docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
-    limits = compression.fit_limits(spark.read.parquet(f"{sf}/documents.parquet"))
+    limits = compression.fit_norms(spark.read.parquet(f"{sf}/documents.parquet"))
     ratios = compression.Ratios()
     docs = [(i, t) for i, t in docs if not compression.base_measures(t or "")[-1]
             and compression.verdict((t or "").encode(), ratios, limits)[0]]

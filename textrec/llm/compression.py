@@ -62,8 +62,6 @@ class Limits:
     """(low, high) in thousandths by length band; chunks have one pair."""
     whole: dict[int, tuple[float, float]] = field(default_factory=dict)
     chunk: tuple[float, float] = (0.0, float("inf"))
-    #: What texts are judged by, if other than these.
-    norms: Limits | None = None
 
 
 def band(n_bytes: int) -> int:
@@ -124,36 +122,10 @@ class Ratios:
         return whole, chunks
 
 
-def histogram(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """kind (w, c), band, ratio, n: counted in each task, then summed."""
-    ship_package(docs.sparkSession)
-
-    def run(batches):
-        ratios, counts = Ratios(), Counter()
-        for _, texts in text_slices(batches):
-            for text in texts:
-                if not text:
-                    continue
-                raw = text.encode("utf-8", "surrogatepass")
-                whole, chunks = ratios.of(raw)
-                counts["w", band(len(raw)), whole] += 1
-                for c in chunks:
-                    counts["c", 0, c] += 1
-        keys = sorted(counts)
-        yield pa.RecordBatch.from_pydict({
-            "kind": pa.array([k[0] for k in keys], pa.string()),
-            "band": pa.array([k[1] for k in keys], pa.int32()),
-            "ratio": pa.array([k[2] for k in keys], pa.int32()),
-            "n": pa.array([counts[k] for k in keys], pa.int64())})
-
-    parts = (docs.select(F.col(text_col).cast("string").alias("text"))
-             .mapInArrow(run, "kind string, band int, ratio int, n bigint"))
-    return parts.groupBy("kind", "band", "ratio").agg(F.sum("n").alias("n"))
-
-
 def distinct_histogram(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``histogram`` with each distinct text counted once.  What is grouped is
-    a hash of the text and its ratios; copies are combined in their tasks."""
+    """kind (w, c), band, ratio, n, with each distinct text counted once.  What is
+    grouped is a hash of the text and its ratios; copies are combined in their
+    tasks."""
     ship_package(docs.sparkSession)
 
     def run(batches):
@@ -237,18 +209,9 @@ def fit_norms(docs: DataFrame, text_col: str = "text") -> Limits:
     return Limits({b: limits_of(c, least) for b, c in pools.items()}, limits_of(chunk) if chunk else Limits.chunk)
 
 
-def fit_limits(docs: DataFrame, text_col: str = "text") -> Limits:
-    """Limits over all rows, each band by itself, with the norms of
-    ``fit_norms``, which texts are judged by."""
-    whole, chunk = collected(histogram(docs, text_col))
-    return Limits({b: limits_of(c) for b, c in whole.items()}, limits_of(chunk) if chunk else Limits.chunk,
-                  fit_norms(docs, text_col))
-
-
 def verdict(raw: bytes, ratios: Ratios, limits: Limits) -> tuple[bool, int, int, int]:
     """kept, whole ratio, full chunks, chunks out of limits."""
     whole, chunks = ratios.of(raw)
-    limits = limits.norms or limits
     low, high = limits.whole.get(band(len(raw)), (0.0, float("inf")))
     c_low, c_high = limits.chunk
     bad = sum(not c_low <= c <= c_high for c in chunks)
