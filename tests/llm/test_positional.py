@@ -1,10 +1,13 @@
 import hashlib
+import os
 import re
 
+import duckdb
 import numpy as np
 import pytest
 
 from textrec.llm import positional as P
+from textrec.llm.oracle import SQL
 from textrec.session import scratch_path
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -53,7 +56,7 @@ def test_query_equals_brute_force(spark, sf):
     assert got == want and any(r[2] for r in got)
 
 
-@pytest.mark.parametrize("limit", [P.PART_BYTES, 60])
+@pytest.mark.parametrize("limit", [P.PART_BYTES, 250])
 def test_odd_rows_small_segments_and_parts(spark, odd_docs, no_docs, monkeypatch, limit):
     monkeypatch.setattr(P.item_parts, "__defaults__", ("item_id", "text", limit))
     items = spark.createDataFrame(
@@ -120,6 +123,52 @@ def near(text, items, slop):
     return exact - {None}, loose - exact - {None}
 
 
+def sql_rows(folder):
+    """The registered SQL over the tables of a folder."""
+    db = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        files = f"{folder}/{name}.parquet"
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{files}{'/*.parquet' if os.path.isdir(files) else ''}'")
+    return sorted(db.execute("SELECT doc_id, n_hit, n_items, n_near_items, near_items_sha256 FROM "
+                             f"({SQL['op6_positional_index']})").fetchall())
+
+
+def test_packed_windows_equal_sets_and_are_bounded(spark):
+    rng = np.random.default_rng(8)
+    for size in (1, 2, 3, 7, 10):
+        items = [(str(i), " ".join(rng.choice(list("abc"), rng.integers(0, 30)))) for i in range(60)]
+        want = {}
+        for i, t in items:
+            w = words(t)
+            for k in range(max(1, len(w) - size + 1)) if w else ():
+                want.setdefault(tuple(w[k:k + size]), set()).add(i)
+        packed = P.Windows(items, size)
+        terms = [None, *packed.terms.decode().split(" ")]
+        got = {tuple(terms[t] for t in packed.tokens[s:s + n]): {packed.items[i] for i in packed.of(k)}
+               for k, (s, n) in enumerate(zip(packed.starts, packed.sizes, strict=True))}
+        assert got == want and len(packed.starts) == len(want)
+    worst = spark.createDataFrame([(str(i), " ".join(rng.choice(list("abcdefghij"), 400))) for i in range(50)]
+                                  + [(str(i), chr(97 + i % 26)) for i in range(500)], "item_id string, text string")
+    built = P.windows_of(worst)
+    assert len(built.starts) > 19_000 and built.nbytes() < P.PACKED * 50 * 800
+
+
+def test_postings_stay_packed_without_a_window():
+    seg = P.Segment.of([P.words_of("alpha beta gamma delta")])
+    row = seg.packed() | {"doc_words": [4]}
+    lazy = P.Segment.unpacked(row)
+    assert P.matches(lazy, P.Windows([("p", "alpha omega")])) == {} and callable(lazy._deltas)
+    assert P.matches(lazy, P.Windows([("p", "beta gamma")]))[0][0] == [(1, 3)]
+
+
+def test_wordless_texts_fill_segments(spark):
+    docs = spark.createDataFrame([(i, "..." if i % 2 else None) for i in range(100)], "doc_id bigint, text string").coalesce(1)
+    index = P.build_index(docs, scratch_path(spark, "p"), segment_words=10)
+    assert index.count() >= 9
+    items = spark.createDataFrame([("p", "alpha")], "item_id string, text string")
+    assert P.find(index, items).where("n_words = 0").count() == 100
+
+
 @pytest.mark.parametrize("slop", [1, 2])
 def test_random_proximity_against_brute_force(slop):
     rng = np.random.default_rng(5)
@@ -151,7 +200,13 @@ def test_registered_query_returns_near_items(spark, sf, tmp_path):
     texts, found = dict(rows(docs, "doc_id", "text")), P.op6_positional_near(spark, str(tmp_path))
     exact = P.op6_positional_index(spark, str(tmp_path))
     got = found.collect()
-    assert sorted(map(tuple, found.select(exact.columns).collect())) == sorted(map(tuple, exact.collect()))
+    digest = {r.doc_id: hashlib.sha256(",".join(r.near_items).encode()).hexdigest() for r in got}
+    plain = [c for c in exact.columns if c != "near_items_sha256"]
+    assert sorted(map(tuple, found.select(plain).collect())) == sorted(tuple(r[c] for c in plain) for r in exact.collect())
+    assert digest == {r.doc_id: r.near_items_sha256 for r in exact.collect()}
+    sql = sql_rows(str(tmp_path))
+    assert sql == sorted((r.doc_id, r.n_hit, r.n_items, r.n_near_items, r.near_items_sha256) for r in exact.collect())
+    assert any(r[3] for r in sql)
     pairs = [(str(i), t) for i, t in rows(items, "item_id", "text")]
     for r in got:
         assert r.near_items == sorted(near(texts[r.doc_id], pairs, P.SLOP)[1]) and r.n_near_items == len(r.near_items)

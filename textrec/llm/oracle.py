@@ -47,10 +47,17 @@ dw AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS g
 hits AS (SELECT DISTINCT doc_id, i, n, item_id FROM dw JOIN win USING (g, n)),
 pos AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id),
 it AS (SELECT doc_id, count(*) AS n_items, string_agg(v, ',' ORDER BY v) AS ids
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS v FROM hits) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS v FROM hits) GROUP BY doc_id),
+q AS (SELECT DISTINCT item_id, w[i:i + 9] AS q FROM b, unnest(range(1, greatest(1, len(w) - 9) + 1)) t(i) WHERE len(w) > 0),
+places AS (SELECT doc_id, w[i] AS x, list_concat(['', ''], w)[i:i + 13] AS c FROM d, unnest(range(1, len(w) + 1)) t(i)),
+near AS (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS v FROM places JOIN q ON q[1] = x
+  WHERE item_id IS NOT NULL AND {" AND ".join(f"(len(q) <= {j} OR list_contains(c[{j + 1}:{j + 5}], q[{j + 1}]))" for j in range(1, 10))}),
+near_it AS (SELECT doc_id, count(*) AS n_near, string_agg(v, ',' ORDER BY v) AS near_ids
+  FROM near ANTI JOIN (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS v FROM hits) h USING (doc_id, v) GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id)
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+  coalesce(n_near, 0)::BIGINT AS n_near_items, sha256(coalesce(near_ids, '')) AS near_items_sha256
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN it USING (doc_id) LEFT JOIN near_it USING (doc_id)
 """
 
 _AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"

@@ -16,10 +16,13 @@ of the next rarer ones.  With ``slop`` each term may stand that many words away
 from its exact place, counted from the window's first word (proximity), which
 doesn't depend on the segments; exact phrases are those with none.
 
-The test side is dealt by hash into parts of at most ``PART_BYTES``, each a
-broadcast of checked size; matches of all parts are merged for each document.
-``op6_positional_index`` asks for exact phrases (``slop`` 0), which SQL can
-repeat; ``op6_positional_near`` has the same columns and the items that are near
+The test side is dealt by hash into parts of at most ``PART_BYTES``, counted
+before anything is sent; matches of all parts are merged for each document.  A
+part's windows are packed arrays (one number a word, a start and a size for
+each distinct window), at most ``PACKED`` bytes for a counted byte, which is
+checked before they are broadcast.  A segment's positions are unpacked only if
+it has all terms of some window.  Both ``op6_positional_index`` and
+``op6_positional_near`` give the exact matches and the items that are near
 within ``SLOP`` words only.
 
 Defined cases: null and wordless texts have no words and no hits; items
@@ -43,7 +46,10 @@ SLOP = 2
 #: More than a window and any sensible slop.
 GAP = 64
 SEGMENT_WORDS = 1 << 20
-PART_BYTES = 16 << 20
+PART_BYTES = 4 << 20
+#: Counted for an item beside its bytes; packed bytes for a counted one.
+ITEM_BYTES = 64
+PACKED = 24
 
 #: Bytes of words are digits, lower-case letters and all beyond
 #: ASCII; A-Z are lower-cased first; every other byte separates.
@@ -58,8 +64,8 @@ def words_of(text: str) -> list[bytes]:
 class Segment:
     """Postings of some documents."""
 
-    def __init__(self, terms: list[bytes], counts: np.ndarray, deltas: np.ndarray, doc_words: np.ndarray):
-        self.terms, self.counts, self.deltas = terms, counts, deltas
+    def __init__(self, terms: list[bytes], counts: np.ndarray, deltas, doc_words: np.ndarray):
+        self.terms, self.counts, self._deltas = terms, counts, deltas
         self.doc_words = doc_words
         self.doc_start = np.cumsum(doc_words + GAP) - doc_words - GAP
         self.offsets = np.concatenate([[0], np.cumsum(counts)])
@@ -79,6 +85,12 @@ class Segment:
         deltas[first] = sorted_at[first]
         return cls(list(number), counts, deltas, sizes)
 
+    @property
+    def deltas(self) -> np.ndarray:
+        if callable(self._deltas):  # still packed
+            self._deltas = self._deltas()
+        return self._deltas
+
     def postings(self, term: int) -> np.ndarray:
         found = self._open.get(term)
         if found is None:
@@ -95,41 +107,79 @@ class Segment:
     def unpacked(cls, row: dict) -> Segment:
         z = zstandard.ZstdDecompressor()
         return cls(z.decompress(row["terms"]).split(), np.frombuffer(z.decompress(row["counts"]), np.uint32).astype(np.int64),
-                   np.frombuffer(z.decompress(row["deltas"]), f"<u{row['delta_bytes']}").astype(np.int64),
+                   lambda: np.frombuffer(z.decompress(row["deltas"]), f"<u{row['delta_bytes']}").astype(np.int64),
                    np.array(row["doc_words"], np.int64))
 
 
+def ranks(ids: np.ndarray, size: int) -> np.ndarray:
+    """A number for the ``size`` ids from each place on, equal where the ids
+    are equal: numbers of doubled lengths are paired."""
+    def paired(left, right, shift):
+        right = np.concatenate([right[shift:], np.zeros(min(shift, len(right)), np.int64)])
+        return np.unique(left * (len(ids) + 1) + right, return_inverse=True)[1].astype(np.int64)
+
+    power, width = np.unique(ids, return_inverse=True)[1].astype(np.int64), 1
+    out, done = None, 0
+    while True:
+        if size & width:
+            out, done = (power if out is None else paired(out, power, done)), done + width
+        if done == size:
+            return out
+        power, width = paired(power, power, width), 2 * width
+
+
 class Windows:
-    """The distinct windows of some items, over the items' own term numbers."""
+    """The distinct windows of some items, over the items' own term numbers.
+
+    ``tokens`` holds the items' words one after another, ``window`` zeros after
+    each; a window is a place in it and a size."""
 
     def __init__(self, items: list[tuple[str | None, str | None]], window: int = WINDOW):
         number: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], set[int]] = {}
         self.items: list[str | None] = []
+        self.window = window
+        tokens, starts, sizes, owners, at = [], [], [], [], 0
         for item_id, text in items:
-            ids = [number.setdefault(w, len(number)) for w in words_of(text or "")]
-            if ids:
-                item = len(self.items)
+            ids = np.array([number.setdefault(w, len(number) + 1) for w in words_of(text or "")], np.int32)
+            if len(ids):
+                n = max(1, len(ids) - window + 1)
+                tokens += [ids, np.zeros(window, np.int32)]
+                starts.append(np.arange(at, at + n, dtype=np.int64))
+                sizes.append(np.full(n, min(len(ids), window), np.int32))
+                owners.append(np.full(n, len(self.items), np.int32))
+                at += len(ids) + window
                 self.items.append(item_id)
-                for i in range(max(1, len(ids) - window + 1)):
-                    found.setdefault(tuple(ids[i:i + window]), set()).add(item)
-        self.terms = list(number)
-        self.windows = list(found)
-        self.of = [sorted(x) for x in found.values()]
-        self.matrix = np.full((len(found), window), -1, np.int64)
-        for i, w in enumerate(self.windows):
-            self.matrix[i, :len(w)] = w
+        self.terms = b" ".join(number)
+        self.tokens, self.starts, self.sizes, owners = (
+            np.concatenate(x) if x else np.zeros(0, kind)
+            for x, kind in ((tokens, np.int32), (starts, np.int64), (sizes, np.int32), (owners, np.int32)))
+        if len(self.starts):
+            _, first, which = np.unique(ranks(self.tokens, window)[self.starts], return_index=True, return_inverse=True)
+            self.starts, self.sizes = self.starts[first], self.sizes[first]
+            pairs = np.unique(which.astype(np.int64) * len(self.items) + owners)
+            which, owners = pairs // len(self.items), (pairs % len(self.items)).astype(np.int32)
+            self.owner_at = np.searchsorted(which, np.arange(len(first) + 1))
+        self.owners = owners
+
+    def of(self, window: int) -> list[int]:
+        """The items that hold a window."""
+        return self.owners[self.owner_at[window]:self.owner_at[window + 1]].tolist()
+
+    def nbytes(self) -> int:
+        arrays = (self.tokens, self.starts, self.sizes, self.owners, *([self.owner_at] if len(self.starts) else []))
+        return sum(x.nbytes for x in arrays) + len(self.terms) + sum(ITEM_BYTES + len(x or "") for x in self.items)
 
 
 def search(segment: Segment, windows: Windows, slop: int = 0):
     """Matches in a segment: (window number, exact starts, near starts)."""
-    if not segment.terms or not windows.windows:
+    if not segment.terms or not len(windows.starts):
         return
     place = {t: i for i, t in enumerate(segment.terms)}
-    here = np.array([place.get(t, -1) for t in windows.terms] + [-2], np.int64)  # the last stands for "no word"
-    matrix = here[windows.matrix]
-    for number in np.flatnonzero((matrix != -1).all(axis=1)):
-        terms = [int(t) for t in matrix[number] if t >= 0]
+    here = np.array([-2, *(place.get(t, -1) for t in windows.terms.split(b" "))], np.int64)[windows.tokens]  # -2: no word
+    missing = np.concatenate([[0], np.cumsum(here == -1)])
+    for number in np.flatnonzero(missing[windows.starts + windows.window] == missing[windows.starts]).tolist():
+        start = windows.starts[number]
+        terms = here[start:start + windows.sizes[number]].tolist()
         order = sorted(range(len(terms)), key=lambda i: (segment.counts[terms[i]], i))
         at = segment.postings(terms[order[0]]) - order[0]
         if slop and order[0]:  # the places of the first word that have the rarest in reach
@@ -161,11 +211,11 @@ def matches(segment: Segment, windows: Windows, slop: int = 0) -> dict[int, tupl
     exact_items: dict[int, set] = {}
     near_items: dict[int, set] = {}
     for number, exact, near in search(segment, windows, slop):
-        size = len(windows.windows[number])
+        size, items_here = int(windows.sizes[number]), windows.of(number)
         for starts, items in ((exact, exact_items), (near, near_items)):
             docs = np.searchsorted(segment.doc_start, starts, "right") - 1
             for doc, at in zip(docs.tolist(), (starts - segment.doc_start[docs]).tolist(), strict=True):
-                items.setdefault(doc, set()).update(windows.of[number])
+                items.setdefault(doc, set()).update(items_here)
                 if items is exact_items:
                     spans.setdefault(doc, []).append((at, at + size))
     out = {}
@@ -187,15 +237,16 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def grouped(texts: list[str], sizes_left: int):
-    """Word lists of consecutive texts, cut where a segment is full."""
+    """Word lists of consecutive texts, cut where a segment is full (a text
+    counts as one word more than it has)."""
     group, n = [], 0
     for text in texts:
         words = words_of(text)
-        if group and n + len(words) > sizes_left:
+        if group and n + len(words) + 1 > sizes_left:
             yield group
             group, n = [], 0
         group.append(words)
-        n += len(words)
+        n += len(words) + 1
     if group:
         yield group
 
@@ -227,12 +278,12 @@ def build_index(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
             id_arrow = rows.schema.field(0).type
             for doc_id, text in zip(rows.column(0).to_pylist(), texts, strict=True):
                 found = words_of(text)
-                if n and n + len(found) > segment_words:
+                if n and n + len(found) + 1 > segment_words:
                     yield flush()
                     number, ids, words, n = number + 1, [], [], 0
                 ids.append(doc_id)
                 words.append(found)
-                n += len(found)
+                n += len(found) + 1
         if ids:
             yield flush()
 
@@ -242,18 +293,20 @@ def build_index(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
 
 
 def item_parts(items: DataFrame, id_col: str = "item_id", text_col: str = "text", limit: int = PART_BYTES) -> list[DataFrame]:
-    """The items in parts by hash, each of at most ``limit`` bytes of text
-    unless it is a single row.  Sizes are counted before anything is sent."""
+    """The items in parts by hash, each of at most ``limit`` bytes of text and
+    ids, ``ITEM_BYTES`` more for an item, unless it is a single row.  Sizes are
+    counted before anything is sent."""
     pairs = items.select(F.col(id_col).cast("string").alias("item_id"),
                          F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    total = pairs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    size = F.sum(F.octet_length("text") + F.coalesce(F.octet_length("item_id"), F.lit(0)) + ITEM_BYTES)
+    total = pairs.agg(size).first()[0] or 0
     n = -(-total // limit) if total else 1
     while True:
         key = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
         if n == 1:
             return [pairs]
         over = (pairs.groupBy(key.alias("part"), "item_id", "text").agg(F.lit(1)).groupBy("part")
-                .agg(F.sum(F.octet_length("text")).alias("size"), F.count("*").alias("rows"))
+                .agg(size.alias("size"), F.count("*").alias("rows"))
                 .where((F.col("size") > limit) & (F.col("rows") > 1)).limit(1).collect())
         if not over:
             return [pairs.where(key == i).distinct() for i in range(n)]
@@ -261,8 +314,14 @@ def item_parts(items: DataFrame, id_col: str = "item_id", text_col: str = "text"
 
 
 def windows_of(part: DataFrame) -> Windows:
-    """Windows of one part; its size has been checked."""
-    return Windows([(r.item_id, r.text) for r in part.orderBy("item_id", "text").collect()])
+    """Windows of one part, whose size has been counted; what is built from it
+    is checked too."""
+    rows = part.orderBy("item_id", "text").collect()
+    built = Windows([(r.item_id, r.text) for r in rows])
+    counted = sum(len(r.text.encode("utf-8", "surrogatepass")) + len(r.item_id or "") + ITEM_BYTES for r in rows)
+    if built.nbytes() > PACKED * counted:
+        raise ValueError(f"windows of {counted} bytes take {built.nbytes()}")
+    return built
 
 
 def find(index: DataFrame, items: DataFrame, slop: int = 0, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -349,15 +408,20 @@ def findings(spark: SparkSession, sf_dir: str, slop: int) -> DataFrame:
     index = build_index(table(spark, sf_dir, "documents"), scratch_path(spark, "postings"))
     found = find(index, table(spark, sf_dir, "benchmark"), slop)
     hit = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, x: n + x["e"] - x["s"])
+    digest = lambda items: F.sha2(F.array_join(items, ","), 256)
     return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
-                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-                        (hit > 0).alias("contaminated"), F.array_sort("near_items").alias("near_items"))
+                        digest("items").alias("items_sha256"), (hit > 0).alias("contaminated"),
+                        F.size("near_items").cast("bigint").alias("n_near_items"),
+                        F.array_sort("near_items").alias("near_items"))
 
 
 def op6_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return findings(spark, sf_dir, 0).drop("near_items")
+    """Exact matches, and the items near within ``SLOP`` words only by number
+    and digest."""
+    near = F.sha2(F.array_join("near_items", ","), 256)
+    return findings(spark, sf_dir, SLOP).withColumn("near_items_sha256", near).drop("near_items")
 
 
 def op6_positional_near(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``op6_positional_index`` with n_near_items and near_items."""
-    return findings(spark, sf_dir, SLOP).withColumn("n_near_items", F.size("near_items").cast("bigint"))
+    """``op6_positional_index`` with the near items themselves."""
+    return findings(spark, sf_dir, SLOP)
