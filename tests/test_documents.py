@@ -37,7 +37,7 @@ def test_lines_features_and_songs_without_posts(spark):
 def test_only_the_asked_fields_of_the_list_are_read(spark, sf):
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
     assert "tweets:array<struct<content:string>>" in plan(catalog.q_document_lines(spark, sf))
-    assert "tweets:array<struct<tweet_id:string>>" in plan(catalog.q_songs_without_posts(spark, sf))
+    assert "tweets:array<struct<tweet_id:string>>" in plan(catalog.q_documents_without_posts(spark, sf))
     assert "ReadSchema: struct<tweets:array<struct<tweet_id:string>>>" in plan(catalog.q_document_total(spark, sf))
 
 
@@ -69,3 +69,17 @@ def test_report_counts_raw_and_kept_lines(spark):
 def test_report_reads_the_lines_once(spark, sf):
     plan = catalog.q_clean_report(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") <= 2      # one scan for each kind of line
+
+
+def test_songs_without_posts_are_those_without_a_cleaned_post(spark, tmp_path):
+    """Lists of posts that cleaning empties count as none; every song is looked at."""
+    words = "one two three four five six seven eight nine ten eleven"
+    good = "\n".join(f"{words} post{i}\nverse line" for i in range(11))
+    few = "\n".join(f"{words} post{i}\nverse line" for i in range(10))
+    short = "\n".join(f"short post{i}\nverse line" for i in range(30))
+    rows = [(7, good), (1, few), (2, short), (3, None), (11, good), (11, good)]
+    spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'en' lang", "'web' source", "1 n_chars") \
+        .write.parquet(str(tmp_path / "documents.parquet"))
+    df = catalog.q_songs_without_posts(spark, str(tmp_path))
+    assert df.columns == ["id", "name"]
+    assert sorted(r.id for r in df.collect()) == [1, 2, 3]

@@ -100,6 +100,12 @@ def _documents(spark, sf):
 
 
 def q_songs_without_posts(spark, sf):
+    """Songs that keep no post after cleaning."""
+    posts = C.clean_lines(FX.table(spark, sf, "documents"))[0]
+    return C.songs_without_posts(FX.songs(spark, sf), posts).select("id", "name")
+
+
+def q_documents_without_posts(spark, sf):
     return C.documents_without_posts(_documents(spark, sf))
 
 
@@ -264,6 +270,7 @@ QUERIES = {
     "verses_clean": q_verses_clean,
     "clean_report": q_clean_report,
     "songs_without_posts": q_songs_without_posts,
+    "documents_without_posts": q_documents_without_posts,
     "document_lines": q_document_lines,
     "document_features": q_document_features,
     "document_total": q_document_total,

@@ -164,7 +164,9 @@ FROM all_lines p JOIN songs s USING (id)""", SONGS, LINES),
   SELECT 'posts' AS frame, (SELECT count(*) FROM posts) AS before, (SELECT count(*) FROM posts_clean) AS after
   UNION ALL
   SELECT 'verses', (SELECT count(*) FROM verses), (SELECT count(*) FROM verses_clean))""", LINES, CLEAN),
-    "songs_without_posts": _q("""SELECT id, name, tweets IS NULL AS missing FROM docs
+    "songs_without_posts": _q("SELECT id, name FROM songs WHERE id NOT IN (SELECT id FROM posts_clean)",
+                              SONGS, LINES, CLEAN),
+    "documents_without_posts": _q("""SELECT id, name, tweets IS NULL AS missing FROM docs
 WHERE coalesce(len(tweets), 0) = 0""", DOCS),
     "document_lines": _q(f"""SELECT id,
        list_reduce(list_concat({tokens('name')}, {tokens('artist')}), lambda acc, w: replace(acc, w, ''),
