@@ -164,3 +164,28 @@ def test_a_term_of_nearly_every_song_is_not_joined(spark):
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
         return marked.where("needed").agg(F.sum("n")).first()[0]
     assert joined(500) == joined(5000) <= 400
+
+
+@pytest.mark.parametrize("k, cell_rows", [(1, 10**6), (5, 1500), (15, 40), (500, 300)])
+def test_lists_from_cells_equal_the_whole_join(random_postings, k, cell_rows):
+    """However the queries and the songs fall into cells; ties go by id."""
+    postings, terms = random_postings
+    key = lambda df: sorted((r.query_id, r["rank"], r.id, round(r.score, 9)) for r in df.collect())
+    want = key(S.top_k(S.scores(terms, postings), k))
+    args = (k, terms.count(), postings.count())
+    assert key(S.top_k(S.cell_scores(terms, postings, *args, cell_rows=cell_rows), k)) == want
+    named = postings.select(F.concat(F.lit("s"), "id").alias("id"), "term", "w")
+    keyed = terms.select(F.struct(F.col("query_id").alias("a"), F.lit(None).cast("int").alias("b")).alias("query_id"), "term", "qtf")
+    assert key(S.top_k(S.cell_scores(keyed, named, *args, cell_rows=cell_rows), k)) == key(S.top_k(S.scores(keyed, named), k))
+
+
+def test_many_queries_are_scored_without_a_shuffle_of_pairs(random_postings, monkeypatch):
+    """More joined rows than postings: cells give k rows a query and block, the join is not made."""
+    postings, terms = random_postings
+    monkeypatch.setattr(S, "SMALL_JOIN_ROWS", 0)
+    many = terms.crossJoin(terms.sparkSession.range(8)).select(
+        (F.col("query_id") * 8 + F.col("id")).alias("query_id"), "term", "qtf")
+    got = S.top_scores(many, postings, 5)
+    assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    key = lambda df: sorted((r.query_id, r["rank"], r.id, round(r.score, 9)) for r in df.collect())
+    assert key(S.top_k(got, 5)) == key(S.top_k(S.scores(many, postings), 5))

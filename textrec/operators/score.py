@@ -13,16 +13,25 @@ blocks holds their sizes and largest weights.  A few short blocks of a query giv
 a score that k songs reach at least; blocks whose largest weights can't add up
 to it together are left out of the join, and only songs that may still be among
 the best have their other postings looked up.  Lists are exact; a term that
-nearly every song has is joined where its weight can matter, and else not."""
+nearly every song has is joined where its weight can matter, and else not.
+
+Where queries are many and their terms common, as with all held-out lines, bounds
+leave out little and nearly every (query, song) pair has a score.  Then blocks of
+queries meet blocks of songs in cells: a cell sums the scores of its pairs in
+memory and gives the k best songs of each query, so no pair is ever shuffled."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from textrec.functions import text as T
 from textrec.operators import model as M
-from textrec.session import materialize
+from textrec.session import materialize, ship_package
 
 RANK_DIGITS = 9   # ranking uses round(score, 9) desc, id asc (D12)
 OUT_DIGITS = 6
@@ -70,6 +79,10 @@ def scores(qterms: DataFrame, postings: DataFrame, qid: str = "query_id", id_col
 FIRST_ROWS = 1000
 #: Joined rows of all queries together up to which the bounds cost more than they save.
 JOIN_ROWS = 100_000_000
+#: Joined rows up to which the join is made directly even if it has more rows than the postings.
+SMALL_JOIN_ROWS = 5_000_000
+#: Postings, and query terms, that a cell holds in memory at most on average.
+CELL_ROWS = 4_000_000
 
 
 def weight_level(w="w"):
@@ -120,20 +133,96 @@ def needed_blocks(qb: DataFrame, least: DataFrame, qid: str = "query_id") -> Dat
     return held.withColumn("least", F.col("least") * (1 - 1e-9) - 1e-6).withColumn("needed", F.col("rest") >= F.col("least"))
 
 
+def _best_of_cell(queries: pa.Table, postings: pa.Table, k: int) -> pa.Table:
+    """(qid, id, score): the k best songs of the cell for each of its queries.
+
+    ``queries`` has qid and the arrays terms and qtfs, ``postings`` term, id, w."""
+    term = postings["term"].combine_chunks().dictionary_encode(null_encoding="encode")
+    song = postings["id"].combine_chunks().dictionary_encode(null_encoding="encode")
+    # songs are numbered in the order of their ids, which decides between equal scores
+    by_id = pc.sort_indices(song.dictionary, null_placement="at_start")
+    number = np.empty(len(by_id), dtype=np.int64)
+    number[by_id.to_numpy()] = np.arange(len(by_id))
+    code = term.indices.to_numpy(zero_copy_only=False)
+    by_term = np.argsort(code, kind="stable")
+    songs = number[song.indices.to_numpy(zero_copy_only=False)[by_term]]
+    w = postings["w"].to_numpy()[by_term]
+    start = np.concatenate([[0], np.cumsum(np.bincount(code, minlength=len(term.dictionary)))])
+    lists = queries["terms"].combine_chunks()
+    codes = pc.fill_null(pc.index_in(lists.flatten(), value_set=term.dictionary), -1).to_numpy(zero_copy_only=False)
+    qtfs = queries["qtfs"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    rows, found, scores_ = [], [], []
+    for i, end in enumerate(ends):
+        begin = ends[i - 1] if i else 0
+        parts = [(start[c], start[c + 1], f) for c, f in zip(codes[begin:end], qtfs[begin:end]) if c >= 0]
+        if not parts:
+            continue
+        score = np.bincount(np.concatenate([songs[a:b] for a, b, _ in parts]),
+                            weights=np.concatenate([w[a:b] * f for a, b, f in parts]), minlength=len(number))
+        least = np.partition(score, -k)[-k] if len(score) > k else 0.0
+        # ties of the k-th score in the order of the ranking, also those that rounding makes
+        near = np.nonzero((score > 0) & (score >= least - 10.0 ** -RANK_DIGITS))[0]
+        best = near[np.lexsort((near, -np.round(score[near], RANK_DIGITS)))[:k]]
+        rows.append(np.full(len(best), i))
+        found.append(best)
+        scores_.append(score[best])
+    none = [np.empty(0, dtype=np.int64)]
+    return pa.table({
+        "qid": queries["qid"].combine_chunks().take(pa.array(np.concatenate(rows or none))),
+        "id": song.dictionary.take(by_id.take(pa.array(np.concatenate(found or none)))),
+        "score": pa.array(np.concatenate(scores_ or none).astype(np.float64))})
+
+
+def cell_scores(qterms: DataFrame, postings: DataFrame, k: int, n_terms: int, n_postings: int, qid: str = "query_id",
+                id_col: str = "id", term_col: str = "term", cell_rows: int = CELL_ROWS) -> DataFrame:
+    """(query_id, id, score): the k best songs of each query in each block of
+    songs, scored in cells of (block of queries, block of songs).
+
+    Every posting goes to a cell of each block of queries and every query to a
+    cell of each block of songs; both are counted beforehand, so that a cell
+    fits a task's memory.  Blocks are by hash: a hot song is one of many in its
+    block, and a hot term is spread over all of them."""
+    spark = qterms.sparkSession
+    ship_package(spark)
+    q_blocks = max(1, -(-n_terms // cell_rows))
+    small = -(-n_postings // max(1, cell_rows // 16))     # so many cells at most, for the cluster's cores
+    s_blocks = max(-(-n_postings // cell_rows), min(small, spark.sparkContext.defaultParallelism), 1)
+    per_query = (qterms.groupBy(F.col(qid).alias("qid"))
+                       .agg(F.sort_array(F.collect_list(F.struct(F.col(term_col).alias("term"), F.col("qtf").cast("double").alias("qtf")))).alias("_t")))
+    queries = per_query.select(
+        "qid", F.col("_t.term").alias("terms"), F.col("_t.qtf").alias("qtfs"), F.pmod(F.xxhash64("qid"), F.lit(q_blocks)).alias("_qb"),
+        F.explode(F.sequence(F.lit(0), F.lit(s_blocks - 1))).alias("_sb"))
+    songs = postings.where(F.col("w") != 0).select(
+        F.col(term_col).alias("term"), F.col(id_col).alias("id"), "w", F.pmod(F.xxhash64(id_col), F.lit(s_blocks)).alias("_sb"),
+        F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("_qb"))
+    cell = (F.col("_qb") * s_blocks + F.col("_sb")).cast("long").alias("_cell")
+    schema = StructType([StructField("qid", qterms.schema[qid].dataType), StructField("id", postings.schema[id_col].dataType),
+                         StructField("score", DoubleType())])
+    best = (queries.select(cell, "qid", "terms", "qtfs").groupBy("_cell")
+                   .cogroup(songs.select(cell, "term", "id", "w").groupBy("_cell"))
+                   .applyInArrow(lambda q, p: _best_of_cell(q, p, k), schema))
+    return best.select(F.col("qid").alias(qid), F.col("id").alias(id_col), "score")
+
+
 def top_scores(qterms: DataFrame, postings: DataFrame, k: int, blocks: DataFrame | None = None, qid: str = "query_id",
                id_col: str = "id", term_col: str = "term", first_rows: int = FIRST_ROWS,
                join_rows: int = JOIN_ROWS) -> DataFrame:
     """(query_id, id, score) of every song that may be among the k best of a query.
 
     The block table tells beforehand how many rows the join of all postings
-    would have; up to ``join_rows`` it is made directly, as a join is broadcast
-    below a size, since the bounds cost some passes over the queries.  The rows of
-    the k best are the same either way."""
+    would have.  While these are at most ``join_rows`` and no more than the
+    postings, it is made directly, as a join is broadcast below a size; else
+    the scores are summed in cells.  With ``join_rows`` 0 the bounds decide which
+    postings are joined.  The rows of the k best are the same in all cases."""
     blocks = blocks if blocks is not None else posting_blocks(postings, term_col)
     qterms = materialize(qterms, "query-terms")
     joined = qterms.join(blocks, term_col).agg(F.sum("n")).first()[0] or 0
-    if joined <= join_rows:
+    n_postings = blocks.agg(F.sum("n")).first()[0] or 0
+    if joined <= min(join_rows, max(n_postings, SMALL_JOIN_ROWS)):
         return scores(qterms, postings, qid, id_col, term_col)
+    if join_rows > 0:
+        return cell_scores(qterms, postings, k, qterms.count(), n_postings, qid, id_col, term_col)
     qb = materialize(query_blocks(qterms, blocks, qid, term_col), "query-blocks")
     least = least_scores(qb, postings, k, qid, id_col, term_col, first_rows)
     marked = materialize(needed_blocks(qb, least, qid), "query-needed")
