@@ -189,3 +189,12 @@ def test_many_queries_are_scored_without_a_shuffle_of_pairs(random_postings, mon
     assert "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
     key = lambda df: sorted((r.query_id, r["rank"], r.id, round(r.score, 9)) for r in df.collect())
     assert key(S.top_k(got, 5)) == key(S.top_k(S.scores(many, postings), 5))
+
+
+def test_one_text_does_not_read_the_song_table_in_one_task(spark):
+    """Songs are joined in their own partitions; only the k rows come together."""
+    postings = spark.createDataFrame([(i, "sun", 1.0 + i % 7) for i in range(100)], "id long, term string, w double")
+    songs = spark.range(0, 100, 1, 6).select("id", F.concat(F.lit("n"), "id").alias("name"))
+    df = S.recommend_one("sun sun", postings, songs, 15)
+    assert "Repartition 1, false" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r["rank"], r.id, r.name) for r in df.collect()][:3] == [(1, 6, "n6"), (2, 13, "n13"), (3, 20, "n20")]

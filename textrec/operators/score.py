@@ -327,6 +327,7 @@ def recommend_one(text: str, postings: DataFrame, songs: DataFrame, k: int = 15,
     ranked = best.withColumn("rank", F.row_number().over(Window.orderBy(*_order(id_col))))
     # as in the reference, an id missing from the song table gives no row
     named = ranked.join(songs.select(id_col, "name"), id_col, "inner")
-    # at most k rows: one partition, in rank order, without an exchange
+    # at most k rows, in rank order; they are brought together after the join, as
+    # a coalesce would have one task read the whole song table
     return (named.select("rank", id_col, "name", F.round("score", OUT_DIGITS).alias("score"))
-                 .coalesce(1).sortWithinPartitions("rank"))
+                 .repartition(1).sortWithinPartitions("rank"))
