@@ -173,7 +173,8 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .withColumn("word_count", F.when(F.col("kind") == 0, F.size(w))),
         "lines-kept", partition_by=("kind",))
     posts = kept.where(F.col("kind") == 0).select("id", F.col("line").alias("tweet_line"), "word_count")
-    enough = posts.groupBy("id").count().where(F.col("count") > min_posts).select("id")
+    # written first, so that the join knows its size and need not shuffle the text
+    enough = materialize(posts.groupBy("id").count().where(F.col("count") > min_posts).select("id"), "songs-enough")
     posts = posts.join(enough, "id", "left_semi")
     verses = kept.where(F.col("kind") == 1).select("id", F.col("line").alias("lyric_line"))
     return posts, verses

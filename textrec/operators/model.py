@@ -26,7 +26,7 @@ def line_terms(lines: DataFrame, line_col: str, id_col: str = "id",
     tests then run as ordinary code-generated row predicates."""
     # explode_outer: a plain explode makes Catalyst add size(array) > 0 below
     # the generator, which would run the regex a second time
-    words = lines.select(id_col, F.explode_outer(T.split_spaces(T.normalize(line_col))).alias("term"))
+    words = lines.select(id_col, F.explode_outer(T.pieces(line_col)).alias("term"))
     return words.where(F.col("term").isNotNull() & T.is_token("term", stop_words))
 
 
@@ -53,13 +53,15 @@ def corpus_terms(post_lines: DataFrame, verse_lines: DataFrame, id_col: str = "i
     """The per-song corpus of posts and lyrics, as (id, term, tf).
 
     J1: only songs that have both post lines and lyric lines take part; the
-    two corpora are concatenated (A2 + T22) by adding their term counts."""
-    both = (post_lines.select(id_col).distinct()
-            .join(verse_lines.select(id_col).distinct(), id_col, "inner"))
+    two corpora are concatenated (A2 + T22) by adding their term counts.  Lines of
+    other songs are left out before they are split into terms; the ids are
+    written first, so that the join knows their size."""
+    from textrec.session import materialize
+    both = materialize(post_lines.select(id_col).distinct()
+                       .join(verse_lines.select(id_col).distinct(), id_col, "left_semi"), "songs-both")
     lines = (post_lines.select(id_col, F.col(post_col).alias("_line"))
              .unionByName(verse_lines.select(id_col, F.col(verse_col).alias("_line"))))
-    tf = term_counts(lines, "_line", id_col, stop_words, stem_map)
-    return tf.join(both, id_col, "left_semi")
+    return term_counts(lines.join(both, id_col, "left_semi"), "_line", id_col, stop_words, stem_map)
 
 
 def fit_idf(tf: DataFrame, id_col: str = "id", term_col: str = "term") -> DataFrame:
@@ -76,7 +78,9 @@ def tfidf(tf: DataFrame, id_col: str = "id", term_col: str = "term",
     ``drop_zero`` removes postings whose weight is exactly 0 (terms in every
     song): they cannot change any score, and they are the longest lists."""
     idf = fit_idf(tf, id_col, term_col)
-    post = tf.join(idf.select(term_col, "idf"), term_col, "inner").withColumn("w", F.col("tf") * F.col("idf"))
+    # the terms are hashed, as sorting the postings by term costs more than the join
+    # and a range exchange after it samples, that is, joins twice
+    post = tf.join(idf.select(term_col, "idf").hint("shuffle_hash"), term_col, "inner").withColumn("w", F.col("tf") * F.col("idf"))
     if drop_zero:
         post = post.where(F.col("w") != 0)
     return post

@@ -49,7 +49,7 @@ def query_terms(queries: DataFrame, qid: str = "query_id", text_col: str = "text
     # explode first and test tokens with code-generated predicates (as the
     # corpus does); the token count of a query, which sets the repetition,
     # is a window sum over that query's distinct terms (bounded by its text)
-    words = queries.select(qid, F.explode_outer(T.split_spaces(T.normalize(text_col))).alias("term"))
+    words = queries.select(qid, F.explode_outer(T.pieces(text_col)).alias("term"))
     occ = words.where(F.col("term").isNotNull() & T.is_token("term", stop_words))
     cnt = (occ.groupBy(qid, "term").agg(F.count("*").alias("_c"))
               .withColumn("_n", F.sum("_c").over(Window.partitionBy(qid))))

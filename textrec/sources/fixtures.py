@@ -28,7 +28,7 @@ def songs(spark: SparkSession, sf_dir: str) -> DataFrame:
     add_date = F.date_add(F.lit(FIRST_DAY), F.when(F.col("doc_id") % 10 == 9, 1).otherwise(0))
     return d.select(
         F.col("doc_id").alias("id"),
-        F.array_join(F.slice(F.split("text", " "), 1, 3), " ").alias("name"),
+        F.array_join(F.slice(F.split("text", " ", 4), 1, 3), " ").alias("name"),    # the rest of the text stays unsplit
         F.concat_ws(",", "lang", "source").alias("artist"),
         (F.col("doc_id") % 100).cast("int").alias("popularity"),
         add_date.alias("add_date"),
