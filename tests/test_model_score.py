@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from textrec.functions import text as T
 from textrec.operators import evaluate as E
 from textrec.operators import model as M
 from textrec.operators import score as S
@@ -198,3 +199,26 @@ def test_one_text_does_not_read_the_song_table_in_one_task(spark):
     df = S.recommend_one("sun sun", postings, songs, 15)
     assert "Repartition 1, false" not in df._jdf.queryExecution().optimizedPlan().toString()
     assert [(r["rank"], r.id, r.name) for r in df.collect()][:3] == [(1, 6, "n6"), (2, 13, "n13"), (3, 20, "n20")]
+
+
+def test_lines_of_other_songs_are_not_split_into_terms(spark):
+    """The semi-join with the corpus songs stands below the split, which is one pass over a line."""
+    posts = spark.createDataFrame([(1, "sun!!moon 7 star"), (2, "rain, rain")], "id long, tweet_line string")
+    verses = spark.createDataFrame([(1, "moon"), (3, "storm")], "id long, lyric_line string")
+    df = M.corpus_terms(posts, verses)
+    assert sorted(map(tuple, df.collect())) == [(1, "moon", 2), (1, "star", 1), (1, "sun", 1)]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.index("Generate explode") < plan.index("LeftSemi") and "regexp_replace" not in plan
+
+
+def test_words_in_one_pass_equal_the_steps(spark):
+    rows = [(s,) for s in ("", " ", "!a  b!", "A.B\tc\n7d\\e", "é😀 x", "--", None)]
+    df = spark.createDataFrame(rows, "s string")
+    steps = F.array_remove(T.split_spaces(T.normalize("s")), "")
+    assert df.where(~T.words("s").eqNullSafe(steps)).count() == 0
+    assert df.select(T.words("s").alias("w")).collect()[3].w == ["a", "b", "c", "d\\e"]
+
+
+def test_a_song_name_splits_its_first_words_only(spark, sf):
+    from textrec.sources import fixtures as FX
+    assert "split(text#" in (plan := FX.songs(spark, sf)._jdf.queryExecution().optimizedPlan().toString()) and ",  , 4)" in plan
