@@ -70,6 +70,31 @@ def test_any_text_equals_the_library(texts):
         assert ans.np.frombuffer(ids, tok.kind).tolist() == tok.library.encode(text, add_special_tokens=False).ids
 
 
+def test_new_pieces_go_straight_to_the_merges():
+    from textrec.llm.lexicon import byte_alphabet
+    shown, sizes = [], []
+
+    class Model:
+        def _resize_cache(self, size):
+            sizes.append(size)
+
+        def tokenize(self, piece):
+            shown.append(piece)
+            return []
+
+    class Library:
+        model = Model()
+
+        def get_vocab_size(self, with_added_tokens):
+            return 3
+
+    pieces, alphabet = ans.PieceIds(Library(), 2), byte_alphabet()
+    assert sizes == [0]  # pieces are kept here, the model's own cache only takes time
+    for piece in [*map(chr, ans._PLAIN_LATIN1), " word", " it", "x~!", " é1", " \n", "\t\t", "  ", "ƒ"]:
+        assert pieces[piece] == b""
+        assert shown.pop() == "".join(alphabet[b] for b in piece.encode())
+
+
 def test_empty_table(spark, no_docs):
     assert digest(ans.document_checksums(ans.read_documents(spark, written(spark, no_docs)))) == []
 

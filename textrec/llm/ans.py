@@ -82,8 +82,12 @@ class PieceIds(dict):
     def __init__(self, library, width: int):
         super().__init__()
         from textrec.llm.lexicon import byte_alphabet
-        self.tokenize = library.model.tokenize
+        model = library.model
+        if hasattr(model, "_resize_cache"):
+            model._resize_cache(0)  # it holds the first few pieces for good, and asking it costs more than merging
+        self.tokenize = model.tokenize
         self.letters = dict(enumerate(byte_alphabet()))
+        self.space = self.letters[ord(" ")]
         self.raw = [i.to_bytes(width, "little") for i in range(library.get_vocab_size(with_added_tokens=True))]
         self.older: dict[str, bytes] = {}
 
@@ -94,7 +98,10 @@ class PieceIds(dict):
         found = self.older.get(piece)
         if found is None:
             raw = self.raw
-            shown = piece.encode().decode("latin-1").translate(self.letters)
+            if piece.isascii() and not piece.isspace():  # the alphabet shows the other signs of ASCII as themselves
+                shown = piece.replace(" ", self.space)
+            else:
+                shown = piece.encode().decode("latin-1").translate(self.letters)
             found = b"".join([raw[t.id] for t in self.tokenize(shown)])
         self[piece] = found
         return found
