@@ -84,7 +84,7 @@ class PieceIds(dict):
         from textrec.llm.lexicon import byte_alphabet
         model = library.model
         if hasattr(model, "_resize_cache"):
-            model._resize_cache(0)  # it holds the first few pieces for good, and asking it costs more than merging
+            model._resize_cache(0)  # pieces are kept here; asking it for a new one costs more than merging
         self.tokenize = model.tokenize
         self.letters = dict(enumerate(byte_alphabet()))
         self.space = self.letters[ord(" ")]
